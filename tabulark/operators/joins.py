@@ -1,0 +1,32 @@
+"""Lookup joins with a checked broadcast.
+
+A dimension is broadcast only after its row count is proven to stay under
+``max_rows`` (a ``limit(max_rows + 1).count()`` job stops reading as soon
+as the bound is passed).  Above the bound the join is left to the planner
+(sort-merge, with AQE free to switch to broadcast from run-time sizes and
+to split skewed partitions).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows of a dimension we are willing to ship to every executor.
+DEFAULT_BROADCAST_ROWS = 2_000_000
+
+
+def rows_at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``F.broadcast(df)`` if it provably has at most ``max_rows`` rows, else ``df``."""
+    return F.broadcast(df) if rows_at_most(df, max_rows) else df
+
+
+def lookup(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
+           max_rows: int = DEFAULT_BROADCAST_ROWS, check_size: bool = True) -> DataFrame:
+    """Join a fact to a dimension, broadcasting the dimension if it is small."""
+    side = bounded_broadcast(dim, max_rows) if check_size else dim
+    return fact.join(side, on=on, how=how)
