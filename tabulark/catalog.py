@@ -112,3 +112,7 @@ def queries() -> dict[str, Query]:
 
 def oracle() -> dict[str, str]:
     return dict(ORACLE)
+
+
+# Register the dds-layer and operator queries (they import this module).
+from . import catalog_dds, catalog_ops  # noqa: E402,F401

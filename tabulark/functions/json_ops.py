@@ -17,7 +17,8 @@ from .dates import DATETIME_FORMAT, col_
 # Permissive parsing: bad records give nulls, never an exception.
 PARSE_OPTIONS = {"mode": "PERMISSIVE"}
 # Canonical text: timestamps to the second, as the source system writes them.
-CANONICAL_OPTIONS = {"timestampFormat": DATETIME_FORMAT, "ignoreNullFields": "false"}
+CANONICAL_OPTIONS = {"timestampFormat": DATETIME_FORMAT, "timestampNTZFormat": DATETIME_FORMAT,
+                     "ignoreNullFields": "false"}
 
 
 def parse(c: str | Column, schema: T.DataType) -> Column:

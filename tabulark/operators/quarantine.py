@@ -1,8 +1,10 @@
 """Permissive parse with quarantine.
 
 A changed or broken source format must not stop a load: rows whose body
-does not parse, or lacks a required field, go to a quarantine DataFrame
-with a reason; the rest continue.  One parse feeds both outputs.
+does not parse (bad JSON, or a value of the wrong type such as a price
+``"abc"``), or that lack a required field, go to a quarantine DataFrame
+with a reason; the rest continue.  One parse feeds both outputs: the
+parser keeps the raw text of a malformed record in a corrupt-record field.
 """
 
 from __future__ import annotations
@@ -11,24 +13,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.json_ops import parse
+CORRUPT = "_corrupt_record"
 
 
 def split_parsed(df: DataFrame, text_col: str, schema: T.StructType,
                  required: list[str], parsed_col: str = "body") -> tuple[DataFrame, DataFrame]:
     """Return ``(good, bad)``; ``good`` has ``parsed_col``, ``bad`` has ``reason``."""
-    with_body = df.withColumn(parsed_col, parse(text_col, schema))
+    with_corrupt = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
+    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    with_body = df.withColumn(parsed_col, F.from_json(F.col(text_col), with_corrupt, opts))
     reason = F.when(F.col(text_col).isNull(), F.lit("null body"))
-    reason = reason.when(F.col(parsed_col).isNull(), F.lit("not json"))
+    reason = reason.when(F.col(f"{parsed_col}.{CORRUPT}").isNotNull(), F.lit("not json"))
     for name in required:
         reason = reason.when(F.col(f"{parsed_col}.{name}").isNull(), F.lit(f"missing {name}"))
     tagged = with_body.withColumn("_reason", reason)
     good = tagged.filter(F.col("_reason").isNull()).drop("_reason")
+    good = good.withColumn(parsed_col, F.col(parsed_col).dropFields(CORRUPT))
     bad = tagged.filter(F.col("_reason").isNotNull()).select(
         *df.columns, F.col("_reason").alias("reason"))
     return good, bad
-
-
-def is_json_object(c: str):
-    """True when the text parses as a JSON object (of any keys)."""
-    return F.from_json(F.col(c), T.MapType(T.StringType(), T.StringType())).isNotNull()
