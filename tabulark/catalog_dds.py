@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from . import oracle_sql as O
 from .catalog import dds, register
 from .plans import facts
-from .sources import adapters
-from .sources.driver import Tables
+from .plans.dds import materialized_stg
 
 _CAL = O.with_(O.ORDER_KEYS, O.CALENDAR)
 _DMO = O.with_(O.REST, O.USERS, O.ORDER_KEYS, O.CALENDAR, O.DM_ORDERS)
@@ -103,5 +100,5 @@ SELECT {_EVENT_ID} AS event_id, CAST(s2.position AS INTEGER) AS position,
 FROM s2""")
 def q_json_explode(spark, sf_dir):
     """Bonus-transaction JSON text -> one row per payment (array explode)."""
-    lines, _bad = facts.sale_rows(adapters.outbox_events(Tables(spark, sf_dir)))
+    lines, _bad = facts.sale_rows(materialized_stg(spark, sf_dir)["events"])
     return lines

@@ -23,6 +23,7 @@ from .operators import checks
 from .operators.dedupe import latest_per_key
 from .operators.quarantine import split_parsed
 from .plans import dims, facts, marts
+from .plans.dds import materialized_stg
 from .session import configure, scratch_path
 from .sources import adapters, bookmarks, scans
 from .sources.driver import Tables
@@ -445,11 +446,11 @@ WHERE d.order_key NOT IN (SELECT order_key FROM okeys WHERE o_orderdate < DATE '
 def q_pending_orphans(spark, sf_dir):
     """Deliveries loaded while only the orders before the cut-off are in dds:
     the rest wait as pending (D9) instead of being lost."""
-    t = _t(spark, sf_dir)
     d = dds(spark, sf_dir)
-    docs = adapters.order_documents(t).filter(F.col("update_ts") < D.ts_lit(PARENT_LOADED_END))
+    stg = materialized_stg(spark, sf_dir)
+    docs = stg["orders"].filter(F.col("update_ts") < D.ts_lit(PARENT_LOADED_END))
     orders = dims.dim_orders(docs, d["dm_restaurants"], d["dm_timestamps"], d["dm_users"]).table
-    built = facts.fct_deliveries(adapters.delivery_pages(t), orders, d["dm_couriers"])
+    built = facts.fct_deliveries(stg["deliveries"], orders, d["dm_couriers"])
     return built.pending.select("delivery_id", "order_key")
 
 

@@ -3,11 +3,14 @@
 Rule: ``id = start + row_number() over (order by natural key)``.  A global
 ``row_number`` window runs in one task, so instead:
 
-1. range-partition and sort by the key (a distributed sort);
-2. cut lineage with a reliable ``checkpoint()`` so partition contents are
-   fixed even if an executor is lost and the sort is recomputed;
-3. count rows per partition (one number per partition reaches the driver);
-4. id = start + rows in earlier partitions + position inside the partition.
+1. range-partition and sort by the key (a distributed sort); each row is
+   tagged with its range partition ``_p`` and its position ``_l`` inside
+   it, and the tagged rows are written once to the shared checkpoint folder
+   (a lineage cut: a lost executor cannot re-cut the ranges, because the
+   partition bounds are fixed before the write and the tags are stored);
+2. rows per range partition are counted from the written ``_p`` column (one
+   number per partition reaches the driver);
+3. id = start + rows in earlier partitions + ``_l`` + 1, a projection.
 
 The natural key must be unique; callers dedupe first.
 """
@@ -17,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
+from ..session import scratch_path
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
 
@@ -26,24 +29,26 @@ def assign_dense_ids(df: DataFrame, order_by: list[str | Column], id_col: str =
                      start: int | Column = 0, num_partitions: int | None = None) -> DataFrame:
     """Add ``id_col`` = start + 1-based rank of each row in ``order_by`` order."""
     spark = df.sparkSession
-    checkpoint_root(spark)  # make sure a shared checkpoint folder is configured
     n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     keys = [F.col(c) if isinstance(c, str) else c for c in order_by]
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    fixed = ranged.withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
-    counts = (fixed.groupBy(F.shiftright("_mid", _LOCAL_BITS).alias("p"))
-              .agg(F.count(F.lit(1)).alias("n")).collect())
-    per_part = {int(r["p"]): int(r["n"]) for r in counts}
+    mid = F.monotonically_increasing_id()
+    tagged = ranged.select("*", F.spark_partition_id().alias("_p"),
+                           (mid - F.shiftleft(F.shiftright(mid, _LOCAL_BITS), _LOCAL_BITS))
+                           .alias("_l"))
+    path = scratch_path(spark, "ids")
+    tagged.write.parquet(path)
+    fixed = spark.read.parquet(path)
+    counts = fixed.groupBy("_p").agg(F.count(F.lit(1)).alias("n")).collect()
+    per_part = {int(r["_p"]): int(r["n"]) for r in counts}
     offsets, running = [], 0
     for p in range(max(per_part, default=-1) + 1):
         offsets.append(running)
         running += per_part.get(p, 0)
-    part = F.shiftright("_mid", _LOCAL_BITS)
-    local = F.col("_mid") - F.shiftleft(part, _LOCAL_BITS)
-    offset = F.element_at(F.array(*[F.lit(o) for o in offsets] or [F.lit(0)]),
-                          (part + 1).cast("int")) if offsets else F.lit(0)
+    offset = (F.element_at(F.array(*[F.lit(o) for o in offsets]), (F.col("_p") + 1).cast("int"))
+              if offsets else F.lit(0))
     start_col = start if isinstance(start, Column) else F.lit(int(start))
-    out = fixed.withColumn(id_col, (start_col + offset + local + 1).cast("long")).drop("_mid")
+    out = fixed.withColumn(id_col, (start_col + offset + F.col("_l") + 1).cast("long")).drop("_p", "_l")
     return out.select(id_col, *[c for c in out.columns if c != id_col])
 
 

@@ -17,7 +17,10 @@ from . import dims, facts
 DDS_TABLES = ["dm_couriers", "dm_users", "dm_restaurants", "dm_timestamps", "dm_products",
               "dm_orders", "fct_product_sales", "fct_deliveries"]
 
+STG_FEEDS = ["orders", "restaurants", "users", "events", "couriers", "deliveries"]
+
 _BUILT: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_STG: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
 def build_dds(feeds: dict[str, DataFrame]) -> dict[str, dims.Built]:
@@ -37,13 +40,28 @@ def build_dds(feeds: dict[str, DataFrame]) -> dict[str, dims.Built]:
     return out
 
 
+def materialized_stg(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """stg feeds of a driver folder (landed source rows), written once per session."""
+    configure(spark)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _STG:
+        return _STG[key]
+    tables: dict[str, DataFrame] = {}
+    for name, df in adapters.feeds(spark, sf_dir).items():
+        path = scratch_path(spark, f"stg-{name}")
+        df.write.mode("overwrite").parquet(path)
+        tables[name] = spark.read.parquet(path)
+    _STG[key] = tables
+    return tables
+
+
 def materialized_dds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """dds tables of a driver folder, written once per session and re-read."""
     configure(spark)
     key = (spark.sparkContext.applicationId, sf_dir)
     if key in _BUILT:
         return _BUILT[key]
-    built = build_dds(adapters.feeds(spark, sf_dir))
+    built = build_dds(materialized_stg(spark, sf_dir))
     tables: dict[str, DataFrame] = {}
     for name in DDS_TABLES:
         path = scratch_path(spark, f"dds-{name}")
