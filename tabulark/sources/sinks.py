@@ -146,7 +146,7 @@ def merge_upsert(target: DataFrame | None, batch: DataFrame, keys: list[str],
     known = merged.filter(F.col(id_col).isNotNull())
     fresh = assign_dense_ids(merged.filter(F.col(id_col).isNull()).drop(id_col), keys,
                              id_col=id_col, start=int(start))
-    return known.unionByName(fresh)
+    return known.unionByName(fresh).select(id_col, *b.columns)
 
 
 def merge_insert_ignore(target: DataFrame | None, batch: DataFrame, keys: list[str]) -> DataFrame:
