@@ -100,6 +100,12 @@ def q_courier_ledger_range(spark, sf_dir):
                                 first_month=RANGE_FIRST_MONTH, last_month=RANGE_LAST_MONTH)
 
 
+@register("courier_tiers", O.tiers())
+def q_courier_tiers(spark, sf_dir):
+    t = dds(spark, sf_dir)
+    return marts.courier_tiers(t["fct_deliveries"])
+
+
 @register("courier_ledger_per_order", O.ledger(per_order=True))
 def q_courier_ledger_per_order(spark, sf_dir):
     t = dds(spark, sf_dir)

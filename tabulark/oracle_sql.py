@@ -147,3 +147,23 @@ def ledger(where: str = "", per_order: bool = False) -> str:
   WHERE TRUE {where}
   GROUP BY 1, 2, 3, 4)"""
     return _tiered(g, order_sum)
+
+
+def tiers() -> str:
+    return with_(DELIV, REST) + """, g AS (
+  SELECT r.rid AS courier_id, year(d.order_ts) AS y, month(d.order_ts) AS m, count(*) AS n,
+         sum(d.rate * 10) AS rate10, sum(d.dsum) AS total
+  FROM deliv d JOIN rest r ON r.s_suppkey = d.l_suppkey
+  GROUP BY 1, 2, 3),
+t AS (SELECT *, CASE WHEN rate10 < 40 * n THEN 0 WHEN rate10 < 45 * n THEN 1
+                     WHEN rate10 < 49 * n THEN 2 ELSE 3 END AS tier FROM g)
+SELECT courier_id, CAST(y AS INTEGER) AS settlement_year, CAST(m AS INTEGER) AS settlement_month,
+       CAST(CAST((2 * rate10 + n) // (2 * n) AS DECIMAL(18,0)) * 0.1 AS DECIMAL(2,1)) AS rate_avg,
+       CAST(CASE tier WHEN 0 THEN 0.05 WHEN 1 THEN 0.07 WHEN 2 THEN 0.08 ELSE 0.10 END
+            AS DECIMAL(3,2)) AS payout_share,
+       CAST(CASE tier WHEN 0 THEN 100 WHEN 1 THEN 150 WHEN 2 THEN 175 ELSE 200 END
+            AS DECIMAL(19,5)) AS payout_floor,
+       CAST(CASE tier WHEN 0 THEN greatest(total * 0.05, 100) WHEN 1 THEN greatest(total * 0.07, 150)
+                      WHEN 2 THEN greatest(total * 0.08, 175) ELSE greatest(total * 0.10, 200) END
+            AS DECIMAL(19,5)) AS courier_order_sum
+FROM t"""
