@@ -225,10 +225,10 @@ def q_sink_replace_day(spark, sf_dir):
     args = (t["fct_product_sales"], t["dm_orders"], t["dm_restaurants"], t["dm_timestamps"])
     path = scratch_path(spark, "cdm-settlement")
     full = marts.settlement_report(*args, ordered=False)
-    replace_periods(full, path, ["settlement_date"])
+    replace_periods(full, path, ["settlement_date"], cluster_by=["restaurant_id"])
     again = marts.settlement_report(*args, first_day=DAY, natural_restaurant_id=True,
                                     count_orders=True, ordered=False)
-    replace_periods(again, path, ["settlement_date"])
+    replace_periods(again, path, ["settlement_date"], cluster_by=["restaurant_id"])
     return _read_back(spark, path, full)
 
 
@@ -244,10 +244,10 @@ def q_sink_replace_month(spark, sf_dir):
     t = dds(spark, sf_dir)
     path = scratch_path(spark, "cdm-ledger")
     full = marts.courier_ledger(t["fct_deliveries"], t["dm_couriers"], ordered=False)
-    replace_periods(full, path, ["settlement_year", "settlement_month"])
+    replace_periods(full, path, ["settlement_year", "settlement_month"], cluster_by=["courier_id"])
     again = marts.courier_ledger_per_order(t["fct_deliveries"], t["dm_couriers"],
                                            first_month=MONTH, ordered=False)
-    replace_periods(again, path, ["settlement_year", "settlement_month"])
+    replace_periods(again, path, ["settlement_year", "settlement_month"], cluster_by=["courier_id"])
     return _read_back(spark, path, full)
 
 

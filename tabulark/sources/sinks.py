@@ -180,7 +180,8 @@ def sink_insert_ignore(table: SnapshotTable, batch: DataFrame, keys: list[str],
 
 
 def replace_periods(df: DataFrame, path: str, period_cols: list[str],
-                    clear_periods: list[dict] | None = None) -> None:
+                    clear_periods: list[dict] | None = None,
+                    cluster_by: list[str] | None = None) -> None:
     """Write ``df`` partitioned by ``period_cols``; only the periods present in
     ``df`` are replaced (dynamic partition overwrite).  ``clear_periods``
     names periods to empty even when ``df`` has no rows for them (the
@@ -188,9 +189,12 @@ def replace_periods(df: DataFrame, path: str, period_cols: list[str],
     system does)."""
     spark = df.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    # One writer per period: a period's rows land in one file instead of
-    # one file per upstream task.
-    (df.repartition(*period_cols).write.mode("overwrite")
+    # Range-partition on (period, key): each period is written by one or a few
+    # neighbouring tasks (files ~ periods + tasks, not periods x tasks), and a
+    # period with very many rows still spreads over several tasks by key.
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    order = list(period_cols) + list(cluster_by or [])
+    (df.repartitionByRange(n, *order).write.mode("overwrite")
      .partitionBy(*period_cols).parquet(path))
     for period in clear_periods or []:
         sub = "/".join(f"{c}={period[c]}" for c in period_cols)

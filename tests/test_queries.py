@@ -21,7 +21,8 @@ from conftest import SF0001  # noqa: E402
 ORACLE_KEYS = ["settlement_report", "courier_ledger", "courier_ledger_per_order",
                "courier_ledger_minute_join", "dim_orders", "fct_product_sales",
                "fct_deliveries", "dedupe_latest", "sink_upsert_key", "quarantine_bad",
-               "json_canonical", "scan_cursor_ts"]
+               "json_canonical", "scan_cursor_ts", "stream_ingest_upsert", "pending_orphans",
+               "sink_replace_day", "courier_tiers"]
 
 
 def _norm(v):
