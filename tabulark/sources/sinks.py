@@ -22,7 +22,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedupe import latest_per_key
@@ -36,11 +36,24 @@ def _fs(spark: SparkSession, path: str):
 
 
 class SnapshotTable:
-    """A versioned Parquet table: ``<root>/seg-*`` data, ``<root>/_commits/v*``."""
+    """A versioned Parquet table: data segments ``<root>/seg-*`` and commit
+    files ``<root>/_commits/v*``.
+
+    Unpartitioned, a commit lists the live segments.  With ``partition_of``
+    (a column expression over the key, e.g. an id range ``floor(id / 1e6)``
+    or a hash bucket ``pmod(xxhash64(key), 4096)``) rows are laid out by
+    partition, a commit maps each partition to the segment holding it, and
+    an upsert reads and rewrites only the partitions its batch keys fall in.
+    The commit also carries the largest surrogate id, so new ids never need a
+    scan of the whole table.
+    """
+
+    PART = "_part"
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, partition_of: Column | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.partition_of = partition_of
 
     # -- commits -------------------------------------------------------------
     def _commit_dir(self) -> str:
@@ -68,64 +81,104 @@ class SnapshotTable:
             stream.close()
         return v, json.loads(text)
 
-    def _commit(self, segments: list[str], bookmark: dict | None, expected: int | None) -> int:
+    def _commit(self, content: dict, expected: int | None) -> int:
         version = (expected or 0) + 1
         fs, fp = _fs(self.spark, f"{self._commit_dir()}/v{version:012d}")
         out = fs.create(fp, False)  # fails if another writer took this version
         try:
-            out.write(bytearray(json.dumps({"segments": segments, "bookmark": bookmark}), "utf-8"))
+            out.write(bytearray(json.dumps(content), "utf-8"))
         finally:
             out.close()
         return version
 
     # -- reads -----------------------------------------------------------------
-    def segments(self) -> list[str]:
+    def _state(self) -> tuple[int | None, dict]:
         c = self.latest_commit()
-        return [] if c is None else c[1]["segments"]
+        return (None, {}) if c is None else c
 
-    def bookmark(self) -> dict | None:
-        c = self.latest_commit()
-        return None if c is None else c[1].get("bookmark")
+    def segments(self) -> list[str]:
+        return self._state()[1].get("segments", [])
 
-    def read(self, schema=None) -> DataFrame | None:
-        segs = self.segments()
-        if not segs:
+    def bookmark(self) -> dict | None:
+        return self._state()[1].get("bookmark")
+
+    def max_id(self) -> int | None:
+        return self._state()[1].get("max_id")
+
+    def _paths(self, state: dict, parts: list[str] | None = None) -> list[str]:
+        if "parts" in state:
+            items = state["parts"].items()
+            return [f"{self.root}/{seg}/{self.PART}={v}" for v, seg in items
+                    if parts is None or v in parts]
+        return [f"{self.root}/{seg}" for seg in state.get("segments", [])]
+
+    def read(self, parts: list[str] | None = None) -> DataFrame | None:
+        """The current rows (of ``parts`` only, for a partitioned table)."""
+        paths = self._paths(self._state()[1], parts)
+        if not paths:
             return None
-        return self.spark.read.parquet(*[f"{self.root}/{s}" for s in segs])
+        return self.spark.read.parquet(*paths)
 
     # -- writes ----------------------------------------------------------------
-    def _land(self, df: DataFrame, partition_by: list[str] | None = None) -> str:
+    def _land(self, df: DataFrame, partitioned: bool = False) -> str:
         seg = f"seg-{uuid.uuid4().hex[:16]}"
         w = df.write.mode("errorifexists")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
+        if partitioned:
+            w = w.partitionBy(self.PART)
         w.parquet(f"{self.root}/{seg}")
         return seg
 
-    def replace(self, df: DataFrame, bookmark: dict | None = None) -> int:
-        c = self.latest_commit()
+    def _landed_max(self, seg: str, id_col: str | None, previous) -> int | None:
+        """Largest id after a write: max of the landed segment (one column read)."""
+        if not id_col:
+            return previous
+        m = self.spark.read.parquet(f"{self.root}/{seg}").agg(F.max(id_col)).collect()[0][0]
+        return max(int(m or 0), int(previous or 0))
+
+    def replace(self, df: DataFrame, bookmark: dict | None = None, id_col: str | None = None) -> int:
+        version, state = self._state()
         seg = self._land(df)
-        return self._commit([seg], bookmark, None if c is None else c[0])
+        return self._commit({"segments": [seg], "bookmark": bookmark,
+                             "max_id": self._landed_max(seg, id_col, state.get("max_id"))},
+                            version)
 
     def append(self, df: DataFrame, bookmark: dict | None = None) -> int:
-        c = self.latest_commit()
+        version, state = self._state()
         seg = self._land(df)
-        prev = [] if c is None else c[1]["segments"]
-        return self._commit(prev + [seg], bookmark, None if c is None else c[0])
+        return self._commit({"segments": state.get("segments", []) + [seg], "bookmark": bookmark,
+                             "max_id": state.get("max_id")}, version)
+
+    def replace_parts(self, df: DataFrame, parts: list[str], bookmark: dict | None = None,
+                      id_col: str | None = None) -> int:
+        """Rewrite partitions ``parts`` with ``df`` (rows of exactly those
+        partitions); all other partitions keep their segments."""
+        version, state = self._state()
+        tagged = df.withColumn(self.PART, self.partition_of.cast("string"))
+        n = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), 1)
+        seg = self._land(tagged.repartitionByRange(n, self.PART), partitioned=True)
+        fs, p = _fs(self.spark, f"{self.root}/{seg}")
+        written = {st.getPath().getName().split("=", 1)[1] for st in fs.listStatus(p)
+                   if st.getPath().getName().startswith(self.PART + "=")}
+        mapping = {v: s for v, s in state.get("parts", {}).items() if v not in parts}
+        mapping.update({v: seg for v in written})
+        return self._commit({"parts": mapping, "bookmark": bookmark,
+                             "max_id": self._landed_max(seg, id_col, state.get("max_id"))},
+                            version)
 
 
 # --- set-based merge operators (pure DataFrame -> DataFrame) ----------------------
 
 def merge_upsert(target: DataFrame | None, batch: DataFrame, keys: list[str],
-                 order_by: list[str] | None = None, id_col: str | None = None) -> DataFrame:
+                 order_by: list[str] | None = None, id_col: str | None = None,
+                 id_start: int | None = None) -> DataFrame:
     """New table state: batch rows win on key match, other rows kept.
 
     With ``id_col`` the target's ids are kept and new keys get dense ids
-    after the current maximum, in key order.
+    after ``id_start`` (default: the target's maximum), in key order.
     """
     b = latest_per_key(batch, keys, order_by) if order_by else batch.dropDuplicates(keys)
     if target is None:
-        return assign_dense_ids(b, keys, id_col=id_col) if id_col else b
+        return assign_dense_ids(b, keys, id_col=id_col, start=id_start or 0) if id_col else b
     value_cols = [c for c in b.columns if c not in keys]
     t = target.alias("t")
     s = b.alias("s")
@@ -142,7 +195,7 @@ def merge_upsert(target: DataFrame | None, batch: DataFrame, keys: list[str],
     merged = j.select(*cols)
     if not id_col:
         return merged
-    start = target.agg(F.max(id_col)).collect()[0][0] or 0
+    start = id_start if id_start is not None else (target.agg(F.max(id_col)).collect()[0][0] or 0)
     known = merged.filter(F.col(id_col).isNotNull())
     fresh = assign_dense_ids(merged.filter(F.col(id_col).isNull()).drop(id_col), keys,
                              id_col=id_col, start=int(start))
@@ -167,8 +220,18 @@ def sink_append(table: SnapshotTable, batch: DataFrame, bookmark: dict | None =
 def sink_upsert(table: SnapshotTable, batch: DataFrame, keys: list[str],
                 order_by: list[str] | None = None, id_col: str | None = None,
                 bookmark: dict | None = None) -> DataFrame:
-    state = merge_upsert(table.read(), batch, keys, order_by, id_col)
-    table.replace(state, bookmark)
+    """Upsert a batch.  On a partitioned table only the partitions the batch
+    keys map to are read, merged and rewritten (their number is bounded by
+    the table's partition count; one value each reaches the driver)."""
+    if table.partition_of is None:
+        state = merge_upsert(table.read(), batch, keys, order_by, id_col)
+        table.replace(state, bookmark, id_col=id_col)
+        return table.read()
+    parts = [r[0] for r in batch.select(table.partition_of.cast("string")).distinct().collect()]
+    current = table.read(parts)
+    start = (table.max_id() or 0) if id_col else None
+    state = merge_upsert(current, batch, keys, order_by, id_col, id_start=start)
+    table.replace_parts(state, parts, bookmark, id_col=id_col)
     return table.read()
 
 

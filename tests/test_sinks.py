@@ -52,3 +52,22 @@ def test_one_batch_equals_two_batches(spark):
     sink_upsert(two, df.filter(F.col("ts") < 150), ["courier_id"], ["ts"])
     b = sink_upsert(two, df.filter(F.col("ts") >= 150), ["courier_id"], ["ts"])
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_partitioned_upsert_touches_only_batch_partitions(spark):
+    part = F.floor(F.col("k") / 100)
+    t = SnapshotTable(spark, scratch_path(spark, "t-parts"), part)
+    flat = SnapshotTable(spark, scratch_path(spark, "t-flat"))
+    first = spark.range(0, 1000).select(F.col("id").alias("k"), F.lit("v0").alias("v"),
+                                        F.lit(0).alias("ts"))
+    second = spark.range(950, 1100).select(F.col("id").alias("k"), F.lit("v1").alias("v"),
+                                           F.lit(1).alias("ts"))
+    sink_upsert(t, first, ["k"], ["ts"], id_col="id")
+    before = t.latest_commit()[1]["parts"]
+    out = sink_upsert(t, second, ["k"], ["ts"], id_col="id")
+    after = t.latest_commit()[1]["parts"]
+    assert {v for v in after if after[v] != before.get(v)} == {"9", "10"}
+    assert t.max_id() == 1100
+    sink_upsert(flat, first, ["k"], ["ts"], id_col="id")
+    ref = sink_upsert(flat, second, ["k"], ["ts"], id_col="id")
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, ref.select(*out.columns).collect()))
