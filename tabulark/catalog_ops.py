@@ -24,6 +24,7 @@ from .operators.dedupe import latest_per_key
 from .operators.quarantine import split_parsed
 from .plans import dims, facts, marts
 from .plans.dds import materialized_stg
+from .plans.incremental import run_increment
 from .session import configure, scratch_path
 from .sources import adapters, bookmarks, scans
 from .sources.driver import Tables
@@ -536,3 +537,34 @@ def q_courier_ledger_minute_join(spark, sf_dir):
     cal = ev.select("ts").distinct().select("ts", F.year("ts").alias("ts_year"),
                                             F.month("ts").alias("ts_month"))
     return marts.courier_ledger_minute_join(deliveries, couriers, cal, ordered=False)
+
+
+# --- incremental dds load ----------------------------------------------------------------
+
+@register("dds_incremental_orders", O.with_(O.REST, O.USERS, O.ORDER_KEYS, O.CALENDAR) + f""",
+k AS (SELECT k.order_key, k.order_status, r.rid AS restaurant_id, c.tid AS timestamp_id,
+             u.uid AS user_id, k.o_orderdate < DATE '{FIRST_LOAD_END}' AS first_run
+      FROM okeys k JOIN rest r ON r.s_suppkey = k.l_suppkey
+      JOIN usr u ON u.c_custkey = k.o_custkey LEFT JOIN cal c ON c.ts = k.o_orderdate),
+one AS (SELECT row_number() OVER (ORDER BY order_key) AS id, * FROM k WHERE first_run),
+two AS (SELECT (SELECT count(*) FROM one) + row_number() OVER (ORDER BY order_key) AS id, *
+        FROM k WHERE NOT first_run)
+SELECT id, order_key, order_status, restaurant_id, timestamp_id, user_id FROM one
+UNION ALL
+SELECT id, order_key, order_status, restaurant_id, timestamp_id, user_id FROM two""")
+def q_dds_incremental_orders(spark, sf_dir):
+    """dm_orders loaded in two incremental runs from the stg order documents
+    (cursor up to the cut-off, then the rest); ids of the first run are kept and
+    the second run's orders are numbered after them."""
+    d = dds(spark, sf_dir)
+    stg = materialized_stg(spark, sf_dir)["orders"]
+    target = _table(spark, "dds-orders-inc")
+
+    def build(batch, waiting=None):
+        return dims.dim_orders(batch, d["dm_restaurants"], d["dm_timestamps"], d["dm_users"],
+                               pending=waiting, with_ids=False)
+
+    run_increment(stg, target, build, "order_key", until=FIRST_LOAD_END)
+    run_increment(stg, target, build, "order_key")
+    return target.read().select("id", "order_key", "order_status", "restaurant_id",
+                                "timestamp_id", "user_id")

@@ -88,7 +88,7 @@ def dim_timestamps(stg_orders: DataFrame, start: int = 0, ts_field: str = "ts_da
 
 def dim_orders(stg_orders: DataFrame, restaurants: DataFrame, timestamps: DataFrame,
                users: DataFrame, start: int = 0, ts_field: str = "update_ts",
-               pending: DataFrame | None = None) -> Built:
+               pending: DataFrame | None = None, with_ids: bool = True) -> Built:
     """Orders with surrogate parents.  A missing restaurant or user makes the
     order pending; a missing calendar entry leaves ``timestamp_id`` null
     (the column is nullable: orders still in delivery have none)."""
@@ -108,6 +108,8 @@ def dim_orders(stg_orders: DataFrame, restaurants: DataFrame, timestamps: DataFr
     step = step.join(t, step["order_ts"] == t["t_ts"], "left").drop("t_ts")
     table = step.select("order_key", "order_status", "restaurant_id", "timestamp_id", "user_id")
     waiting = wait_r.unionByName(wait_u.drop("restaurant_id"))
+    if not with_ids:
+        return Built(table, rejected=bad, pending=waiting)
     return Built(assign_dense_ids(table, ["order_key"], start=start), rejected=bad, pending=waiting)
 
 
