@@ -64,6 +64,11 @@ def materialized_dds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     built = build_dds(materialized_stg(spark, sf_dir))
     tables: dict[str, DataFrame] = {}
     for name in DDS_TABLES:
+        if name.startswith("dm_"):
+            # Dimensions are already files: the id assignment wrote them
+            # (ids are a projection over the stored partition tags).
+            tables[name] = built[name].table
+            continue
         path = scratch_path(spark, f"dds-{name}")
         built[name].table.write.mode("overwrite").parquet(path)
         tables[name] = spark.read.parquet(path)
