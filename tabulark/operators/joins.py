@@ -1,8 +1,9 @@
 """Lookup joins with a checked broadcast.
 
 A dimension is broadcast only after its row count is proven to stay under
-``max_rows`` (a ``limit(max_rows + 1).count()`` job stops reading as soon
-as the bound is passed).  Above the bound the join is left to the planner
+a bound (a ``limit(bound + 1).count()`` job stops reading as soon as the
+bound is passed); the bound is the smaller of a row limit and a byte limit
+divided by the schema's estimated row width.  Above the bound the join is left to the planner
 (sort-merge, with AQE free to switch to broadcast from run-time sizes and
 to split skewed partitions).
 """
@@ -11,22 +12,52 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows of a dimension we are willing to ship to every executor.
+# Size of a dimension we are willing to ship to every executor: a row bound
+# and a byte bound (rows x the schema's estimated row width).
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
+
+
+def _width(dt: T.DataType) -> int:
+    """Estimated bytes of one value (the per-type defaults Spark's planner uses)."""
+    if isinstance(dt, T.StructType):
+        return sum(_width(f.dataType) for f in dt.fields)
+    if isinstance(dt, T.ArrayType):
+        return _width(dt.elementType)
+    if isinstance(dt, T.MapType):
+        return _width(dt.keyType) + _width(dt.valueType)
+    if isinstance(dt, T.DecimalType):
+        return 8 if dt.precision <= 18 else 16
+    if isinstance(dt, (T.StringType, T.BinaryType)):
+        return 20
+    if isinstance(dt, (T.ByteType, T.BooleanType)):
+        return 1
+    if isinstance(dt, T.ShortType):
+        return 2
+    if isinstance(dt, (T.IntegerType, T.FloatType, T.DateType)):
+        return 4
+    return 8
+
+
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes per row from the schema."""
+    return max(sum(_width(f.dataType) for f in df.schema.fields), 1)
 
 
 def rows_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` if it provably has at most ``max_rows`` rows, else ``df``."""
-    return F.broadcast(df) if rows_at_most(df, max_rows) else df
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``F.broadcast(df)`` if it provably fits both bounds, else ``df``."""
+    bound = min(max_rows, max_bytes // row_width(df))
+    return F.broadcast(df) if rows_at_most(df, bound) else df
 
 
 def lookup(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-           max_rows: int = DEFAULT_BROADCAST_ROWS, check_size: bool = True) -> DataFrame:
+           max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Join a fact to a dimension, broadcasting the dimension if it is small."""
-    side = bounded_broadcast(dim, max_rows) if check_size else dim
-    return fact.join(side, on=on, how=how)
+    return fact.join(bounded_broadcast(dim, max_rows), on=on, how=how)

@@ -137,3 +137,13 @@ def test_restaurant_menu_to_products(spark):
     prods = dims.dim_products(docs, rest).table.collect()
     assert [(p.product_id, p.product_price, p.restaurant_id) for p in prods] == [("p1", Decimal("2.50000"), 1)]
     assert prods[0].active_from == dt.datetime(2023, 1, 1)
+
+
+def test_broadcast_only_below_bound(spark):
+    from tabulark.operators.joins import bounded_broadcast
+    small = spark.range(10)
+    big = spark.range(1000)
+    plan = lambda df: df._jdf.queryExecution().logical().toString()
+    assert "broadcast" in plan(bounded_broadcast(small, max_rows=100)).lower()
+    assert "broadcast" not in plan(bounded_broadcast(big, max_rows=100)).lower()
+    assert "broadcast" not in plan(bounded_broadcast(small, max_rows=100, max_bytes=16)).lower()
