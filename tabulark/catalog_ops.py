@@ -28,8 +28,7 @@ from .plans.incremental import run_increment
 from .session import configure, scratch_path
 from .sources import adapters, bookmarks, scans
 from .sources.driver import Tables
-from .sources.sinks import (SnapshotTable, replace_periods, sink_append, sink_insert_ignore,
-                            sink_upsert)
+from .sources.sinks import SnapshotTable, sink_append, sink_insert_ignore, sink_upsert
 from .streaming.ingest import ingest_landed
 from pyspark.sql import types as T
 
@@ -235,10 +234,10 @@ def q_sink_replace_day(spark, sf_dir):
     args = (t["fct_product_sales"], t["dm_orders"], t["dm_restaurants"], t["dm_timestamps"])
     path = scratch_path(spark, "cdm-settlement")
     full = marts.settlement_report(*args, ordered=False)
-    replace_periods(full, path, ["settlement_date"], cluster_by=["restaurant_id"])
+    marts.publish_settlement(full, path)
     again = marts.settlement_report(*args, first_day=DAY, natural_restaurant_id=True,
                                     count_orders=True, ordered=False)
-    replace_periods(again, path, ["settlement_date"], cluster_by=["restaurant_id"])
+    marts.publish_settlement(again, path, first_day=DAY, clear_if_empty=True)
     return _read_back(spark, path, full)
 
 
@@ -254,10 +253,10 @@ def q_sink_replace_month(spark, sf_dir):
     t = dds(spark, sf_dir)
     path = scratch_path(spark, "cdm-ledger")
     full = marts.courier_ledger(t["fct_deliveries"], t["dm_couriers"], ordered=False)
-    replace_periods(full, path, ["settlement_year", "settlement_month"], cluster_by=["courier_id"])
+    marts.publish_ledger(full, path)
     again = marts.courier_ledger_per_order(t["fct_deliveries"], t["dm_couriers"],
                                            first_month=MONTH, ordered=False)
-    replace_periods(again, path, ["settlement_year", "settlement_month"], cluster_by=["courier_id"])
+    marts.publish_ledger(again, path, first_month=MONTH, clear_if_empty=True)
     return _read_back(spark, path, full)
 
 

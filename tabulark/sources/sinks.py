@@ -259,10 +259,14 @@ def replace_periods(df: DataFrame, path: str, period_cols: list[str],
     order = list(period_cols) + list(cluster_by or [])
     (df.repartitionByRange(n, *order).write.mode("overwrite")
      .partitionBy(*period_cols).parquet(path))
-    for period in clear_periods or []:
-        sub = "/".join(f"{c}={period[c]}" for c in period_cols)
-        fs, p = _fs(spark, f"{path}/{sub}")
-        if fs.exists(p):
-            present = df.filter(" AND ".join(f"`{c}` = '{period[c]}'" for c in period_cols)).limit(1).count()
-            if not present:
+    if clear_periods:
+        # Periods asked for that the batch does not contain: one small
+        # aggregate gives the periods present (bounded by the range asked).
+        present = {tuple(str(v) for v in r) for r in df.select(*period_cols).distinct().collect()}
+        for period in clear_periods:
+            if tuple(str(period[c]) for c in period_cols) in present:
+                continue
+            sub = "/".join(f"{c}={period[c]}" for c in period_cols)
+            fs, p = _fs(spark, f"{path}/{sub}")
+            if fs.exists(p):
                 fs.delete(p, True)
