@@ -19,6 +19,7 @@ from ..operators.ids import assign_dense_ids
 from ..operators.joins import bounded_broadcast
 from ..operators.pending import resolve
 from ..operators.quarantine import split_parsed
+from ..operators.versions import close_versions
 from .. import schemas as S
 
 # Order statuses that get a calendar entry.
@@ -45,11 +46,20 @@ def dim_users(stg_users: DataFrame, start: int = 0) -> Built:
     return Built(assign_dense_ids(latest, ["user_id"], start=start), rejected=bad)
 
 
-def dim_restaurants(stg_restaurants: DataFrame, start: int = 0) -> Built:
+def dim_restaurants(stg_restaurants: DataFrame, start: int = 0, versions: bool = False) -> Built:
+    """One open version per restaurant (default, as the source system keeps
+    it), or with ``versions`` every document version, each closed where the
+    next one begins (Q15)."""
     good, bad = split_parsed(stg_restaurants, "object_value", S.RESTAURANT_BODY, ["_id"])
     rows = good.select(F.col("body._id").alias("restaurant_id"),
                        F.col("body.name").alias("restaurant_name"),
                        parse_ts("body.update_ts").alias("active_from"), "update_ts")
+    if versions:
+        per_version = latest_per_key(rows.filter(F.col("active_from").isNotNull()),
+                                     ["restaurant_id", "active_from"], ["update_ts"]).drop("update_ts")
+        table = close_versions(per_version, "restaurant_id", "active_from")
+        return Built(assign_dense_ids(table, ["restaurant_id", "active_from"], start=start),
+                     rejected=bad)
     latest = latest_per_key(rows, ["restaurant_id"], ["update_ts"]).drop("update_ts")
     table = latest.withColumn("active_to", _open_end())
     return Built(assign_dense_ids(table, ["restaurant_id"], start=start), rejected=bad)

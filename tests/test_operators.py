@@ -147,3 +147,32 @@ def test_broadcast_only_below_bound(spark):
     assert "broadcast" in plan(bounded_broadcast(small, max_rows=100)).lower()
     assert "broadcast" not in plan(bounded_broadcast(big, max_rows=100)).lower()
     assert "broadcast" not in plan(bounded_broadcast(small, max_rows=100, max_bytes=16)).lower()
+
+
+def test_close_versions_across_partitions(spark):
+    from tabulark.operators.versions import close_versions
+    t0 = dt.datetime(2023, 1, 1)
+    rows = [("hot", t0 + dt.timedelta(hours=i)) for i in range(300)]
+    rows += [("a", t0), ("a", t0 + dt.timedelta(days=1)), ("z", t0)]
+    df = spark.createDataFrame(rows, "k string, active_from timestamp_ntz")
+    out = close_versions(df, "k", "active_from", num_partitions=6).collect()
+    got = {(r.k, r.active_from): r.active_to for r in out}
+    assert len(got) == 303
+    for i in range(299):
+        assert got[("hot", t0 + dt.timedelta(hours=i))] == t0 + dt.timedelta(hours=i + 1)
+    assert got[("hot", t0 + dt.timedelta(hours=299))] == dt.datetime(2099, 12, 31)
+    assert got[("a", t0)] == t0 + dt.timedelta(days=1)
+    assert got[("a", t0 + dt.timedelta(days=1))] == dt.datetime(2099, 12, 31)
+    assert got[("z", t0)] == dt.datetime(2099, 12, 31)
+
+
+def test_restaurant_versions(spark):
+    v1 = json.dumps({"_id": "r1", "name": "Old", "update_ts": "2023-01-01 00:00:00", "menu": []})
+    v2 = json.dumps({"_id": "r1", "name": "New", "update_ts": "2023-02-01 00:00:00", "menu": []})
+    docs = spark.createDataFrame([("r1", v1, dt.datetime(2023, 1, 1)), ("r1", v2, dt.datetime(2023, 2, 1))],
+                                 S.DOCUMENT)
+    latest = dims.dim_restaurants(docs).table.collect()
+    assert [(r.restaurant_name, r.active_to) for r in latest] == [("New", dt.datetime(2099, 12, 31))]
+    hist = sorted(dims.dim_restaurants(docs, versions=True).table.collect(), key=lambda r: r.id)
+    assert [(r.id, r.restaurant_name, r.active_to) for r in hist] == [
+        (1, "Old", dt.datetime(2023, 2, 1)), (2, "New", dt.datetime(2099, 12, 31))]
