@@ -176,3 +176,15 @@ def test_restaurant_versions(spark):
     hist = sorted(dims.dim_restaurants(docs, versions=True).table.collect(), key=lambda r: r.id)
     assert [(r.id, r.restaurant_name, r.active_to) for r in hist] == [
         (1, "Old", dt.datetime(2023, 2, 1)), (2, "New", dt.datetime(2099, 12, 31))]
+
+
+def test_deep_offset_page_uses_ranks(spark):
+    import tabulark.sources.scans as sc
+    df = spark.range(0, 1000).withColumnRenamed("id", "k")
+    old = sc.TOP_K_PAGE_DEPTH
+    sc.TOP_K_PAGE_DEPTH = 10
+    try:
+        got = [r.k for r in sc.scan_offset_page(df, ["k"], 400, 200).collect()]
+    finally:
+        sc.TOP_K_PAGE_DEPTH = old
+    assert got == list(range(400, 600))
