@@ -58,15 +58,19 @@ def q_dim_orders(spark, sf_dir):
     return dds(spark, sf_dir)["dm_orders"]
 
 
-_SALES_POS = """s2 AS (
+# Payment lines numbered in (order, payment) order, grouped into events of at
+# most 64 numbers (the adapter's fixed block size).
+_SALES_POS = """s1 AS (
   SELECT s.*, row_number() OVER (
-           PARTITION BY s.l_orderkey, s.l_suppkey
-           ORDER BY CAST(s.l_partkey AS VARCHAR), s.price, s.cnt, s.total_sum, s.bonus_payment,
-                    s.bonus_grant) - 1 AS position
-  FROM sales s)"""
-
-_EVENT_ID = ("(SELECT max(event_id) + 1 FROM events) + s2.l_orderkey * "
-             "(SELECT max(s_suppkey) + 1 FROM supplier) + s2.l_suppkey")
+           ORDER BY s.l_orderkey, s.l_suppkey, CAST(s.l_partkey AS VARCHAR), s.price, s.cnt,
+                    s.total_sum, s.bonus_payment, s.bonus_grant) AS r
+  FROM sales s),
+s2 AS (
+  SELECT s1.*, r - min(r) OVER (PARTITION BY l_orderkey, l_suppkey, (r - 1) // 64) AS position,
+         min(r) OVER (PARTITION BY l_orderkey, l_suppkey, (r - 1) // 64) AS first_r
+  FROM s1)"""
+
+_EVENT_ID = "(SELECT max(event_id) + 1 FROM events) + s2.first_r"
 
 
 @register("fct_product_sales", O.with_(O.SALES, O.REST, O.USERS, O.ORDER_KEYS, O.CALENDAR,

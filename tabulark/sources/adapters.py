@@ -12,7 +12,7 @@ Mapping (one row each):
   order       lineitem x orders per (l_orderkey, l_suppkey), key "orderkey-suppkey"
   courier     supplier   courier_id=s_suppkey
   delivery    lineitem x orders
-  outbox      events (as is) + one bonus_transaction per order
+  outbox      events (as is) + bonus_transaction events per order (at most 64 lines each)
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import DATETIME_FORMAT
 from ..functions.money import money
+from ..operators.ids import assign_dense_ids
 from .driver import Tables
 
 # Order status by the driver's o_orderstatus code.
@@ -104,8 +105,10 @@ def order_documents(t: Tables) -> DataFrame:
 def restaurant_documents(t: Tables) -> DataFrame:
     """One document per supplier with its menu (the parts it sells).
 
-    The menu is the document's own array, built per restaurant as the
-    source system stores it; its length is that restaurant's product count.
+    The menu is the document's own array, as the source system stores it.
+    Parts go to restaurants by ``p_partkey mod #suppliers``; with the
+    driver's contiguous part keys every menu has at most
+    ceil(#parts / #suppliers) items, so the array is bounded by the mapping.
     """
     n = supplier_count(t)
     item = F.struct(F.col("p_partkey").cast("string").alias("_id"),
@@ -160,24 +163,36 @@ def sale_lines(t: Tables) -> DataFrame:
     )
 
 
-def bonus_transactions(t: Tables) -> DataFrame:
-    """One ``bonus_transaction`` outbox event per order key.
+# Fixed parameter: most payment lines carried by one bonus_transaction event.
+PAYMENTS_PER_EVENT = 64
+_PAYMENT_FIELDS = ["product_id", "price", "quantity", "product_cost", "bonus_payment",
+                   "bonus_grant"]
+
 
-    Event id = base + l_orderkey * suppkey_bound + l_suppkey: unique, above
-    every id of the driver's events table, increasing with the order key.
+def bonus_transactions(t: Tables) -> DataFrame:
+    """``bonus_transaction`` outbox events carrying each order's payments.
+
+    Payment lines are numbered by a distributed sort on (order, payment) and
+    grouped by (order, block of PAYMENTS_PER_EVENT numbers), so no event holds
+    more than that many lines however many an order has: a large order is
+    spread over several events instead of one unbounded array in one task.
+    Event id = base + number of the event's first line: unique, above every id
+    of the driver's events table, increasing with the order.
     """
-    bound = supplier_key_bound(t)
     base = event_id_base(t)
-    pay = F.struct("product_id", "price", "quantity", "product_cost", "bonus_payment",
-                   "bonus_grant")
-    per_order = (sale_lines(t).groupBy("l_orderkey", "l_suppkey")
-                 .agg(F.array_sort(F.collect_list(pay)).alias("product_payments")))
+    lines = sale_lines(t)
+    ranked = assign_dense_ids(lines, ["l_orderkey", "l_suppkey"] + _PAYMENT_FIELDS, id_col="_r")
+    block = F.floor((F.col("_r") - 1) / F.lit(PAYMENTS_PER_EVENT))
+    pay = F.struct(F.col("_r"), *[F.col(c) for c in _PAYMENT_FIELDS])
+    events = (ranked.groupBy("l_orderkey", "l_suppkey", block.alias("_block"))
+              .agg(F.min("_r").alias("_first"), F.array_sort(F.collect_list(pay)).alias("_pays")))
     o = t.orders.select("o_orderkey", "o_orderdate")
-    j = per_order.join(o, per_order["l_orderkey"] == o["o_orderkey"])
+    j = events.join(o, events["l_orderkey"] == o["o_orderkey"])
+    payments = F.transform("_pays", lambda x: F.struct(*[x[c].alias(c) for c in _PAYMENT_FIELDS]))
     body = F.struct(order_key(F.col("l_orderkey"), F.col("l_suppkey")).alias("order_id"),
-                    F.col("product_payments"))
+                    payments.alias("product_payments"))
     return j.select(
-        (F.lit(base) + F.col("l_orderkey") * F.lit(bound) + F.col("l_suppkey")).alias("id"),
+        (F.lit(base) + F.col("_first")).alias("id"),
         F.col("o_orderdate").cast("timestamp_ntz").alias("event_ts"),
         F.lit("bonus_transaction").alias("event_type"),
         F.to_json(body).alias("event_value"),
