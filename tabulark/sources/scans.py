@@ -28,13 +28,20 @@ def _after(cursor_col: str, key_col: str | None, after, after_key, literal: bool
 
 
 def scan_cursor(df: DataFrame, cursor_col: str, key_col: str | None = None, after=None,
-                after_key=None, limit: int | None = None, literal: bool = False) -> DataFrame:
-    """Rows past the cursor in ``(cursor, key)`` order, at most ``limit``."""
+                after_key=None, limit: int | None = None, literal: bool = False,
+                ordered: bool | None = None) -> DataFrame:
+    """Rows past the cursor, at most ``limit`` in ``(cursor, key)`` order.
+
+    With a limit the order decides which rows form the batch (a top-k, no
+    global sort); without one the batch is every row past the cursor and is
+    left unsorted (set-based consumers need no order) unless ``ordered``.
+    """
     cond = _after(cursor_col, key_col, after, after_key, literal)
     out = df if cond is None else df.filter(cond)
     order = [cursor_col] + ([key_col] if key_col and key_col != cursor_col else [])
-    out = out.orderBy(*order)
-    return out.limit(limit) if limit is not None else out
+    if limit is not None:
+        return out.orderBy(*order).limit(limit)
+    return out.orderBy(*order) if ordered else out
 
 
 def scan_cursor_ts(df: DataFrame, ts_col: str = "update_ts", key_col: str = "object_id",
