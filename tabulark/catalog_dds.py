@@ -93,7 +93,7 @@ FROM deliv d
 JOIN dmo o ON o.order_key = d.order_key
 JOIN rest r ON r.s_suppkey = d.l_suppkey""")
 def q_fct_deliveries(spark, sf_dir):
-    return dds(spark, sf_dir)["fct_deliveries"]
+    return dds(spark, sf_dir)["fct_deliveries"].drop("order_month")
 
 
 @register("json_explode", O.with_(O.SALES, _SALES_POS) + f"""

@@ -9,6 +9,7 @@ survive executor loss); the marts then read those files.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import configure, scratch_path
 from ..sources import adapters
@@ -19,6 +20,11 @@ DDS_TABLES = ["dm_couriers", "dm_users", "dm_restaurants", "dm_timestamps", "dm_
 
 STG_FEEDS = ["orders", "restaurants", "users", "events", "couriers", "deliveries"]
 
+# Facts stored by order month, so month filters prune whole folders.
+PARTITION_BY = {
+    "fct_deliveries": ("order_month", lambda: F.trunc("order_ts", "month")),
+}
+
 _BUILT: dict[tuple[str, str], dict[str, DataFrame]] = {}
 _STG: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
@@ -70,7 +76,14 @@ def materialized_dds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             tables[name] = built[name].table
             continue
         path = scratch_path(spark, f"dds-{name}")
-        built[name].table.write.mode("overwrite").parquet(path)
+        table = built[name].table
+        if name in PARTITION_BY:
+            col, expr = PARTITION_BY[name]
+            n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+            (table.withColumn(col, expr()).repartitionByRange(n, col)
+             .write.mode("overwrite").partitionBy(col).parquet(path))
+        else:
+            table.write.mode("overwrite").parquet(path)
         tables[name] = spark.read.parquet(path)
     _BUILT[key] = tables
     return tables
