@@ -25,9 +25,11 @@ from ..session import scratch_path
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
 
 
-def assign_dense_ids(df: DataFrame, order_by: list[str | Column], id_col: str = "id",
-                     start: int | Column = 0, num_partitions: int | None = None) -> DataFrame:
-    """Add ``id_col`` = start + 1-based rank of each row in ``order_by`` order."""
+def range_tagged(df: DataFrame, order_by: list[str | Column],
+                 num_partitions: int | None = None, name: str = "ranged") -> DataFrame:
+    """Rows range-partitioned and sorted by ``order_by``, tagged with their
+    range partition ``_p`` and position ``_l`` in it, written once to the
+    shared checkpoint folder and read back (tags fixed, lineage cut)."""
     spark = df.sparkSession
     n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     keys = [F.col(c) if isinstance(c, str) else c for c in order_by]
@@ -36,9 +38,15 @@ def assign_dense_ids(df: DataFrame, order_by: list[str | Column], id_col: str =
     tagged = ranged.select("*", F.spark_partition_id().alias("_p"),
                            (mid - F.shiftleft(F.shiftright(mid, _LOCAL_BITS), _LOCAL_BITS))
                            .alias("_l"))
-    path = scratch_path(spark, "ids")
+    path = scratch_path(spark, name)
     tagged.write.parquet(path)
-    fixed = spark.read.parquet(path)
+    return spark.read.parquet(path)
+
+
+def assign_dense_ids(df: DataFrame, order_by: list[str | Column], id_col: str = "id",
+                     start: int | Column = 0, num_partitions: int | None = None) -> DataFrame:
+    """Add ``id_col`` = start + 1-based rank of each row in ``order_by`` order."""
+    fixed = range_tagged(df, order_by, num_partitions, name="ids")
     counts = fixed.groupBy("_p").agg(F.count(F.lit(1)).alias("n")).collect()
     per_part = {int(r["_p"]): int(r["n"]) for r in counts}
     offsets, running = [], 0

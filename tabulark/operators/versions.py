@@ -21,24 +21,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import OPEN_END, ts_lit
-from ..session import scratch_path
-
-_LOCAL_BITS = 33
+from .ids import range_tagged
 
 
 def close_versions(df: DataFrame, key: str, start_col: str, end_col: str = "active_to",
                    open_end: Column | None = None, num_partitions: int | None = None) -> DataFrame:
     """Add ``end_col``: the next version's ``start_col`` for the same key, or open."""
-    spark = df.sparkSession
-    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    ranged = df.repartitionByRange(n, key, start_col).sortWithinPartitions(key, start_col)
-    mid = F.monotonically_increasing_id()
-    tagged = ranged.select("*", F.spark_partition_id().alias("_p"),
-                           (mid - F.shiftleft(F.shiftright(mid, _LOCAL_BITS), _LOCAL_BITS))
-                           .alias("_l"))
-    path = scratch_path(spark, "versions")
-    tagged.write.parquet(path)
-    fixed = spark.read.parquet(path)
+    fixed = range_tagged(df, [key, start_col], num_partitions, name="versions")
 
     firsts = (fixed.groupBy("_p")
               .agg(F.min_by(F.struct(F.col(key).alias("k"), F.col(start_col).alias("t")), F.col("_l"))
