@@ -21,7 +21,11 @@ def split_parsed(df: DataFrame, text_col: str, schema: T.StructType,
     """Return ``(good, bad)``; ``good`` has ``parsed_col``, ``bad`` has ``reason``."""
     with_corrupt = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    with_body = df.withColumn(parsed_col, F.from_json(F.col(text_col), with_corrupt, opts))
+    # The parse sits in a one-element generator: later filters on its fields
+    # cannot be pushed beneath it, so each document is parsed exactly once
+    # (a plain projection gets the parse copied into every pushed predicate).
+    parsed = F.from_json(F.col(text_col), with_corrupt, opts)
+    with_body = df.select("*", F.explode(F.array(parsed)).alias(parsed_col))
     reason = F.when(F.col(text_col).isNull(), F.lit("null body"))
     reason = reason.when(F.col(f"{parsed_col}.{CORRUPT}").isNotNull(), F.lit("not json"))
     for name in required:
