@@ -140,13 +140,15 @@ def _table(spark, name, partition_of=None) -> SnapshotTable:
     return SnapshotTable(spark, scratch_path(spark, name), partition_of)
 
 
-# Upsert targets are laid out by id range, so a batch rewrites only the ranges
-# its keys fall in (new ids land in new ranges).
-ID_RANGE = 4096
+# Upsert targets are laid out in a fixed number of key-hash buckets: a batch
+# rewrites only the buckets its keys fall in, and the commit's bucket map (and
+# the list of touched buckets a batch sends to the driver) stays bounded
+# however large the table grows.
+UPSERT_BUCKETS = 64
 
 
-def _id_range(col: str):
-    return F.floor(F.col(col) / F.lit(ID_RANGE))
+def _buckets(col: str):
+    return F.pmod(F.xxhash64(F.col(col)), F.lit(UPSERT_BUCKETS))
 
 
 @register("sink_append", O.with_(_B1, _B2) + "SELECT * FROM b1 UNION ALL SELECT * FROM b2")
@@ -170,7 +172,7 @@ SELECT * FROM fresh""")
 def q_sink_upsert_key(spark, sf_dir):
     """Upsert by business key; existing surrogate ids kept, new keys numbered after."""
     t = _t(spark, sf_dir)
-    table = _table(spark, "sink-upsert-key", _id_range("o_orderkey"))
+    table = _table(spark, "sink-upsert-key", _buckets("o_orderkey"))
     sink_upsert(table, _orders_first(t), ["o_orderkey"], ["update_ts"], id_col="id")
     return sink_upsert(table, _orders_second(t), ["o_orderkey"], ["update_ts"], id_col="id")
 
@@ -204,7 +206,7 @@ UNION ALL SELECT * FROM e2""")
 def q_sink_upsert_id(spark, sf_dir):
     """Upsert by source id (outbox events, ranks, bonus users)."""
     t = _t(spark, sf_dir)
-    table = _table(spark, "sink-upsert-id", _id_range("id"))
+    table = _table(spark, "sink-upsert-id", _buckets("id"))
     sink_upsert(table, _events_first(t), ["id"])
     return sink_upsert(table, _events_second(t), ["id"])
 
@@ -498,7 +500,7 @@ def q_stream_ingest_upsert(spark, sf_dir):
     opts = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
     first.write.options(**opts).json(f"{landing}/drop-1")
     second.write.options(**opts).json(f"{landing}/drop-2")
-    table = _table(spark, "stream-target", _id_range("id"))
+    table = _table(spark, "stream-target", _buckets("id"))
     return ingest_landed(spark, f"{landing}/drop-*", _STREAM_SCHEMA, table, ["id"], ["update_ts"],
                          checkpoint=scratch_path(spark, "stream-ckpt"), files_per_batch=1,
                          options=opts)

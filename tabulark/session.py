@@ -48,6 +48,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # One machine: list folders on the driver instead of launching a
+        # listing job per read of a partitioned table (a cluster keeps its own).
+        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "4096")
     )
     for key, value in SESSION_SETTINGS.items():
         builder = builder.config(key, value)

@@ -40,10 +40,11 @@ class SnapshotTable:
     files ``<root>/_commits/v*``.
 
     Unpartitioned, a commit lists the live segments.  With ``partition_of``
-    (a column expression over the key, e.g. an id range ``floor(id / 1e6)``
-    or a hash bucket ``pmod(xxhash64(key), 4096)``) rows are laid out by
-    partition, a commit maps each partition to the segment holding it, and
-    an upsert reads and rewrites only the partitions its batch keys fall in.
+    (a column expression over the key with a bounded number of values, e.g.
+    a hash bucket ``pmod(xxhash64(key), 64)``, or a coarse id range when keys
+    grow with time) rows are laid out by partition, a commit maps each
+    partition to the segment holding it, and an upsert reads and rewrites
+    only the partitions its batch keys fall in.
     The commit also carries the largest surrogate id, so new ids never need a
     scan of the whole table.
     """
