@@ -46,8 +46,17 @@ def row_width(df: DataFrame) -> int:
     return max(sum(_width(f.dataType) for f in df.schema.fields), 1)
 
 
+_PROVEN: dict[tuple[int, int], bool] = {}
+
+
 def rows_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.  The verdict is kept per
+    plan (same plan over the same immutable files gives the same answer), so a
+    dimension is counted once per session, not once per query."""
+    key = (df.semanticHash(), max_rows)
+    if key not in _PROVEN:
+        _PROVEN[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _PROVEN[key]
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
