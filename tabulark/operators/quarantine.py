@@ -17,10 +17,11 @@ CORRUPT = "_corrupt_record"
 
 
 def split_parsed(df: DataFrame, text_col: str, schema: T.StructType,
-                 required: list[str], parsed_col: str = "body") -> tuple[DataFrame, DataFrame]:
+                 required: list[str], parsed_col: str = "body",
+                 options: dict | None = None) -> tuple[DataFrame, DataFrame]:
     """Return ``(good, bad)``; ``good`` has ``parsed_col``, ``bad`` has ``reason``."""
     with_corrupt = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
-    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **(options or {})}
     # The parse sits in a one-element generator: later filters on its fields
     # cannot be pushed beneath it, so each document is parsed exactly once
     # (a plain projection gets the parse copied into every pushed predicate).

@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure, scratch_path
+from .. import schemas as S
 from ..sources import adapters
+from ..sources.landing import land_pages, read_pages
 from . import dims, facts
 
 DDS_TABLES = ["dm_couriers", "dm_users", "dm_restaurants", "dm_timestamps", "dm_products",
@@ -53,7 +55,15 @@ def materialized_stg(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     if key in _STG:
         return _STG[key]
     tables: dict[str, DataFrame] = {}
+    schemas = {"couriers": S.COURIER_PAGE, "deliveries": S.DELIVERY_PAGE}
     for name, df in adapters.feeds(spark, sf_dir).items():
+        if name in schemas:
+            # API pages: landed as JSON lines, read back with their schema.
+            landed = scratch_path(spark, f"landing-{name}")
+            land_pages(df, landed)
+            good, _bad = read_pages(spark, landed, schemas[name], required=[
+                "delivery_id" if name == "deliveries" else "_id"])
+            df = good
         path = scratch_path(spark, f"stg-{name}")
         df.write.mode("overwrite").parquet(path)
         tables[name] = spark.read.parquet(path)

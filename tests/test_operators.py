@@ -188,3 +188,21 @@ def test_deep_offset_page_uses_ranks(spark):
     finally:
         sc.TOP_K_PAGE_DEPTH = old
     assert got == list(range(400, 600))
+
+
+def test_landed_pages_round_trip_and_bad_lines(spark):
+    from tabulark.session import scratch_path
+    from tabulark.sources.landing import land_pages, read_pages
+    path = scratch_path(spark, "pages")
+    page = spark.createDataFrame(
+        [("o1", dt.datetime(2023, 7, 31, 23, 50), "d1", "c1", "addr", dt.datetime(2023, 8, 1, 0, 20),
+          5, Decimal("10.50000"), Decimal("1.00000"))], S.DELIVERY_PAGE)
+    land_pages(page, path)
+    land_pages(page, path)  # the same page landed twice (replay): two lines, one key
+    spark.createDataFrame([('{"order_id": "o2", "rate": "five"}',)], "value string") \
+        .write.mode("append").text(path)
+    good, bad = read_pages(spark, path, S.DELIVERY_PAGE)
+    rows = good.collect()
+    assert len(rows) == 2 and rows[0].order_ts == dt.datetime(2023, 7, 31, 23, 50)
+    assert rows[0].sum == Decimal("10.50000")
+    assert [r.raw_line for r in bad.collect()] == ['{"order_id": "o2", "rate": "five"}']
