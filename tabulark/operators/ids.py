@@ -31,9 +31,11 @@ def range_tagged(df: DataFrame, order_by: list[str | Column],
     range partition ``_p`` and position ``_l`` in it, written once to the
     shared checkpoint folder and read back (tags fixed, lineage cut)."""
     spark = df.sparkSession
-    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     keys = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # Without an explicit count AQE sizes the ranges from the data; coalescing
+    # merges only neighbouring ranges, so partition order stays key order.
+    ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions
+              else df.repartitionByRange(*keys)).sortWithinPartitions(*keys)
     mid = F.monotonically_increasing_id()
     tagged = ranged.select("*", F.spark_partition_id().alias("_p"),
                            (mid - F.shiftleft(F.shiftright(mid, _LOCAL_BITS), _LOCAL_BITS))

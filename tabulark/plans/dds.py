@@ -89,8 +89,7 @@ def materialized_dds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         table = built[name].table
         if name in PARTITION_BY:
             col, expr = PARTITION_BY[name]
-            n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-            (table.withColumn(col, expr()).repartitionByRange(n, col)
+            (table.withColumn(col, expr()).repartitionByRange(col)
              .write.mode("overwrite").partitionBy(col).parquet(path))
         else:
             table.write.mode("overwrite").parquet(path)
