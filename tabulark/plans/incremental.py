@@ -24,24 +24,44 @@ from ..sources.sinks import SnapshotTable, sink_upsert
 from .dims import Built
 
 
-def run_increment(stg: DataFrame, target: SnapshotTable, build: Callable[[DataFrame], Built],
-                  key: str, until=None, limit: int | None = None,
+def _cursor_value(bm: dict):
+    v = bm.get("cursor")
+    if v is None:
+        return None
+    return _dt.datetime.fromisoformat(v) if bm.get("cursor_kind") == "ts" else v
+
+
+def run_increment(stg: DataFrame, target: SnapshotTable, build: Callable[..., Built],
+                  key: str | list[str], until=None, limit: int | None = None,
                   pending: SnapshotTable | None = None, cursor_col: str = "update_ts",
-                  key_col: str = "object_id") -> int:
-    """One incremental run; returns the number of source rows taken."""
+                  key_col: str | None = "object_id", id_col: str | None = "id") -> int:
+    """One incremental run; returns the number of source rows taken.
+
+    ``build(batch)`` (or ``build(batch, waiting)`` with a pending table)
+    returns the rows for ``target``.  The cursor is ``(cursor_col, key_col)``,
+    a timestamp pair for documents or an increasing id (``key_col=None``).
+    Waiting rows are retried even when the source has nothing new.
+    """
     bm = target.bookmark() or {}
-    after = _dt.datetime.fromisoformat(bm["cursor"]) if bm.get("cursor") else None
     batch = stg if until is None else stg.filter(F.col(cursor_col) < ts_lit(until))
-    batch = scan_cursor_ts(batch, cursor_col, key_col, after=after, after_key=bm.get("key"),
-                           limit=limit)
+    batch = scan_cursor_ts(batch, cursor_col, key_col, after=_cursor_value(bm),
+                           after_key=bm.get("key"), limit=limit)
     new_bm = batch_bookmark(batch, cursor_col, key_col).collect()[0]
-    if not new_bm["batch_rows"]:
-        return 0
     waiting = pending.read() if pending is not None else None
-    built = build(batch) if waiting is None else build(batch, waiting)  # type: ignore[call-arg]
-    bookmark = {"cursor": new_bm["last_cursor"].isoformat(sep=" "), "key": new_bm["last_key"],
-                "rows": int(new_bm["batch_rows"])}
-    sink_upsert(target, built.table, [key], id_col="id", bookmark=bookmark)
+    taken = int(new_bm["batch_rows"])
+    if not taken and (waiting is None or waiting.limit(1).count() == 0):
+        return 0
+    built = build(batch) if waiting is None else build(batch, waiting)
+    if taken:
+        last = new_bm["last_cursor"]
+        is_ts = isinstance(last, _dt.datetime)
+        bookmark = {"cursor": last.isoformat(sep=" ") if is_ts else last,
+                    "cursor_kind": "ts" if is_ts else "value",
+                    "key": new_bm["last_key"] if key_col else None, "rows": taken}
+    else:
+        bookmark = bm
+    keys = [key] if isinstance(key, str) else list(key)
+    sink_upsert(target, built.table, keys, id_col=id_col, bookmark=bookmark)
     if pending is not None and built.pending is not None:
         pending.replace(built.pending)
-    return int(new_bm["batch_rows"])
+    return taken

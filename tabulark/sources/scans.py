@@ -89,4 +89,6 @@ def batch_bookmark(batch: DataFrame, cursor_col: str, key_col: str | None = None
     if key_col:
         aggs.append(F.max_by(F.col(key_col), F.struct(F.col(cursor_col), F.col(key_col)))
                     .alias("last_key"))
+    else:
+        aggs.append(F.lit(None).alias("last_key"))
     return batch.agg(*aggs)

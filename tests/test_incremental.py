@@ -39,3 +39,37 @@ def test_runs_bookmark_pending_and_rerun(spark):
     assert pending.read().count() == 0
     assert run_increment(docs, target, build, "order_key", limit=2, pending=pending) == 0
     assert target.bookmark()["cursor"].startswith("2023-01-01 11:00:00")
+
+
+def test_sales_wait_for_late_orders_then_resolve(spark):
+    from tabulark import catalog
+    from tabulark.catalog_ops import FIRST_LOAD_END
+    from tabulark.plans import facts
+    from tabulark.plans.dds import materialized_stg
+    from conftest import SF0001
+    d = catalog.dds(spark, SF0001)
+    stg = materialized_stg(spark, SF0001)
+    orders_t = SnapshotTable(spark, scratch_path(spark, "t-inc-orders"))
+    sales_t = SnapshotTable(spark, scratch_path(spark, "t-inc-sales"))
+    waiting_t = SnapshotTable(spark, scratch_path(spark, "t-inc-wait"))
+
+    def build_orders(batch, waiting=None):
+        return dims.dim_orders(batch, d["dm_restaurants"], d["dm_timestamps"], d["dm_users"],
+                               pending=waiting, with_ids=False)
+
+    def build_sales(batch, waiting=None):
+        return facts.fct_product_sales(batch, orders_t.read(), d["dm_products"], pending=waiting)
+
+    key = ["event_id", "position"]
+    run_increment(stg["orders"], orders_t, build_orders, "order_key", until=FIRST_LOAD_END)
+    first = run_increment(stg["events"], sales_t, build_sales, key, pending=waiting_t,
+                          cursor_col="id", key_col=None, id_col=None)
+    waiting = waiting_t.read().count()
+    loaded = sales_t.read().count()
+    assert first > 0 and waiting > 0 and loaded > 0
+    run_increment(stg["orders"], orders_t, build_orders, "order_key")
+    second = run_increment(stg["events"], sales_t, build_sales, key, pending=waiting_t,
+                           cursor_col="id", key_col=None, id_col=None)
+    assert second == 0  # nothing new past the bookmark ...
+    assert waiting_t.read().count() == 0  # ... but every waiting line resolved
+    assert sales_t.read().count() == loaded + waiting == d["fct_product_sales"].count()
