@@ -48,51 +48,90 @@ def build_dds(feeds: dict[str, DataFrame]) -> dict[str, dims.Built]:
     return out
 
 
-def materialized_stg(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """stg feeds of a driver folder (landed source rows), written once per session."""
+class Lazy(dict):
+    """A table mapping whose entries are built and written on first use.
+
+    A query that needs three tables builds those three (and what they
+    depend on), not the whole layer; every table is built once per session.
+    """
+
+    def __init__(self, builders: dict):
+        super().__init__()
+        self._builders = builders
+
+    def __missing__(self, name: str) -> DataFrame:
+        value = self._builders[name](self)
+        self[name] = value
+        return value
+
+    def names(self) -> list[str]:
+        return list(self._builders)
+
+    def all(self) -> dict[str, DataFrame]:
+        return {n: self[n] for n in self._builders}
+
+
+def _written(spark: SparkSession, df: DataFrame, name: str, partition=None) -> DataFrame:
+    path = scratch_path(spark, name)
+    if partition:
+        col, expr = partition
+        (df.withColumn(col, expr()).repartitionByRange(col)
+         .write.mode("overwrite").partitionBy(col).parquet(path))
+    else:
+        df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def materialized_stg(spark: SparkSession, sf_dir: str) -> Lazy:
+    """stg feeds of a driver folder (landed source rows), each written on first use."""
     configure(spark)
     key = (spark.sparkContext.applicationId, sf_dir)
     if key in _STG:
         return _STG[key]
-    tables: dict[str, DataFrame] = {}
-    schemas = {"couriers": S.COURIER_PAGE, "deliveries": S.DELIVERY_PAGE}
-    for name, df in adapters.feeds(spark, sf_dir).items():
-        if name in schemas:
-            # API pages: landed as JSON lines, read back with their schema.
-            landed = scratch_path(spark, f"landing-{name}")
-            land_pages(df, landed)
-            good, _bad = read_pages(spark, landed, schemas[name], required=[
-                "delivery_id" if name == "deliveries" else "_id"])
-            df = good
-        path = scratch_path(spark, f"stg-{name}")
-        df.write.mode("overwrite").parquet(path)
-        tables[name] = spark.read.parquet(path)
-    _STG[key] = tables
-    return tables
+    t = adapters.Tables(spark, sf_dir)
+    pages = {"couriers": (S.COURIER_PAGE, "_id"), "deliveries": (S.DELIVERY_PAGE, "delivery_id")}
+
+    def feed(name):
+        def build(_):
+            df = adapters.FEED_BUILDERS[name](t)
+            if name in pages:
+                # API pages: landed as JSON lines, read back with their schema.
+                schema, required = pages[name]
+                landed = scratch_path(spark, f"landing-{name}")
+                land_pages(df, landed)
+                df, _bad = read_pages(spark, landed, schema, required=[required])
+            return _written(spark, df, f"stg-{name}")
+        return build
+
+    _STG[key] = Lazy({name: feed(name) for name in STG_FEEDS})
+    return _STG[key]
+
 
+def materialized_dds(spark: SparkSession, sf_dir: str) -> Lazy:
+    """dds tables of a driver folder, each built (and written) on first use.
 
-def materialized_dds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """dds tables of a driver folder, written once per session and re-read."""
+    Dimensions are files already (the id assignment wrote them; ids are a
+    projection over the stored partition tags); facts are written here.
+    """
     configure(spark)
     key = (spark.sparkContext.applicationId, sf_dir)
     if key in _BUILT:
         return _BUILT[key]
-    built = build_dds(materialized_stg(spark, sf_dir))
-    tables: dict[str, DataFrame] = {}
-    for name in DDS_TABLES:
-        if name.startswith("dm_"):
-            # Dimensions are already files: the id assignment wrote them
-            # (ids are a projection over the stored partition tags).
-            tables[name] = built[name].table
-            continue
-        path = scratch_path(spark, f"dds-{name}")
-        table = built[name].table
-        if name in PARTITION_BY:
-            col, expr = PARTITION_BY[name]
-            (table.withColumn(col, expr()).repartitionByRange(col)
-             .write.mode("overwrite").partitionBy(col).parquet(path))
-        else:
-            table.write.mode("overwrite").parquet(path)
-        tables[name] = spark.read.parquet(path)
-    _BUILT[key] = tables
-    return tables
+    stg = materialized_stg(spark, sf_dir)
+    builders = {
+        "dm_couriers": lambda t: dims.dim_couriers(stg["couriers"]).table,
+        "dm_users": lambda t: dims.dim_users(stg["users"]).table,
+        "dm_restaurants": lambda t: dims.dim_restaurants(stg["restaurants"]).table,
+        "dm_timestamps": lambda t: dims.dim_timestamps(stg["orders"]).table,
+        "dm_products": lambda t: dims.dim_products(stg["restaurants"], t["dm_restaurants"]).table,
+        "dm_orders": lambda t: dims.dim_orders(stg["orders"], t["dm_restaurants"],
+                                               t["dm_timestamps"], t["dm_users"]).table,
+        "fct_product_sales": lambda t: _written(
+            spark, facts.fct_product_sales(stg["events"], t["dm_orders"], t["dm_products"]).table,
+            "dds-fct_product_sales"),
+        "fct_deliveries": lambda t: _written(
+            spark, facts.fct_deliveries(stg["deliveries"], t["dm_orders"], t["dm_couriers"]).table,
+            "dds-fct_deliveries", PARTITION_BY["fct_deliveries"]),
+    }
+    _BUILT[key] = Lazy(builders)
+    return _BUILT[key]

@@ -241,14 +241,17 @@ def _dec(text: str):
     return Decimal(text)
 
 
+FEED_BUILDERS = {
+    "orders": order_documents,
+    "restaurants": restaurant_documents,
+    "users": user_documents,
+    "events": outbox_events,
+    "couriers": courier_pages,
+    "deliveries": delivery_pages,
+}
+
+
 def feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All stg feeds of one driver folder, lazily planned."""
+    """All stg feeds of one driver folder."""
     t = Tables(spark, sf_dir)
-    return {
-        "orders": order_documents(t),
-        "restaurants": restaurant_documents(t),
-        "users": user_documents(t),
-        "events": outbox_events(t),
-        "couriers": courier_pages(t),
-        "deliveries": delivery_pages(t),
-    }
+    return {name: build(t) for name, build in FEED_BUILDERS.items()}
