@@ -75,7 +75,8 @@ def _written(spark: SparkSession, df: DataFrame, name: str, partition=None) -> D
     path = scratch_path(spark, name)
     if partition:
         col, expr = partition
-        (df.withColumn(col, expr()).repartitionByRange(col)
+        n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+        (df.withColumn(col, expr()).repartitionByRange(n, col)
          .write.mode("overwrite").partitionBy(col).parquet(path))
     else:
         df.write.mode("overwrite").parquet(path)

@@ -155,7 +155,8 @@ class SnapshotTable:
         partitions); all other partitions keep their segments."""
         version, state = self._state()
         tagged = df.withColumn(self.PART, self.partition_of.cast("string"))
-        seg = self._land(tagged.repartitionByRange(self.PART), partitioned=True)
+        n = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), 1)
+        seg = self._land(tagged.repartitionByRange(n, self.PART), partitioned=True)
         fs, p = _fs(self.spark, f"{self.root}/{seg}")
         written = {st.getPath().getName().split("=", 1)[1] for st in fs.listStatus(p)
                    if st.getPath().getName().startswith(self.PART + "=")}
@@ -256,7 +257,10 @@ def replace_periods(df: DataFrame, path: str, period_cols: list[str],
     # neighbouring tasks (files ~ periods + tasks, not periods x tasks), and a
     # period with very many rows still spreads over several tasks by key.
     order = list(period_cols) + list(cluster_by or [])
-    (df.repartitionByRange(*order).write.mode("overwrite")
+    # Writers: the session's partition count (not merged by AQE: a partitioned
+    # write's time goes with its folders, so it wants parallel writers).
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    (df.repartitionByRange(n, *order).write.mode("overwrite")
      .partitionBy(*period_cols).parquet(path))
     if clear_periods:
         # Periods asked for that the batch does not contain: one small
