@@ -71,3 +71,19 @@ def test_partitioned_upsert_touches_only_batch_partitions(spark):
     sink_upsert(flat, first, ["k"], ["ts"], id_col="id")
     ref = sink_upsert(flat, second, ["k"], ["ts"], id_col="id")
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, ref.select(*out.columns).collect()))
+
+
+def test_bookmark_helpers(spark):
+    from tabulark.sources import bookmarks as B
+    bm = spark.createDataFrame([("wf-a", '{"last_id": 7}')], "workflow_key string, workflow_settings string")
+    keys = spark.createDataFrame([("wf-a",), ("wf-new",)], "workflow_key string")
+    got = {r.workflow_key: r.value for r in B.read_setting(bm, "last_id", default=B.START_ID, keys=keys).collect()}
+    assert got == {"wf-a": "7", "wf-new": "-1"}
+    batch = spark.createDataFrame([(3,), (9,)], "id long")
+    assert tuple(B.advance_max(batch, "id", "last_id", previous=7).collect()[0]) == (9, 2)
+    empty = batch.filter("id > 100")
+    assert tuple(B.advance_max(empty, "id", "last_id", previous=7).collect()[0]) == (7, 0)
+    assert tuple(B.advance_offset(batch, previous=200).collect()[0]) == (202, 2)
+    update = bm.select("workflow_key", B.settings_json(last_id=F.lit(9)).alias("workflow_settings"))
+    saved = B.save_settings(bm, update)
+    assert [tuple(r) for r in saved.collect()] == [("wf-a", '{"last_id":9}')]

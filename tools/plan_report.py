@@ -27,6 +27,7 @@ def summarise(plan: str) -> dict:
     joins = sorted({o for o in ops if o.endswith("Join")})
     aggs = sorted({o for o in ops if o.endswith("Aggregate")})
     pushed = sorted({m for m in re.findall(r"PushedFilters: \[([^\]]*?)(?:\]|\.\.\.)", plan) if m})
+    pruned = sorted({m for m in re.findall(r"PartitionFilters: \[([^\]]*?)(?:\]|\.\.\.)", plan) if m})
     return {
         "shuffles": count("Exchange"),
         "broadcasts": count("BroadcastExchange"),
@@ -35,6 +36,7 @@ def summarise(plan: str) -> dict:
         "python": "yes" if re.search(r"PythonUDF|ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas", plan) else "no",
         "window": "yes" if "Window" in ops else "no",
         "pushed": "; ".join(p[:90] for p in pushed[:2]) or "-",
+        "pruned": "; ".join(re.sub(r"#\d+", "", p)[:70] for p in pruned[:1]) or "-",
     }
 
 
@@ -61,11 +63,11 @@ def main() -> None:
                 "partitions, AQE on). Plans are read after execution. The mart queries read the "
                 "materialised dds tables. Shuffles counts shuffle exchanges "
                 "(AQE may have turned a sort-merge join into a broadcast at run time).\n\n")
-        f.write("| query | shuffles | broadcasts | joins | aggregates | python | window | pushed filters |\n")
-        f.write("|---|---|---|---|---|---|---|---|\n")
+        f.write("| query | shuffles | broadcasts | joins | aggregates | python | window | pushed filters | partition filters |\n")
+        f.write("|---|---|---|---|---|---|---|---|---|\n")
         for key, s in rows:
             f.write(f"| `{key}` | {s['shuffles']} | {s['broadcasts']} | {s['joins']} | {s['aggregates']} "
-                    f"| {s['python']} | {s['window']} | {s['pushed']} |\n")
+                    f"| {s['python']} | {s['window']} | {s['pushed']} | {s['pruned']} |\n")
     spark.stop()
 
 
