@@ -29,5 +29,5 @@ def resolve(rows: DataFrame, parent: DataFrame, row_key: str, parent_key: str,
 
 def orphans(rows: DataFrame, parent: DataFrame, row_key: str, parent_key: str) -> DataFrame:
     """Rows with no parent (anti join)."""
-    p = parent.select(F.col(parent_key).alias("_pk")).distinct()
+    p = parent.select(F.col(parent_key).alias("_pk"))
     return rows.join(p, rows[row_key] == p["_pk"], "left_anti")

@@ -97,4 +97,6 @@ def test_plans_stay_in_the_jvm_and_push_filters(spark):
     day = E.queries()["settlement_day"](spark, SF0001)
     assert "GreaterThanOrEqual(ts" in day._jdf.queryExecution().toString()
     month = E.queries()["courier_month"](spark, SF0001)
-    assert "GreaterThanOrEqual(order_ts" in month._jdf.queryExecution().toString()
+    plan = month._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(order_ts" in plan
+    assert "PartitionFilters: [isnotnull(order_month" in plan  # month folders pruned
