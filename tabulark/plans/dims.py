@@ -65,24 +65,33 @@ def dim_restaurants(stg_restaurants: DataFrame, start: int = 0, versions: bool =
     return Built(assign_dense_ids(table, ["restaurant_id"], start=start), rejected=bad)
 
 
-def dim_products(stg_restaurants: DataFrame, restaurants: DataFrame, start: int = 0) -> Built:
-    """Products from the menu arrays of the latest restaurant documents."""
+def dim_products(stg_restaurants: DataFrame, restaurants: DataFrame, start: int = 0,
+                 versions: bool = False) -> Built:
+    """Products from the menu arrays of the latest restaurant documents, or
+    with ``versions`` one version per product and menu change, each closed
+    where the next begins (Q15); lookups use the open version (P6)."""
     good, bad = split_parsed(stg_restaurants, "object_value", S.RESTAURANT_BODY, ["_id"])
-    docs = latest_per_key(good.select("object_id", "update_ts", F.col("body.menu").alias("menu")),
-                          ["object_id"], ["update_ts"])
+    docs = good.select("object_id", "update_ts", F.col("body.menu").alias("menu"))
+    if not versions:
+        docs = latest_per_key(docs, ["object_id"], ["update_ts"])
     items = docs.select("object_id", F.date_trunc("second", "update_ts").cast("timestamp_ntz")
                         .alias("active_from"), F.explode("menu").alias("m"))
     rows = items.select(F.col("m._id").alias("product_id"), F.col("m.name").alias("product_name"),
                         F.col("m.price").alias("product_price"), "active_from",
                         F.col("object_id").alias("restaurant_key"))
     rows = rows.filter(F.col("product_id").isNotNull())
-    latest = latest_per_key(rows, ["product_id"], ["active_from"])
-    r = bounded_broadcast(restaurants.select("restaurant_id", F.col("id").alias("r_id")))
+    version_key = ["product_id", "active_from"] if versions else ["product_id"]
+    latest = latest_per_key(rows, version_key, ["active_from"] if not versions else
+                            ["product_name"])
+    r = bounded_broadcast(restaurants.filter(F.col("active_to") == _open_end())
+                          .select("restaurant_id", F.col("id").alias("r_id")))
     resolved, waiting = resolve(latest, r, "restaurant_key", "restaurant_id", "r_id", "restaurant_id")
-    table = (resolved.drop("restaurant_key").withColumn("active_to", _open_end())
-             .select("product_id", "product_name", "product_price", "active_from", "active_to",
-                     "restaurant_id"))
-    return Built(assign_dense_ids(table, ["product_id"], start=start), rejected=bad, pending=waiting)
+    resolved = resolved.drop("restaurant_key")
+    table = (close_versions(resolved, "product_id", "active_from") if versions
+             else resolved.withColumn("active_to", _open_end()))
+    table = table.select("product_id", "product_name", "product_price", "active_from", "active_to",
+                         "restaurant_id")
+    return Built(assign_dense_ids(table, version_key, start=start), rejected=bad, pending=waiting)
 
 
 def dim_timestamps(stg_orders: DataFrame, start: int = 0, ts_field: str = "ts_date") -> Built:
@@ -109,6 +118,8 @@ def dim_orders(stg_orders: DataFrame, restaurants: DataFrame, timestamps: DataFr
                        F.col("body.user.id").alias("user_key"),
                        parse_ts(f"body.{ts_field}").alias("order_ts"), "update_ts")
     latest = latest_per_key(rows, ["order_key"], ["update_ts"]).drop("update_ts")
+    if "active_to" in restaurants.columns:  # versioned: look up the open version (P6)
+        restaurants = restaurants.filter(F.col("active_to") == _open_end())
     r = bounded_broadcast(restaurants.select("restaurant_id", F.col("id").alias("r_id")))
     u = users.select("user_id", F.col("id").alias("u_id"))
     t = bounded_broadcast(timestamps.select(F.col("ts").alias("t_ts"), F.col("id").alias("timestamp_id")))

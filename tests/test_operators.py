@@ -206,3 +206,17 @@ def test_landed_pages_round_trip_and_bad_lines(spark):
     assert len(rows) == 2 and rows[0].order_ts == dt.datetime(2023, 7, 31, 23, 50)
     assert rows[0].sum == Decimal("10.50000")
     assert [r.raw_line for r in bad.collect()] == ['{"order_id": "o2", "rate": "five"}']
+
+
+def test_product_versions_and_open_lookup(spark):
+    def doc(price, ts):
+        return ("r1", json.dumps({"_id": "r1", "name": "A", "update_ts": ts.isoformat(sep=" "),
+                                  "menu": [{"_id": "p1", "name": "soup", "price": price}]}), ts)
+    t1, t2 = dt.datetime(2023, 1, 1), dt.datetime(2023, 3, 1)
+    docs = spark.createDataFrame([doc(2.5, t1), doc(3.0, t2)], S.DOCUMENT)
+    rest = dims.dim_restaurants(docs).table
+    latest = dims.dim_products(docs, rest).table.collect()
+    assert [(p.product_price, p.active_from) for p in latest] == [(Decimal("3.00000"), t2)]
+    hist = sorted(dims.dim_products(docs, rest, versions=True).table.collect(), key=lambda p: p.id)
+    assert [(p.id, p.product_price, p.active_to) for p in hist] == [
+        (1, Decimal("2.50000"), t2), (2, Decimal("3.00000"), dt.datetime(2099, 12, 31))]
