@@ -619,5 +619,5 @@ def q_dds_incremental_sales(spark, sf_dir):
     for until in (FIRST_LOAD_END, None):
         run_increment(stg["orders"], orders_t, build_orders, "order_key", until=until)
         run_increment(stg["events"], sales_t, build_sales, sale_key, pending=waiting_t,
-                      cursor_col="id", key_col=None, id_col=None)
+                      cursor_col="id", key_col=None, id_col=None, mode="insert_ignore")
     return sales_t.read()

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import ts_lit
 from ..sources.scans import batch_bookmark, scan_cursor_ts
-from ..sources.sinks import SnapshotTable, sink_upsert
+from ..sources.sinks import SnapshotTable, sink_insert_ignore, sink_upsert
 from .dims import Built
 
 
@@ -34,13 +34,17 @@ def _cursor_value(bm: dict):
 def run_increment(stg: DataFrame, target: SnapshotTable, build: Callable[..., Built],
                   key: str | list[str], until=None, limit: int | None = None,
                   pending: SnapshotTable | None = None, cursor_col: str = "update_ts",
-                  key_col: str | None = "object_id", id_col: str | None = "id") -> int:
+                  key_col: str | None = "object_id", id_col: str | None = "id",
+                  mode: str = "upsert") -> int:
     """One incremental run; returns the number of source rows taken.
 
     ``build(batch)`` (or ``build(batch, waiting)`` with a pending table)
     returns the rows for ``target``.  The cursor is ``(cursor_col, key_col)``,
     a timestamp pair for documents or an increasing id (``key_col=None``).
     Waiting rows are retried even when the source has nothing new.
+    ``mode="insert_ignore"`` (facts, S15) appends only rows whose key is
+    absent: the existing table is read for its key columns only and never
+    rewritten.
     """
     bm = target.bookmark() or {}
     batch = stg if until is None else stg.filter(F.col(cursor_col) < ts_lit(until))
@@ -61,7 +65,10 @@ def run_increment(stg: DataFrame, target: SnapshotTable, build: Callable[..., Bu
     else:
         bookmark = bm
     keys = [key] if isinstance(key, str) else list(key)
-    sink_upsert(target, built.table, keys, id_col=id_col, bookmark=bookmark)
+    if mode == "insert_ignore":
+        sink_insert_ignore(target, built.table, keys, bookmark=bookmark)
+    else:
+        sink_upsert(target, built.table, keys, id_col=id_col, bookmark=bookmark)
     if pending is not None and built.pending is not None:
         pending.replace(built.pending)
     return taken

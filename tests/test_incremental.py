@@ -63,13 +63,13 @@ def test_sales_wait_for_late_orders_then_resolve(spark):
     key = ["event_id", "position"]
     run_increment(stg["orders"], orders_t, build_orders, "order_key", until=FIRST_LOAD_END)
     first = run_increment(stg["events"], sales_t, build_sales, key, pending=waiting_t,
-                          cursor_col="id", key_col=None, id_col=None)
+                          cursor_col="id", key_col=None, id_col=None, mode="insert_ignore")
     waiting = waiting_t.read().count()
     loaded = sales_t.read().count()
     assert first > 0 and waiting > 0 and loaded > 0
     run_increment(stg["orders"], orders_t, build_orders, "order_key")
     second = run_increment(stg["events"], sales_t, build_sales, key, pending=waiting_t,
-                           cursor_col="id", key_col=None, id_col=None)
+                           cursor_col="id", key_col=None, id_col=None, mode="insert_ignore")
     assert second == 0  # nothing new past the bookmark ...
     assert waiting_t.read().count() == 0  # ... but every waiting line resolved
     assert sales_t.read().count() == loaded + waiting == d["fct_product_sales"].count()
