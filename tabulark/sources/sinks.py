@@ -149,6 +149,18 @@ class SnapshotTable:
         return self._commit({"segments": state.get("segments", []) + [seg], "bookmark": bookmark,
                              "max_id": state.get("max_id")}, version)
 
+    def compact(self) -> int | None:
+        """Rewrite an unpartitioned table's segments into one (appends add a
+        segment per load).  The new commit keeps the bookmark and largest id;
+        old segments stay on disk for readers of the previous version."""
+        version, state = self._state()
+        segs = state.get("segments", [])
+        if "parts" in state or len(segs) <= 1:
+            return version
+        seg = self._land(self.read())
+        return self._commit({"segments": [seg], "bookmark": state.get("bookmark"),
+                             "max_id": state.get("max_id")}, version)
+
     def replace_parts(self, df: DataFrame, parts: list[str], bookmark: dict | None = None,
                       id_col: str | None = None) -> int:
         """Rewrite partitions ``parts`` with ``df`` (rows of exactly those

@@ -87,3 +87,15 @@ def test_bookmark_helpers(spark):
     update = bm.select("workflow_key", B.settings_json(last_id=F.lit(9)).alias("workflow_settings"))
     saved = B.save_settings(bm, update)
     assert [tuple(r) for r in saved.collect()] == [("wf-a", '{"last_id":9}')]
+
+
+def test_compact_keeps_rows_and_bookmark(spark):
+    t = SnapshotTable(spark, scratch_path(spark, "t-compact"))
+    for i in range(3):
+        sink_append(t, _page(spark, [(f"c{i}", "x", i)]), bookmark={"run": i})
+    before = sorted(map(tuple, t.read().collect()))
+    assert len(t.segments()) == 3
+    t.compact()
+    assert len(t.segments()) == 1
+    assert sorted(map(tuple, t.read().collect())) == before
+    assert t.bookmark() == {"run": 2}
