@@ -1,9 +1,10 @@
 """Build order of the detail layer (B12) and its materialisation.
 
 {couriers, users, restaurants, timestamps} -> products -> orders -> {sales,
-deliveries}.  Each table is written once to the shared checkpoint folder
-(a lineage cut: later marts read files, not the whole upstream plan, and
-survive executor loss); the marts then read those files.
+deliveries}.  Each table is built on first use and written once to the
+shared checkpoint folder (a lineage cut: later marts read files, not the
+whole upstream plan, and survive executor loss); the marts then read those
+files.  A query builds only the tables it needs.
 """
 
 from __future__ import annotations
