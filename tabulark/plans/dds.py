@@ -23,9 +23,11 @@ DDS_TABLES = ["dm_couriers", "dm_users", "dm_restaurants", "dm_timestamps", "dm_
 
 STG_FEEDS = ["orders", "restaurants", "users", "events", "couriers", "deliveries"]
 
-# Facts stored by order month, so month filters prune whole folders.
+# Facts stored by order month, so month filters prune whole folders; rows are
+# range-partitioned on (month, courier) before the write, so a busy month is
+# spread over several writers.
 PARTITION_BY = {
-    "fct_deliveries": ("order_month", lambda: F.trunc("order_ts", "month")),
+    "fct_deliveries": ("order_month", lambda: F.trunc("order_ts", "month"), ["courier_id"]),
 }
 
 _BUILT: dict[tuple[str, str], dict[str, DataFrame]] = {}
@@ -75,9 +77,9 @@ class Lazy(dict):
 def _written(spark: SparkSession, df: DataFrame, name: str, partition=None) -> DataFrame:
     path = scratch_path(spark, name)
     if partition:
-        col, expr = partition
+        col, expr, cluster = partition
         n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-        (df.withColumn(col, expr()).repartitionByRange(n, col)
+        (df.withColumn(col, expr()).repartitionByRange(n, col, *cluster)
          .write.mode("overwrite").partitionBy(col).parquet(path))
     else:
         df.write.mode("overwrite").parquet(path)

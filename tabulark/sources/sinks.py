@@ -167,8 +167,10 @@ class SnapshotTable:
         partitions); all other partitions keep their segments."""
         version, state = self._state()
         tagged = df.withColumn(self.PART, self.partition_of.cast("string"))
+        # One writer per partition value (hash, no sampling pass): a key's
+        # partition is fixed by the key, so a range on it would split nothing.
         n = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), 1)
-        seg = self._land(tagged.repartitionByRange(n, self.PART), partitioned=True)
+        seg = self._land(tagged.repartition(n, self.PART), partitioned=True)
         fs, p = _fs(self.spark, f"{self.root}/{seg}")
         written = {st.getPath().getName().split("=", 1)[1] for st in fs.listStatus(p)
                    if st.getPath().getName().startswith(self.PART + "=")}
