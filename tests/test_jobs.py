@@ -27,3 +27,30 @@ def test_publish_day_month_and_backfill(spark):
     got = spark.read.parquet(months).collect()
     assert {(r.settlement_year, r.settlement_month) for r in got} == {(2001, 7)}
     assert len(got) == out.count()
+
+
+def test_month_backfill_and_clear_if_empty(spark):
+    from pyspark.sql import functions as F
+    from tabulark.plans import marts
+    dds = catalog.dds(spark, SF0001)
+    whole = scratch_path(spark, "job-months-range")
+    single = scratch_path(spark, "job-months-single")
+    months = [dt.date(2001, 5, 1), dt.date(2001, 6, 1), dt.date(2001, 7, 1)]
+    jobs.backfill_months(dds, months[0], months[-1], whole)
+    for m in months:
+        jobs.publish_month(dds, m, single)
+    a = sorted(map(tuple, spark.read.parquet(whole).collect()))
+    b = sorted(map(tuple, spark.read.parquet(single).collect()))
+    assert a == b and {(r[2], r[3]) for r in spark.read.parquet(whole).select(
+        "courier_id", "courier_name", "settlement_year", "settlement_month").collect()} == {
+        (2001, 5), (2001, 6), (2001, 7)}
+    # A rerun of May..July that now has rows for July only: literal keeps May and
+    # June, clear_if_empty empties them.
+    july = marts.courier_ledger(dds["fct_deliveries"], dds["dm_couriers"], first_month=months[2],
+                                ordered=False)
+    marts.publish_ledger(july, whole, months[0], months[-1])
+    assert spark.read.parquet(whole).select("settlement_month").distinct().count() == 3
+    marts.publish_ledger(july, whole, months[0], months[-1], clear_if_empty=True)
+    left = spark.read.parquet(whole).select("settlement_month").distinct().collect()
+    assert [r.settlement_month for r in left] == [7]
+    assert spark.read.parquet(whole).filter(F.col("settlement_month") == 7).count() == july.count()
