@@ -10,7 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, quality_rules
+from . import bpe, mixing, quality_rules
+from .mixing_sql import mix_sql
 from .tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,3 +43,8 @@ def op4(spark, sf_dir):
 @register("op5_bpe")
 def op5(spark, sf_dir):
     return bpe.digests(read(spark, sf_dir, "documents"), byte_bpe_path())
+
+
+@register("op8_mixing", mix_sql())
+def op8(spark, sf_dir):
+    return mixing.plan(read(spark, sf_dir, "documents"))
