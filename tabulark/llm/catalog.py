@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, quality_rules
+from . import bpe, mixing, quality_rules, sharding
 from .mixing_sql import mix_sql
 from .tables import read
 
@@ -48,3 +48,8 @@ def op5(spark, sf_dir):
 @register("op8_mixing", mix_sql())
 def op8(spark, sf_dir):
     return mixing.plan(read(spark, sf_dir, "documents"))
+
+
+@register("op6_sharding")
+def op6(spark, sf_dir):
+    return sharding.shard(read(spark, sf_dir, "documents"))
