@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, quality_rules, sharding
+from . import bpe, mixing, ngram_join, quality_rules, sharding
 from .mixing_sql import mix_sql
 from .tables import read
 
@@ -53,3 +53,8 @@ def op8(spark, sf_dir):
 @register("op6_sharding")
 def op6(spark, sf_dir):
     return sharding.shard(read(spark, sf_dir, "documents"))
+
+
+@register("op1_ngram_join")
+def op1(spark, sf_dir):
+    return ngram_join.join_components(read(spark, sf_dir, "documents"))
