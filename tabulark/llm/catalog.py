@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, ngram_join, quality_rules, sharding
+from . import bpe, mixing, neighbours, ngram_join, quality_rules, sharding
 from .mixing_sql import mix_sql
 from .tables import read
 
@@ -58,3 +58,8 @@ def op6(spark, sf_dir):
 @register("op1_ngram_join")
 def op1(spark, sf_dir):
     return ngram_join.join_components(read(spark, sf_dir, "documents"))
+
+
+@register("op2_neighbours")
+def op2(spark, sf_dir):
+    return neighbours.nearest(read(spark, sf_dir, "embeddings"), lambda key: key % 100 == 0)
