@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, neighbours, ngram_join, quality_rules, sharding
+from . import bpe, mixing, neighbours, ngram_join, pii, quality_rules, sharding
 from .mixing_sql import mix_sql
 from .tables import read
 
@@ -63,3 +63,8 @@ def op1(spark, sf_dir):
 @register("op2_neighbours")
 def op2(spark, sf_dir):
     return neighbours.nearest(read(spark, sf_dir, "embeddings"), lambda key: key % 100 == 0)
+
+
+@register("op7_pii")
+def op7(spark, sf_dir):
+    return pii.report(read(spark, sf_dir, "documents"))
