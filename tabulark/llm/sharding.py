@@ -59,7 +59,9 @@ def grouped(docs: DataFrame, text: str, seed: int) -> DataFrame:
                        F.md5(body).alias("grp"))
     rows = stored(rows.withColumn("mark", F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), "grp")),
                   "shard-rows")
-    many = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n_group")).filter("n_group > 1")
+    # Stored, so that the join below is one of plain exchanges, which Spark may split.
+    many = stored(rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n_group")).filter("n_group > 1"),
+                  "shard-texts")
     return rows.join(many, "grp", "left").na.fill({"n_group": 1})
 
 
@@ -90,11 +92,11 @@ def propagate(linked: DataFrame, room: list[int]) -> DataFrame:
         .select("grp", F.col("b.shard").alias("goal"), F.col("b.here").alias("there"),
                 F.col("b.toss").alias("toss")))
     # Who stands where fewer documents of the group do asks to move.
-    asks = (votes.join(best, "grp").filter(
+    asks = stored(votes.join(best, "grp").filter(
         (F.col("shard") != F.col("goal"))
         & (F.struct("here", F.xxhash64("grp", "shard")) < F.struct("there", "toss")))
         .select("grp", "shard", "goal", "there",
-                F.sum("here").over(Window.partitionBy("grp")).alias("asking")))
+                F.sum("here").over(Window.partitionBy("grp")).alias("asking")), "shard-asks")
     slice_ = F.when(F.col("asking") > SLICES, F.pmod(F.col("mark"), F.lit(SLICES))).otherwise(F.lit(0))
     moving = linked.join(asks, ["grp", "shard"], "left").withColumn(
         "waits", -F.log2(F.col("there").cast("double")).cast("int")).withColumn(
