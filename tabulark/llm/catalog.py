@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, neighbours, ngram_join, pii, quality_rules, sharding
+from . import bpe, hmm, mixing, neighbours, ngram_join, pii, quality_rules, sharding
 from .mixing_sql import mix_sql
 from .tables import read
 
@@ -68,3 +68,8 @@ def op2(spark, sf_dir):
 @register("op7_pii")
 def op7(spark, sf_dir):
     return pii.report(read(spark, sf_dir, "documents"))
+
+
+@register("op3_hmm")
+def op3(spark, sf_dir):
+    return hmm.scores(read(spark, sf_dir, "documents"))
