@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, hmm, mixing, neighbours, ngram_join, pii, quality_rules, sharding
+from . import bpe, hmm, mixing, neighbours, ngram_join, pii, quality_rules, sharding, toxicity
 from .mixing_sql import mix_sql
 from .tables import read
 
@@ -73,3 +73,8 @@ def op7(spark, sf_dir):
 @register("op3_hmm")
 def op3(spark, sf_dir):
     return hmm.scores(read(spark, sf_dir, "documents"))
+
+
+@register("op9_toxicity")
+def op9(spark, sf_dir):
+    return toxicity.scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
