@@ -10,7 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, hmm, mixing, neighbours, ngram_join, pii, quality_rules, sharding, toxicity
+from . import (bpe, hmm, mixing, neighbours, ngram_join, pii, quality_classifier, quality_rules,
+               sharding, toxicity)
 from .mixing_sql import mix_sql
 from .tables import read
 
@@ -78,3 +79,8 @@ def op3(spark, sf_dir):
 @register("op9_toxicity")
 def op9(spark, sf_dir):
     return toxicity.scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@register("op10_quality")
+def op10(spark, sf_dir):
+    return quality_classifier.scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
