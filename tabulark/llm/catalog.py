@@ -48,7 +48,7 @@ def op5(spark, sf_dir):
 
 @register("op8_mixing", mix_sql())
 def op8(spark, sf_dir):
-    return mixing.plan(read(spark, sf_dir, "documents"))
+    return mixing.plan(read(spark, sf_dir, "documents")).drop("row_key")
 
 
 @register("op6_sharding")

@@ -41,14 +41,18 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def row_key(text: str) -> Column:
+    """64-bit name of a row's id and text."""
+    return F.xxhash64(F.col("doc_id").cast("string"), F.col(text).cast("string"))
+
+
 def sized(docs: DataFrame, seed: int, text: str = "text") -> DataFrame:
     """doc_id, source, size and the row's place marks in the seeded order."""
     body = F.col(text).cast("string")
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
                   .cast("binary"))
     rows = docs.select("doc_id", F.col("source").cast("string").alias("source"),
-                       n_words(body).alias("size"), order.alias("mark"),
-                       F.coalesce(F.crc32(body.cast("binary")), F.lit(-1).cast("long")).alias("tie"))
+                       n_words(body).alias("size"), order.alias("mark"), row_key(text).alias("tie"))
     return stored(rows, "mix-sizes")
 
 
@@ -68,7 +72,7 @@ def streams(sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = rows.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     p = parts.select(F.col("source").alias("p_source"), F.col("part").alias("p_part"), "ahead")
     rows = rows.join(p, rows["source"].eqNullSafe(p["p_source"]) & (rows["part"] == p["p_part"]))
-    placed = rows.select("doc_id", "source", "size", (F.col("ahead") + F.col("inside")).alias("before"))
+    placed = rows.select("doc_id", "source", "size", "tie", (F.col("ahead") + F.col("inside")).alias("before"))
     return placed, parts.groupBy("source").agg(F.sum("part_size").alias("source_size"))
 
 
@@ -135,11 +139,11 @@ def quotas(with_targets: DataFrame, block: int, shards: int) -> DataFrame:
 
 
 def plan(docs: DataFrame, seed: int = 1, block: int = 16, shards: int = 8,
-         weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
+         weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS, text: str = "text") -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, passes
     (whole copies taken), part (words taken once more from the front of the
-    text) and taken = passes * size + part."""
-    placed, sources = streams(sized(docs, seed))
+    text), taken = passes * size + part, and row_key."""
+    placed, sources = streams(sized(docs, seed, text))
     sources = targets(sources, weights, max_repeats)
     blocks = quotas(sources, block, shards).groupBy("source_no").agg(F.sum("blocks").alias("blocks"))
     want = F.least(F.col("blocks") * block, F.col("cap"))
@@ -155,4 +159,34 @@ def plan(docs: DataFrame, seed: int = 1, block: int = 16, shards: int = 8,
     part = F.greatest(F.lit(0), F.least(F.col("size"), room)).cast("long")
     return rows.withColumn("part", part).select(
         "doc_id", "source", "size", "source_size", "target", "passes", "part",
-        (F.col("passes") * F.col("size") + F.col("part")).alias("taken"))
+        (F.col("passes") * F.col("size") + F.col("part")).alias("taken"), F.col("tie").alias("row_key"))
+
+
+def first_words(text: Column, n: Column) -> Column:
+    """The text up to its n-th word, white space between them kept."""
+    blank = r"[\x20\x09-\x0D]"
+    pieces = F.split(F.regexp_replace(text, f"^{blank}+", ""), f"(?<={blank})(?=[^\\x20\\x09-\\x0D])")
+    return F.regexp_replace(F.array_join(F.slice(pieces, F.lit(1), n.cast("int")), ""), f"{blank}+$", "")
+
+
+def mixed(docs: DataFrame, text: str = "text", seed: int = 1, block: int = 16, shards: int = 8) -> DataFrame:
+    """The rows of the mix: every document as often as it is taken, the last time
+    perhaps its first words alone; columns as in ``docs``, with n_chars, where
+    there is one, counted again.  Rows equal in id and text are told apart by
+    their number, so each takes its own share."""
+    own = Window.partitionBy("row_key").orderBy("taken")
+    takes = plan(docs, seed, block, shards, text=text).select(
+        "row_key", "passes", "part", "size", "taken").filter("taken > 0")
+    takes = takes.withColumn("copy", F.row_number().over(own)).drop("taken")
+    takes = takes.toDF(*[f"__{c}" for c in takes.columns])
+    rows = docs.withColumn("__key", row_key(text))
+    rows = rows.withColumn("__copy_of", F.row_number().over(Window.partitionBy("__key").orderBy(F.lit(1))))
+    rows = rows.join(takes, (rows["__key"] == takes["__row_key"]) & (rows["__copy_of"] == takes["__copy"]))
+    body = F.col(text)
+    last = F.when(F.col("__part") == F.col("__size"), body).otherwise(first_words(body, F.col("__part")))
+    none = F.array().cast("array<string>")
+    copies = F.concat(F.array_repeat(body, F.col("__passes").cast("int")),
+                      F.when(F.col("__part") > 0, F.array(last)).otherwise(none))
+    rows = rows.withColumn("__text", F.explode(copies))
+    out = {text: F.col("__text")} | ({"n_chars": F.length("__text").cast("long")} if "n_chars" in docs.columns else {})
+    return rows.select(*[out[c].alias(c) if c in out else F.col(c) for c in docs.columns])
