@@ -5,8 +5,9 @@ round the hub takes, among the shards with room left, the one where most of its
 documents stand, and the documents standing where fewer do ask to move there.
 A shard's quota is the place it has left; requests are admitted by the number
 of documents that wait there, in whole lots, until the quota is used up.  Lots
-are small groups whole, or slices of a large group, so a group larger than a
-shard fills one shard after another instead of staying scattered.
+are small groups whole, or slices of a large group.  A shard that had to refuse
+counts as full from then on, so a group larger than a shard fills one shard
+after another instead of staying scattered.
 
 Unlinked documents then fill every shard to its size: law ``rows``, counts at
 most one apart.  Places are numbered without a window over a shard: rows are
@@ -110,11 +111,12 @@ def propagate(linked: DataFrame, room: list[int]) -> DataFrame:
     return moving.join(admitted, ["goal", "waits", "lot"], "left").select(
         "doc_id", "size", "text_crc32", "grp", "mark", "n_group",
         F.when(F.col("admitted"), F.col("goal")).otherwise(F.col("shard")).cast("int").alias("shard"),
-        F.coalesce("admitted", F.lit(False)).alias("moved"))
+        F.coalesce("admitted", F.lit(False)).alias("moved"),
+        F.when(F.col("admitted").isNull(), F.col("goal")).alias("refused"))
 
 
 def shard(docs: DataFrame, shards: int = 24, text: str = "text", seed: int = 7,
-          rounds: int = 6) -> DataFrame:
+          rounds: int = 12) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard for every row."""
     all_rows = stored(grouped(docs, text, seed), "shard-groups")
     n = all_rows.count()
@@ -122,12 +124,15 @@ def shard(docs: DataFrame, shards: int = 24, text: str = "text", seed: int = 7,
     linked = stored(all_rows.filter("n_group > 1").withColumn(
         "shard", F.pmod(F.xxhash64("mark"), F.lit(shards)).cast("int")), "shard-round")
     held = per_shard(linked, shards)
+    full: set[int] = set()  # shards that had to refuse: their quota is used up
     for _ in range(rounds):
-        room = [max(0, t - h) for t, h in zip(target, held)]
+        room = [0 if s in full else max(0, t - h) for s, (t, h) in enumerate(zip(target, held))]
         linked = stored(propagate(linked, room), "shard-round")
         held = per_shard(linked, shards)
-        if linked.filter("moved").isEmpty():
+        moved = linked.agg(F.count_if("moved").alias("n"), F.collect_set("refused").alias("by")).collect()[0]
+        if not moved["n"] and full.issuperset(moved["by"]):
             break
+        full.update(moved["by"])
     # Linked documents keep their shard up to its size; the others fill up.
     placed = stored(numbered(linked, ["shard"], n, "slot"), "shard-linked")
     fits = F.col("slot") < pick(target, F.col("shard"))
