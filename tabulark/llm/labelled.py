@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import fold, stored
+from .tables import fold, hashed_sample, stored
 
 FOLDS, HELD = 4, 2
 
@@ -15,9 +15,10 @@ def held_out() -> Column:
 
 
 def sample(labels: DataFrame, label: str, rows: int) -> DataFrame:
-    """(doc_id, label): at most ``rows`` labelled ids outside the held-out fold,
-    those with the least hash; ids labelled twice take the greater label."""
+    """(doc_id, label): about ``rows`` labelled ids outside the held-out fold
+    (twice as many at most), those with the least hash; ids labelled twice take
+    the greater label."""
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).filter(
         F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out())
-    known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
-    return stored(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows), "fit-labels")
+    known = stored(known.groupBy("doc_id").agg(F.max("label").alias("label")), "fit-known")
+    return stored(hashed_sample(known, rows, "doc_id"), "fit-labels")

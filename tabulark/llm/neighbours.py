@@ -13,7 +13,7 @@ the next projected distance is so large that, with probability
 A leaf is cut into blocks of about ``BLOCK`` points and the queries that visit
 it into lots of about ``BLOCK``, so a leaf full of one vector's copies, or one
 that all queries visit, is many small tasks.  Every vector is indexed; only
-the tree's cuts come from the sample (``SAMPLE`` rows with the least hash).
+the tree's cuts come from the sample (about ``SAMPLE`` rows with the least hash).
 
 Defined results: vectors that are null, all zero, hold null or non-finite
 components, or have another than the most common length take no part, nor do
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import stored
+from .tables import hashed_sample, stored
 
 DIMS = 8  # projected; even, for the closed form of the chi-square law
 BLOCK = 512
@@ -186,8 +186,7 @@ def nearest(vectors: DataFrame, queries, key: str = "vec_id", vector: str = "emb
     ratio = chi_square_quantile(confidence, DIMS)
     flat = stored(projected(rows, width, seed), "near-points")
     n = flat.count()
-    sample = flat.select("p", F.xxhash64("key").alias("h"), "key").orderBy("h", "key").limit(
-        SAMPLE).select("p").toArrow()
+    sample = hashed_sample(flat, SAMPLE, "key").select("p").toArrow()
     depth = max(0, math.ceil(math.log2(max(1, min(n / BLOCK, LEAVES, sample.num_rows / 8)))))
     tree = Tree(_matrix(sample["p"], DIMS), depth)
 

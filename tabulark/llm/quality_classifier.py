@@ -207,7 +207,7 @@ def fitted(training: DataFrame) -> tuple[Machine, np.ndarray, np.ndarray]:
 
 def scores(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, held_out, score and predicted of every document."""
-    # FIT_TEXTS rows at most, so the broadcast is bounded.
+    # 2 * FIT_TEXTS rows at most, so the broadcast is bounded.
     chosen = F.broadcast(sample(labels, "quality", FIT_TEXTS))
     rows = stored(measured(docs, text), "quality-stats")
     training = stored(rows.join(chosen, "doc_id").select("stats", "label"), "quality-fit")

@@ -25,3 +25,14 @@ def fold(folds: int, key: str = "doc_id") -> Column:
     """crc32 of the key as text, modulo ``folds``; a null key falls in fold 0."""
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % F.lit(folds),
                       F.lit(0).cast("long"))
+
+
+def hashed_sample(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """About ``rows`` rows, those with the least hash of ``keys``, and never more
+    than twice as many; all rows where there are no more than that.  A filter by
+    the hash, so no task gathers candidates of all others."""
+    n = df.count()
+    if n <= rows:
+        return df
+    place = F.xxhash64(*keys) / F.lit(2.0 ** 64) + 0.5
+    return df.filter(place < rows / n).limit(2 * rows)

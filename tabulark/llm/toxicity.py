@@ -252,7 +252,7 @@ def measured(docs: DataFrame, detector: Detector, text: str = "text") -> DataFra
 
 def scores(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, held_out, score and predicted of every document."""
-    # FIT_TEXTS rows at most, so the broadcast is bounded.
+    # 2 * FIT_TEXTS rows at most, so the broadcast is bounded.
     chosen = F.broadcast(sample(labels, "toxic", FIT_TEXTS))
     fit = stored(docs.select("doc_id", F.col(text).cast("string").alias("t")).join(chosen, "doc_id")
                  .select("t", "label"), "toxic-fit")
