@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import fold, stored
+from .tables import fold, hashed_sample, stored
 from .words import Words, chunks, hash_ranges, text_bytes
 
 STATES = 8
@@ -89,7 +89,17 @@ class Lexicon:
         self.texts = texts
         self.tokens = total["n"] + texts
         self.distinct = total["v"] + (texts > 0)
-        top = counts.orderBy(F.desc("c"), "word").limit(KNOWN).toArrow()
+        # Steps of the counts, so that the KNOWN most frequent words, or a little
+        # fewer, are a filter and no task sorts them all.
+        steps = counts.withColumn("step", F.floor(16 * F.log2("c")).cast("int"))
+        least, held = 16 * 64, 0
+        for r in sorted(steps.groupBy("step").agg(F.count(F.lit(1)).alias("n")).collect(),
+                        key=lambda r: -r["step"]):
+            if held + r["n"] > KNOWN:
+                break
+            least, held = r["step"], held + r["n"]
+        top = steps.filter(F.col("step") >= least).select("word", "class", "c").toArrow()
+        top = top.sort_by([("c", "descending"), ("word", "ascending")])
         word, c = top["word"].to_numpy(), top["c"].to_numpy()
         symbol = np.where(np.arange(len(word)) < OWN, np.arange(len(word)), OWN + top["class"].to_numpy())
         own = word[:OWN]
@@ -266,7 +276,7 @@ def _pass(sequences: list[np.ndarray], model: Model) -> np.ndarray:
 
 def start_model(train: DataFrame, share: np.ndarray) -> Model:
     """A model after some rounds over a bounded sample of training texts."""
-    some = train.orderBy(F.xxhash64("doc_id", "n_tokens"), "key").limit(START_TEXTS).select("symbols")
+    some = hashed_sample(train, START_TEXTS, "doc_id", "n_tokens").select("symbols")
 
     def run(batches):
         sequences = [s for batch in batches for s in _sequences(batch.column(0))]
@@ -276,7 +286,7 @@ def start_model(train: DataFrame, share: np.ndarray) -> Model:
             model = Model.from_counts(counts, share)
         yield pa.RecordBatch.from_arrays([pa.array([counts.tobytes()], pa.binary())], ["counts"])
 
-    # One task: the sample is START_TEXTS texts at most.
+    # One task: the sample is 2 * START_TEXTS texts at most.
     got = some.coalesce(1).mapInArrow(run, "counts binary").collect()
     counts = np.frombuffer(got[0]["counts"]).reshape(COUNTS, STATES) if got else np.zeros((COUNTS, STATES))
     return Model.from_counts(counts, share) if counts.any() else Model.start(share)
