@@ -55,22 +55,12 @@ SELECT oid AS id, order_key, order_status, rid AS restaurant_id, tid AS timestam
        uid AS user_id
 FROM dmo""")
 def q_dim_orders(spark, sf_dir):
-    return dds(spark, sf_dir)["dm_orders"]
+    return dds(spark, sf_dir)["dm_orders"].drop("order_month")
 
 
-# Payment lines numbered in (order, payment) order, grouped into events of at
-# most 64 numbers (the adapter's fixed block size).
-_SALES_POS = """s1 AS (
-  SELECT s.*, row_number() OVER (
-           ORDER BY s.l_orderkey, s.l_suppkey, CAST(s.l_partkey AS VARCHAR), s.price, s.cnt,
-                    s.total_sum, s.bonus_payment, s.bonus_grant) AS r
-  FROM sales s),
-s2 AS (
-  SELECT s1.*, r - min(r) OVER (PARTITION BY l_orderkey, l_suppkey, (r - 1) // 64) AS position,
-         min(r) OVER (PARTITION BY l_orderkey, l_suppkey, (r - 1) // 64) AS first_r
-  FROM s1)"""
-
-_EVENT_ID = "(SELECT max(event_id) + 1 FROM events) + s2.first_r"
+# Payment lines of an order in payment order; one event per order.
+_SALES_POS = O.SALES_POS
+_EVENT_ID = O.EVENT_ID
 
 
 @register("fct_product_sales", O.with_(O.SALES, O.REST, O.USERS, O.ORDER_KEYS, O.CALENDAR,
@@ -82,7 +72,7 @@ FROM s2
 JOIN prod p ON p.p_partkey = s2.l_partkey
 JOIN dmo d ON d.l_orderkey = s2.l_orderkey AND d.l_suppkey = s2.l_suppkey""")
 def q_fct_product_sales(spark, sf_dir):
-    return dds(spark, sf_dir)["fct_product_sales"]
+    return dds(spark, sf_dir)["fct_product_sales"].drop("order_month")
 
 
 @register("fct_deliveries", O.with_(O.DELIV, O.REST, O.USERS, O.ORDER_KEYS, O.CALENDAR,

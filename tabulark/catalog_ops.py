@@ -24,11 +24,11 @@ from .operators.dedupe import latest_per_key
 from .operators.quarantine import split_parsed
 from .plans import dims, facts, marts
 from .plans.dds import materialized_stg
-from .plans.incremental import run_increment
+from .plans.incremental import Warehouse, run_dds, run_stg
 from .session import configure, scratch_path
 from .sources import adapters, bookmarks, scans
 from .sources.driver import Tables
-from .sources.sinks import SnapshotTable, sink_append, sink_insert_ignore, sink_upsert
+from .sources.sinks import Table, sink_append, sink_insert_ignore, sink_upsert
 from .streaming.ingest import ingest_landed
 from pyspark.sql import types as T
 
@@ -136,19 +136,8 @@ _B2 = f"""b2 AS (
   FROM orders WHERE o_orderdate >= DATE '{SECOND_LOAD_START}')"""
 
 
-def _table(spark, name, partition_of=None) -> SnapshotTable:
-    return SnapshotTable(spark, scratch_path(spark, name), partition_of)
-
-
-# Upsert targets are laid out in a fixed number of key-hash buckets: a batch
-# rewrites only the buckets its keys fall in, and the commit's bucket map (and
-# the list of touched buckets a batch sends to the driver) stays bounded
-# however large the table grows.
-UPSERT_BUCKETS = 64
-
-
-def _buckets(col: str):
-    return F.pmod(F.xxhash64(F.col(col)), F.lit(UPSERT_BUCKETS))
+def _table(spark, name) -> Table:
+    return Table(spark, scratch_path(spark, name))
 
 
 @register("sink_append", O.with_(_B1, _B2) + "SELECT * FROM b1 UNION ALL SELECT * FROM b2")
@@ -172,7 +161,7 @@ SELECT * FROM fresh""")
 def q_sink_upsert_key(spark, sf_dir):
     """Upsert by business key; existing surrogate ids kept, new keys numbered after."""
     t = _t(spark, sf_dir)
-    table = _table(spark, "sink-upsert-key", _buckets("o_orderkey"))
+    table = _table(spark, "sink-upsert-key")
     sink_upsert(table, _orders_first(t), ["o_orderkey"], ["update_ts"], id_col="id")
     return sink_upsert(table, _orders_second(t), ["o_orderkey"], ["update_ts"], id_col="id")
 
@@ -206,7 +195,7 @@ UNION ALL SELECT * FROM e2""")
 def q_sink_upsert_id(spark, sf_dir):
     """Upsert by source id (outbox events, ranks, bonus users)."""
     t = _t(spark, sf_dir)
-    table = _table(spark, "sink-upsert-id", _buckets("id"))
+    table = _table(spark, "sink-upsert-id")
     sink_upsert(table, _events_first(t), ["id"])
     return sink_upsert(table, _events_second(t), ["id"])
 
@@ -264,17 +253,31 @@ def q_sink_replace_month(spark, sf_dir):
 
 # --- bookmarks ------------------------------------------------------------------------
 
-@register("bookmark_advance", """
-SELECT 'events_' || event_type AS workflow_key, max(event_id) AS last_loaded_id,
+@register("bookmark_advance", f"""
+SELECT 'events_' || event_type AS workflow_key, CAST(max(event_id) AS VARCHAR) AS value,
        count(*) AS batch_rows
-FROM events GROUP BY event_type""")
+FROM events GROUP BY event_type
+UNION ALL
+SELECT 'orders_documents', strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S'), count(*) FROM orders
+UNION ALL
+SELECT 'courier_pages', CAST({PAGE_OFFSET} + count(*) AS VARCHAR), count(*)
+FROM (SELECT * FROM customer ORDER BY c_custkey LIMIT {PAGE_SIZE} OFFSET {PAGE_OFFSET})""")
 def q_bookmark_advance(spark, sf_dir):
-    """New bookmark per outbox workflow (one per event type) after a full load:
-    ``max(id)`` of the batch and its size, one aggregate job."""
-    ev = scans.scan_cursor_id(_t(spark, sf_dir).events, "event_id", after=bookmarks.START_ID)
-    return (ev.groupBy(F.concat(F.lit("events_"), F.col("event_type")).alias("workflow_key"))
-            .agg(F.max("event_id").alias("last_loaded_id"),
-                 F.count(F.lit(1)).alias("batch_rows")))
+    """New bookmarks by all three rules: ``max(id)`` per outbox workflow,
+    ``max(update time)`` of documents, offset plus rows of a page."""
+    t = _t(spark, sf_dir)
+    ev = scans.scan_cursor_id(t.events, "event_id", after=bookmarks.START_ID)
+    ids = bookmarks.advance_max(ev, "event_id", "value", by=F.concat(
+        F.lit("events_"), F.col("event_type")).alias("workflow_key"))
+    docs = scans.scan_cursor(t.orders, "o_orderdate", "o_orderkey", ordered=False)
+    times = bookmarks.advance_max(docs, "o_orderdate", "value")
+    page = scans.scan_offset_page(t.customer, ["c_custkey"], PAGE_OFFSET, PAGE_SIZE)
+    offset = bookmarks.advance_offset(page, PAGE_OFFSET, "value")
+    return (ids.select("workflow_key", F.col("value").cast("string").alias("value"), "batch_rows")
+            .unionByName(times.select(F.lit("orders_documents").alias("workflow_key"),
+                                      F.date_format("value", D.DATETIME_FORMAT).alias("value"), "batch_rows"))
+            .unionByName(offset.select(F.lit("courier_pages").alias("workflow_key"),
+                                       F.col("value").cast("string").alias("value"), "batch_rows")))
 
 
 def _bookmark_rows(df: DataFrame) -> DataFrame:
@@ -500,7 +503,7 @@ def q_stream_ingest_upsert(spark, sf_dir):
     opts = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
     first.write.options(**opts).json(f"{landing}/drop-1")
     second.write.options(**opts).json(f"{landing}/drop-2")
-    table = _table(spark, "stream-target", _buckets("id"))
+    table = _table(spark, "stream-target")
     return ingest_landed(spark, f"{landing}/drop-*", _STREAM_SCHEMA, table, ["id"], ["update_ts"],
                          checkpoint=scratch_path(spark, "stream-ckpt"), files_per_batch=1,
                          options=opts)
@@ -540,7 +543,7 @@ def q_courier_ledger_minute_join(spark, sf_dir):
     return marts.courier_ledger_minute_join(deliveries, couriers, cal, ordered=False)
 
 
-# --- incremental dds load ----------------------------------------------------------------
+# --- incremental loads ----------------------------------------------------------------
 
 # Order ids after two incremental runs: first-run orders (before the cut-off)
 # numbered in key order, second-run orders numbered after them.
@@ -556,68 +559,208 @@ inc AS (SELECT id, order_key, order_status, restaurant_id, timestamp_id, user_id
         UNION ALL
         SELECT id, order_key, order_status, restaurant_id, timestamp_id, user_id FROM two)"""
 
+_ORDER_TABLES = ["dm_users", "dm_restaurants", "dm_timestamps", "dm_orders"]
+
+
+def _two_runs(spark, sf_dir, only: list[str] | None = None) -> Warehouse:
+    """A warehouse after two incremental runs: what arrived before the cut-off
+    (of the outbox, the lower half of the ids), then the rest.  Directory feeds
+    arrive whole in the first run."""
+    configure(spark)
+    stg = materialized_stg(spark, sf_dir)
+    wh = Warehouse(spark, scratch_path(spark, "dds-incremental"))
+    first = stg
+    if only is None or "fct_product_sales" in only:
+        half = stg["events"].agg(F.max("id")).collect()[0][0] // 2
+        first = {**stg.all(), "events": stg["events"].filter(F.col("id") <= half)}
+    run_dds(first, wh, until=FIRST_LOAD_END, only=only)
+    run_dds(stg, wh, only=only)
+    return wh
+
 
 @register("dds_incremental_orders", O.with_(O.REST, O.USERS, O.ORDER_KEYS, O.CALENDAR, _INC_ORDERS)
           + "SELECT * FROM inc")
 def q_dds_incremental_orders(spark, sf_dir):
-    """dm_orders loaded in two incremental runs from the stg order documents
-    (cursor up to the cut-off, then the rest); ids of the first run are kept and
-    the second run's orders are numbered after them."""
-    d = dds(spark, sf_dir)
-    stg = materialized_stg(spark, sf_dir)["orders"]
-    target = _table(spark, "dds-orders-inc")
-
-    def build(batch, waiting=None):
-        return dims.dim_orders(batch, d["dm_restaurants"], d["dm_timestamps"], d["dm_users"],
-                               pending=waiting, with_ids=False)
-
-    run_increment(stg, target, build, "order_key", until=FIRST_LOAD_END)
-    run_increment(stg, target, build, "order_key")
-    return target.read().select("id", "order_key", "order_status", "restaurant_id",
-                                "timestamp_id", "user_id")
+    """dm_orders after two incremental runs of the stg order documents (up to the
+    cut-off, then the rest), with the calendar loaded the same way; ids of the
+    first run are kept and the second run's orders are numbered after them."""
+    wh = _two_runs(spark, sf_dir, _ORDER_TABLES)
+    return wh.read("dm_orders").select("id", "order_key", "order_status", "restaurant_id",
+                                       "timestamp_id", "user_id")
 
 
 @register("dds_incremental_sales", O.with_(O.SALES, O.REST, O.USERS, O.ORDER_KEYS, O.CALENDAR,
-                                           O.PRODUCTS, _INC_ORDERS) + """,
-s1 AS (
-  SELECT s.*, row_number() OVER (
-           ORDER BY s.l_orderkey, s.l_suppkey, CAST(s.l_partkey AS VARCHAR), s.price, s.cnt,
-                    s.total_sum, s.bonus_payment, s.bonus_grant) AS r
-  FROM sales s),
-s2 AS (
-  SELECT s1.*, r - min(r) OVER (PARTITION BY l_orderkey, l_suppkey, (r - 1) // 64) AS position,
-         min(r) OVER (PARTITION BY l_orderkey, l_suppkey, (r - 1) // 64) AS first_r
-  FROM s1)
-SELECT (SELECT max(event_id) + 1 FROM events) + s2.first_r AS event_id,
-       CAST(s2.position AS INTEGER) AS position, p.pid AS product_id, inc.id AS order_id,
-       s2.cnt AS count, s2.price, s2.total_sum, s2.bonus_payment, s2.bonus_grant
+                                           O.PRODUCTS, _INC_ORDERS, O.SALES_POS) + f"""
+SELECT {O.EVENT_ID} AS event_id, CAST(s2.position AS INTEGER) AS position, p.pid AS product_id,
+       inc.id AS order_id, s2.cnt AS count, s2.price, s2.total_sum, s2.bonus_payment, s2.bonus_grant
 FROM s2
 JOIN prod p ON p.p_partkey = s2.l_partkey
 JOIN inc ON inc.order_key = CAST(s2.l_orderkey AS VARCHAR) || '-' || CAST(s2.l_suppkey AS VARCHAR)""")
 def q_dds_incremental_sales(spark, sf_dir):
     """Product sales loaded incrementally from the outbox by id cursor.
 
-    Run 1 sees only the orders loaded so far, so sales of later orders wait
-    in the pending table (instead of being skipped, Q10).  Run 2 loads the
-    remaining orders; the outbox has nothing new past the bookmark, but the
-    pending lines are retried and now resolve.  The result is the whole fact.
-    """
-    d = dds(spark, sf_dir)
-    stg = materialized_stg(spark, sf_dir)
-    orders_t = _table(spark, "dds-orders-inc")
-    sales_t = _table(spark, "dds-sales-inc")
-    waiting_t = _table(spark, "dds-sales-pending")
-
-    def build_orders(batch, waiting=None):
-        return dims.dim_orders(batch, d["dm_restaurants"], d["dm_timestamps"], d["dm_users"],
-                               pending=waiting, with_ids=False)
-
-    def build_sales(batch, waiting=None):
-        return facts.fct_product_sales(batch, orders_t.read(), d["dm_products"], pending=waiting)
-
-    sale_key = ["event_id", "position"]
-    for until in (FIRST_LOAD_END, None):
-        run_increment(stg["orders"], orders_t, build_orders, "order_key", until=until)
-        run_increment(stg["events"], sales_t, build_sales, sale_key, pending=waiting_t,
-                      cursor_col="id", key_col=None, id_col=None, mode="insert_ignore")
-    return sales_t.read()
+    Run 1 takes the first half of the outbox by id while only the orders before
+    the cut-off are loaded, so sales of later orders wait (instead of being
+    skipped, Q10).  Run 2 loads the other orders, takes the rest of the outbox
+    and retries the waiting lines.  The result is the whole fact."""
+    wh = _two_runs(spark, sf_dir, [*_ORDER_TABLES, "dm_products", "fct_product_sales"])
+    return wh.read("fct_product_sales").drop("order_month")
+
+
+@register("dds_incremental_deliveries", O.with_(O.DELIV, O.REST, O.USERS, O.ORDER_KEYS, O.CALENDAR,
+                                                _INC_ORDERS) + """
+SELECT d.delivery_id, inc.id AS order_id, d.order_ts, r.rid AS courier_id,
+       CAST(d.rate AS DECIMAL(2,1)) AS rate, d.dsum AS sum, d.tip AS tip_sum
+FROM deliv d JOIN inc ON inc.order_key = d.order_key JOIN rest r ON r.s_suppkey = d.l_suppkey""")
+def q_dds_incremental_deliveries(spark, sf_dir):
+    """Deliveries after two runs by (delivery time, id): shipped before the
+    cut-off, then the rest; each run has rows."""
+    wh = _two_runs(spark, sf_dir, ["dm_couriers", *_ORDER_TABLES, "fct_deliveries"])
+    return wh.read("fct_deliveries")
+
+
+@register("dds_incremental_all", O.with_(O.REST, O.USERS, O.ORDER_KEYS, O.CALENDAR, O.PRODUCTS,
+                                         _INC_ORDERS) + """
+SELECT 'dm_couriers' AS table_name, count(*) AS n_rows, max(rid) AS top, 0 AS waiting, 0 AS bad FROM rest
+UNION ALL SELECT 'dm_users', count(*), max(uid), 0, 0 FROM usr
+UNION ALL SELECT 'dm_restaurants', count(*), max(rid), 0, 0 FROM rest
+UNION ALL SELECT 'dm_timestamps', count(*), max(tid), 0, 0 FROM cal
+UNION ALL SELECT 'dm_products', count(*), max(pid), 0, 0 FROM prod
+UNION ALL SELECT 'dm_orders', count(*), max(id), 0, 0 FROM inc
+UNION ALL SELECT 'fct_product_sales', count(*), (SELECT max(id) FROM inc), 0, 0 FROM lineitem
+UNION ALL SELECT 'fct_deliveries', count(*), (SELECT max(id) FROM inc), 0, 0 FROM lineitem""")
+def q_dds_incremental_all(spark, sf_dir):
+    """Every dds table after two runs in build order: rows, largest id (or order
+    id of a fact), rows still waiting and rows rejected."""
+    wh = _two_runs(spark, sf_dir)
+
+    def size(table: Table):
+        rows = table.read()
+        return F.lit(0) if rows is None else F.lit(rows.count())
+
+    out = None
+    for name in wh.target:
+        rows = wh.read(name)
+        row = rows.agg(F.count(F.lit(1)).alias("n_rows"),
+                       F.max("id" if "id" in rows.columns else "order_id").alias("top")).select(
+            F.lit(name).alias("table_name"), "n_rows", "top", size(wh.pending[name]).cast("int").alias("waiting"),
+            size(wh.rejected[name]).cast("int").alias("bad"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+# Late parents: calendar rows and every other user come in the second run, and a
+# third of the orders get a newer document there.
+CALENDAR_FIRST_END = _dt.date(1996, 1, 1)
+
+_LATE = f"""k AS (
+  SELECT k.l_orderkey, k.order_key, k.order_status, r.rid AS restaurant_id, c.tid AS tid, u.uid AS uid,
+         CASE WHEN k.l_orderkey % 3 = 0 THEN 'DELIVERING' ELSE k.order_status END AS early,
+         k.o_custkey % 2 = 0 AS has_user, k.o_orderdate < DATE '{CALENDAR_FIRST_END}' AS has_day
+  FROM okeys k JOIN rest r ON r.s_suppkey = k.l_suppkey
+  JOIN usr u ON u.c_custkey = k.o_custkey LEFT JOIN cal c ON c.ts = k.o_orderdate),
+f AS (SELECT *, has_user AND (early = 'DELIVERING' OR has_day) AS first_run FROM k),
+ids AS (
+  SELECT *, CASE WHEN first_run THEN row_number() OVER (PARTITION BY first_run ORDER BY order_key)
+            ELSE (SELECT count(*) FROM f WHERE first_run)
+                 + row_number() OVER (PARTITION BY first_run ORDER BY order_key) END AS id
+  FROM f)"""
+
+
+@register("dds_incremental_late_parents", O.with_(O.REST, O.USERS, O.ORDER_KEYS, O.CALENDAR, _LATE) + """
+SELECT id, order_key, order_status, restaurant_id,
+       -- taken while in delivery, before the calendar had its day, and not sent again
+       CASE WHEN order_status = 'DELIVERING' AND l_orderkey % 3 <> 0 AND first_run AND NOT has_day
+            THEN NULL ELSE tid END AS timestamp_id
+FROM ids""")
+def q_dds_incremental_late_parents(spark, sf_dir):
+    """Orders whose user or calendar row, or newer document, comes in run 2: all
+    of them end in the table, in their newest version, with first-run ids kept."""
+    configure(spark)
+    stg = materialized_stg(spark, sf_dir).all()
+    wh = Warehouse(spark, scratch_path(spark, "dds-late"))
+    third = F.pmod(F.split_part("object_id", F.lit("-"), F.lit(1)).cast("long"), F.lit(3)) == 0
+    early = stg["orders"].withColumn("object_value", F.when(third, F.regexp_replace(
+        "object_value", '"final_status":"[A-Z]+"', '"final_status":"DELIVERING"')).otherwise(F.col("object_value")))
+    newer = stg["orders"].filter(third).withColumn("update_ts", F.col("update_ts") + F.expr("INTERVAL 100 YEARS"))
+    users = stg["users"].filter(F.pmod(F.col("object_id").cast("long"), F.lit(2)) == 0)
+    run_dds({**stg, "users": users}, wh, only=["dm_users", "dm_restaurants"])
+    run_dds(stg, wh, until=CALENDAR_FIRST_END, only=["dm_timestamps"])
+    run_dds({**stg, "orders": early}, wh, only=["dm_orders"])
+    late = stg["users"].filter(F.pmod(F.col("object_id").cast("long"), F.lit(2)) != 0).withColumn(
+        "update_ts", F.col("update_ts") + F.expr("INTERVAL 1 DAY"))
+    run_dds({**stg, "users": late}, wh, only=["dm_users", "dm_timestamps"])
+    run_dds({**stg, "orders": newer}, wh, only=["dm_orders"])
+    return wh.read("dm_orders").select("id", "order_key", "order_status", "restaurant_id", "timestamp_id")
+
+
+@register("dds_incremental_rejects", f"""
+WITH keys AS (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem)
+SELECT (SELECT max(event_id) + 1 FROM events)
+         + l_orderkey * (SELECT max(s_suppkey) + 1 FROM supplier) + l_suppkey AS event_id,
+       CASE WHEN l_orderkey % 5 = 0 THEN 'not json' ELSE 'missing order_id' END AS reason
+FROM keys WHERE l_orderkey % 5 IN (0, 1)""")
+def q_dds_incremental_rejects(spark, sf_dir):
+    """Outbox events that arrive cut short or with a renamed field: after two runs
+    each stands in the rejected table once, with its reason."""
+    configure(spark)
+    stg = materialized_stg(spark, sf_dir).all()
+    wh = Warehouse(spark, scratch_path(spark, "dds-rejects"))
+    order = F.split_part(F.get_json_object("event_value", "$.order_id"), F.lit("-"), F.lit(1)).cast("long")
+    kind = F.when(F.col("event_type") == facts.BONUS_TRANSACTION, F.pmod(order, F.lit(5)))
+    body = (F.when(kind == 0, F.expr("substring(event_value, 1, length(event_value) - 1)"))
+            .when(kind == 1, F.regexp_replace("event_value", '"order_id"', '"order"'))
+            .otherwise(F.col("event_value")))
+    events = stg["events"].withColumn("event_value", body)
+    feeds = {**stg, "events": events}
+    half = events.agg(F.max("id")).collect()[0][0] // 2
+    only = [*_ORDER_TABLES, "dm_products"]
+    run_dds(feeds, wh, only=only)
+    run_dds({**feeds, "events": events.filter(F.col("id") <= half)}, wh, only=["fct_product_sales"])
+    run_dds(feeds, wh, only=["fct_product_sales"])
+    rows = wh.rejected["fct_product_sales"].read()
+    return rows.select(F.get_json_object("body", "$.id").cast("bigint").alias("event_id"), "reason")
+
+
+# --- incremental stg loads ---------------------------------------------------------------
+
+@register("stg_ranks", """
+SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS name,
+       CAST(n_nationkey % 10 AS DECIMAL(19,5)) AS bonus_percent,
+       CAST(n_regionkey * 1000 AS DECIMAL(19,5)) AS min_payment_threshold
+FROM nation""")
+def q_stg_ranks(spark, sf_dir):
+    """Bonus ranks loaded by id cursor in two batches (S4), upserted by source id;
+    rows that break the source's CHECKs (percent and threshold not negative)
+    would not pass."""
+    table = _table(spark, "stg-ranks")
+    feed = adapters.bonus_ranks(_t(spark, sf_dir))
+    run_stg(feed, table, "id", "id", limit=10)
+    run_stg(feed, table, "id", "id")
+    return table.read().filter((F.col("bonus_percent") >= 0) & (F.col("min_payment_threshold") >= 0))
+
+
+@register("stg_bonus_users", """
+SELECT c_custkey AS id, CAST(c_custkey AS VARCHAR) AS order_user_id FROM customer""")
+def q_stg_bonus_users(spark, sf_dir):
+    """Bonus users loaded by id cursor, the source's batch size first."""
+    table = _table(spark, "stg-bonus-users")
+    feed = adapters.bonus_users(_t(spark, sf_dir))
+    run_stg(feed, table, "id", "id", limit=EVENT_BATCH)
+    run_stg(feed, table, "id", "id")
+    return table.read()
+
+
+@register("stg_incremental_orders", """
+SELECT DISTINCT CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_suppkey AS VARCHAR) AS object_id,
+       CAST(o.o_orderdate AS TIMESTAMP) AS update_ts
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey""")
+def q_stg_incremental_orders(spark, sf_dir):
+    """Order documents loaded by the (time, key) cursor: one batch of the source's
+    size, which cuts through equal times, then the rest (S1, S12)."""
+    configure(spark)
+    table = _table(spark, "stg-orders")
+    feed = materialized_stg(spark, sf_dir)["orders"]
+    run_stg(feed, table, limit=DOC_BATCH)
+    run_stg(feed, table)
+    return table.read().select("object_id", "update_ts")

@@ -10,7 +10,8 @@ Rule: ``id = start + row_number() over (order by natural key)``.  A global
    partition bounds are fixed before the write and the tags are stored);
 2. rows per range partition are counted from the written ``_p`` column (one
    number per partition reaches the driver);
-3. id = start + rows in earlier partitions + ``_l`` + 1, a projection.
+3. id = start + rows in earlier partitions + ``_l`` + 1, a map-side join with
+   one row per range partition.
 
 The natural key must be unique; callers dedupe first.
 """
@@ -49,22 +50,15 @@ def assign_dense_ids(df: DataFrame, order_by: list[str | Column], id_col: str =
                      start: int | Column = 0, num_partitions: int | None = None) -> DataFrame:
     """Add ``id_col`` = start + 1-based rank of each row in ``order_by`` order."""
     fixed = range_tagged(df, order_by, num_partitions, name="ids")
+    # One row a range partition: rows in earlier partitions, a small table that
+    # the planner broadcasts.
     counts = fixed.groupBy("_p").agg(F.count(F.lit(1)).alias("n")).collect()
-    per_part = {int(r["_p"]): int(r["n"]) for r in counts}
-    offsets, running = [], 0
-    for p in range(max(per_part, default=-1) + 1):
-        offsets.append(running)
-        running += per_part.get(p, 0)
-    offset = (F.element_at(F.array(*[F.lit(o) for o in offsets]), (F.col("_p") + 1).cast("int"))
-              if offsets else F.lit(0))
+    earlier, running = [], 0
+    for r in sorted(counts, key=lambda r: r["_p"]):
+        earlier.append((int(r["_p"]), running))
+        running += int(r["n"])
+    offsets = fixed.sparkSession.createDataFrame(earlier, "_p int, _before long")
     start_col = start if isinstance(start, Column) else F.lit(int(start))
-    out = fixed.withColumn(id_col, (start_col + offset + F.col("_l") + 1).cast("long")).drop("_p", "_l")
+    out = fixed.join(F.broadcast(offsets), "_p").withColumn(
+        id_col, (start_col + F.col("_before") + F.col("_l") + 1).cast("long")).drop("_p", "_l", "_before")
     return out.select(id_col, *[c for c in out.columns if c != id_col])
-
-
-def next_ids_after(existing: DataFrame | None, id_col: str = "id") -> int:
-    """``max(id)`` of a loaded table (0 when empty): the start for new rows."""
-    if existing is None:
-        return 0
-    row = existing.agg(F.max(id_col).alias("m")).collect()[0]
-    return int(row["m"] or 0)

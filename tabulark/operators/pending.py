@@ -25,9 +25,3 @@ def resolve(rows: DataFrame, parent: DataFrame, row_key: str, parent_key: str,
     resolved = joined.filter(F.col(out_col).isNotNull())
     waiting = joined.filter(F.col(out_col).isNull()).drop(out_col)
     return resolved, waiting
-
-
-def orphans(rows: DataFrame, parent: DataFrame, row_key: str, parent_key: str) -> DataFrame:
-    """Rows with no parent (anti join)."""
-    p = parent.select(F.col(parent_key).alias("_pk"))
-    return rows.join(p, rows[row_key] == p["_pk"], "left_anti")

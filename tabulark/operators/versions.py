@@ -25,8 +25,14 @@ from .ids import range_tagged
 
 
 def close_versions(df: DataFrame, key: str, start_col: str, end_col: str = "active_to",
-                   open_end: Column | None = None, num_partitions: int | None = None) -> DataFrame:
-    """Add ``end_col``: the next version's ``start_col`` for the same key, or open."""
+                   open_end: Column | None = None, num_partitions: int | None = None,
+                   same: list[str] | None = None) -> DataFrame:
+    """Add ``end_col``: the next version's ``start_col`` for the same key, or open.
+
+    With ``same``, a version equal in these columns to the one before it is no
+    change and goes first (the first of equal neighbours stays)."""
+    if same:
+        df = _changes(df, key, start_col, same, num_partitions)
     fixed = range_tagged(df, [key, start_col], num_partitions, name="versions")
 
     firsts = (fixed.groupBy("_p")
@@ -57,3 +63,21 @@ def close_versions(df: DataFrame, key: str, start_col: str, end_col: str = "acti
     end = open_end if open_end is not None else ts_lit(OPEN_END)
     out = fixed.withColumn(end_col, F.when(next_k == F.col(key), next_t).otherwise(end))
     return out.drop("_p", "_l")
+
+
+def _changes(df: DataFrame, key: str, start_col: str, same: list[str],
+             num_partitions: int | None) -> DataFrame:
+    """Rows that differ in ``same`` from the row before them, per key by time."""
+    fixed = range_tagged(df, [key, start_col], num_partitions, name="changes")
+    state = F.struct(F.col(key).alias("k"), *[F.col(c) for c in same])
+    lasts = {int(r["_p"]): r["last"] for r in fixed.groupBy("_p").agg(
+        F.max_by(F.xxhash64(state), F.col("_l")).alias("last")).collect()}
+    # The last state of the range partition before, one number each.
+    before, order = [], sorted(lasts)
+    for p, q in zip(order, order[1:]):
+        before.append((q, lasts[p]))
+    edges = fixed.sparkSession.createDataFrame(before, "_p int, _edge long")
+    w = Window.partitionBy("_p").orderBy("_l")
+    told = fixed.withColumn("_state", F.xxhash64(state)).join(F.broadcast(edges), "_p", "left")
+    told = told.withColumn("_prior", F.coalesce(F.lag("_state").over(w), F.col("_edge")))
+    return told.filter(F.col("_prior").isNull() | (F.col("_prior") != F.col("_state"))).select(*df.columns)

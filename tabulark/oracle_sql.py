@@ -62,6 +62,17 @@ SALES = """sales AS (
               AS DECIMAL(19,5)) AS bonus_grant
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)"""
 
+SALES_POS = """s2 AS (
+  SELECT s.*, row_number() OVER (
+           PARTITION BY s.l_orderkey, s.l_suppkey
+           ORDER BY CAST(s.l_partkey AS VARCHAR), s.price, s.cnt, s.total_sum, s.bonus_payment,
+                    s.bonus_grant) - 1 AS position
+  FROM sales s)"""
+
+# One event per order: above the events table's ids, from the order's own keys.
+EVENT_ID = """(SELECT max(event_id) + 1 FROM events)
+  + s2.l_orderkey * (SELECT max(s_suppkey) + 1 FROM supplier) + s2.l_suppkey"""
+
 RATE = """CAST(CASE l.l_suppkey % 4
            WHEN 0 THEN 1 + (l.l_orderkey + l.l_linenumber) % 5
            WHEN 1 THEN CASE WHEN (l.l_orderkey + l.l_linenumber) % 4 = 0 THEN 5 ELSE 4 END

@@ -21,33 +21,42 @@ from . import dims, facts
 DDS_TABLES = ["dm_couriers", "dm_users", "dm_restaurants", "dm_timestamps", "dm_products",
               "dm_orders", "fct_product_sales", "fct_deliveries"]
 
-STG_FEEDS = ["orders", "restaurants", "users", "events", "couriers", "deliveries"]
+STG_FEEDS = ["orders", "restaurants", "users", "events", "couriers", "deliveries", "ranks", "bonus_users"]
 
-# Facts stored by order month, so month filters prune whole folders; rows are
-# range-partitioned on (month, courier) before the write, so a busy month is
-# spread over several writers.
+# Orders and facts are stored by order month, so month filters prune whole
+# folders.  The write is rebalanced by month: small months share a writer and a
+# busy one is split among several, whatever courier or order fills it.
 PARTITION_BY = {
-    "fct_deliveries": ("order_month", lambda: F.trunc("order_ts", "month"), ["courier_id"]),
+    "dm_orders": ("order_month", None),
+    "fct_product_sales": ("order_month", None),
+    "fct_deliveries": ("order_month", lambda: F.trunc("order_ts", "month")),
 }
 
 _BUILT: dict[tuple[str, str], dict[str, DataFrame]] = {}
 _STG: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
-def build_dds(feeds: dict[str, DataFrame]) -> dict[str, dims.Built]:
-    """Plan every dds table from stg feeds (dimensions get ids eagerly)."""
+def build_dds(spark: SparkSession, feeds: dict[str, DataFrame]) -> dict[str, dims.Built]:
+    """Every dds table from stg feeds, written in build order; with the rows
+    that wait for a parent and those rejected, written too."""
     out: dict[str, dims.Built] = {}
-    out["dm_couriers"] = dims.dim_couriers(feeds["couriers"])
-    out["dm_users"] = dims.dim_users(feeds["users"])
-    out["dm_restaurants"] = dims.dim_restaurants(feeds["restaurants"])
-    out["dm_timestamps"] = dims.dim_timestamps(feeds["orders"])
-    out["dm_products"] = dims.dim_products(feeds["restaurants"], out["dm_restaurants"].table)
-    out["dm_orders"] = dims.dim_orders(feeds["orders"], out["dm_restaurants"].table,
-                                       out["dm_timestamps"].table, out["dm_users"].table)
-    out["fct_product_sales"] = facts.fct_product_sales(feeds["events"], out["dm_orders"].table,
-                                                       out["dm_products"].table)
-    out["fct_deliveries"] = facts.fct_deliveries(feeds["deliveries"], out["dm_orders"].table,
-                                                 out["dm_couriers"].table)
+
+    def put(name: str, built: dims.Built) -> DataFrame:
+        def kept(df, what):
+            return None if df is None else _written(spark, df, f"dds-{name}-{what}")
+
+        out[name] = dims.Built(_written(spark, built.table, f"dds-{name}", PARTITION_BY.get(name)),
+                               kept(built.rejected, "rejected"), kept(built.pending, "pending"))
+        return out[name].table
+
+    couriers = put("dm_couriers", dims.dim_couriers(feeds["couriers"]))
+    users = put("dm_users", dims.dim_users(feeds["users"]))
+    restaurants = put("dm_restaurants", dims.dim_restaurants(feeds["restaurants"]))
+    calendar = put("dm_timestamps", dims.dim_timestamps(feeds["orders"]))
+    products = put("dm_products", dims.dim_products(feeds["restaurants"], restaurants))
+    orders = put("dm_orders", dims.dim_orders(feeds["orders"], restaurants, calendar, users))
+    put("fct_product_sales", facts.fct_product_sales(feeds["events"], orders, products))
+    put("fct_deliveries", facts.fct_deliveries(feeds["deliveries"], orders, couriers))
     return out
 
 
@@ -77,10 +86,9 @@ class Lazy(dict):
 def _written(spark: SparkSession, df: DataFrame, name: str, partition=None) -> DataFrame:
     path = scratch_path(spark, name)
     if partition:
-        col, expr, cluster = partition
-        n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-        (df.withColumn(col, expr()).repartitionByRange(n, col, *cluster)
-         .write.mode("overwrite").partitionBy(col).parquet(path))
+        col, expr = partition
+        df = df.withColumn(col, expr()) if expr else df
+        df.hint("rebalance", F.col(col)).write.mode("overwrite").partitionBy(col).parquet(path)
     else:
         df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
@@ -114,8 +122,7 @@ def materialized_stg(spark: SparkSession, sf_dir: str) -> Lazy:
 def materialized_dds(spark: SparkSession, sf_dir: str) -> Lazy:
     """dds tables of a driver folder, each built (and written) on first use.
 
-    Dimensions are files already (the id assignment wrote them; ids are a
-    projection over the stored partition tags); facts are written here.
+    Every table is written with its ids, so marts read plain columns.
     """
     configure(spark)
     key = (spark.sparkContext.applicationId, sf_dir)
@@ -123,19 +130,19 @@ def materialized_dds(spark: SparkSession, sf_dir: str) -> Lazy:
         return _BUILT[key]
     stg = materialized_stg(spark, sf_dir)
     builders = {
-        "dm_couriers": lambda t: dims.dim_couriers(stg["couriers"]).table,
-        "dm_users": lambda t: dims.dim_users(stg["users"]).table,
-        "dm_restaurants": lambda t: dims.dim_restaurants(stg["restaurants"]).table,
-        "dm_timestamps": lambda t: dims.dim_timestamps(stg["orders"]).table,
-        "dm_products": lambda t: dims.dim_products(stg["restaurants"], t["dm_restaurants"]).table,
+        "dm_couriers": lambda t: dims.dim_couriers(stg["couriers"]),
+        "dm_users": lambda t: dims.dim_users(stg["users"]),
+        "dm_restaurants": lambda t: dims.dim_restaurants(stg["restaurants"]),
+        "dm_timestamps": lambda t: dims.dim_timestamps(stg["orders"]),
+        "dm_products": lambda t: dims.dim_products(stg["restaurants"], t["dm_restaurants"]),
         "dm_orders": lambda t: dims.dim_orders(stg["orders"], t["dm_restaurants"],
-                                               t["dm_timestamps"], t["dm_users"]).table,
-        "fct_product_sales": lambda t: _written(
-            spark, facts.fct_product_sales(stg["events"], t["dm_orders"], t["dm_products"]).table,
-            "dds-fct_product_sales"),
-        "fct_deliveries": lambda t: _written(
-            spark, facts.fct_deliveries(stg["deliveries"], t["dm_orders"], t["dm_couriers"]).table,
-            "dds-fct_deliveries", PARTITION_BY["fct_deliveries"]),
+                                               t["dm_timestamps"], t["dm_users"]),
+        "fct_product_sales": lambda t: facts.fct_product_sales(stg["events"], t["dm_orders"],
+                                                               t["dm_products"]),
+        "fct_deliveries": lambda t: facts.fct_deliveries(stg["deliveries"], t["dm_orders"],
+                                                         t["dm_couriers"]),
     }
+    builders = {name: lambda t, name=name, build=build: _written(
+        spark, build(t).table, f"dds-{name}", PARTITION_BY.get(name)) for name, build in builders.items()}
     _BUILT[key] = Lazy(builders)
     return _BUILT[key]

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from ..functions.dates import OPEN_END, calendar_parts, parse_ts, ts_lit
 from ..operators.dedupe import latest_per_key
 from ..operators.ids import assign_dense_ids
-from ..operators.joins import bounded_broadcast
 from ..operators.pending import resolve
 from ..operators.quarantine import split_parsed
 from ..operators.versions import close_versions
@@ -38,15 +37,23 @@ def _open_end():
     return ts_lit(OPEN_END)
 
 
-def dim_users(stg_users: DataFrame, start: int = 0) -> Built:
+def _numbered(rows: DataFrame, keys: list[str], start: int, with_ids: bool) -> DataFrame:
+    """Rows with dense ids in key order; without, ids are left to the sink."""
+    return assign_dense_ids(rows, keys, start=start) if with_ids else rows
+
+
+def dim_users(stg_users: DataFrame, start: int = 0, with_ids: bool = True) -> Built:
     good, bad = split_parsed(stg_users, "object_value", S.USER_BODY, ["_id"])
     rows = good.select(F.col("body._id").alias("user_id"), F.col("body.name").alias("user_name"),
                        F.col("body.login").alias("user_login"), "update_ts")
-    latest = latest_per_key(rows, ["user_id"], ["update_ts"]).drop("update_ts")
-    return Built(assign_dense_ids(latest, ["user_id"], start=start), rejected=bad)
+    latest = latest_per_key(rows, ["user_id"], ["update_ts"])
+    if not with_ids:
+        return Built(latest, rejected=bad)  # update_ts stays, for the merge
+    return Built(assign_dense_ids(latest.drop("update_ts"), ["user_id"], start=start), rejected=bad)
 
 
-def dim_restaurants(stg_restaurants: DataFrame, start: int = 0, versions: bool = False) -> Built:
+def dim_restaurants(stg_restaurants: DataFrame, start: int = 0, versions: bool = False,
+                    with_ids: bool = True) -> Built:
     """One open version per restaurant (default, as the source system keeps
     it), or with ``versions`` every document version, each closed where the
     next one begins (Q15)."""
@@ -57,16 +64,20 @@ def dim_restaurants(stg_restaurants: DataFrame, start: int = 0, versions: bool =
     if versions:
         per_version = latest_per_key(rows.filter(F.col("active_from").isNotNull()),
                                      ["restaurant_id", "active_from"], ["update_ts"]).drop("update_ts")
-        table = close_versions(per_version, "restaurant_id", "active_from")
+        table = close_versions(per_version, "restaurant_id", "active_from", same=["restaurant_name"])
         return Built(assign_dense_ids(table, ["restaurant_id", "active_from"], start=start),
                      rejected=bad)
-    latest = latest_per_key(rows, ["restaurant_id"], ["update_ts"]).drop("update_ts")
+    latest = latest_per_key(rows, ["restaurant_id"], ["update_ts"])
     table = latest.withColumn("active_to", _open_end())
+    if not with_ids:
+        return Built(table, rejected=bad)
+    table = table.drop("update_ts")
     return Built(assign_dense_ids(table, ["restaurant_id"], start=start), rejected=bad)
 
 
 def dim_products(stg_restaurants: DataFrame, restaurants: DataFrame, start: int = 0,
-                 versions: bool = False) -> Built:
+                 versions: bool = False, pending: DataFrame | None = None,
+                 with_ids: bool = True) -> Built:
     """Products from the menu arrays of the latest restaurant documents, or
     with ``versions`` one version per product and menu change, each closed
     where the next begins (Q15); lookups use the open version (P6)."""
@@ -80,21 +91,24 @@ def dim_products(stg_restaurants: DataFrame, restaurants: DataFrame, start: int
                         F.col("m.price").alias("product_price"), "active_from",
                         F.col("object_id").alias("restaurant_key"))
     rows = rows.filter(F.col("product_id").isNotNull())
+    rows = rows if pending is None else rows.unionByName(pending)
     version_key = ["product_id", "active_from"] if versions else ["product_id"]
     latest = latest_per_key(rows, version_key, ["active_from"] if not versions else
                             ["product_name"])
-    r = bounded_broadcast(restaurants.filter(F.col("active_to") == _open_end())
-                          .select("restaurant_id", F.col("id").alias("r_id")))
+    r = (restaurants.filter(F.col("active_to") == _open_end())
+         .select("restaurant_id", F.col("id").alias("r_id")))
     resolved, waiting = resolve(latest, r, "restaurant_key", "restaurant_id", "r_id", "restaurant_id")
     resolved = resolved.drop("restaurant_key")
-    table = (close_versions(resolved, "product_id", "active_from") if versions
+    table = (close_versions(resolved, "product_id", "active_from",
+                            same=["product_name", "product_price", "restaurant_id"]) if versions
              else resolved.withColumn("active_to", _open_end()))
     table = table.select("product_id", "product_name", "product_price", "active_from", "active_to",
                          "restaurant_id")
-    return Built(assign_dense_ids(table, version_key, start=start), rejected=bad, pending=waiting)
+    return Built(_numbered(table, version_key, start, with_ids), rejected=bad, pending=waiting)
 
 
-def dim_timestamps(stg_orders: DataFrame, start: int = 0, ts_field: str = "ts_date") -> Built:
+def dim_timestamps(stg_orders: DataFrame, start: int = 0, ts_field: str = "ts_date",
+                   with_ids: bool = True) -> Built:
     """Calendar of closed and cancelled orders, one row per distinct time."""
     good, bad = split_parsed(stg_orders, "object_value", S.ORDER_BODY, ["_id"])
     ts = (good.filter(F.col("body.final_status").isin(CALENDAR_STATUSES))
@@ -102,41 +116,51 @@ def dim_timestamps(stg_orders: DataFrame, start: int = 0, ts_field: str = "ts_da
           .filter(F.col("ts").isNotNull()).distinct())
     parts = calendar_parts("ts")
     table = ts.select("ts", *[v.alias(k) for k, v in parts.items()])
-    return Built(assign_dense_ids(table, ["ts"], start=start), rejected=bad)
+    return Built(_numbered(table, ["ts"], start, with_ids), rejected=bad)
 
 
 def dim_orders(stg_orders: DataFrame, restaurants: DataFrame, timestamps: DataFrame,
                users: DataFrame, start: int = 0, ts_field: str = "update_ts",
                pending: DataFrame | None = None, with_ids: bool = True) -> Built:
-    """Orders with surrogate parents.  A missing restaurant or user makes the
-    order pending; a missing calendar entry leaves ``timestamp_id`` null
-    (the column is nullable: orders still in delivery have none)."""
+    """Orders with surrogate parents, the newest document per order.
+
+    A missing restaurant or user makes the order pending, and so does a
+    missing calendar row of a closed or cancelled order (Q8); an order still in
+    delivery has none, and its ``timestamp_id`` is null.  Waiting rows keep
+    ``update_ts`` and compete with newer documents of their order.  Without ids
+    the table keeps ``update_ts`` too, for the merge; ``order_month`` is the
+    month of the order's time.
+    """
     good, bad = split_parsed(stg_orders, "object_value", S.ORDER_BODY, ["_id", "final_status"])
     rows = good.select(F.col("body._id").alias("order_key"),
                        F.col("body.final_status").alias("order_status"),
                        F.col("body.restaurant.id").alias("restaurant_key"),
                        F.col("body.user.id").alias("user_key"),
                        parse_ts(f"body.{ts_field}").alias("order_ts"), "update_ts")
-    latest = latest_per_key(rows, ["order_key"], ["update_ts"]).drop("update_ts")
+    rows = rows if pending is None else rows.unionByName(pending)
+    latest = latest_per_key(rows, ["order_key"], ["update_ts"])
     if "active_to" in restaurants.columns:  # versioned: look up the open version (P6)
         restaurants = restaurants.filter(F.col("active_to") == _open_end())
-    r = bounded_broadcast(restaurants.select("restaurant_id", F.col("id").alias("r_id")))
-    u = users.select("user_id", F.col("id").alias("u_id"))
-    t = bounded_broadcast(timestamps.select(F.col("ts").alias("t_ts"), F.col("id").alias("timestamp_id")))
-    step, wait_r = resolve(latest, r, "restaurant_key", "restaurant_id", "r_id", "restaurant_id",
-                           pending=pending)
-    step, wait_u = resolve(step, u, "user_key", "user_id", "u_id", "user_id")
-    step = step.join(t, step["order_ts"] == t["t_ts"], "left").drop("t_ts")
-    table = step.select("order_key", "order_status", "restaurant_id", "timestamp_id", "user_id")
-    waiting = wait_r.unionByName(wait_u.drop("restaurant_id"))
-    if not with_ids:
-        return Built(table, rejected=bad, pending=waiting)
-    return Built(assign_dense_ids(table, ["order_key"], start=start), rejected=bad, pending=waiting)
-
-
-def dim_couriers(stg_couriers: DataFrame, start: int = 0) -> Built:
+    r = restaurants.select(F.col("restaurant_id").alias("r_key"), F.col("id").alias("restaurant_id"))
+    u = users.select(F.col("user_id").alias("u_key"), F.col("id").alias("user_id"))
+    t = timestamps.select(F.col("ts").alias("t_ts"), F.col("id").alias("timestamp_id"))
+    met = (latest.join(r, latest["restaurant_key"] == r["r_key"], "left")
+           .join(u, F.col("user_key") == F.col("u_key"), "left")
+           .join(t, F.col("order_ts") == F.col("t_ts"), "left"))
+    dated = F.col("order_status").isin(CALENDAR_STATUSES)
+    waits = (F.col("restaurant_id").isNull() | F.col("user_id").isNull()
+             | (dated & F.col("timestamp_id").isNull()))
+    waiting = met.filter(waits).select(*rows.columns)
+    table = met.filter(~waits).select(
+        "order_key", "order_status", "restaurant_id", "timestamp_id", "user_id",
+        F.trunc("order_ts", "month").alias("order_month"), *([] if with_ids else ["update_ts"]))
+    return Built(_numbered(table, ["order_key"], start, with_ids), rejected=bad, pending=waiting)
+
+
+def dim_couriers(stg_couriers: DataFrame, start: int = 0, with_ids: bool = True) -> Built:
     rows = stg_couriers.select(F.col("_id").alias("courier_id"), F.col("name").alias("courier_name"))
-    bad = rows.filter(F.col("courier_id").isNull() | F.col("courier_name").isNull())
+    bad = rows.filter(F.col("courier_id").isNull() | F.col("courier_name").isNull()).withColumn(
+        "reason", F.lit("missing id or name"))
     rows = rows.filter(F.col("courier_id").isNotNull() & F.col("courier_name").isNotNull())
     latest = latest_per_key(rows, ["courier_id"], ["courier_name"])
-    return Built(assign_dense_ids(latest, ["courier_id"], start=start), rejected=bad)
+    return Built(_numbered(latest, ["courier_id"], start, with_ids), rejected=bad)

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import OPEN_END, ts_lit
 from ..operators.dedupe import latest_per_key
-from ..operators.joins import bounded_broadcast
 from ..operators.pending import resolve
 from ..operators.quarantine import split_parsed
 from ..sources.scans import scan_cursor_typed
@@ -42,14 +41,18 @@ def sale_rows(events: DataFrame, after_id: int | None = None) -> tuple[DataFrame
 def fct_product_sales(events: DataFrame, orders: DataFrame, products: DataFrame,
                       after_id: int | None = None, pending: DataFrame | None = None) -> Built:
     lines, bad = sale_rows(events, after_id)
-    o = orders.select("order_key", F.col("id").alias("o_id"))
+    # The order's month comes along, so that a day's report reads a month's sales.
+    dated = "order_month" in orders.columns
+    ref = F.struct(F.col("id"), *([F.col("order_month")] if dated else []))
+    o = orders.select("order_key", ref.alias("o_ref"))
     current = products.filter(F.col("active_to") == ts_lit(OPEN_END))
-    p = bounded_broadcast(current.select("product_id", F.col("id").alias("p_id")))
-    step, wait_o = resolve(lines, o, "order_key", "order_key", "o_id", "order_id", pending=pending)
+    p = current.select("product_id", F.col("id").alias("p_id"))
+    step, wait_o = resolve(lines, o, "order_key", "order_key", "o_ref", "order", pending=pending)
     step, wait_p = resolve(step, p, "product_key", "product_id", "p_id", "product_id")
-    table = step.select("event_id", "position", "product_id", "order_id", "count", "price",
-                        "total_sum", "bonus_payment", "bonus_grant")
-    waiting = wait_o.unionByName(wait_p.drop("order_id"))
+    table = step.select("event_id", "position", "product_id", F.col("order.id").alias("order_id"), "count",
+                        "price", "total_sum", "bonus_payment", "bonus_grant",
+                        *([F.col("order.order_month").alias("order_month")] if dated else []))
+    waiting = wait_o.unionByName(wait_p.drop("order"))
     return Built(table, rejected=bad, pending=waiting)
 
 
@@ -57,15 +60,19 @@ def fct_deliveries(stg_deliveries: DataFrame, orders: DataFrame, couriers: DataF
                    pending: DataFrame | None = None) -> Built:
     """Deliveries with surrogate order and courier; replays collapse on delivery_id."""
     rows = stg_deliveries.select("delivery_id", F.col("order_id").alias("order_key"), "order_ts",
-                                 F.col("courier_id").alias("courier_key"),
-                                 F.col("rate").cast("decimal(2,1)").alias("rate"),
-                                 "sum", "tip_sum")
-    bad = rows.filter(F.col("delivery_id").isNull() | F.col("order_ts").isNull())
-    rows = rows.filter(F.col("delivery_id").isNotNull() & F.col("order_ts").isNotNull())
+                                 F.col("courier_id").alias("courier_key"), F.col("rate").alias("given"),
+                                 F.col("rate").try_cast("decimal(2,1)").alias("rate"), "sum", "tip_sum")
+    reason = (F.when(F.col("delivery_id").isNull(), F.lit("missing delivery_id"))
+              .when(F.col("order_ts").isNull(), F.lit("missing order_ts"))
+              .when(F.col("given").isNotNull() & F.col("rate").isNull(), F.lit("rating out of range")))
+    tagged = rows.withColumn("reason", reason)
+    bad = tagged.filter(F.col("reason").isNotNull()).drop("rate").withColumnRenamed("given", "rate")
+    rows = tagged.filter(F.col("reason").isNull()).drop("reason", "given")
+    rows = rows if pending is None else rows.unionByName(pending)
     latest = latest_per_key(rows, ["delivery_id"], ["order_ts"])
     o = orders.select("order_key", F.col("id").alias("o_id"))
-    c = bounded_broadcast(couriers.select("courier_id", F.col("id").alias("c_id")))
-    step, wait_o = resolve(latest, o, "order_key", "order_key", "o_id", "order_id", pending=pending)
+    c = couriers.select("courier_id", F.col("id").alias("c_id"))
+    step, wait_o = resolve(latest, o, "order_key", "order_key", "o_id", "order_id")
     step, wait_c = resolve(step, c, "courier_key", "courier_id", "c_id", "courier_id")
     table = step.select("delivery_id", "order_id", "order_ts", "courier_id", "rate", "sum", "tip_sum")
     waiting = wait_o.unionByName(wait_c.drop("order_id"))

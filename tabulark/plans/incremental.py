@@ -1,26 +1,30 @@
 """Incremental loads: cursor scan -> build rows -> upsert -> bookmark.
 
-The source system loads every few minutes from a saved bookmark.  Here one
-run scans the stg feed past the bookmark (pair cursor, so ties at a cut are
-not lost), builds the batch's rows with the same builders as a full load,
-upserts them into the target table (existing surrogate ids kept, new keys
-numbered after the largest id) and writes the new bookmark in the same
-commit as the data: a failed run leaves both unchanged, a repeated run finds
-nothing new.  Rows whose parent is missing wait in a pending table and are
-retried by the next run.
+One run scans the stg feed past the bookmark (pair cursor, so ties at a cut are
+not lost), builds the batch's rows with the same builders as a full load, and
+writes them with the new bookmark in one pointer.  Nothing is lost on the way:
+
+* rejected rows are stored first, each once (a repeated run adds nothing);
+* rows that wait for a parent are added to the pending table before the bookmark
+  moves, and taken out only after the target holds them, so a crash at any
+  point leaves every row in the feed, the pending table or the target;
+* a waiting row meets newer rows of its key in the next run's batch and in the
+  target, and the newest wins by the order columns.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import ts_lit
 from ..sources.scans import batch_bookmark, scan_cursor_ts
-from ..sources.sinks import SnapshotTable, sink_insert_ignore, sink_upsert
+from ..sources.sinks import Table
+from . import dims, facts
 from .dims import Built
 
 
@@ -31,44 +35,148 @@ def _cursor_value(bm: dict):
     return _dt.datetime.fromisoformat(v) if bm.get("cursor_kind") == "ts" else v
 
 
-def run_increment(stg: DataFrame, target: SnapshotTable, build: Callable[..., Built],
-                  key: str | list[str], until=None, limit: int | None = None,
-                  pending: SnapshotTable | None = None, cursor_col: str = "update_ts",
-                  key_col: str | None = "object_id", id_col: str | None = "id",
+def _store_rejected(rejected: Table, bad: DataFrame) -> None:
+    """Keep each rejected row once: body (the row as JSON) and reason."""
+    rest = [c for c in bad.columns if c != "reason"]
+    rows = bad.select(F.to_json(F.struct(*rest)).alias("body"), "reason").distinct()
+    rejected.insert_ignore(rows, ["body", "reason"])
+
+
+def run_increment(stg: DataFrame, target: Table, build: Callable[[DataFrame, DataFrame | None], Built],
+                  key: str | list[str], pending: Table, rejected: Table, until=None,
+                  limit: int | None = None, cursor_col: str | None = "update_ts",
+                  key_col: str | None = "object_id", until_col: str | None = None,
+                  order_by: list[str] | None = None, id_col: str | None = "id",
                   mode: str = "upsert") -> int:
     """One incremental run; returns the number of source rows taken.
 
-    ``build(batch)`` (or ``build(batch, waiting)`` with a pending table)
-    returns the rows for ``target``.  The cursor is ``(cursor_col, key_col)``,
-    a timestamp pair for documents or an increasing id (``key_col=None``).
-    Waiting rows are retried even when the source has nothing new.
-    ``mode="insert_ignore"`` (facts, S15) appends only rows whose key is
-    absent: the existing table is read for its key columns only and never
-    rewritten.
+    ``build(batch, waiting)`` returns the rows for ``target``, those that wait and
+    those rejected.  The cursor is ``(cursor_col, key_col)``: a timestamp pair
+    for documents, an increasing id (``key_col=None``), or None for a feed
+    without arrival order, which is read whole.  Waiting rows are retried even
+    when the source has nothing new.  ``order_by`` names the target's columns
+    that tell a newer row; ``mode="insert_ignore"`` (facts, S15) adds only rows
+    whose key is absent.
     """
     bm = target.bookmark() or {}
-    batch = stg if until is None else stg.filter(F.col(cursor_col) < ts_lit(until))
-    batch = scan_cursor_ts(batch, cursor_col, key_col, after=_cursor_value(bm),
-                           after_key=bm.get("key"), limit=limit)
-    new_bm = batch_bookmark(batch, cursor_col, key_col).collect()[0]
-    waiting = pending.read() if pending is not None else None
-    taken = int(new_bm["batch_rows"])
-    if not taken and (waiting is None or waiting.limit(1).count() == 0):
-        return 0
-    built = build(batch) if waiting is None else build(batch, waiting)
-    if taken:
-        last = new_bm["last_cursor"]
-        is_ts = isinstance(last, _dt.datetime)
-        bookmark = {"cursor": last.isoformat(sep=" ") if is_ts else last,
-                    "cursor_kind": "ts" if is_ts else "value",
-                    "key": new_bm["last_key"] if key_col else None, "rows": taken}
+    batch = stg if until is None else stg.filter(F.col(until_col or cursor_col) < ts_lit(until))
+    if cursor_col is None:
+        taken, bookmark = batch.count(), {}
     else:
-        bookmark = bm
+        batch = scan_cursor_ts(batch, cursor_col, key_col, after=_cursor_value(bm),
+                               after_key=bm.get("key"), limit=limit)
+        found = batch_bookmark(batch, cursor_col, key_col).collect()[0]
+        taken, bookmark = int(found["batch_rows"]), bm
+        if taken:
+            last = found["last_cursor"]
+            is_ts = isinstance(last, _dt.datetime)
+            bookmark = {"cursor": last.isoformat(sep=" ") if is_ts else last,
+                        "cursor_kind": "ts" if is_ts else "value",
+                        "key": found["last_key"] if key_col else None, "rows": taken}
+    waiting = pending.read()
+    if not taken and (waiting is None or waiting.isEmpty()):
+        return 0
+    built = build(batch, waiting)
+    if built.rejected is not None:
+        _store_rejected(rejected, built.rejected)
+    if built.pending is not None:
+        pending.append(built.pending)
     keys = [key] if isinstance(key, str) else list(key)
     if mode == "insert_ignore":
-        sink_insert_ignore(target, built.table, keys, bookmark=bookmark)
+        target.insert_ignore(built.table, keys, bookmark)
     else:
-        sink_upsert(target, built.table, keys, id_col=id_col, bookmark=bookmark)
-    if pending is not None and built.pending is not None:
+        target.upsert(built.table, keys, order_by, id_col, bookmark)
+    if built.pending is not None:
         pending.replace(built.pending)
     return taken
+
+
+# --- a whole run of the detail layer ------------------------------------------------
+
+@dataclass(frozen=True)
+class Load:
+    """How one dds table is loaded from its feed."""
+    feed: str
+    key: list[str]
+    order_by: list[str] | None = None
+    cursor: tuple[str | None, str | None] = ("update_ts", "object_id")
+    until_col: str | None = None  # arrival time that ``until`` cuts; None: never cut
+    id_col: str | None = "id"
+    mode: str = "upsert"
+
+
+# In build order.
+LOADS = {
+    "dm_couriers": Load("couriers", ["courier_id"], cursor=(None, None)),
+    "dm_users": Load("users", ["user_id"], ["update_ts"]),
+    "dm_restaurants": Load("restaurants", ["restaurant_id"], ["update_ts"]),
+    "dm_timestamps": Load("orders", ["ts"], until_col="update_ts"),
+    "dm_products": Load("restaurants", ["product_id"], ["active_from"]),
+    "dm_orders": Load("orders", ["order_key"], ["update_ts"], until_col="update_ts"),
+    "fct_product_sales": Load("events", ["event_id", "position"], cursor=("id", None),
+                              id_col=None, mode="insert_ignore"),
+    "fct_deliveries": Load("deliveries", ["delivery_id"], ["order_ts"],
+                           cursor=("delivery_ts", "delivery_id"), until_col="delivery_ts", id_col=None),
+}
+
+
+class Warehouse:
+    """Target, pending and rejected table of every dds table under one root."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.target = {n: Table(spark, f"{root}/{n}") for n in LOADS}
+        self.pending = {n: Table(spark, f"{root}/{n}-pending") for n in LOADS}
+        self.rejected = {n: Table(spark, f"{root}/{n}-rejected") for n in LOADS}
+
+    def read(self, name: str) -> DataFrame:
+        rows = self.target[name].read()
+        return rows.drop("update_ts") if "update_ts" in rows.columns else rows
+
+
+def _builders(wh: Warehouse) -> dict[str, Callable]:
+    t = wh.read
+    return {
+        "dm_couriers": lambda b, w: dims.dim_couriers(b, with_ids=False),
+        "dm_users": lambda b, w: dims.dim_users(b, with_ids=False),
+        "dm_restaurants": lambda b, w: dims.dim_restaurants(b, with_ids=False),
+        "dm_timestamps": lambda b, w: dims.dim_timestamps(b, with_ids=False),
+        "dm_products": lambda b, w: dims.dim_products(b, t("dm_restaurants"), pending=w, with_ids=False),
+        "dm_orders": lambda b, w: dims.dim_orders(b, t("dm_restaurants"), t("dm_timestamps"), t("dm_users"),
+                                                  pending=w, with_ids=False),
+        "fct_product_sales": lambda b, w: facts.fct_product_sales(b, t("dm_orders"), t("dm_products"), pending=w),
+        "fct_deliveries": lambda b, w: facts.fct_deliveries(b, t("dm_orders"), t("dm_couriers"), pending=w),
+    }
+
+
+def run_dds(stg: dict[str, DataFrame], wh: Warehouse, until=None,
+            only: list[str] | None = None) -> dict[str, int]:
+    """One incremental run of all dds tables (or ``only`` some), in build order;
+    source rows taken per table.  ``until`` cuts the feeds that arrive over time."""
+    builders, taken = _builders(wh), {}
+    for name, load in LOADS.items():
+        if only is not None and name not in only:
+            continue
+        taken[name] = run_increment(
+            stg[load.feed], wh.target[name], builders[name], load.key, wh.pending[name], wh.rejected[name],
+            until=until if load.until_col else None, until_col=load.until_col, cursor_col=load.cursor[0],
+            key_col=load.cursor[1], order_by=load.order_by, id_col=load.id_col, mode=load.mode)
+    return taken
+
+
+def run_stg(source: DataFrame, table: Table, key: str = "object_id", cursor_col: str = "update_ts",
+            limit: int | None = None) -> int:
+    """One incremental load of a source feed into its stg table (S1-S6, S12,
+    S13): rows past the bookmark, upserted by key, newest ``cursor_col`` wins."""
+    bm = table.bookmark() or {}
+    key_col = key if cursor_col != key else None
+    batch = scan_cursor_ts(source, cursor_col, key_col, after=_cursor_value(bm), after_key=bm.get("key"),
+                           limit=limit)
+    found = batch_bookmark(batch, cursor_col, key_col).collect()[0]
+    if found["batch_rows"]:
+        last = found["last_cursor"]
+        is_ts = isinstance(last, _dt.datetime)
+        table.upsert(batch, [key], [cursor_col] if cursor_col != key else None, bookmark={
+            "cursor": last.isoformat(sep=" ") if is_ts else last, "cursor_kind": "ts" if is_ts else "value",
+            "key": found["last_key"]})
+    return int(found["batch_rows"])

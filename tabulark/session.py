@@ -2,8 +2,7 @@
 
 Everything the warehouse needs from the session is set here once:
 UTC session zone (the source timestamps carry no zone), AQE with skew
-handling, dynamic partition overwrite for period replacement, and a
-shared checkpoint folder for lineage cuts and scratch tables.
+handling, and a shared checkpoint folder for lineage cuts and scratch tables.
 """
 
 from __future__ import annotations
@@ -21,7 +20,6 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     # Parquet timestamps written by us stay zone-less.
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
@@ -86,12 +84,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint root for a written table."""
     root = checkpoint_root(spark)
     return f"{root}/tables/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_local_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)

@@ -12,7 +12,9 @@ Mapping (one row each):
   order       lineitem x orders per (l_orderkey, l_suppkey), key "orderkey-suppkey"
   courier     supplier   courier_id=s_suppkey
   delivery    lineitem x orders
-  outbox      events (as is) + bonus_transaction events per order (at most 64 lines each)
+  outbox      events (as is) + one bonus_transaction event per order
+  rank        nation     id=n_nationkey, name=n_name, percent and threshold from its keys
+  bonus user  customer   id=c_custkey
 """
 
 from __future__ import annotations
@@ -24,7 +26,6 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import DATETIME_FORMAT
 from ..functions.money import money
-from ..operators.ids import assign_dense_ids
 from .driver import Tables
 
 # Order status by the driver's o_orderstatus code.
@@ -33,27 +34,21 @@ ORDER_STATUS = {"F": "CLOSED", "O": "CANCELLED", "P": "DELIVERING"}
 # (the driver's customer/supplier rows carry no time of their own).
 DIRECTORY_UPDATE_TS = _dt.datetime(2022, 1, 1)
 
-_SCALARS: dict[tuple[str, str], int] = {}
 
-
-def _scalar(t: Tables, name: str, df: DataFrame) -> int:
-    """One small aggregate per (table folder, name), remembered per process."""
-    key = (t.sf_dir, name)
-    if key not in _SCALARS:
-        _SCALARS[key] = int(df.collect()[0][0] or 0)
-    return _SCALARS[key]
+def _scalar(df: DataFrame) -> int:
+    return int(df.collect()[0][0] or 0)
 
 
 def supplier_count(t: Tables) -> int:
-    return _scalar(t, "suppliers", t.supplier.agg(F.count(F.lit(1))))
+    return _scalar(t.supplier.agg(F.count(F.lit(1))))
 
 
 def supplier_key_bound(t: Tables) -> int:
-    return _scalar(t, "suppkey_bound", t.supplier.agg(F.max("s_suppkey") + 1))
+    return _scalar(t.supplier.agg(F.max("s_suppkey") + 1))
 
 
 def event_id_base(t: Tables) -> int:
-    return _scalar(t, "event_base", t.events.agg(F.max("event_id") + 1))
+    return _scalar(t.events.agg(F.max("event_id") + 1))
 
 
 def status_of(code: Column) -> Column:
@@ -146,6 +141,15 @@ def bonus_users(t: Tables) -> DataFrame:
                              F.col("c_custkey").cast("string").alias("order_user_id"))
 
 
+def bonus_ranks(t: Tables) -> DataFrame:
+    """Bonus ranks: percent and threshold are non-negative by construction, as
+    the source system's CHECKs ask."""
+    return t.nation.select(
+        F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_name").alias("name"),
+        F.pmod(F.col("n_nationkey"), F.lit(10)).cast("decimal(19,5)").alias("bonus_percent"),
+        (F.col("n_regionkey") * F.lit(1000)).cast("decimal(19,5)").alias("min_payment_threshold"))
+
+
 def sale_lines(t: Tables) -> DataFrame:
     """Lineitem as product payments (money cast to decimal before arithmetic)."""
     li = t.lineitem
@@ -163,36 +167,28 @@ def sale_lines(t: Tables) -> DataFrame:
     )
 
 
-# Fixed parameter: most payment lines carried by one bonus_transaction event.
-PAYMENTS_PER_EVENT = 64
 _PAYMENT_FIELDS = ["product_id", "price", "quantity", "product_cost", "bonus_payment",
                    "bonus_grant"]
 
 
 def bonus_transactions(t: Tables) -> DataFrame:
-    """``bonus_transaction`` outbox events carrying each order's payments.
-
-    Payment lines are numbered by a distributed sort on (order, payment) and
-    grouped by (order, block of PAYMENTS_PER_EVENT numbers), so no event holds
-    more than that many lines however many an order has: a large order is
-    spread over several events instead of one unbounded array in one task.
-    Event id = base + number of the event's first line: unique, above every id
-    of the driver's events table, increasing with the order.
+    """One ``bonus_transaction`` outbox event per order, with its payments.
+
+    The event is the source system's own document: it holds one order's payment
+    lines, so its size is that of an order (one to seven lines in the driver's
+    tables).  Its id comes from the order's own keys, above every id of the
+    driver's events table: other orders' lines never change it.
     """
-    base = event_id_base(t)
-    lines = sale_lines(t)
-    ranked = assign_dense_ids(lines, ["l_orderkey", "l_suppkey"] + _PAYMENT_FIELDS, id_col="_r")
-    block = F.floor((F.col("_r") - 1) / F.lit(PAYMENTS_PER_EVENT))
-    pay = F.struct(F.col("_r"), *[F.col(c) for c in _PAYMENT_FIELDS])
-    events = (ranked.groupBy("l_orderkey", "l_suppkey", block.alias("_block"))
-              .agg(F.min("_r").alias("_first"), F.array_sort(F.collect_list(pay)).alias("_pays")))
+    base, suppliers = event_id_base(t), supplier_key_bound(t)
+    pay = F.struct(*[F.col(c) for c in _PAYMENT_FIELDS])
+    events = (sale_lines(t).groupBy("l_orderkey", "l_suppkey")
+              .agg(F.array_sort(F.collect_list(pay)).alias("payments")))
     o = t.orders.select("o_orderkey", "o_orderdate")
     j = events.join(o, events["l_orderkey"] == o["o_orderkey"])
-    payments = F.transform("_pays", lambda x: F.struct(*[x[c].alias(c) for c in _PAYMENT_FIELDS]))
     body = F.struct(order_key(F.col("l_orderkey"), F.col("l_suppkey")).alias("order_id"),
-                    payments.alias("product_payments"))
+                    F.col("payments").alias("product_payments"))
     return j.select(
-        (F.lit(base) + F.col("_first")).alias("id"),
+        (F.lit(base) + F.col("l_orderkey") * F.lit(suppliers) + F.col("l_suppkey")).alias("id"),
         F.col("o_orderdate").cast("timestamp_ntz").alias("event_ts"),
         F.lit("bonus_transaction").alias("event_type"),
         F.to_json(body).alias("event_value"),
@@ -248,6 +244,8 @@ FEED_BUILDERS = {
     "events": outbox_events,
     "couriers": courier_pages,
     "deliveries": delivery_pages,
+    "ranks": bonus_ranks,
+    "bonus_users": bonus_users,
 }
 
 

@@ -43,15 +43,18 @@ def settings_json(**fields: Column) -> Column:
     return F.to_json(F.struct(*[c.alias(k) for k, c in sorted(fields.items())]))
 
 
-def advance_max(batch: DataFrame, cursor_col: str, field: str, previous=None) -> DataFrame:
-    """Bookmark after a batch: ``max(cursor)``; the previous value if empty."""
+def advance_max(batch: DataFrame, cursor_col: str, field: str, previous=None,
+                by: Column | None = None) -> DataFrame:
+    """Bookmark after a batch: ``max(cursor)``; the previous value if empty.
+    With ``by`` (a column named workflow_key) one bookmark per workflow."""
     m = F.max(F.col(cursor_col))
     if previous is not None:
         m = F.coalesce(m, F.lit(previous))
-    return batch.agg(m.alias(field), F.count(F.lit(1)).alias("batch_rows"))
+    groups = batch.groupBy(by) if by is not None else batch.groupBy()
+    return groups.agg(m.alias(field), F.count(F.lit(1)).alias("batch_rows"))
 
 
-def advance_offset(batch: DataFrame, previous: int, field: str = "offset") -> DataFrame:
+def advance_offset(batch: DataFrame, previous: int = START_OFFSET, field: str = "offset") -> DataFrame:
     """Paged feeds: ``previous + rows in the batch``."""
     return batch.agg((F.lit(previous) + F.count(F.lit(1))).alias(field),
                      F.count(F.lit(1)).alias("batch_rows"))

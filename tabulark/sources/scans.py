@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import ts_lit
+from ..operators.ids import assign_dense_ids
 
 
 def _after(cursor_col: str, key_col: str | None, after, after_key, literal: bool):
@@ -64,19 +65,12 @@ def scan_cursor_typed(df: DataFrame, id_col: str, type_col: str, type_value: str
                        after, None, limit)
 
 
-# Pages reaching this far are cut with a top-k; deeper pages are numbered
-# with a distributed sort instead (a top-k keeps offset+limit rows in one task).
-TOP_K_PAGE_DEPTH = 100_000
-
-
 def scan_offset_page(df: DataFrame, sort_cols: list[str], offset: int, limit: int) -> DataFrame:
     """Rows ``offset+1 .. offset+limit`` in ``sort_cols`` order.
 
-    ``sort_cols`` must end with a unique key so pages do not overlap.
+    ``sort_cols`` must end with a unique key so pages do not overlap.  Rows are
+    numbered by a distributed sort at every depth; only the page is sorted whole.
     """
-    if offset + limit <= TOP_K_PAGE_DEPTH:
-        return df.orderBy(*sort_cols).offset(offset).limit(limit)
-    from ..operators.ids import assign_dense_ids
     ranked = assign_dense_ids(df, sort_cols, id_col="_rank")
     page = ranked.filter((F.col("_rank") > offset) & (F.col("_rank") <= offset + limit))
     return page.orderBy("_rank").drop("_rank")

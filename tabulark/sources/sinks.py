@@ -1,17 +1,18 @@
 """Sinks (S11-S17) over Parquet folders.
 
-Without a transactional table format, a table is a folder of immutable
-data segments plus numbered commit files.  A write lands new segments
-first and then creates the next commit file (create-if-absent, so two
-writers cannot both commit the same version); the commit names the live
-segments and, optionally, the bookmark of the load, so data and bookmark
-move together.  A crash before the commit leaves the previous version
-intact, and a path that is being read is never overwritten.
-
-* ``append``            new segment, previous segments kept;
-* ``upsert``            latest batch row per key, merged with the table by a
-                        full outer join on the key (existing ids kept, new
-                        keys get ids after the current maximum);
+A table is a set of immutable Parquet folders and a pointer file that names
+the live ones, with the load's bookmark beside them.  A write lands a fresh
+folder and then publishes the next pointer: a complete temporary file renamed to
+its numbered name, which must not exist.  The number follows the pointer that
+was read when the write began, so of two writers that began on the same state
+one fails and may retry; a crash leaves the state before; data and bookmark move
+together.
+
+* ``append``            one more folder;
+* ``upsert``            one more folder with the batch's newest row per key;
+                        readers take the newest row per key of all folders, by
+                        the order columns and then by load, so an older row that
+                        arrives later never wins; ``compact`` folds the folders;
 * ``insert_ignore``     batch rows whose key is absent (left anti join);
 * ``replace_periods``   dynamic partition overwrite of the periods present
                         in the batch; other periods untouched.
@@ -21,13 +22,16 @@ from __future__ import annotations
 
 import json
 import uuid
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedupe import latest_per_key
 from ..operators.ids import assign_dense_ids
 
+LOAD = "_load"  # number of the load that wrote a row
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -35,186 +39,161 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-class SnapshotTable:
-    """A versioned Parquet table: data segments ``<root>/seg-*`` and commit
-    files ``<root>/_commits/v*``.
+@dataclass(frozen=True)
+class State:
+    """What a pointer says; version 0 is the empty table."""
+    version: int = 0
+    folders: list[str] = field(default_factory=list)
+    keys: list[str] | None = None        # of an upserted table
+    order_by: list[str] | None = None
+    bookmark: dict | None = None
+    max_id: int = 0
 
-    Unpartitioned, a commit lists the live segments.  With ``partition_of``
-    (a column expression over the key with a bounded number of values, e.g.
-    a hash bucket ``pmod(xxhash64(key), 64)``, or a coarse id range when keys
-    grow with time) rows are laid out by partition, a commit maps each
-    partition to the segment holding it, and an upsert reads and rewrites
-    only the partitions its batch keys fall in.
-    The commit also carries the largest surrogate id, so new ids never need a
-    scan of the whole table.
-    """
 
-    PART = "_part"
+class Table:
+    """A Parquet table published by pointer files ``<root>/_pointers/v*``."""
 
-    def __init__(self, spark: SparkSession, root: str, partition_of: Column | None = None):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.partition_of = partition_of
-
-    # -- commits -------------------------------------------------------------
-    def _commit_dir(self) -> str:
-        return f"{self.root}/_commits"
 
-    def latest_commit(self) -> tuple[int, dict] | None:
-        fs, p = _fs(self.spark, self._commit_dir())
-        if not fs.exists(p):
-            return None
-        versions = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith("v") and name[1:].isdigit():
-                versions.append(int(name[1:]))
+    def state(self) -> State:
+        fs, p = _fs(self.spark, f"{self.root}/_pointers")
+        names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+        versions = [int(n[1:]) for n in names if n.startswith("v")]
         if not versions:
-            return None
-        v = max(versions)
-        fs2, fp = _fs(self.spark, f"{self._commit_dir()}/v{v:012d}")
-        stream = fs2.open(fp)
+            return State()
+        fs, p = _fs(self.spark, f"{self.root}/_pointers/v{max(versions):012d}")
+        stream = fs.open(p)
         try:
-            reader = self.spark.sparkContext._jvm.java.io.BufferedReader(
-                self.spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            text = reader.readLine()
+            jvm = self.spark.sparkContext._jvm
+            text = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
         finally:
             stream.close()
-        return v, json.loads(text)
-
-    def _commit(self, content: dict, expected: int | None) -> int:
-        version = (expected or 0) + 1
-        fs, fp = _fs(self.spark, f"{self._commit_dir()}/v{version:012d}")
-        out = fs.create(fp, False)  # fails if another writer took this version
+        return State(**json.loads(text))
+
+    def publish(self, begun: State, **changes) -> State:
+        """The state after ``begun``; fails if another writer has published it."""
+        new = State(**{**begun.__dict__, **changes, "version": begun.version + 1})
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        fs, tmp = _fs(self.spark, f"{self.root}/_pointers/.{uuid.uuid4().hex}")
+        out = fs.create(tmp, False)
         try:
-            out.write(bytearray(json.dumps(content), "utf-8"))
+            out.write(bytearray(json.dumps(new.__dict__), "utf-8"))
         finally:
             out.close()
-        return version
+        target = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_pointers/v{new.version:012d}")
+        qualified = fs.makeQualified(target)
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(qualified.toUri(), conf)
+        options = self.spark.sparkContext._gateway.new_array(
+            getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        context.rename(fs.makeQualified(tmp), qualified, options)
+        return new
 
-    # -- reads -----------------------------------------------------------------
-    def _state(self) -> tuple[int | None, dict]:
-        c = self.latest_commit()
-        return (None, {}) if c is None else c
+    def bookmark(self) -> dict | None:
+        return self.state().bookmark
 
-    def segments(self) -> list[str]:
-        return self._state()[1].get("segments", [])
+    def max_id(self) -> int:
+        return self.state().max_id
 
-    def bookmark(self) -> dict | None:
-        return self._state()[1].get("bookmark")
-
-    def max_id(self) -> int | None:
-        return self._state()[1].get("max_id")
-
-    def _paths(self, state: dict, parts: list[str] | None = None) -> list[str]:
-        if "parts" in state:
-            items = state["parts"].items()
-            return [f"{self.root}/{seg}/{self.PART}={v}" for v, seg in items
-                    if parts is None or v in parts]
-        return [f"{self.root}/{seg}" for seg in state.get("segments", [])]
-
-    def read(self, parts: list[str] | None = None) -> DataFrame | None:
-        """The current rows (of ``parts`` only, for a partitioned table)."""
-        paths = self._paths(self._state()[1], parts)
-        if not paths:
+    # -- reads -----------------------------------------------------------------
+    def _rows(self, state: State) -> DataFrame | None:
+        if not state.folders:
             return None
-        return self.spark.read.parquet(*paths)
+        return self.spark.read.parquet(*[f"{self.root}/{f}" for f in state.folders])
+
+    def read(self, state: State | None = None) -> DataFrame | None:
+        """The current rows; None while nothing was written."""
+        state = state or self.state()
+        rows = self._rows(state)
+        if rows is None or LOAD not in rows.columns:
+            return rows
+        if len(state.folders) > 1 and state.keys:
+            rows = latest_per_key(rows, state.keys, [*(state.order_by or []), LOAD])
+        return rows.drop(LOAD)
 
     # -- writes ----------------------------------------------------------------
-    def _land(self, df: DataFrame, partitioned: bool = False) -> str:
-        seg = f"seg-{uuid.uuid4().hex[:16]}"
-        w = df.write.mode("errorifexists")
-        if partitioned:
-            w = w.partitionBy(self.PART)
-        w.parquet(f"{self.root}/{seg}")
-        return seg
-
-    def _landed_max(self, seg: str, id_col: str | None, previous) -> int | None:
-        """Largest id after a write: max of the landed segment (one column read)."""
+    def _land(self, df: DataFrame) -> str:
+        folder = f"data-{uuid.uuid4().hex[:16]}"
+        df.write.parquet(f"{self.root}/{folder}")
+        return folder
+
+    def _largest(self, folder: str, id_col: str | None, before: int) -> int:
         if not id_col:
-            return previous
-        m = self.spark.read.parquet(f"{self.root}/{seg}").agg(F.max(id_col)).collect()[0][0]
-        return max(int(m or 0), int(previous or 0))
-
-    def replace(self, df: DataFrame, bookmark: dict | None = None, id_col: str | None = None) -> int:
-        version, state = self._state()
-        seg = self._land(df)
-        return self._commit({"segments": [seg], "bookmark": bookmark,
-                             "max_id": self._landed_max(seg, id_col, state.get("max_id"))},
-                            version)
-
-    def append(self, df: DataFrame, bookmark: dict | None = None) -> int:
-        version, state = self._state()
-        seg = self._land(df)
-        return self._commit({"segments": state.get("segments", []) + [seg], "bookmark": bookmark,
-                             "max_id": state.get("max_id")}, version)
-
-    def compact(self) -> int | None:
-        """Rewrite an unpartitioned table's segments into one (appends add a
-        segment per load).  The new commit keeps the bookmark and largest id;
-        old segments stay on disk for readers of the previous version."""
-        version, state = self._state()
-        segs = state.get("segments", [])
-        if "parts" in state or len(segs) <= 1:
-            return version
-        seg = self._land(self.read())
-        return self._commit({"segments": [seg], "bookmark": state.get("bookmark"),
-                             "max_id": state.get("max_id")}, version)
-
-    def replace_parts(self, df: DataFrame, parts: list[str], bookmark: dict | None = None,
-                      id_col: str | None = None) -> int:
-        """Rewrite partitions ``parts`` with ``df`` (rows of exactly those
-        partitions); all other partitions keep their segments."""
-        version, state = self._state()
-        tagged = df.withColumn(self.PART, self.partition_of.cast("string"))
-        # One writer per partition value (hash, no sampling pass): a key's
-        # partition is fixed by the key, so a range on it would split nothing.
-        n = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), 1)
-        seg = self._land(tagged.repartition(n, self.PART), partitioned=True)
-        fs, p = _fs(self.spark, f"{self.root}/{seg}")
-        written = {st.getPath().getName().split("=", 1)[1] for st in fs.listStatus(p)
-                   if st.getPath().getName().startswith(self.PART + "=")}
-        mapping = {v: s for v, s in state.get("parts", {}).items() if v not in parts}
-        mapping.update({v: seg for v in written})
-        return self._commit({"parts": mapping, "bookmark": bookmark,
-                             "max_id": self._landed_max(seg, id_col, state.get("max_id"))},
-                            version)
+            return before
+        top = self.spark.read.parquet(f"{self.root}/{folder}").agg(F.max(id_col)).collect()[0][0]
+        return max(int(top or 0), before)
+
+    def replace(self, df: DataFrame, bookmark: dict | None = None) -> State:
+        begun = self.state()
+        return self.publish(begun, folders=[self._land(df)], keys=None, order_by=None,
+                            bookmark=bookmark or begun.bookmark)
+
+    def append(self, df: DataFrame, bookmark: dict | None = None) -> State:
+        begun = self.state()
+        return self.publish(begun, folders=[*begun.folders, self._land(df)],
+                            bookmark=bookmark or begun.bookmark)
+
+    def upsert(self, batch: DataFrame, keys: list[str], order_by: list[str] | None = None,
+               id_col: str | None = None, bookmark: dict | None = None) -> State:
+        """Write the batch's newest row per key; the table is read for its keys
+        and ids alone, and never rewritten."""
+        begun = self.state()
+        rows = latest_per_key(batch, keys, order_by) if order_by else batch.dropDuplicates(keys)
+        if id_col:
+            rows = with_ids(rows, self._rows(begun), keys, id_col, begun.max_id)
+        folder = self._land(rows.withColumn(LOAD, F.lit(begun.version + 1)))
+        return self.publish(begun, folders=[*begun.folders, folder], keys=keys, order_by=order_by,
+                            max_id=self._largest(folder, id_col, begun.max_id),
+                            bookmark=bookmark or begun.bookmark)
+
+    def insert_ignore(self, batch: DataFrame, keys: list[str], bookmark: dict | None = None) -> State:
+        begun = self.state()
+        rows = merge_insert_ignore(self._rows(begun), batch, keys)
+        return self.publish(begun, folders=[*begun.folders, self._land(rows)],
+                            bookmark=bookmark or begun.bookmark)
+
+    def compact(self) -> State:
+        """One folder in place of several; rows, bookmark and largest id stay.
+        Old folders stay for readers of earlier pointers."""
+        begun = self.state()
+        if len(begun.folders) < 2:
+            return begun
+        rows = self.read(begun)
+        if begun.keys:
+            rows = rows.withColumn(LOAD, F.lit(begun.version))
+        return self.publish(begun, folders=[self._land(rows)])
 
 
 # --- set-based merge operators (pure DataFrame -> DataFrame) ----------------------
 
+def with_ids(rows: DataFrame, held: DataFrame | None, keys: list[str], id_col: str,
+             start: int) -> DataFrame:
+    """``rows`` with the ids that ``held`` gives their keys, and dense ids after
+    ``start``, in key order, for new keys."""
+    if held is None:
+        return assign_dense_ids(rows, keys, id_col=id_col, start=start)
+    known = held.groupBy(*keys).agg(F.min(id_col).alias(id_col))
+    joined = rows.join(known, keys, "left").select(id_col, *rows.columns)
+    fresh = assign_dense_ids(joined.filter(F.col(id_col).isNull()).drop(id_col), keys,
+                             id_col=id_col, start=start)
+    return joined.filter(F.col(id_col).isNotNull()).unionByName(fresh)
+
+
 def merge_upsert(target: DataFrame | None, batch: DataFrame, keys: list[str],
                  order_by: list[str] | None = None, id_col: str | None = None,
                  id_start: int | None = None) -> DataFrame:
-    """New table state: batch rows win on key match, other rows kept.
-
-    With ``id_col`` the target's ids are kept and new keys get dense ids
-    after ``id_start`` (default: the target's maximum), in key order.
-    """
+    """New table state: per key the newest row of target and batch by
+    ``order_by``, the batch's row where they are equal (or without order)."""
     b = latest_per_key(batch, keys, order_by) if order_by else batch.dropDuplicates(keys)
-    if target is None:
-        return assign_dense_ids(b, keys, id_col=id_col, start=id_start or 0) if id_col else b
-    value_cols = [c for c in b.columns if c not in keys]
-    t = target.alias("t")
-    s = b.alias("s")
-    cond = None
-    for k in keys:
-        term = F.col(f"t.{k}") == F.col(f"s.{k}")
-        cond = term if cond is None else (cond & term)
-    j = t.join(s, cond, "full_outer")
-    src_present = F.col(f"s.{keys[0]}").isNotNull()
-    cols = [F.coalesce(F.col(f"s.{k}"), F.col(f"t.{k}")).alias(k) for k in keys]
-    cols += [F.when(src_present, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in value_cols]
     if id_col:
-        cols.append(F.col(f"t.{id_col}").alias(id_col))
-    merged = j.select(*cols)
-    if not id_col:
-        return merged
-    start = id_start if id_start is not None else (target.agg(F.max(id_col)).collect()[0][0] or 0)
-    known = merged.filter(F.col(id_col).isNotNull())
-    fresh = assign_dense_ids(merged.filter(F.col(id_col).isNull()).drop(id_col), keys,
-                             id_col=id_col, start=int(start))
-    return known.unionByName(fresh).select(id_col, *b.columns)
+        start = id_start if id_start is not None else (
+            0 if target is None else int(target.agg(F.max(id_col)).collect()[0][0] or 0))
+        b = with_ids(b, target, keys, id_col, start)
+    if target is None:
+        return b
+    both = target.withColumn(LOAD, F.lit(0)).unionByName(b.withColumn(LOAD, F.lit(1)))
+    return latest_per_key(both, keys, [*(order_by or []), LOAD]).drop(LOAD)
 
 
 def merge_insert_ignore(target: DataFrame | None, batch: DataFrame, keys: list[str]) -> DataFrame:
@@ -227,55 +206,33 @@ def merge_insert_ignore(target: DataFrame | None, batch: DataFrame, keys: list[s
 
 # --- table-level sinks -------------------------------------------------------------
 
-def sink_append(table: SnapshotTable, batch: DataFrame, bookmark: dict | None = None) -> DataFrame:
-    table.append(batch, bookmark)
-    return table.read()
+def sink_append(table: Table, batch: DataFrame, bookmark: dict | None = None) -> DataFrame:
+    return table.read(table.append(batch, bookmark))
 
 
-def sink_upsert(table: SnapshotTable, batch: DataFrame, keys: list[str],
+def sink_upsert(table: Table, batch: DataFrame, keys: list[str],
                 order_by: list[str] | None = None, id_col: str | None = None,
                 bookmark: dict | None = None) -> DataFrame:
-    """Upsert a batch.  On a partitioned table only the partitions the batch
-    keys map to are read, merged and rewritten (their number is bounded by
-    the table's partition count; one value each reaches the driver)."""
-    if table.partition_of is None:
-        state = merge_upsert(table.read(), batch, keys, order_by, id_col)
-        table.replace(state, bookmark, id_col=id_col)
-        return table.read()
-    parts = [r[0] for r in batch.select(table.partition_of.cast("string")).distinct().collect()]
-    current = table.read(parts)
-    start = (table.max_id() or 0) if id_col else None
-    state = merge_upsert(current, batch, keys, order_by, id_col, id_start=start)
-    table.replace_parts(state, parts, bookmark, id_col=id_col)
-    return table.read()
-
-
-def sink_insert_ignore(table: SnapshotTable, batch: DataFrame, keys: list[str],
+    return table.read(table.upsert(batch, keys, order_by, id_col, bookmark))
+
+
+def sink_insert_ignore(table: Table, batch: DataFrame, keys: list[str],
                        bookmark: dict | None = None) -> DataFrame:
-    new_rows = merge_insert_ignore(table.read(), batch, keys)
-    table.append(new_rows, bookmark)
-    return table.read()
+    return table.read(table.insert_ignore(batch, keys, bookmark))
 
 
 def replace_periods(df: DataFrame, path: str, period_cols: list[str],
-                    clear_periods: list[dict] | None = None,
-                    cluster_by: list[str] | None = None) -> None:
+                    clear_periods: list[dict] | None = None) -> None:
     """Write ``df`` partitioned by ``period_cols``; only the periods present in
-    ``df`` are replaced (dynamic partition overwrite).  ``clear_periods``
-    names periods to empty even when ``df`` has no rows for them (the
-    ``clear_if_empty`` form; the default keeps stale rows, as the source
-    system does)."""
+    ``df`` are replaced (dynamic partition overwrite, as a write option, so the
+    caller's session stays as it is).  ``clear_periods`` names periods to empty
+    even when ``df`` has no rows for them (the ``clear_if_empty`` form; the
+    default keeps stale rows, as the source system does)."""
     spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    # Range-partition on (period, key): each period is written by one or a few
-    # neighbouring tasks (files ~ periods + tasks, not periods x tasks), and a
-    # period with very many rows still spreads over several tasks by key.
-    order = list(period_cols) + list(cluster_by or [])
-    # Writers: the session's partition count (not merged by AQE: a partitioned
-    # write's time goes with its folders, so it wants parallel writers).
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    (df.repartitionByRange(n, *order).write.mode("overwrite")
-     .partitionBy(*period_cols).parquet(path))
+    # Rebalanced by period: no sampling pass over the mart, small periods share a
+    # writer, and a period with very many rows is split among several.
+    (df.hint("rebalance", *[F.col(c) for c in period_cols]).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*period_cols).parquet(path))
     if clear_periods:
         # Periods asked for that the batch does not contain: one small
         # aggregate gives the periods present (bounded by the range asked).

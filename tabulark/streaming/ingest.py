@@ -14,11 +14,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..sources.sinks import SnapshotTable, sink_upsert
+from ..sources.sinks import Table
 
 
 def ingest_landed(spark: SparkSession, landing_glob: str, schema: T.StructType,
-                  table: SnapshotTable, keys: list[str], order_by: list[str],
+                  table: Table, keys: list[str], order_by: list[str],
                   checkpoint: str, fmt: str = "json", files_per_batch: int | None = None,
                   id_col: str | None = None, options: dict | None = None) -> DataFrame:
     """Load every landed file not yet processed into ``table``; return its state."""
@@ -28,8 +28,7 @@ def ingest_landed(spark: SparkSession, landing_glob: str, schema: T.StructType,
     stream = reader.load(landing_glob)
 
     def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
-        sink_upsert(table, batch, keys, order_by, id_col=id_col,
-                    bookmark={"stream_epoch": int(epoch_id)})
+        table.upsert(batch, keys, order_by, id_col, bookmark={"stream_epoch": int(epoch_id)})
 
     query = (stream.writeStream.foreachBatch(upsert_batch)
              .option("checkpointLocation", checkpoint)

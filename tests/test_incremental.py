@@ -1,75 +1,173 @@
-"""Incremental loads: bookmark, idempotent reruns, late parents retried."""
+"""Incremental loads: bookmark, idempotent reruns, late parents, rejects, crashes."""
 
 import datetime as dt
 import json
 
+import pytest
+
 from tabulark import schemas as S
-from tabulark.plans import dims
-from tabulark.plans.incremental import run_increment
+from tabulark.plans import dims, facts
+from tabulark.plans.incremental import Warehouse, run_dds, run_increment, run_stg
 from tabulark.session import scratch_path
-from tabulark.sources.sinks import SnapshotTable
+from tabulark.sources.sinks import Table
+
+T0 = dt.datetime(2023, 1, 1, 10)
 
 
-def _doc(key, user, ts):
-    body = {"_id": key, "final_status": "CLOSED", "restaurant": {"id": "r1"}, "user": {"id": user},
-            "update_ts": ts.isoformat(sep=" "), "ts_date": ts.isoformat(sep=" ")}
+def _doc(key, user, ts, status="CLOSED", day=T0):
+    body = {"_id": key, "final_status": status, "restaurant": {"id": "r1"}, "user": {"id": user},
+            "update_ts": day.isoformat(sep=" "), "ts_date": day.isoformat(sep=" ")}
     return (key, json.dumps(body), ts)
 
 
+def _tables(spark):
+    root = scratch_path(spark, "t-inc")
+    return Table(spark, f"{root}/t"), Table(spark, f"{root}/p"), Table(spark, f"{root}/r")
+
+
+class Parents:
+    def __init__(self, spark, users=("u1",), days=(T0,)):
+        self.spark = spark
+        self.rest = spark.createDataFrame([(1, "r1")], "id long, restaurant_id string")
+        self.set(users, days)
+
+    def set(self, users, days):
+        self.users = self.spark.createDataFrame([(i + 1, u) for i, u in enumerate(users)], "id long, user_id string")
+        self.days = self.spark.createDataFrame([(i + 1, d) for i, d in enumerate(days)], "id long, ts timestamp_ntz")
+
+    def build(self, batch, waiting):
+        return dims.dim_orders(batch, self.rest, self.days, self.users, pending=waiting, with_ids=False)
+
+
+def _run(docs, target, parents, pending, rejected, **more):
+    return run_increment(docs, target, parents.build, "order_key", pending, rejected, order_by=["update_ts"], **more)
+
+
+def _hours(n):
+    return T0 + dt.timedelta(hours=n)
+
+
 def test_runs_bookmark_pending_and_rerun(spark):
-    t0 = dt.datetime(2023, 1, 1, 10)
-    docs = spark.createDataFrame([_doc("o1", "u1", t0), _doc("o2", "u2", t0),
-                                  _doc("o3", "u1", t0 + dt.timedelta(hours=1))], S.DOCUMENT)
-    rest = spark.createDataFrame([(1, "r1")], "id long, restaurant_id string")
-    cal = dims.dim_timestamps(docs).table
-    users = {"now": spark.createDataFrame([(1, "u1")], "id long, user_id string")}
-
-    def build(batch, waiting=None):
-        return dims.dim_orders(batch, rest, cal, users["now"], pending=waiting, with_ids=False)
-
-    target = SnapshotTable(spark, scratch_path(spark, "inc-orders"))
-    pending = SnapshotTable(spark, scratch_path(spark, "inc-pending"))
-    assert run_increment(docs, target, build, "order_key", limit=2, pending=pending) == 2
+    docs = spark.createDataFrame([_doc("o1", "u1", T0), _doc("o2", "u2", T0), _doc("o3", "u1", _hours(1))], S.DOCUMENT)
+    target, pending, rejected = _tables(spark)
+    parents = Parents(spark)
+    assert _run(docs, target, parents, pending, rejected, limit=2) == 2
     assert [r.order_key for r in target.read().collect()] == ["o1"]
     assert [r.order_key for r in pending.read().collect()] == ["o2"]  # user u2 not loaded yet
-    users["now"] = spark.createDataFrame([(1, "u1"), (2, "u2")], "id long, user_id string")
-    assert run_increment(docs, target, build, "order_key", limit=2, pending=pending) == 1
-    got = {r.order_key: r.id for r in target.read().collect()}
-    assert got == {"o1": 1, "o2": 2, "o3": 3}
+    parents.set(("u1", "u2"), (T0,))
+    assert _run(docs, target, parents, pending, rejected, limit=2) == 1
+    assert {r.order_key: r.id for r in target.read().collect()} == {"o1": 1, "o2": 2, "o3": 3}
     assert pending.read().count() == 0
-    assert run_increment(docs, target, build, "order_key", limit=2, pending=pending) == 0
+    assert _run(docs, target, parents, pending, rejected, limit=2) == 0
     assert target.bookmark()["cursor"].startswith("2023-01-01 11:00:00")
 
 
-def test_sales_wait_for_late_orders_then_resolve(spark):
+def test_a_newer_document_beats_a_waiting_one(spark):
+    """The order waits as DELIVERING, is loaded as CLOSED, then its old parent comes."""
+    target, pending, rejected = _tables(spark)
+    parents = Parents(spark)
+    first = spark.createDataFrame([_doc("o1", "u2", T0, "DELIVERING")], S.DOCUMENT)
+    both = spark.createDataFrame([_doc("o1", "u2", T0, "DELIVERING"), _doc("o1", "u1", _hours(2))], S.DOCUMENT)
+    _run(first, target, parents, pending, rejected)
+    assert pending.read().count() == 1
+    _run(both, target, parents, pending, rejected)
+    parents.set(("u1", "u2"), (T0,))
+    _run(both, target, parents, pending, rejected)
+    assert [(r.order_key, r.order_status) for r in target.read().collect()] == [("o1", "CLOSED")]
+    # The same when the old row resolves only after the newer one was loaded.
+    target, pending, rejected = _tables(spark)
+    target.upsert(parents.build(spark.createDataFrame([_doc("o1", "u1", _hours(2))], S.DOCUMENT), None).table,
+                  ["order_key"], ["update_ts"], "id")
+    _run(first, target, parents, pending, rejected)
+    assert [(r.id, r.order_status) for r in target.read().collect()] == [(1, "CLOSED")]
+
+
+def test_an_order_waits_for_its_calendar_row(spark):
+    docs = spark.createDataFrame([_doc("o1", "u1", T0), _doc("o2", "u1", T0, "DELIVERING")], S.DOCUMENT)
+    target, pending, rejected = _tables(spark)
+    parents = Parents(spark, days=())
+    _run(docs, target, parents, pending, rejected)
+    assert [(r.order_key, r.timestamp_id) for r in target.read().collect()] == [("o2", None)]
+    parents.set(("u1",), (T0,))
+    _run(docs, target, parents, pending, rejected)
+    assert {r.order_key: r.timestamp_id for r in target.read().collect()} == {"o1": 1, "o2": None}
+
+
+def test_rejected_rows_are_kept_once(spark):
+    good, bad = _doc("o1", "u1", T0), ("o2", "{broken", _hours(1))
+    docs = spark.createDataFrame([good, bad], S.DOCUMENT)
+    target, pending, rejected = _tables(spark)
+    parents = Parents(spark)
+    assert _run(docs, target, parents, pending, rejected) == 2
+    rows = rejected.read().collect()
+    assert [r.reason for r in rows] == ["not json"] and json.loads(rows[0].body)["object_id"] == "o2"
+    target, _, _ = _tables(spark)  # the run crashed before its bookmark: all again
+    _run(docs, target, parents, pending, rejected)
+    assert rejected.read().count() == 1
+
+
+def test_a_crash_before_the_bookmark_loses_no_waiting_row(spark, monkeypatch):
+    docs = spark.createDataFrame([_doc("o1", "u2", T0)], S.DOCUMENT)
+    more = spark.createDataFrame([_doc("o1", "u2", T0), _doc("o2", "u3", _hours(1))], S.DOCUMENT)
+    target, pending, rejected = _tables(spark)
+    parents = Parents(spark)
+    _run(docs, target, parents, pending, rejected)
+    parents.set(("u1", "u2"), (T0,))
+    upsert = Table.upsert
+    monkeypatch.setattr(Table, "upsert", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        _run(more, target, parents, pending, rejected)
+    monkeypatch.setattr(Table, "upsert", upsert)
+    _run(more, target, parents, pending, rejected)
+    assert [r.order_key for r in target.read().collect()] == ["o1"]
+    assert [r.order_key for r in pending.read().collect()] == ["o2"]
+
+
+def test_a_rating_out_of_range_is_rejected(spark):
+    rows = [("d1", "o1", T0, "c1", 5, 1.0, 0.0), ("d2", "o1", T0, "c1", 10, 1.0, 0.0), ("d3", "o1", None, "c1", 4, 1.0, 0.0)]
+    feed = spark.createDataFrame(rows, "delivery_id string, order_id string, order_ts timestamp_ntz, courier_id string, "
+                                       "rate int, sum double, tip_sum double")
+    orders = spark.createDataFrame([(1, "o1")], "id long, order_key string")
+    couriers = spark.createDataFrame([(1, "c1")], "id long, courier_id string")
+    built = facts.fct_deliveries(feed, orders, couriers)
+    assert [r.delivery_id for r in built.table.collect()] == ["d1"]
+    assert {(r.delivery_id, r.rate, r.reason) for r in built.rejected.collect()} == {
+        ("d2", 10, "rating out of range"), ("d3", 4, "missing order_ts")}
+
+
+def test_versions_open_only_on_a_change(spark):
+    from pyspark.sql import functions as F
+
+    def doc(key, name, hours):
+        body = {"_id": key, "name": name, "menu": [], "update_ts": _hours(hours).isoformat(sep=" ")}
+        return (key, json.dumps(body), _hours(hours))
+
+    docs = spark.createDataFrame([doc("r1", "A", 0), doc("r1", "A", 1), doc("r1", "B", 2), doc("r1", "A", 3),
+                                  doc("r2", "A", 3)], S.DOCUMENT)
+    rows = dims.dim_restaurants(docs, versions=True).table.orderBy("restaurant_id", "active_from").collect()
+    assert [(r.restaurant_id, r.restaurant_name, r.active_from.hour) for r in rows] == [
+        ("r1", "A", 10), ("r1", "B", 12), ("r1", "A", 13), ("r2", "A", 13)]
+    assert rows[0].active_to == rows[1].active_from and F is not None
+
+
+def test_stg_runs_follow_the_cursor(spark):
+    feed = spark.createDataFrame([_doc(f"o{i}", "u1", _hours(i // 3)) for i in range(10)], S.DOCUMENT)
+    table = Table(spark, scratch_path(spark, "t-stg"))
+    assert [run_stg(feed, table, limit=4) for _ in range(4)] == [4, 4, 2, 0]  # cuts through equal times
+    assert table.read().count() == 10
+
+
+def test_whole_runs_reach_the_full_load(spark):
+    from conftest import SF0001
     from tabulark import catalog
-    from tabulark.catalog_ops import FIRST_LOAD_END
-    from tabulark.plans import facts
     from tabulark.plans.dds import materialized_stg
-    from conftest import SF0001
-    d = catalog.dds(spark, SF0001)
     stg = materialized_stg(spark, SF0001)
-    orders_t = SnapshotTable(spark, scratch_path(spark, "t-inc-orders"))
-    sales_t = SnapshotTable(spark, scratch_path(spark, "t-inc-sales"))
-    waiting_t = SnapshotTable(spark, scratch_path(spark, "t-inc-wait"))
-
-    def build_orders(batch, waiting=None):
-        return dims.dim_orders(batch, d["dm_restaurants"], d["dm_timestamps"], d["dm_users"],
-                               pending=waiting, with_ids=False)
-
-    def build_sales(batch, waiting=None):
-        return facts.fct_product_sales(batch, orders_t.read(), d["dm_products"], pending=waiting)
-
-    key = ["event_id", "position"]
-    run_increment(stg["orders"], orders_t, build_orders, "order_key", until=FIRST_LOAD_END)
-    first = run_increment(stg["events"], sales_t, build_sales, key, pending=waiting_t,
-                          cursor_col="id", key_col=None, id_col=None, mode="insert_ignore")
-    waiting = waiting_t.read().count()
-    loaded = sales_t.read().count()
-    assert first > 0 and waiting > 0 and loaded > 0
-    run_increment(stg["orders"], orders_t, build_orders, "order_key")
-    second = run_increment(stg["events"], sales_t, build_sales, key, pending=waiting_t,
-                           cursor_col="id", key_col=None, id_col=None, mode="insert_ignore")
-    assert second == 0  # nothing new past the bookmark ...
-    assert waiting_t.read().count() == 0  # ... but every waiting line resolved
-    assert sales_t.read().count() == loaded + waiting == d["fct_product_sales"].count()
+    wh = Warehouse(spark, scratch_path(spark, "t-wh"))
+    taken = run_dds(stg, wh)
+    assert all(taken.values())
+    full = catalog.dds(spark, SF0001)
+    for name in wh.target:
+        rows = wh.read(name)
+        want = full[name].select(*rows.columns) if name != "fct_deliveries" else full[name].drop("order_month")
+        assert rows.select(*want.columns).exceptAll(want).isEmpty() and rows.count() == want.count(), name
+        assert wh.pending[name].read() is None or wh.pending[name].read().isEmpty()

@@ -54,3 +54,44 @@ def test_month_backfill_and_clear_if_empty(spark):
     left = spark.read.parquet(whole).select("settlement_month").distinct().collect()
     assert [r.settlement_month for r in left] == [7]
     assert spark.read.parquet(whole).filter(F.col("settlement_month") == 7).count() == july.count()
+
+
+def test_load_dds_writes_tables_and_keeps_the_rest(spark):
+    from tabulark.plans.dds import materialized_stg
+    stg = materialized_stg(spark, SF0001).all()
+    dds = jobs.load_dds(spark, stg)
+    assert list(dds) == list(catalog.dds(spark, SF0001).names())
+    for name in ("fct_product_sales", "dm_orders"):
+        plan = dds[name]._jdf.queryExecution().toString()
+        assert "from_json" not in plan and "order_month" in plan
+    assert dds.pending["fct_product_sales"].isEmpty() and dds.rejected["dm_orders"].isEmpty()
+    day = dt.date(1999, 10, 1)
+    report = jobs.publish_day(dds, day, scratch_path(spark, "job-load"))
+    want = catalog.queries()["settlement_report"](spark, SF0001).filter(f"settlement_date = DATE '{day}'")
+    assert sorted(map(tuple, report.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_an_interrupted_backfill_goes_on(spark, monkeypatch):
+    from tabulark.sources.sinks import Table
+    dds = catalog.dds(spark, SF0001)
+    saved, path = Table(spark, scratch_path(spark, "job-saved")), scratch_path(spark, "job-resume")
+    first, last = dt.date(1999, 10, 1), dt.date(1999, 10, 9)
+    publish, calls = jobs.backfill_days, []
+
+    def failing(d, a, b, p):
+        if len(calls) == 1:
+            raise RuntimeError("lost")
+        calls.append(a)
+        return publish(d, a, b, p)
+
+    monkeypatch.setattr(jobs, "backfill_days", failing)
+    try:
+        jobs.resume_days(dds, first, last, path, saved, step=3)
+    except RuntimeError:
+        pass
+    monkeypatch.setattr(jobs, "backfill_days", publish)
+    assert jobs.last_published(saved, jobs.SETTLEMENT) == dt.date(1999, 10, 3)
+    assert jobs.resume_days(dds, first, last, path, saved, step=3) == 2
+    whole = scratch_path(spark, "job-resume-whole")
+    jobs.backfill_days(dds, first, last, whole)
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == sorted(map(tuple, spark.read.parquet(whole).collect()))

@@ -139,16 +139,6 @@ def test_restaurant_menu_to_products(spark):
     assert prods[0].active_from == dt.datetime(2023, 1, 1)
 
 
-def test_broadcast_only_below_bound(spark):
-    from tabulark.operators.joins import bounded_broadcast
-    small = spark.range(10)
-    big = spark.range(1000)
-    plan = lambda df: df._jdf.queryExecution().logical().toString()
-    assert "broadcast" in plan(bounded_broadcast(small, max_rows=100)).lower()
-    assert "broadcast" not in plan(bounded_broadcast(big, max_rows=100)).lower()
-    assert "broadcast" not in plan(bounded_broadcast(small, max_rows=100, max_bytes=16)).lower()
-
-
 def test_close_versions_across_partitions(spark):
     from tabulark.operators.versions import close_versions
     t0 = dt.datetime(2023, 1, 1)
@@ -178,16 +168,12 @@ def test_restaurant_versions(spark):
         (1, "Old", dt.datetime(2023, 2, 1)), (2, "New", dt.datetime(2099, 12, 31))]
 
 
-def test_deep_offset_page_uses_ranks(spark):
-    import tabulark.sources.scans as sc
-    df = spark.range(0, 1000).withColumnRenamed("id", "k")
-    old = sc.TOP_K_PAGE_DEPTH
-    sc.TOP_K_PAGE_DEPTH = 10
-    try:
-        got = [r.k for r in sc.scan_offset_page(df, ["k"], 400, 200).collect()]
-    finally:
-        sc.TOP_K_PAGE_DEPTH = old
-    assert got == list(range(400, 600))
+def test_offset_pages_at_every_depth(spark):
+    from tabulark.sources.scans import scan_offset_page
+    df = spark.range(0, 1000).withColumnRenamed("id", "k").repartition(7)
+    for offset in (0, 500, 990, 2000):
+        got = [r.k for r in scan_offset_page(df, ["k"], offset, 20).collect()]
+        assert got == list(range(1000))[offset:offset + 20]
 
 
 def test_landed_pages_round_trip_and_bad_lines(spark):

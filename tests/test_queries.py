@@ -17,12 +17,7 @@ from tabulark.sources.driver import TABLES  # noqa: E402
 
 from conftest import SF0001  # noqa: E402
 
-# Queries compared here (a fast, representative set; tools/oracle_check.py runs all).
-ORACLE_KEYS = ["settlement_report", "courier_ledger", "courier_ledger_per_order",
-               "courier_ledger_minute_join", "dim_orders", "fct_product_sales",
-               "fct_deliveries", "dedupe_latest", "sink_upsert_key", "quarantine_bad",
-               "json_canonical", "scan_cursor_ts", "stream_ingest_upsert", "pending_orphans",
-               "sink_replace_day", "courier_tiers"]
+ORACLE_KEYS = sorted(catalog.queries())
 
 
 def _norm(v):
@@ -60,8 +55,9 @@ def test_entry_runs(spark):
 
 
 def test_registry_has_oracle_for_every_query():
-    assert set(E.oracle_sql()) == set(E.queries())
-    assert len(E.queries()) >= 46
+    assert set(catalog.oracle()) == set(catalog.queries())
+    assert len(catalog.queries()) >= 56
+    assert set(catalog.queries()) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("key", ORACLE_KEYS)
@@ -95,7 +91,9 @@ def test_plans_stay_in_the_jvm_and_push_filters(spark):
         assert "PythonUDF" not in text and "ArrowEvalPython" not in text and "BatchEvalPython" not in text
         assert "Window" not in text  # no window at all, so no unpartitioned one
     day = E.queries()["settlement_day"](spark, SF0001)
-    assert "GreaterThanOrEqual(ts" in day._jdf.queryExecution().toString()
+    text = day._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(ts" in text
+    assert text.count("PartitionFilters: [isnotnull(order_month") >= 2  # orders and sales
     month = E.queries()["courier_month"](spark, SF0001)
     plan = month._jdf.queryExecution().toString()
     assert "GreaterThanOrEqual(order_ts" in plan

@@ -42,11 +42,16 @@ def _driver_tables(spark, n_lines=600, hot_share=3):
     return Tables(spark, root), lines
 
 
-def test_hot_order_events_are_bounded_and_complete(spark):
+def test_hot_order_events_are_complete_and_stable(spark):
     t, lines = _driver_tables(spark)
     ev = adapters.bonus_transactions(t)
-    sizes = [len(json.loads(r.event_value)["product_payments"]) for r in ev.collect()]
-    assert max(sizes) <= adapters.PAYMENTS_PER_EVENT
+    ids = {json.loads(r.event_value)["order_id"]: r.id for r in ev.collect()}
+    assert len(ids) == len({(r[0], r[2]) for r in lines}) == len(set(ids.values()))
+    # Another order's line leaves every other event id as it was.
+    t.__dict__["lineitem"] = t.lineitem.filter("l_orderkey <> 2")
+    again = {json.loads(r.event_value)["order_id"]: r.id for r in adapters.bonus_transactions(t).collect()}
+    del t.__dict__["lineitem"]
+    assert again and all(ids[k] == v for k, v in again.items())
     exploded, bad = facts.sale_rows(ev)
     assert bad.count() == 0
     assert exploded.count() == len(lines)
@@ -82,3 +87,20 @@ def test_hot_order_settlement_is_exact(spark):
     assert r.orders_count == n
     assert r.orders_total_sum == total
     assert r.order_processing_fee == (total * Decimal("0.25")).quantize(Decimal("0.00001"))
+
+
+def test_hot_courier_in_a_month_has_several_writers(spark):
+    """One courier with a third of a month's deliveries: the rebalanced write
+    splits the month among several files."""
+    from tabulark.plans.dds import _written
+    keys = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor")
+    before = spark.conf.get(keys[0])
+    spark.conf.set(keys[0], "64k")
+    try:
+        rows = spark.range(0, 60_000, numPartitions=8).select(
+            F.col("id").alias("delivery_id"), F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("courier_id"),
+            F.lit(dt.datetime(2024, 1, 5)).alias("order_ts"), F.sha2(F.col("id").cast("string"), 256).alias("x"))
+        out = _written(spark, rows, "t-hot-month", ("order_month", lambda: F.trunc("order_ts", "month")))
+        assert out.count() == 60_000 and len(out.inputFiles()) > 2
+    finally:
+        spark.conf.set(keys[0], before)
