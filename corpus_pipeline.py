@@ -45,10 +45,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text (little-endian uint32 values), and their digests."""
-    path = byte_bpe_path()
-    coded = bpe.encode(docs, path, keep=["doc_id", "source"])
-    back = bpe.decode(coded, path, keep=["doc_id", "source", "n_tokens", "ids"])
-    return back.select("doc_id", "source", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"),
+    both = bpe.encode(docs, byte_bpe_path(), keep=["doc_id", "source"], decoded=True)
+    return both.select("doc_id", "source", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 

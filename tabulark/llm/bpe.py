@@ -8,8 +8,8 @@ many pre-tokens of like length are stacked, so one round advances all of them.
 Longer pre-tokens take a linked list with a heap, where rescanning would be
 quadratic; both give the same ids.
 
-Pre-tokens repeat, so each Python worker keeps two bounded generations of
-pre-token -> ids; the cache changes speed alone.  No shuffle takes place: lost
+Pre-tokens repeat, so a task keeps two bounded generations of pre-token -> ids
+and drops them at its end; the cache changes speed alone.  No shuffle takes place: lost
 tasks are rerun, memory is bounded by chunk, cache and the longest text.
 
 Defined results: null or empty text has no ids and decodes to the empty text;
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .words import chunks, text_bytes
 
 SHORT = 64
-CACHE = 250_000  # pre-tokens a generation
+CACHE = 120_000  # pre-tokens a generation
 ROWS = 8_192  # stacked words
 NONE = np.int32(2**31 - 1)
 
@@ -191,6 +191,11 @@ class Bpe:
             raws, names = zip(*new[k:min(k + ROWS, short)])
             self.young.update(zip(names, self.merge_rows(raws)))
 
+    def forget(self) -> None:
+        """Drop the cache: workers outlive tasks, and their memory is shared."""
+        self.young, self.old = {}, {}
+        pa.default_memory_pool().release_unused()
+
     # --- texts ---------------------------------------------------------------
 
     def pieces(self, text: str) -> list:
@@ -239,26 +244,34 @@ def _schema(slim: DataFrame, keep: list[str], more: str) -> str:
                       for i in range(len(keep))] + [more])
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | None = None,
+           decoded: bool = False) -> DataFrame:
     """Ids of every row's whole text: the ``keep`` columns, ids (binary, the ids
-    as little-endian uint32 values) and n_tokens."""
+    as little-endian uint32 values) and n_tokens; with ``decoded`` also the text
+    that ``decode`` gives for the ids, made by the same Python worker."""
     keep = ["doc_id"] if keep is None else keep
     slim = _plain(docs, keep, text, "string")
+    more = ["ids", "n_tokens"] + ["decoded"] * decoded
 
     def run(batches):
         bpe = vocabulary(path)
-        for batch in batches:
-            texts = text_bytes(batch.column(len(keep)))
-            for lo, hi in chunks(texts):
-                ids = bpe.encode(texts[lo:hi])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(i).slice(lo, hi - lo) for i in range(len(keep))]
-                    + [pa.array(ids, type=pa.binary()),
-                       pa.array([len(x) // 4 for x in ids], type=pa.int64())],
-                    [f"k{i}" for i in range(len(keep))] + ["ids", "n_tokens"])
-
-    out = slim.mapInArrow(run, _schema(slim, keep, "ids binary, n_tokens long"))
-    return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "ids", "n_tokens")
+        try:
+            for batch in batches:
+                texts = text_bytes(batch.column(len(keep)))
+                for lo, hi in chunks(texts):
+                    ids = bpe.encode(texts[lo:hi])
+                    made = [pa.array(ids, type=pa.binary()),
+                            pa.array([len(x) // 4 for x in ids], type=pa.int64())]
+                    if decoded:
+                        made.append(pa.array([bpe.decode(x) for x in ids], type=pa.string()))
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(i).slice(lo, hi - lo) for i in range(len(keep))] + made,
+                        [f"k{i}" for i in range(len(keep))] + more)
+        finally:
+            bpe.forget()
+
+    out = slim.mapInArrow(run, _schema(slim, keep, "ids binary, n_tokens long" + ", decoded string" * decoded))
+    return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *more)
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", keep: list[str] | None = None) -> DataFrame:
@@ -282,7 +295,6 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", keep: list[str] | None
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens and the SHA-256 of the ids and of the text they decode to."""
-    coded = encode(docs, path)
-    back = decode(coded, path, keep=["doc_id", "n_tokens", "ids"])
-    return back.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+    both = encode(docs, path, decoded=True)
+    return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
