@@ -29,6 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tables import bounded_batches
 from .words import chunks, text_bytes
 
 SHORT = 64
@@ -235,8 +236,8 @@ def vocabulary(path: str) -> Bpe:
 
 
 def _plain(docs: DataFrame, keep: list[str], column: str, kind: str) -> DataFrame:
-    return docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)],
-                       F.col(column).cast(kind).alias("t"))
+    return bounded_batches(docs).select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)],
+                                        F.col(column).cast(kind).alias("t"))
 
 
 def _schema(slim: DataFrame, keep: list[str], more: str) -> str:

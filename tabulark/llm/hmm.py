@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import fold, hashed_sample, stored
+from .tables import bounded_batches, fold, hashed_sample, stored
 from .words import Words, chunks, hash_ranges, text_bytes
 
 STATES = 8
@@ -332,7 +332,7 @@ def log_likelihood(sequences: list[np.ndarray], model: Model) -> np.ndarray:
 
 def scores(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score."""
-    slim = docs.select("doc_id", (fold(5) == 1).alias("held_out"), F.col(text).cast("string").alias("t"))
+    slim = bounded_batches(docs).select("doc_id", (fold(5) == 1).alias("held_out"), F.col(text).cast("string").alias("t"))
     train = slim.filter(~F.col("held_out"))
     counts = stored(count_words(train), "lm-counts")
     lexicon = Lexicon(counts, train.count())

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import hashed_sample, stored
+from .tables import bounded_batches, hashed_sample, stored
 
 DIMS = 8  # projected; even, for the closed form of the chi-square law
 BLOCK = 512
@@ -180,7 +180,7 @@ def nearest(vectors: DataFrame, queries, key: str = "vec_id", vector: str = "emb
     """query_id, rank, vec_id and score (Euclidean distance) of the ``k`` nearest
     vectors found for each row that ``queries`` (a condition on ``key``) picks."""
     spark = vectors.sparkSession
-    rows, width = usable(vectors, key, vector)
+    rows, width = usable(bounded_batches(vectors), key, vector)
     if not width:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     ratio = chi_square_quantile(confidence, DIMS)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bitmap import Bitmap
-from .tables import stored
+from .tables import bounded_batches, stored
 from .words import Words, chunks, hash_ranges, text_bytes
 
 KINDS = ("email", "ip", "card", "phone")
@@ -140,7 +140,7 @@ CONTEXT = pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("place", pa.
 
 def findings(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, digest, base (spans), entities and contexts of every document."""
-    slim = docs.select("doc_id", F.col(text).cast("string").alias("t"))
+    slim = bounded_batches(docs).select("doc_id", F.col(text).cast("string").alias("t"))
     kind = slim.schema["doc_id"].dataType.simpleString()
 
     def run(batches):

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .labelled import held_out, sample
-from .tables import stored
+from .tables import bounded_batches, stored
 from .words import Words, chunks, combine, text_bytes
 
 FIT_TEXTS = 20_000
@@ -209,7 +209,7 @@ def scores(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, held_out, score and predicted of every document."""
     # 2 * FIT_TEXTS rows at most, so the broadcast is bounded.
     chosen = F.broadcast(sample(labels, "quality", FIT_TEXTS))
-    rows = stored(measured(docs, text), "quality-stats")
+    rows = stored(measured(bounded_batches(docs), text), "quality-stats")
     training = stored(rows.join(chosen, "doc_id").select("stats", "label"), "quality-fit")
     machine, place, value = fitted(training)
     kind = rows.schema["doc_id"].dataType.simpleString()

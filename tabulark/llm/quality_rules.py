@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import Words, chunks, combine, mix, text_bytes
+from .tables import bounded_batches
+from .words import Words, chunks, mix, text_bytes
 
 SYMBOLS = b"#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -195,6 +196,7 @@ def quality_measures(docs: DataFrame, text: str = "text", keep: list[str] | None
     repeats: the united spans of repeated words (start, end exclusive).
     """
     keep = ["doc_id"] if keep is None else keep
+    docs = bounded_batches(docs)
     measures = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, "
                 "n_repeat_words long, covered_words long, longest_repeat long"
                 + (", repeats array<struct<start:long,end:long>>" if spans else ""))

@@ -8,6 +8,24 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session whose Arrow batches hold BATCH_BYTES at most.
+
+    Spark's own bound is 64 MB, which every task holds several times over, in
+    the JVM's buffers and in its Python worker.  A smaller setting stays."""
+    conf = df.sparkSession.conf
+    size = conf.get(_BATCH_SETTING).lower().rstrip("b")
+    scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(size[-1:], 1)
+    size = int(size.rstrip("kmg")) * scale
+    if size <= 0 or size > BATCH_BYTES:
+        conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    return df
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from . import logistic
 from .automaton import Automaton, Entry
 from .labelled import held_out, sample
-from .tables import stored
+from .tables import bounded_batches, stored
 from .words import chunks, text_bytes
 
 FIT_TEXTS = 20_000
@@ -254,7 +254,7 @@ def scores(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, held_out, score and predicted of every document."""
     # 2 * FIT_TEXTS rows at most, so the broadcast is bounded.
     chosen = F.broadcast(sample(labels, "toxic", FIT_TEXTS))
-    fit = stored(docs.select("doc_id", F.col(text).cast("string").alias("t")).join(chosen, "doc_id")
+    fit = stored(bounded_batches(docs).select("doc_id", F.col(text).cast("string").alias("t")).join(chosen, "doc_id")
                  .select("t", "label"), "toxic-fit")
     entries, weights = learn_lexicon(fit)
     detector = Detector(entries, weights)
