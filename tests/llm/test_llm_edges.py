@@ -164,3 +164,26 @@ def test_hashes_do_not_depend_on_the_buffer():
     w = Words(texts)
     assert [whole[w.word(i)] for i in range(len(w))] == w.hashes().tolist()
     assert len(set(whole.values())) == len(whole)
+
+
+def test_encode_and_decode_are_a_round_trip(spark, odd_dir):
+    from tabulark.llm import bpe
+    from tabulark.llm.catalog import byte_bpe_path
+    docs = spark.read.parquet(f"{odd_dir}/documents.parquet").select("doc_id", "text", "label")
+    coded = bpe.encode(docs, byte_bpe_path(), keep=["doc_id", "text"])
+    back = bpe.decode(coded, byte_bpe_path(), keep=["doc_id", "text", "n_tokens", "ids"]).collect()
+    assert len(back) == len(_documents())
+    assert all(r.decoded == (r.text or "") and len(r.ids) == 4 * r.n_tokens for r in back)
+
+
+def test_batches_are_bounded_and_a_smaller_setting_stays(spark):
+    from tabulark.llm.tables import BATCH_BYTES, bounded_batches
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for given, want in (("64m", str(BATCH_BYTES)), ("67108864b", str(BATCH_BYTES)), ("1m", "1m")):
+            spark.conf.set(name, given)
+            bounded_batches(spark.range(1))
+            assert spark.conf.get(name) == want
+    finally:
+        spark.conf.set(name, before)
