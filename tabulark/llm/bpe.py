@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import bounded_batches
+from .tables import bounded_batches, tidied
 from .words import chunks, text_bytes
 
 SHORT = 64
@@ -271,7 +271,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | Non
         finally:
             bpe.forget()
 
-    out = slim.mapInArrow(run, _schema(slim, keep, "ids binary, n_tokens long" + ", decoded string" * decoded))
+    out = slim.mapInArrow(tidied(run), _schema(slim, keep, "ids binary, n_tokens long" + ", decoded string" * decoded))
     return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *more)
 
 
@@ -290,7 +290,7 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", keep: list[str] | None
                     + [pa.array([bpe.decode(v) for v in values[lo:hi]], type=pa.string())],
                     [f"k{i}" for i in range(len(keep))] + ["decoded"])
 
-    out = slim.mapInArrow(run, _schema(slim, keep, "decoded string"))
+    out = slim.mapInArrow(tidied(run), _schema(slim, keep, "decoded string"))
     return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "decoded")
 
 

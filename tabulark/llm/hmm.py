@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import bounded_batches, fold, hashed_sample, stored
+from .tables import bounded_batches, fold, hashed_sample, stored, tidied
 from .words import Words, chunks, hash_ranges, text_bytes
 
 STATES = 8
@@ -77,7 +77,7 @@ def count_words(texts: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(kind), pa.array(n)],
                                                  ["word", "class", "c"])
 
-    rows = texts.select("t").mapInArrow(run, "word long, class long, c long")
+    rows = texts.select("t").mapInArrow(tidied(run), "word long, class long, c long")
     return rows.groupBy("word").agg(F.min("class").alias("class"), F.sum("c").alias("c"))
 
 
@@ -172,7 +172,7 @@ def coded(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
                      pa.array(rows["n_known"].astype(np.int64) + (lexicon.texts > 0))],
                     ["doc_id", "held_out", "n_tokens", "symbols", "rare", "base", "inner", "n_known"])
 
-    out = docs.mapInArrow(run, f"doc_id {doc_type}, held_out boolean, n_tokens long, symbols binary, "
+    out = docs.mapInArrow(tidied(run), f"doc_id {doc_type}, held_out boolean, n_tokens long, symbols binary, "
                                "rare array<long>, base double, inner double, n_known long")
     return stored(out.withColumn("key", F.monotonically_increasing_id()), "lm-coded")
 
@@ -287,7 +287,7 @@ def start_model(train: DataFrame, share: np.ndarray) -> Model:
         yield pa.RecordBatch.from_arrays([pa.array([counts.tobytes()], pa.binary())], ["counts"])
 
     # One task: the sample is 2 * START_TEXTS texts at most.
-    got = some.coalesce(1).mapInArrow(run, "counts binary").collect()
+    got = some.coalesce(1).mapInArrow(tidied(run), "counts binary").collect()
     counts = np.frombuffer(got[0]["counts"]).reshape(COUNTS, STATES) if got else np.zeros((COUNTS, STATES))
     return Model.from_counts(counts, share) if counts.any() else Model.start(share)
 
@@ -303,7 +303,7 @@ def baum_welch(train: DataFrame, model: Model, share: np.ndarray) -> Model:
                                          ["row", *[f"s{k}" for k in range(STATES)]])
 
     rows = train.select("symbols").mapInArrow(
-        run, "row long, " + ", ".join(f"s{k} double" for k in range(STATES)))
+        tidied(run), "row long, " + ", ".join(f"s{k} double" for k in range(STATES)))
     got = rows.groupBy("row").agg(*[F.sum(f"s{k}").alias(f"s{k}") for k in range(STATES)]).toArrow()
     counts = np.zeros((COUNTS, STATES))
     counts[got["row"].to_numpy()] = np.column_stack([got[f"s{k}"].to_numpy() for k in range(STATES)])
@@ -347,7 +347,7 @@ def scores(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> DataFra
             done = log_likelihood(_sequences(batch.column(1)), model) if batch.num_rows else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(done)], ["key", "outer"])
 
-    outer = rows.select("key", "symbols").mapInArrow(run, "key long, outer double")
+    outer = rows.select("key", "symbols").mapInArrow(tidied(run), "key long, outer double")
     rare = rows.select("key", F.explode("rare").alias("word")).join(counts, "word", "left")
     rare = rare.groupBy("key").agg(F.sum(F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("rare_log"),
                                    F.count("c").alias("rare_known"))

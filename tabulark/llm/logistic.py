@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .tables import tidied
+
 STEPS = 8
 
 
@@ -26,7 +28,7 @@ def _sums(rows: DataFrame, features: list[str], label: str, beta: np.ndarray) ->
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["i", "v"])
 
     parts = rows.select(*[F.col(f).cast("double") for f in features], F.col(label).cast("double")).mapInArrow(
-        run, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
+        tidied(run), "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
     out = np.zeros(k + k * k)
     for r in parts:
         out[r["i"]] = r["v"]

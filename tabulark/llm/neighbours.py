@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import bounded_batches, hashed_sample, stored
+from .tables import bounded_batches, hashed_sample, stored, tidied
 
 DIMS = 8  # projected; even, for the closed form of the chi-square law
 BLOCK = 512
@@ -114,7 +114,7 @@ def projected(rows: DataFrame, width: int, seed: int) -> DataFrame:
                 [batch.column(0), pa.array([x.tobytes() for x in v], pa.binary()),
                  pa.array([x.tobytes() for x in p], pa.binary())], ["key", "v", "p"])
 
-    return rows.mapInArrow(run, "key long, v binary, p binary")
+    return rows.mapInArrow(tidied(run), "key long, v binary, p binary")
 
 
 def _searched(k: int, width: int, ratio: float):
@@ -197,7 +197,7 @@ def nearest(vectors: DataFrame, queries, key: str = "vec_id", vector: str = "emb
                 [*batch.columns, pa.array(tree.leaf(p)), pa.array(p.tolist(), pa.list_(pa.float64()))],
                 ["key", "v", "p", "leaf", "coords"])
 
-    dealt = stored(flat.mapInArrow(place, "key long, v binary, p binary, leaf long, coords array<double>"),
+    dealt = stored(flat.mapInArrow(tidied(place), "key long, v binary, p binary, leaf long, coords array<double>"),
                    "near-leaves")
     box = [f(F.element_at("coords", j + 1)) for f in (F.min, F.max) for j in range(DIMS)]
     leaves = dealt.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"),
@@ -233,7 +233,7 @@ def nearest(vectors: DataFrame, queries, key: str = "vec_id", vector: str = "emb
 
     away = (asked.select("key", "v", "p", "leaf").join(bound, "key", "left")
             .select("key", "v", "p", "leaf", "bound")
-            .mapInArrow(leaves_to_visit, "key long, v binary, p binary, leaf long, bound double"))
+            .mapInArrow(tidied(leaves_to_visit), "key long, v binary, p binary, leaf long, bound double"))
     away = stored(away, "near-visits")
     found = _visit(away, points, leaves, k, width, ratio)
     both = home.select("query", "found", "square").unionByName(found)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bitmap import Bitmap
-from .tables import bounded_batches, stored
+from .tables import bounded_batches, stored, tidied
 from .words import Words, chunks, hash_ranges, text_bytes
 
 KINDS = ("email", "ip", "card", "phone")
@@ -164,7 +164,7 @@ def findings(docs: DataFrame, text: str = "text") -> DataFrame:
                     ["doc_id", *rows])
 
     return stored(slim.mapInArrow(
-        run, f"doc_id {kind}, digest long, base array<string>, entities array<long>, "
+        tidied(run), f"doc_id {kind}, digest long, base array<string>, entities array<long>, "
              "contexts array<struct<entity:long,term:long,place:long,end:long>>"), "pii-findings")
 
 
@@ -188,7 +188,7 @@ def documents_with(docs: DataFrame, text: str, wanted: Bitmap) -> DataFrame:
             term, n = np.unique(np.concatenate(found) if found else np.zeros(0, np.int64), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(n.astype(np.int64))], ["term", "docs"])
 
-    rows = docs.select(F.col(text).cast("string")).mapInArrow(run, "term long, docs long")
+    rows = docs.select(F.col(text).cast("string")).mapInArrow(tidied(run), "term long, docs long")
     return rows.groupBy("term").agg(F.sum("docs").alias("docs"))
 
 
@@ -311,6 +311,6 @@ def sanitised(docs: DataFrame, text: str = "text") -> DataFrame:
                       for i, c in enumerate(batch.columns[:len(names)])]
             yield pa.RecordBatch.from_arrays(arrays, batch.schema.names[:len(names)])
 
-    met = plain.mapInArrow(near, schema + ", digest long").join(added, "digest", "left")
-    done = met.select(*plain.columns, "added").mapInArrow(treated, schema)
-    return plain.mapInArrow(untouched, schema).unionByName(done).toDF(*names)
+    met = plain.mapInArrow(tidied(near), schema + ", digest long").join(added, "digest", "left")
+    done = met.select(*plain.columns, "added").mapInArrow(tidied(treated), schema)
+    return plain.mapInArrow(tidied(untouched), schema).unionByName(done).toDF(*names)

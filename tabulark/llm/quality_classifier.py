@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .labelled import held_out, sample
-from .tables import bounded_batches, stored
+from .tables import bounded_batches, stored, tidied
 from .words import Words, chunks, combine, text_bytes
 
 FIT_TEXTS = 20_000
@@ -119,7 +119,7 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
                     [batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo),
                      pa.array(got.tolist(), pa.list_(pa.float64()))], ["doc_id", "held_out", "stats"])
 
-    return slim.mapInArrow(run, f"doc_id {kind}, held_out boolean, stats array<double>")
+    return slim.mapInArrow(tidied(run), f"doc_id {kind}, held_out boolean, stats array<double>")
 
 
 def _summed(rows: DataFrame, size: int, add) -> np.ndarray:
@@ -131,7 +131,7 @@ def _summed(rows: DataFrame, size: int, add) -> np.ndarray:
                 total += add(_matrix(batch.column(0)), batch.column(1).to_numpy().astype(float))
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(total)], ["i", "v"])
 
-    parts = rows.select("stats", F.col("label").cast("double")).mapInArrow(run, "i long, v double")
+    parts = rows.select("stats", F.col("label").cast("double")).mapInArrow(tidied(run), "i long, v double")
     got = parts.groupBy("i").agg(F.sum("v").alias("v")).toArrow()
     out = np.zeros(size)
     out[got["i"].to_numpy()] = got["v"].to_numpy()
@@ -222,5 +222,5 @@ def scores(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
                 ["doc_id", "held_out", "score"])
 
     out = rows.select("doc_id", "held_out", "stats").mapInArrow(
-        run, f"doc_id {kind}, held_out boolean, score double")
+        tidied(run), f"doc_id {kind}, held_out boolean, score double")
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import bounded_batches
+from .tables import bounded_batches, tidied
 from .words import Words, chunks, mix, text_bytes
 
 SYMBOLS = b"#*$%&|<>"
@@ -215,7 +215,7 @@ def quality_measures(docs: DataFrame, text: str = "text", keep: list[str] | None
                 arrays.append(pa.array(values, type=kind))
             yield pa.RecordBatch.from_arrays(arrays, [f"k{i}" for i in range(len(keep))] + [*got])
 
-    out = slim.mapInArrow(run, schema)
+    out = slim.mapInArrow(tidied(run), schema)
     return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)],
                       *[c for c in out.columns if c not in {f"k{i}" for i in range(len(keep))}])
 

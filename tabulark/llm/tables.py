@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +29,21 @@ def bounded_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def tidied(run):
+    """``run`` (batches -> batches), giving free memory back at the end of a task:
+    Python workers outlive tasks and share their executor's memory."""
+    def out(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (OSError, AttributeError):
+                pass  # another C library: nothing to trim
+    return out
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from . import logistic
 from .automaton import Automaton, Entry
 from .labelled import held_out, sample
-from .tables import bounded_batches, stored
+from .tables import bounded_batches, stored, tidied
 from .words import chunks, text_bytes
 
 FIT_TEXTS = 20_000
@@ -79,7 +79,7 @@ def _counted(rows: DataFrame, wanted: set[tuple[bool, str]] | None) -> DataFrame
                     [pa.array([s for s, _ in count], pa.bool_()), pa.array([t for _, t in count], pa.string()),
                      pa.array(list(count.values()), pa.int64())], ["stem", "term", "docs"])
 
-    return (rows.select("t").mapInArrow(run, "stem boolean, term string, docs long")
+    return (rows.select("t").mapInArrow(tidied(run), "stem boolean, term string, docs long")
             .groupBy("stem", "term").agg(F.sum("docs").alias("docs")))
 
 
@@ -222,7 +222,7 @@ def learn_innocent(fit: DataFrame, detector: Detector) -> frozenset[str]:
                     [pa.array([f for f, _ in count], pa.string()), pa.array([x for _, x in count], pa.int64()),
                      pa.array(list(count.values()), pa.int64())], ["form", "label", "docs"])
 
-    rows = fit.select("t", "label").mapInArrow(run, "form string, label long, docs long")
+    rows = fit.select("t", "label").mapInArrow(tidied(run), "form string, label long, docs long")
     size = {r["label"]: r["n"] for r in fit.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = max(size.get(0, 0), 1) / max(size.get(1, 0), 1)
     counts = rows.groupBy("form").agg(
@@ -246,7 +246,7 @@ def measured(docs: DataFrame, detector: Detector, text: str = "text") -> DataFra
                     [batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo),
                      *[pa.array(got[f]) for f in FEATURES]], ["doc_id", "held_out", *FEATURES])
 
-    return slim.mapInArrow(run, f"doc_id {kind}, held_out boolean, "
+    return slim.mapInArrow(tidied(run), f"doc_id {kind}, held_out boolean, "
                                 + ", ".join(f"{f} double" for f in FEATURES))
 
 
