@@ -30,6 +30,20 @@ def test_ngram_join(spark, texts):
     assert got == brute.components(list(texts.items()), 4, 85)
 
 
+@pytest.mark.parametrize("percent", [50, 80, 85, 90])
+def test_ngram_join_of_small_sets(spark, percent):
+    """Sets of 1 to 12 shingles beside those of a word more at the start."""
+    from tabulark.llm import ngram_join
+    rows = []
+    for size in range(1, 13):
+        words = " ".join(f"w{size}x{i}" for i in range(size + 3))
+        rows += [(10 * size, words), (10 * size + 1, f"more {words}"), (10 * size + 2, f"yet more {words}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id)
+           for r in ngram_join.join_components(docs, percent=percent).collect()}
+    assert got == brute.components(rows, 4, percent)
+
+
 def test_neighbours_recall(spark):
     t = pq.read_table(f"{LARGE}/embeddings.parquet")
     ids, v = t["vec_id"].to_numpy(), np.array(t["embedding"].to_pylist(), dtype=float)
