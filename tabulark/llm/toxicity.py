@@ -10,7 +10,8 @@ other hits within ``WINDOW`` words more.  The sums over a text enter a logistic
 regression fitted on the same sample by sums over partitions.
 
 Scoring is one pass over the texts without a shuffle, and the model sent to the
-tasks is bounded (``ENTRIES`` entries).  Labels, language, source and id never
+tasks is bounded: every term that passes the two tests is an entry (the sample
+bounds them; ``LEXICON_BYTES`` is far above what they take).  Labels, language, source and id never
 enter a score.
 
 Defined results: null or empty text has no hits and scores like any text without
@@ -38,8 +39,8 @@ from .tables import bounded_batches, stored, tidied
 from .words import chunks, text_bytes
 
 FIT_TEXTS = 20_000
-CANDIDATES = 20_000  # terms of toxic texts that are looked up in clean ones
-ENTRIES = 48
+CANDIDATES = 200_000  # terms of toxic texts that are looked up in clean ones
+LEXICON_BYTES = 16 << 10
 INNOCENT = 5_000
 LEAST_Z = 6.0
 LEAST_RATIO = 3.0
@@ -89,12 +90,20 @@ def learn_lexicon(fit: DataFrame) -> tuple[list[Entry], list[float]]:
     toxic, clean = size.get(1, 0), size.get(0, 0)
     if not toxic or not clean:
         return [], []
-    least = max(3, math.ceil(0.01 * toxic))
-    rows = _counted(fit.filter("label = 1"), None).filter(F.col("docs") >= least).orderBy(
+    # Fewer texts than these cannot reach LEAST_Z, even if no clean text has the term.
+    reach = LEAST_Z ** 2 * toxic
+    least = max(3, math.floor(reach / (clean + reach / (toxic + clean))))
+    rows = _counted(fit.filter("label = 1"), None).filter((F.col("docs") >= least) & (F.length("term") >= 4)).orderBy(
         F.desc("docs"), "stem", "term").limit(CANDIDATES).collect()
     found = {(r["stem"], r["term"]): r["docs"] for r in rows}
     other = {(r["stem"], r["term"]): r["docs"] for r in
              _counted(fit.filter("label = 0"), set(found)).collect()}
+    return selected(found, other, toxic, clean)
+
+
+def selected(found: dict, other: dict, toxic: int, clean: int) -> tuple[list[Entry], list[float]]:
+    """Entries and weights of the terms that pass; found and other hold the
+    number of toxic and of clean texts with each (stem, term)."""
     scored = []
     for (stem, term), a in found.items():
         b = other.get((stem, term), 0)
@@ -105,14 +114,16 @@ def learn_lexicon(fit: DataFrame) -> tuple[list[Entry], list[float]]:
             scored.append((-z, stem, -len(term), term, math.log(pa_ / pb)))
     entries: list[Entry] = []
     weights: list[float] = []
+    size = 0
     for _, stem, _, term, weight in sorted(scored):
         if any(term.startswith(e.text) or e.text.startswith(term) for e in entries):
             continue  # one entry a family: the best told
+        size += len(term.encode())
+        if size > LEXICON_BYTES:
+            break
         edits = int(not stem and len(term) >= EDIT_FROM)
         entries.append(Entry(term, stem, edits))
         weights.append(min(weight, 6.0))
-        if len(entries) == ENTRIES:
-            break
     return entries, weights
 
 

@@ -261,6 +261,13 @@ def test_quality_on_held_out_labels(spark):
     assert precision > 0.97 and recall > 0.97
 
 
+def test_toxic_lexicon_keeps_every_term_that_passes():
+    from tabulark.llm.toxicity import selected
+    names = [f"{a}{b}{c}word" for a in "bcdfg" for b in "aeiou" for c in "lmnr"]
+    entries, weights = selected({(False, t): 60 + i for i, t in enumerate(names)}, {}, 450, 2500)
+    assert sorted(e.text for e in entries) == sorted(names) and len(weights) == 100
+
+
 def test_automaton_accepts_one_edit_and_stems():
     from tabulark.llm.automaton import Automaton, Entry
     from tabulark.llm.toxicity import Words32
