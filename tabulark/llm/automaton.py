@@ -2,7 +2,8 @@
 
 States are sets of (trie node, edits so far).  A word entry accepts a word at
 most ``edits`` insertions, deletions or substitutions away; a stem entry accepts
-every word that begins with it.  The DFA is built once from a bounded lexicon
+every word with a beginning at most ``edits`` away.  A word is told the entry of
+fewest edits, a stem before a word where these are equal.  The DFA is built once from a bounded lexicon
 and run over many words side by side: one table look-up a character, and a word
 leaves as soon as no entry can match any more, mostly after a few characters.
 """
@@ -49,18 +50,29 @@ class Automaton:
                              default=0)
 
         def closed(states: set) -> frozenset:
+            """With the skips of entries' characters; (-1 - n, edits) says that stem
+            n was met with edits, and only what can do better goes on beside it."""
             todo = list(states)
             while todo:
                 node, edits = todo.pop()
-                for c in child[node].values():
+                for c in child[node].values() if node >= 0 else ():
                     if edits < most[c] and (c, edits + 1) not in states:
                         states.add((c, edits + 1))
                         todo.append((c, edits + 1))
+            met = [(edits, -1 - node) for node, edits in states if node < 0]
+            met += [(edits, n) for node, edits in states if node >= 0 and edits for n in ends[node]
+                    if entries[n].stem and edits <= entries[n].edits]
+            if met:
+                edits, n = min(met)
+                states = {s for s in states if s[0] >= 0 and s[1] < edits} | {(-1 - n, edits)}
             return frozenset(states)
 
         def step(states: frozenset, sym: int) -> frozenset:
             out = set()
             for node, edits in states:
+                if node < 0:
+                    out.add((node, edits))
+                    continue
                 if sym in child[node]:
                     out.add((child[node][sym], edits))
                 for s, c in child[node].items():
@@ -74,7 +86,9 @@ class Automaton:
             """(entry, edits) of a word that ends here."""
             best = None
             for node, edits in states:
-                for n in ends[node]:
+                if node < 0 and (best is None or edits < best[0]):
+                    best = (edits, -1 - node)
+                for n in ends[node] if node >= 0 else ():
                     if edits <= entries[n].edits and (best is None or (edits, n) < best):
                         best = (edits, n)
             return (best[1], best[0]) if best else None
@@ -88,9 +102,10 @@ class Automaton:
             if states not in names:
                 names[states] = len(rows)
                 stems = [n for node, edits in states if edits == 0 for n in ends[node] if entries[n].stem]
+                alone = len(states) == 1 and min(states)[0] < 0  # a stem met, and nothing better ahead
                 rows.append(None)
                 accept.append((min(stems), 0) if stems else (found(states) or (-1, 0)))
-                final.append(bool(stems))
+                final.append(bool(stems) or alone)
                 todo.append(states)
             return names[states]
 
@@ -99,8 +114,12 @@ class Automaton:
         while todo:
             states = todo.pop()
             at = names[states]
-            rows[at] = ([at] * (len(letters) + 1) if final[at]
-                        else [number(step(states, s)) for s in range(len(letters) + 1)])
+            if final[at]:
+                rows[at] = [at] * (len(letters) + 1)
+                continue
+            rows[at] = [number(step(states, 0))] * (len(letters) + 1)  # as any character that leads nowhere
+            for s in {s for node, _ in states if node >= 0 for s in child[node]}:
+                rows[at][s] = number(step(states, s))
         self.table = np.array(rows, dtype=np.int32)
         self.accept = np.array([a for a, _ in accept], dtype=np.int32)
         self.edits = np.array([d for _, d in accept], dtype=np.int32)

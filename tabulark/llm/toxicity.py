@@ -2,8 +2,11 @@
 
 The lexicon is learned from a bounded sample of labelled training texts
 (``FIT_TEXTS`` with the least hash): words, and stems of words, that stand in many
-more toxic than clean texts.  One automaton (see ``automaton``) finds them with
-an edit or without; forms an edit away that clean texts use as words of their
+more toxic than clean texts; a term is left out only where a better stem holds
+all its hits.  Terms have 4 letters or more.  One automaton (see ``automaton``) finds them with
+an edit or without (a stem: at the beginning of a word), in whole words and in the
+letter runs of words that hold other signs; misspellings by two edits or more are
+not found, nor those that split a word by spaces.  Forms an edit away that clean texts use as words of their
 own are learned too and left out.  Every hit is weighed by its context window:
 inside quotation marks on its line it counts less (it may be cited), and among
 other hits within ``WINDOW`` words more.  The sums over a text enter a logistic
@@ -41,16 +44,16 @@ from .words import chunks, text_bytes
 FIT_TEXTS = 20_000
 CANDIDATES = 200_000  # terms of toxic texts that are looked up in clean ones
 LEXICON_BYTES = 16 << 10
-INNOCENT = 5_000
+INNOCENT = 200_000
 LEAST_Z = 6.0
 LEAST_RATIO = 3.0
 STEM_SIZES = range(4, 9)
-EDIT_FROM = 5  # characters of the shortest entry that may be misspelled
+EDIT_FROM = 4  # characters of the shortest entry that may be misspelled
 WINDOW = 20
 QUOTED = 0.3  # what a quoted hit counts
 THRESHOLD = 0.3
 
-FEATURES = ["f_any", "f_exact", "f_near", "f_stem", "f_word_rate", "f_near_rate", "f_stem_rate",
+FEATURES = ["f_any", "f_exact", "f_near", "f_stem", "f_near_stem", "f_word_rate", "f_near_rate", "f_stem_rate",
             "f_abuse", "f_quoted", "f_window"]
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -116,20 +119,35 @@ def selected(found: dict, other: dict, toxic: int, clean: int) -> tuple[list[Ent
     weights: list[float] = []
     size = 0
     for _, stem, _, term, weight in sorted(scored):
-        if any(term.startswith(e.text) or e.text.startswith(term) for e in entries):
-            continue  # one entry a family: the best told
+        if any(e.stem and term.startswith(e.text) for e in entries):
+            continue  # that stem's hits hold all of this term's
         size += len(term.encode())
         if size > LEXICON_BYTES:
             break
-        edits = int(not stem and len(term) >= EDIT_FROM)
+        edits = int(len(term) >= EDIT_FROM)
         entries.append(Entry(term, stem, edits))
         weights.append(min(weight, 6.0))
     return entries, weights
 
 
+#: Kinds of characters, filled as they are met: -1 unknown, 0 neither, 1 digits and other signs in words, 2 letters.
+_KIND = np.full(0x110000, -1, dtype=np.int8)
+
+
+def kinds(points: np.ndarray) -> np.ndarray:
+    kind = _KIND[points]
+    new = np.unique(points[kind < 0])
+    if len(new):
+        _KIND[new] = [2 if LETTERS.fullmatch(chr(p)) else int(chr(p).isalnum()) for p in new]
+        kind = _KIND[points]
+    return kind
+
+
 class Words32:
-    """Words of several texts as code point ranges, without ASCII punctuation at
-    their ends; lower case."""
+    """Words of several texts as code point ranges, without signs other than
+    letters and digits at their ends; lower case.  ``part``, ``part_start`` and
+    ``part_end`` are the runs of letters inside words that hold more than letters
+    (the learner's words), each with the number of its word."""
 
     def __init__(self, texts: list[bytes]):
         lowered = [t.decode("utf-8", "replace").lower() for t in texts]
@@ -141,20 +159,24 @@ class Words32:
         self.start, self.end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
         at = np.concatenate(([0], np.cumsum([len(t) + 1 for t in lowered])))
         self.first = np.searchsorted(self.start, at)
+        kind = kinds(self.points)
         live = np.arange(len(self.start))
         while len(live):
-            live = live[(self.start[live] < self.end[live]) & _MARK[low[self.start[live]]]]
+            live = live[(self.start[live] < self.end[live]) & (kind[self.start[live]] == 0)]
             self.start[live] += 1
         live = np.arange(len(self.start))
         while len(live):
-            live = live[(self.start[live] < self.end[live]) & _MARK[low[self.end[live] - 1]]]
+            live = live[(self.start[live] < self.end[live]) & (kind[self.end[live] - 1] == 0)]
             self.end[live] -= 1
+        step = np.diff(np.concatenate(([0], (kind == 2).view(np.int8))))
+        start, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+        word = np.searchsorted(self.start, start, "right") - 1
+        inner = (start > self.start[word]) | (end < self.end[word]) if len(word) else np.zeros(0, bool)
+        self.part, self.part_start, self.part_end = word[inner], start[inner], end[inner]
 
 
 _BLANK = np.zeros(128, dtype=bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
-_MARK = np.zeros(128, dtype=bool)
-_MARK[[i for i in range(33, 127) if not chr(i).isalnum()]] = True
 
 
 class Detector:
@@ -167,22 +189,25 @@ class Detector:
         self.innocent = innocent
 
     def hits(self, w: Words32):
-        """(word, entry, edits) of every hit, innocent forms left out."""
-        word, entry, edits = self.automaton.match(w.points, w.start, w.end)
-        near = np.flatnonzero(edits > 0)
-        if len(near):
-            forms = [self.form(w, i) for i in word[near]]
-            drop = near[[f in self.innocent for f in forms]]
-            word, entry, edits = (np.delete(x, drop) for x in (word, entry, edits))
-        return word, entry, edits
-
-    @staticmethod
-    def form(w: Words32, i: int) -> str:
-        return w.points[w.start[i]:w.end[i]].tobytes().decode("utf-32-le")
+        """(word, entry, edits, form) of every hit, innocent forms left out; one
+        hit a word: that of fewest edits, the whole word before its parts.  form
+        is empty for hits without an edit."""
+        whole, entry, edits = self.automaton.match(w.points, w.start, w.end)
+        inner, entry2, edits2 = self.automaton.match(w.points, w.part_start, w.part_end)
+        word = np.concatenate((whole, w.part[inner]))
+        start = np.concatenate((w.start[whole], w.part_start[inner]))
+        end = np.concatenate((w.end[whole], w.part_end[inner]))
+        entry, edits = np.concatenate((entry, entry2)), np.concatenate((edits, edits2))
+        form = np.array([w.points[s:e].tobytes().decode("utf-32-le") if d else ""
+                         for s, e, d in zip(start.tolist(), end.tolist(), edits.tolist())], dtype=object)
+        kept = np.flatnonzero([f not in self.innocent for f in form])
+        kept = kept[np.lexsort((kept, edits[kept], word[kept]))]
+        kept = kept[np.concatenate(([True], np.diff(word[kept]) > 0))] if len(kept) else kept
+        return word[kept], entry[kept], edits[kept], form[kept]
 
     def measure(self, texts: list[bytes]) -> dict[str, np.ndarray]:
         w = Words32(texts)
-        word, entry, edits = self.hits(w)
+        word, entry, edits, _ = self.hits(w)
         n = len(texts)
         doc = np.searchsorted(w.first, word, "right") - 1
         # Quoted: an odd number of marks before it on its line, and one after.
@@ -206,9 +231,9 @@ class Detector:
         np.maximum.at(window, doc, crowd[upto] - crowd[np.arange(len(word))])
         hundred = np.maximum(np.diff(w.first), 1) / 100
         exact = per((~near & ~stem).astype(float))
-        nearly, stems = per(near.astype(float)), per(stem.astype(float))
+        nearly, stems = per((near & ~stem).astype(float)), per((~near & stem).astype(float))
         return {"f_any": (exact + nearly + stems > 0).astype(float), "f_exact": np.log1p(exact),
-                "f_near": np.log1p(nearly), "f_stem": np.log1p(stems),
+                "f_near": np.log1p(nearly), "f_stem": np.log1p(stems), "f_near_stem": np.log1p(per((near & stem).astype(float))),
                 "f_word_rate": np.minimum(exact / hundred, 20.0), "f_near_rate": np.minimum(nearly / hundred, 20.0),
                 "f_stem_rate": np.minimum(stems / hundred, 20.0), "f_abuse": np.log1p(per(weight)),
                 "f_quoted": np.log1p(per(quoted.astype(float))), "f_window": np.log1p(window)}
@@ -224,11 +249,9 @@ def learn_innocent(fit: DataFrame, detector: Detector) -> frozenset[str]:
             texts, label = text_bytes(batch.column(0)), batch.column(1).to_pylist()
             for lo, hi in chunks(texts):
                 w = Words32(texts[lo:hi])
-                word, _, edits = detector.hits(w)
-                word = word[edits > 0]
-                doc = np.searchsorted(w.first, word, "right") - 1
-                count = Counter((form, label[lo + d]) for form, d in
-                                {(detector.form(w, i), d) for i, d in zip(word, doc.tolist())})
+                word, _, edits, forms = detector.hits(w)
+                doc = np.searchsorted(w.first, word[edits > 0], "right") - 1
+                count = Counter((form, label[lo + d]) for form, d in set(zip(forms[edits > 0], doc.tolist())))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([f for f, _ in count], pa.string()), pa.array([x for _, x in count], pa.int64()),
                      pa.array(list(count.values()), pa.int64())], ["form", "label", "docs"])

@@ -306,6 +306,42 @@ def test_automaton_accepts_one_edit_and_stems():
         assert hit.get(x) == want, x
 
 
+def test_toxic_families_and_misspelt_stems():
+    from tabulark.llm.automaton import Automaton
+    from tabulark.llm.toxicity import Detector, Words32, selected
+    told = {(False, "idiot"): 200, (True, "idiot"): 200, (False, "idiotic"): 90, (False, "scum"): 90,
+            (False, "worth"): 80, (False, "worthless"): 100}
+    entries, weights = selected(told, {}, 450, 2500)
+    assert {(e.text, e.stem) for e in entries} == {("idiot", False), ("idiot", True), ("scum", False),
+                                                   ("worth", False), ("worthless", False)}
+    texts = ["idiotic", "idoitic", "idxotic", "scvm", "idiot's", "¡idiotas!", "you—scum", "wortless", "some", "scu idi"]
+    w = Words32([t.encode() for t in texts])
+    word, entry, edits, form = Detector(entries, weights).hits(w)
+    doc = (w.first.searchsorted(word, "right") - 1).tolist()
+    assert {texts[d]: (entries[n].text, k) for d, n, k in zip(doc, entry.tolist(), edits.tolist())} == {
+        "idiotic": ("idiot", 0), "idxotic": ("idiot", 1), "scvm": ("scum", 1), "idiot's": ("idiot", 0),
+        "¡idiotas!": ("idiot", 0), "you—scum": ("scum", 0), "wortless": ("worthless", 1), "scu idi": ("scum", 1)}
+    assert form[edits > 0].tolist() == ["idxotic", "scvm", "wortless", "scu"]
+    # A beginning of the word is at most one edit away: against all of them.
+    a = Automaton([e for e in entries if e.stem])
+
+    def away(x, y):
+        if x == y:
+            return 0
+        i = next((i for i, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
+        return 1 if x[i + 1:] in (y[i + 1:], y[i:]) or x[i:] == y[i + 1:] else 2
+
+    rng = np.random.default_rng(4)
+    some = ["".join(rng.choice(list("idotx"), rng.integers(1, 9))) for _ in range(3000)]
+    some += ["idiot"[:i] + c + "idiot"[j:] + "ix" for i in range(6) for j in range(6) for c in ("", "i", "x", "to")]
+    w = Words32([" ".join(some).encode()])
+    hit, _, edits = a.match(w.points, w.start, w.end)
+    got = dict(zip(hit.tolist(), edits.tolist()))
+    for i, x in enumerate(some):
+        best = min(away(x[:n], "idiot") for n in range(len(x) + 1))
+        assert got.get(i) == (best if best < 2 else None), x
+
+
 def test_quoted_hits_count_less():
     from tabulark.llm.automaton import Entry
     from tabulark.llm.toxicity import Detector
