@@ -3,14 +3,16 @@
 Direct identifiers (email, ip, card, phone) are found by their forms.  Beyond
 those, a term may reveal an identifier by keeping its company.  With p counted
 over all documents, an identifier c holds IC(c) = -log2 p(c) bits, and a term t
-discloses PMI(c; t) = log2 p(c, t) / (p(c) p(t)) of them.  A term near c that
+discloses PMI(c; t) = log2 p(c, t) / (p(c) p(t)) of them, where p(c, t) counts the
+texts that hold both, at any distance.  A term that
 discloses ``generalise`` of IC(c) or more is generalised, and one that
 discloses ``remove`` or more (it hardly occurs without c) is removed, provided
-that ``support`` different texts show the two together.
+that ``support`` different texts show the two together.  A disclosing term is
+treated at every place of every text.
 
 The corpus passes hold texts apart by their digest, so what a text's spans are
-depends on its words and the corpus, not on ids.  Contexts are a small table
-(terms within ``WINDOW`` words of an identifier); documents holding a term are
+depends on its words and the corpus, not on ids.  Terms are paired with the
+identifiers of their text where ``support`` texts show the identifier; documents holding a term are
 counted in one more pass over all texts, with a bounded bitmap of the candidate
 terms keeping others out of the shuffle, and summed within tasks first.
 
@@ -34,7 +36,6 @@ from .tables import bounded_batches, stored, tidied
 from .words import Words, chunks, hash_ranges, text_bytes
 
 KINDS = ("email", "ip", "card", "phone")
-WINDOW = 6  # words to each side
 SUPPORT = 2
 GENERALISE = 0.8
 REMOVE = 0.95
@@ -112,8 +113,9 @@ def trimmed(w: Words) -> tuple[np.ndarray, np.ndarray]:
     return start, end
 
 
-def contexts(raw: bytes, text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
-    """Terms near the identifiers: entity, term (hashes), place and end (code points)."""
+def occurrences(raw: bytes, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(term hashes, place, end in code points) of a text's terms, in order, but
+    those that are part of an identifier."""
     w = Words([raw], lower=True)
     start, end = trimmed(w)
     long = np.flatnonzero(end - start >= LETTERS)
@@ -123,23 +125,13 @@ def contexts(raw: bytes, text: str, spans: list[tuple[str, int, int]]) -> list[d
     points = np.concatenate(([0], np.cumsum((buf & 0xC0) != 0x80)))
     a, b = points[start], points[end]
     own = np.zeros(len(a), dtype=bool)  # words that are part of an identifier
-    for _, s, e in spans:
+    for _, s, e in base_spans(text):
         own[np.searchsorted(b, s, "right"):np.searchsorted(a, e, "left")] = True
-    out = []
-    for kind, s, e in spans:
-        entity = digest(f"{kind}:{text[s:e].lower()}".encode())
-        lo, hi = np.searchsorted(b, s, "right"), np.searchsorted(a, e, "left")
-        for i in [*range(max(0, lo - WINDOW), lo), *range(hi, min(len(a), hi + WINDOW))]:
-            if not own[i]:
-                out.append({"entity": entity, "term": int(term[i]), "place": int(a[i]), "end": int(b[i])})
-    return out
-
-
-CONTEXT = pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("place", pa.int64()), ("end", pa.int64())])
+    return term[~own], a[~own], b[~own]
 
 
 def findings(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, digest, base (spans), entities and contexts of every document."""
+    """doc_id, digest, base (spans) and entities of every document."""
     slim = bounded_batches(docs).select("doc_id", F.col(text).cast("string").alias("t"))
     kind = slim.schema["doc_id"].dataType.simpleString()
 
@@ -147,7 +139,7 @@ def findings(docs: DataFrame, text: str = "text") -> DataFrame:
         for batch in batches:
             texts = text_bytes(batch.column(1))
             for lo, hi in chunks(texts):
-                rows = {"digest": [], "base": [], "entities": [], "contexts": []}
+                rows = {"digest": [], "base": [], "entities": []}
                 for raw in texts[lo:hi]:
                     t = raw.decode("utf-8", "replace")
                     spans = base_spans(t)
@@ -155,17 +147,15 @@ def findings(docs: DataFrame, text: str = "text") -> DataFrame:
                     rows["base"].append([f"{k}:{s}:{e}" for k, s, e in spans])
                     rows["entities"].append(list({digest(f"{k}:{t[s:e].lower()}".encode())
                                                   for k, s, e in spans}))
-                    rows["contexts"].append(contexts(raw, t, spans) if spans else [])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array(rows["digest"], pa.int64()),
                      pa.array(rows["base"], pa.list_(pa.string())),
-                     pa.array(rows["entities"], pa.list_(pa.int64())),
-                     pa.array(rows["contexts"], pa.list_(CONTEXT))],
+                     pa.array(rows["entities"], pa.list_(pa.int64()))],
                     ["doc_id", *rows])
 
     return stored(slim.mapInArrow(
-        tidied(run), f"doc_id {kind}, digest long, base array<string>, entities array<long>, "
-             "contexts array<struct<entity:long,term:long,place:long,end:long>>"), "pii-findings")
+        tidied(run), f"doc_id {kind}, digest long, base array<string>, entities array<long>"),
+        "pii-findings")
 
 
 def documents_with(docs: DataFrame, text: str, wanted: Bitmap) -> DataFrame:
@@ -192,16 +182,58 @@ def documents_with(docs: DataFrame, text: str, wanted: Bitmap) -> DataFrame:
     return rows.groupBy("term").agg(F.sum("docs").alias("docs"))
 
 
+def words_of(docs: DataFrame, text: str, wanted: Bitmap) -> DataFrame:
+    """(digest, term): distinct terms of the texts the bitmap lets through."""
+    def run(batches):
+        seen = set()
+        for batch in batches:
+            for raw in text_bytes(batch.column(0)):
+                name = digest(raw)
+                if name not in seen and wanted.may_hold(np.array([name]))[0]:
+                    seen.add(name)
+                    term = np.unique(occurrences(raw, raw.decode("utf-8", "replace"))[0])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(term), name, dtype=np.int64)), pa.array(term)], ["digest", "term"])
+
+    return docs.select(F.col(text).cast("string")).mapInArrow(tidied(run), "digest long, term long").distinct()
+
+
+def places_of(docs: DataFrame, text: str, wanted: Bitmap) -> DataFrame:
+    """(digest, term, place, end): every place of the terms the bitmap lets through."""
+    def run(batches):
+        seen = set()
+        for batch in batches:
+            texts = text_bytes(batch.column(0))
+            for lo, hi in chunks(texts):
+                w = Words(texts[lo:hi], lower=True)
+                hold = wanted.may_hold(hash_ranges(w.raw, *trimmed(w)).view(np.int64))
+                for d in np.unique(w.doc_of()[hold]):
+                    raw = texts[lo + d]
+                    name = digest(raw)
+                    if name not in seen:
+                        seen.add(name)
+                        term, a, b = occurrences(raw, raw.decode("utf-8", "replace"))
+                        keep = wanted.may_hold(term)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(int(keep.sum()), name, dtype=np.int64)), pa.array(term[keep]),
+                             pa.array(a[keep]), pa.array(b[keep])], ["digest", "term", "place", "end"])
+
+    return docs.select(F.col(text).cast("string")).mapInArrow(
+        tidied(run), "digest long, term long, place long, end long")
+
+
 def disclosing(docs: DataFrame, found: DataFrame, text: str = "text", support: int = SUPPORT,
                generalise: float = GENERALISE) -> DataFrame:
     """(entity, term, ratio): terms that disclose ``generalise`` of an identifier."""
     n = found.count()
-    near = found.filter(F.size("contexts") > 0).select(
-        "digest", F.explode(F.array_distinct(F.transform("contexts", lambda c: F.struct(
-            c["entity"].alias("entity"), c["term"].alias("term"))))).alias("c"))
     # Equal texts are one witness; documents are counted as they are.
-    near = near.groupBy("digest", "c").agg(F.count(F.lit(1)).alias("rows"))
-    pairs = (near.groupBy(F.col("c.entity").alias("entity"), F.col("c.term").alias("term"))
+    rows = (found.filter(F.size("entities") > 0).select("digest", F.explode("entities").alias("entity"))
+            .groupBy("entity", "digest").agg(F.count(F.lit(1)).alias("rows")))
+    # An identifier of fewer texts has no term with enough witnesses.
+    often = rows.groupBy("entity").agg(F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= support)
+    shown = stored(rows.join(often.select("entity"), "entity"), "pii-shown")
+    words = words_of(docs, text, Bitmap(shown.select("digest").distinct(), "digest"))
+    pairs = (shown.join(words, "digest").groupBy("entity", "term")
              .agg(F.count(F.lit(1)).alias("texts"), F.sum("rows").alias("both"))
              .filter(F.col("texts") >= support))
     pairs = stored(pairs, "pii-pairs")
@@ -216,12 +248,11 @@ def disclosing(docs: DataFrame, found: DataFrame, text: str = "text", support: i
 
 
 def term_spans(docs: DataFrame, found: DataFrame, text: str = "text", remove: float = REMOVE) -> DataFrame:
-    """(digest, added): spans of the disclosing terms of each text that has any:
-    array of struct(place, end, removed), by place."""
-    told = disclosing(docs, found, text)
-    one = found.filter(F.size("contexts") > 0).dropDuplicates(["digest"])
-    seen = one.select("digest", F.explode("contexts").alias("c")).select("digest", "c.*")
-    return stored(seen.join(told, ["entity", "term"]).groupBy("digest", "place", "end")
+    """(digest, added): spans of all disclosing terms of each text that has any,
+    wherever they stand and whether or not it shows the identifier: array of struct(place, end, removed), by place."""
+    told = stored(disclosing(docs, found, text).groupBy("term").agg(F.max("ratio").alias("ratio")), "pii-told")
+    seen = places_of(docs, text, Bitmap(told.select("term"), "term"))
+    return stored(seen.join(told, "term").groupBy("digest", "place", "end")
                   .agg((F.max("ratio") >= remove).alias("removed"))
                   .groupBy("digest").agg(F.array_sort(F.collect_list(
                       F.struct("place", "end", "removed"))).alias("added")), "pii-added")

@@ -210,6 +210,17 @@ def test_pii_terms_that_disclose(spark):
     assert "Quillon" not in clean[0] and clean[10] == rows[4][1]
 
 
+def test_pii_terms_far_from_the_identifier(spark):
+    from tabulark.llm import pii
+    far = "one two three four five six seven eight nine ten"
+    rows = [(i, f"Quillon {far} number {i} {far} quill@mail.example.com {far} Quillon") for i in range(4)]
+    rows += [(10 + i, f"{far} number {i}") for i in range(60)] + [(90, f"Quillon {far}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in pii.sanitised(docs).collect()}
+    assert not any("Quillon" in t for t in clean.values()) and clean[10] == rows[4][1]
+    assert all(far in clean[i] and "[EMAIL]" in clean[i] for i in range(4))
+
+
 def test_pii_forms_at_random():
     import random
 
