@@ -10,9 +10,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (bpe, hmm, mixing, neighbours, ngram_join, pii, quality_classifier, quality_rules,
-               sharding, toxicity)
+from . import (bpe, hmm, mixing, neighbours, ngram_join, phrases, pii, quality_classifier, quality_rules,
+               sharding, spelling, token_files, toxicity)
 from .mixing_sql import mix_sql
+from .phrases_sql import collocations_sql
 from .tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,3 +85,18 @@ def op9(spark, sf_dir):
 @register("op10_quality")
 def op10(spark, sf_dir):
     return quality_classifier.scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@register("op11_spelling")
+def op11(spark, sf_dir):
+    return spelling.variants(spelling.vocabulary(read(spark, sf_dir, "documents")))
+
+
+@register("op12_token_files")
+def op12(spark, sf_dir):
+    return token_files.digests(read(spark, sf_dir, "documents"), byte_bpe_path())
+
+
+@register("op13_collocations", collocations_sql())
+def op13(spark, sf_dir):
+    return phrases.collocations(read(spark, sf_dir, "documents"))

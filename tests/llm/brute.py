@@ -6,6 +6,7 @@ import collections
 import hashlib
 import math
 import re
+import zlib
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -201,3 +202,84 @@ def first_words(text, n):
     text = text.lstrip(" \t\n\x0b\x0c\r")
     ends = [m.end() for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
     return text[:ends[n - 1]]
+
+
+# --- spelling variants --------------------------------------------------------------
+
+LETTERS = [chr(i) for i in range(97, 123)] + [chr(i) for i in range(0xC0, 0x100)]
+
+
+def lower(text):
+    """A-Z alone."""
+    return (text or "").encode().lower().decode()
+
+
+def vocabulary(rows, drop=97, letters=5, count=3):
+    c = collections.Counter()
+    for key, text in rows:
+        for run in re.findall("[a-z\u00C0-\u00FF]+", lower(text)):
+            h = zlib.crc32(f"{'' if key is None else key}:{run}".encode())
+            if drop and h % drop == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            c[run] += 1
+    return {w: n for w, n in c.items() if len(w) >= letters and n >= count}
+
+
+def one_edit(word):
+    out = set()
+    for i in range(len(word) + 1):
+        out |= {word[:i] + a + word[i + k:] for a in LETTERS for k in (0, 1)}
+        out.add(word[:i] + word[i + 1:])
+    return out - {word}
+
+
+def apart_by_one(x, y):
+    """Whether one inserted, deleted or replaced code point makes x into y."""
+    same = next((k for k, (a, b) in enumerate(zip(x, y)) if a != b), min(len(x), len(y)))
+    cut = [w[same + 1:] if len(w) >= max(len(x), len(y)) else w[same:] for w in (x, y)]
+    return x != y and abs(len(x) - len(y)) <= 1 and cut[0] == cut[1]
+
+
+def variants(words):
+    """word -> (form, root, n, n_near, form_n)"""
+    form, near = {}, {}
+    for w, n in words.items():
+        found = [x for x in (one_edit(w) if len(w) < 100 else words) if x in words and apart_by_one(x, w)]
+        near[w] = len(found)
+        best = min(found, key=lambda x: (-words[x], x), default=None)
+        if best is not None and words[best] >= 2 * n:
+            form[w] = best
+    out = {}
+    for w, n in words.items():
+        root = w
+        while root in form:
+            root = form[root]
+        out[w] = (form.get(w), root, n, near[w], words.get(form.get(w)))
+    return out
+
+
+# --- collocations --------------------------------------------------------------------
+
+def collocations(rows, least=30, top=2000):
+    """rows: (lang, text); {(lang, rank, phrase, a, l, r, n, score)}"""
+    f, total = collections.Counter(), collections.Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\n-\r]", lower(text)):
+            w = [x for x in re.split("[ \t]+", piece) if x]
+            total[lang] += len(w)
+            f.update((lang, tuple(w[i:i + k])) for k in range(1, 5) for i in range(len(w) - k + 1))
+    wanted = {p: a for p, a in f.items() if len(p[1]) > 1 and a >= least}
+    longest = collections.Counter()
+    for (lang, w), a in wanted.items():
+        for k in range(2, len(w)):
+            for i in range(len(w) - k + 1):
+                longest[lang, w[i:i + k]] = max(longest[lang, w[i:i + k]], a)
+    out = collections.defaultdict(list)
+    for (lang, w), a in wanted.items():
+        score, _, left, right = min((2000000 * a // (f[lang, w[:k]] + f[lang, w[k:]]), k, f[lang, w[:k]], f[lang, w[k:]])
+                                    for k in range(1, len(w)))
+        if 100 * longest[lang, w] < 80 * a:
+            out[lang].append((-score, -a, " ".join(w).encode(), left, right))
+    return {(lang, rank, p.decode(), -a, x, y, total[lang], -score) for lang, listed in out.items()
+            for rank, (score, a, p, x, y) in enumerate(sorted(listed)[:top], 1)}
