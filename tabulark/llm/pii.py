@@ -7,8 +7,10 @@ discloses PMI(c; t) = log2 p(c, t) / (p(c) p(t)) of them, where p(c, t) counts t
 texts that hold both, at any distance.  A term that
 discloses ``generalise`` of IC(c) or more is generalised, and one that
 discloses ``remove`` or more (it hardly occurs without c) is removed, provided
-that ``support`` different texts show the two together.  A disclosing term is
-treated at every place of every text.
+that ``support`` witnesses show the two together.  A witness is a class of near
+copies among the identifier's texts, so a letter that was sent twice with a word
+changed tells nothing about its other words.  A disclosing term is treated at
+every place of every text.
 
 The corpus passes hold texts apart by their digest, so what a text's spans are
 depends on its words and the corpus, not on ids.  Terms are paired with the
@@ -33,13 +35,15 @@ from pyspark.sql import functions as F
 
 from .bitmap import Bitmap
 from .tables import bounded_batches, stored, tidied
-from .words import Words, chunks, hash_ranges, text_bytes
+from .words import Words, chunks, combine, hash_ranges, mix, text_bytes
 
 KINDS = ("email", "ip", "card", "phone")
 SUPPORT = 2
 GENERALISE = 0.8
 REMOVE = 0.95
 LETTERS = 3  # bytes of the shortest term
+SHINGLE, BANDS, WIDTH = 3, 10, 4  # a text's sketch: bands of least hashes of its 3-word shingles
+HOPS = 3  # rounds that join classes of near copies
 
 # The stated forms, written so that no text makes them scan twice.
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
@@ -130,8 +134,19 @@ def occurrences(raw: bytes, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return term[~own], a[~own], b[~own]
 
 
+def sketch(raw: bytes) -> list[int]:
+    """Bands of least hashes of a text's shingles: texts that share four fifths of
+    them have an equal band (with 0.995), texts that share a third seldom (0.11)."""
+    h = Words([raw], lower=True).hashes()
+    runs = combine(h, min(SHINGLE, len(h)))
+    orders = mix(np.arange(1, BANDS * WIDTH + 1, dtype=np.uint64))
+    least = np.array([mix(runs ^ order).min() for order in orders], dtype=np.uint64)
+    return [int(combine(band, WIDTH)[0].view(np.int64)) for band in least.reshape(BANDS, WIDTH)]
+
+
 def findings(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, digest, base (spans) and entities of every document."""
+    """doc_id, digest, base (spans), entities and sketch (of texts with any) of
+    every document."""
     slim = bounded_batches(docs).select("doc_id", F.col(text).cast("string").alias("t"))
     kind = slim.schema["doc_id"].dataType.simpleString()
 
@@ -139,7 +154,7 @@ def findings(docs: DataFrame, text: str = "text") -> DataFrame:
         for batch in batches:
             texts = text_bytes(batch.column(1))
             for lo, hi in chunks(texts):
-                rows = {"digest": [], "base": [], "entities": []}
+                rows = {"digest": [], "base": [], "entities": [], "sketch": []}
                 for raw in texts[lo:hi]:
                     t = raw.decode("utf-8", "replace")
                     spans = base_spans(t)
@@ -147,14 +162,15 @@ def findings(docs: DataFrame, text: str = "text") -> DataFrame:
                     rows["base"].append([f"{k}:{s}:{e}" for k, s, e in spans])
                     rows["entities"].append(list({digest(f"{k}:{t[s:e].lower()}".encode())
                                                   for k, s, e in spans}))
+                    rows["sketch"].append(sketch(raw) if spans else None)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array(rows["digest"], pa.int64()),
                      pa.array(rows["base"], pa.list_(pa.string())),
-                     pa.array(rows["entities"], pa.list_(pa.int64()))],
+                     pa.array(rows["entities"], pa.list_(pa.int64())), pa.array(rows["sketch"], pa.list_(pa.int64()))],
                     ["doc_id", *rows])
 
     return stored(slim.mapInArrow(
-        tidied(run), f"doc_id {kind}, digest long, base array<string>, entities array<long>"),
+        tidied(run), f"doc_id {kind}, digest long, base array<string>, entities array<long>, sketch array<long>"),
         "pii-findings")
 
 
@@ -222,20 +238,37 @@ def places_of(docs: DataFrame, text: str, wanted: Bitmap) -> DataFrame:
         tidied(run), "digest long, term long, place long, end long")
 
 
+def witnesses(shown: DataFrame) -> DataFrame:
+    """``shown`` (entity, digest, rows, sketch) with witness in place of sketch: one
+    name for texts of an identifier that share a band, directly or by others."""
+    named = shown.withColumn("witness", F.col("digest"))
+    for _ in range(HOPS):
+        places = named.select("entity", "digest", "rows", "sketch", "witness", F.posexplode("sketch").alias("k", "least"))
+        lowest = places.groupBy("entity", "k", "least").agg(F.min("witness").alias("lowest"))
+        named = stored(places.join(lowest, ["entity", "k", "least"]).groupBy("entity", "digest").agg(
+            F.first("rows").alias("rows"), F.first("sketch").alias("sketch"), F.min("lowest").alias("witness")),
+            "pii-witnesses")
+    return named.drop("sketch")
+
+
 def disclosing(docs: DataFrame, found: DataFrame, text: str = "text", support: int = SUPPORT,
                generalise: float = GENERALISE) -> DataFrame:
     """(entity, term, ratio): terms that disclose ``generalise`` of an identifier."""
     n = found.count()
-    # Equal texts are one witness; documents are counted as they are.
-    rows = (found.filter(F.size("entities") > 0).select("digest", F.explode("entities").alias("entity"))
-            .groupBy("entity", "digest").agg(F.count(F.lit(1)).alias("rows")))
-    # An identifier of fewer texts has no term with enough witnesses.
+    # Equal texts are one row; documents are counted as they are.
+    rows = (found.filter(F.size("entities") > 0).select("digest", "sketch", F.explode("entities").alias("entity"))
+            .groupBy("entity", "digest").agg(F.count(F.lit(1)).alias("rows"), F.first("sketch").alias("sketch")))
+    # An identifier of fewer witnesses has no term with enough of them, so the texts
+    # of most identifiers never meet their terms.
     often = rows.groupBy("entity").agg(F.count(F.lit(1)).alias("texts")).filter(F.col("texts") >= support)
-    shown = stored(rows.join(often.select("entity"), "entity"), "pii-shown")
+    named = witnesses(stored(rows.join(often.select("entity"), "entity"), "pii-shown"))
+    seen = (named.groupBy("entity", "witness").agg(F.count(F.lit(1)).alias("texts"))
+            .groupBy("entity").agg(F.count(F.lit(1)).alias("seen")).filter(F.col("seen") >= support))
+    shown = stored(named.join(seen.select("entity"), "entity"), "pii-shown")
     words = words_of(docs, text, Bitmap(shown.select("digest").distinct(), "digest"))
-    pairs = (shown.join(words, "digest").groupBy("entity", "term")
-             .agg(F.count(F.lit(1)).alias("texts"), F.sum("rows").alias("both"))
-             .filter(F.col("texts") >= support))
+    pairs = (shown.join(words, "digest").groupBy("entity", "term", "witness").agg(F.sum("rows").alias("both"))
+             .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("seen"), F.sum("both").alias("both"))
+             .filter(F.col("seen") >= support))
     pairs = stored(pairs, "pii-pairs")
     terms = stored(documents_with(docs, text, Bitmap(pairs.select("term").distinct(), "term")), "pii-terms")
     held = (found.filter(F.size("entities") > 0).select(F.explode("entities").alias("entity"))
@@ -263,8 +296,10 @@ def report(docs: DataFrame, text: str = "text") -> DataFrame:
     found = findings(docs, text)
     added = term_spans(docs, found, text)
     rows = found.select("doc_id", "digest", "base").join(added, "digest", "left")
-    counts = [F.size(F.filter("base", lambda s, k=k: s.startswith(f"{k}:"))).cast("long").alias(f"n_{k}")
-              for k in KINDS]
+    def of(kind: str):  # a lambda of two parameters would get the place in the array as its second
+        return lambda span: span.startswith(f"{kind}:")
+
+    counts = [F.size(F.filter("base", of(k))).cast("long").alias(f"n_{k}") for k in KINDS]
     terms = F.transform(F.coalesce("added", F.array().cast("array<struct<place:long,end:long,removed:boolean>>")),
                         lambda a: F.concat_ws(":", F.lit("term"), a["place"].cast("string"),
                                               a["end"].cast("string")))

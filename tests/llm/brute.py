@@ -106,47 +106,51 @@ def terms(text):
     return out
 
 
-def near_terms(text, window=6):
-    """(identifier, term, start, end) near each identifier."""
+def with_terms(text):
+    """(identifier, term, start, end) for every identifier and every term of a text
+    that is no part of one."""
     text, found = text or "", identifiers(text)
-    listed = terms(text)
-    out = []
-    for kind, s, e in found:
-        before = [i for i, (_, a, b) in enumerate(listed) if b <= s]
-        after = [i for i, (_, a, b) in enumerate(listed) if a >= e]
-        for i in before[-window:] + after[:window]:
-            t, a, b = listed[i]
-            if not any(b > s2 and a < e2 for _, s2, e2 in found):
-                out.append(((kind, text[s:e].lower()), t, a, b))
-    return out
+    listed = [(t, a, b) for t, a, b in terms(text) if not any(b > s and a < e for _, s, e in found)]
+    return [((kind, text[s:e].lower()), *t) for kind, s, e in found for t in listed]
+
+
+def witnesses(texts, n=3, percent=60):
+    """text -> name of its class of near copies."""
+    return {texts[k]: top for k, (_, top) in components(list(enumerate(texts)), n, percent).items()}
 
 
 def disclosing(texts, support=2, generalise=0.8):
     """{(identifier, term): ratio} over all texts."""
-    both, witness = collections.Counter(), collections.defaultdict(set)
+    both, shown = collections.Counter(), collections.defaultdict(set)
     holders, docs = collections.Counter(), collections.Counter()
     for t in texts:
-        for pair in {(e, w) for e, w, _, _ in near_terms(t)}:
+        for pair in {(e, w) for e, w, _, _ in with_terms(t)}:
             both[pair] += 1
-            witness[pair].add(t)
+            shown[pair].add(t)
         holders.update({(k, (t or "")[s:e].lower()) for k, s, e in identifiers(t)})
-        marks = {w for w, _, _ in terms(t)}
-        docs.update(marks)
+        docs.update({w for w, _, _ in terms(t)})
+    texts_of = collections.defaultdict(set)
+    for (e, _), listed in shown.items():
+        texts_of[e] |= listed
+    classes = {e: witnesses(sorted(listed)) for e, listed in texts_of.items()}
     out = {}
     for (e, w), n in both.items():
-        if len(witness[e, w]) >= support:
-            ic = math.log2(len(texts) / holders[e])
-            ratio = math.log2(n * len(texts) / (holders[e] * docs[w])) / ic if ic > 0 else 0.0
-            if ratio >= generalise:
-                out[e, w] = ratio
+        ic = math.log2(len(texts) / holders[e])
+        ratio = math.log2(n * len(texts) / (holders[e] * docs[w])) / ic if ic > 0 else 0.0
+        if len({classes[e][t] for t in shown[e, w]}) >= support and ratio >= generalise:
+            out[e, w] = ratio
     return out
 
 
 def added(text, told):
     best = collections.defaultdict(float)
-    for e, w, a, b in near_terms(text):
-        if (e, w) in told:
-            best[a, b] = max(best[a, b], told[e, w])
+    strongest = collections.defaultdict(float)
+    for (_, w), r in told.items():
+        strongest[w] = max(strongest[w], r)
+    found = identifiers(text or "")
+    for w, a, b in terms(text):
+        if w in strongest and not any(b > s and a < e for _, s, e in found):
+            best[a, b] = strongest[w]
     return sorted((a, b, r) for (a, b), r in best.items())
 
 

@@ -190,6 +190,27 @@ def test_pii(spark, texts):
         assert r.base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
         more = [f"term:{a}:{b}" for a, b, _ in brute.added(texts[r.doc_id], told)]
         assert r.spans == ",".join(base + more)
+        kinds = collections.Counter(s.split(":")[0] for s in base)
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(kinds[k] for k in ("email", "ip", "card", "phone"))
+
+
+def test_pii_near_copies_are_one_witness(spark):
+    """Two letters that differ by a word share an address: it goes, their words stay."""
+    from tabulark.llm import pii
+    letter = " ".join(f"usual{i} phrase{i}" for i in range(20))
+    rows = [(0, f"{letter} first quill@mail.example.com"), (1, f"{letter} second quill@mail.example.com")]
+    rows += [(10 + i, f"plain text number {i} with usual7 words") for i in range(200)]
+    # The same in two letters that have nothing else in common.
+    rows += [(300, "Brandt asks about the harvest of apples, brandt@mail.example.com"),
+             (301, "yesterday came a long reply by Brandt on other matters: brandt@mail.example.com")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    told = brute.disclosing([t for _, t in rows])
+    assert {w for _, w in told} == {b"brandt"}
+    clean = {r.doc_id: r.text for r in pii.sanitised(docs).collect()}
+    assert clean == {i: brute.masked(t, told) for i, t in rows}
+    assert clean[0] == f"{letter} first [EMAIL]" and clean[10] == rows[2][1] and "Brandt" not in clean[300]
+    rows = pii.report(docs).collect()
+    assert {r.doc_id: r.n_email for r in rows if r.n_email} == {0: 1, 1: 1, 300: 1, 301: 1}
 
 
 def test_pii_terms_that_disclose(spark):
@@ -212,13 +233,14 @@ def test_pii_terms_that_disclose(spark):
 
 def test_pii_terms_far_from_the_identifier(spark):
     from tabulark.llm import pii
-    far = "one two three four five six seven eight nine ten"
-    rows = [(i, f"Quillon {far} number {i} {far} quill@mail.example.com {far} Quillon") for i in range(4)]
-    rows += [(10 + i, f"{far} number {i}") for i in range(60)] + [(90, f"Quillon {far}")]
+    # Every letter has words of its own: near copies would be one witness.
+    far = [" ".join(f"{w}{i}" for w in "one two three four five six seven eight nine ten".split()) for i in range(4)]
+    rows = [(i, f"Quillon {far[i]} number {i} {far[i]} quill@mail.example.com {far[i]} Quillon") for i in range(4)]
+    rows += [(10 + i, f"{far[i % 4]} number {i}") for i in range(60)] + [(90, f"Quillon {far[0]}")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     clean = {r.doc_id: r.text for r in pii.sanitised(docs).collect()}
     assert not any("Quillon" in t for t in clean.values()) and clean[10] == rows[4][1]
-    assert all(far in clean[i] and "[EMAIL]" in clean[i] for i in range(4))
+    assert all(far[i] in clean[i] and "[EMAIL]" in clean[i] for i in range(4))
 
 
 def test_pii_forms_at_random():
