@@ -3,6 +3,7 @@
 import collections
 import os
 import random
+import re
 import sys
 import zlib
 
@@ -15,6 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import brute  # noqa: E402
 
 from tabulark.llm import hat_trie, phrases, rans, spelling, token_files  # noqa: E402
+from tabulark.llm.bitmap import Bitmap  # noqa: E402
 from tabulark.llm.catalog import ORACLE, QUERIES, byte_bpe_path  # noqa: E402
 from tabulark.session import scratch_path  # noqa: E402
 
@@ -172,34 +174,39 @@ def test_collocations_of_odd_texts(spark, least, top):
 
 
 def test_sequences_with_small_tries(spark):
-    """Spills and new word ids in the middle of a task change no count."""
+    """Spills in the middle of a task change no count, nor does another hash."""
     docs, rows = _odd(spark)
-    counts = phrases.word_counts(docs)
-    words = phrases._frequent(counts)
     want = collections.Counter()
     for r in rows:
-        for w in phrases.pieces_of((r[1] or "").encode()):
+        for piece in re.split(b"[.,;:!?\n-\r]", brute.lower(r[1]).encode()):
+            w = piece.split()
             want.update((r[2] or "und", b" ".join(w[i:i + 2]).decode()) for i in range(len(w) - 1))
-    for held, most in ((1, 10 ** 6), (10 ** 6, 1), (5, 5)):
-        got = {(r.lang, r.phrase): r.n for r in phrases.sequences(docs.coalesce(1), words, None, held=held,
-                                                                  most_words=most).collect()}
+    for held, seed in ((1, 0), (5, 1), (10 ** 6, 2)):
+        counts = phrases.word_counts(docs, seed=seed)
+        words = Bitmap(counts.select("id"), "id")
+        found = phrases.sequences(docs.coalesce(1), words, None, seed=seed, held=held)
+        got = {(r.lang, r.phrase): r.n for r in phrases.spelt(found, counts).collect()}
         assert got == dict(want)
 
 
-def test_hat_trie_bursts_and_spills():
-    draw = random.Random(1)
-    trie, want = hat_trie.HatTrie(burst=8), collections.Counter()
-    spilt = collections.Counter()
-    for _ in range(3000):
-        key, n = tuple(draw.randint(0, 6) for _ in range(draw.randint(2, 4))), draw.randint(1, 5)
-        trie.add([(key, n)])
-        want[key] += n
+@pytest.mark.parametrize("width", [2, 4])
+def test_hat_trie_bursts_and_spills(width):
+    draw = np.random.default_rng(1)
+    trie, want, spilt = hat_trie.HatTrie(width, burst=8), collections.Counter(), collections.Counter()
+    for _ in range(200):
+        keys = draw.integers(1, 7, (20, width))
+        keys[:, 2:] *= draw.integers(0, 2, (20, max(width - 2, 0)))
+        keys, n = phrases.counted_rows(list(keys.T))
+        assert n.sum() == 20
+        trie.add(keys, n)
+        want.update({tuple(k): c for k, c in zip(keys.tolist(), n.tolist())})
         if trie.size > 300:
-            for run in trie.spill(150):
-                assert len({k[0] for k, _ in run}) == 1  # a whole subtree
-                spilt.update(dict(run))
+            for run, counts in trie.spill(150):
+                assert len(set(run[:, 0])) == 1  # a whole subtree, sorted
+                assert run.tolist() == sorted(run.tolist())
+                spilt.update({tuple(k): c for k, c in zip(run.tolist(), counts.tolist())})
             assert trie.size <= 150
-    assert any(c.__class__ is hat_trie.Branch for c in trie.root.values())
-    for run in trie.spill(0):
-        spilt.update(dict(run))
+    assert width == 2 or any(c.__class__ is hat_trie.Branch for c in trie.root.values())
+    for run, counts in trie.spill(0):
+        spilt.update({tuple(k): c for k, c in zip(run.tolist(), counts.tolist())})
     assert spilt == want and trie.size == 0
