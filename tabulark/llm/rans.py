@@ -68,6 +68,8 @@ class Coder:
         self.before = np.append(np.cumsum(share) - share, 0).astype(np.uint64)
         self.full = self.share << np.uint64(63 - bits)
         self.symbol = np.repeat(np.arange(len(self.ids), dtype=np.int32), share)
+        self.place = np.zeros(int(self.ids[-1]) + 1 if len(self.ids) else 0, dtype=np.int64)  # of an id
+        self.place[self.ids] = np.arange(len(self.ids))
 
     def encode(self, blocks: list[np.ndarray]) -> list[Block]:
         if not blocks:
@@ -76,7 +78,7 @@ class Coder:
         most = max(steps)
         rows = np.full((len(blocks), most * LANES), len(self.ids), dtype=np.int64)
         for row, b in zip(rows, blocks):
-            row[:len(b)] = np.searchsorted(self.ids, b)
+            row[:len(b)] = self.place[b]
         by_step = np.ascontiguousarray(rows.reshape(len(blocks), most, LANES).transpose(1, 0, 2))
         x = np.full((len(blocks), LANES), LOW)
         passed, marks = [], []  # from the last step to the first

@@ -33,11 +33,12 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from . import rans
 from .tables import bounded_batches, stored, tidied
-from .words import chunks, text_bytes
+from .words import chunks, hash_ranges, text_bytes
 
 BLOCK = 65_536  # ids
-PIECE = 1 << 18  # characters that are encoded at once
 END = 2
+KNOWN, SHORT = 200_000, 48  # parts of texts that a task remembers, and their bytes
+_MAY_BE_SPACE = np.array([0xC2, 0xE1, 0xE2, 0xE3], dtype=np.uint8)  # lead bytes of other white space
 
 
 @lru_cache(maxsize=2)
@@ -51,27 +52,65 @@ def tokenizer(spec: str):
     return made
 
 
-def pieces(text: str, size: int = PIECE) -> list[str]:
-    """A text cut into pieces that encode by themselves: before a lone space between
-    two other characters, where the byte-level pre-tokenizer always cuts."""
-    out, at = [], 0
-    while len(text) - at > size:
-        cut = text.find(" ", at + size)
-        while 0 <= cut < len(text) - 1 and (text[cut - 1].isspace() or text[cut + 1].isspace()):
-            cut = text.find(" ", cut + 1)
-        if not 0 <= cut < len(text) - 1:
-            break
-        out.append(text[at:cut])
-        at = cut
-    return out + [text[at:]]
-
-
-def encoded(spec: str, texts: list[bytes]) -> list[np.ndarray]:
-    """Ids of each text."""
-    cut = [pieces(t.decode("utf-8", "replace")) for t in texts]
-    made = tokenizer(spec).encode_batch_fast([p for c in cut for p in c], add_special_tokens=False)
-    ids = iter([np.array(e.ids, dtype="<u4") for e in made])
-    return [np.concatenate([next(ids) for _ in c]) for c in cut]
+def cuts(buffer: bytes) -> np.ndarray:
+    """Places of the spaces before which a text may be cut: lone ones between two
+    characters that are no white space.  The byte-level pre-tokenizer cuts there
+    whatever stands around, so the parts encode by themselves."""
+    buf = np.frombuffer(buffer, dtype=np.uint8)
+    at = np.flatnonzero(buf == 32)
+    at = at[(at > 0) & (at < len(buf) - 1)]
+    lead = np.maximum.accumulate(np.where((buf & 0xC0) != 0x80, np.arange(len(buf)), 0))
+    before, after = buf[lead[at - 1]], buf[at + 1]
+    return at[(before > 32) & (after > 32) & ~np.isin(before, _MAY_BE_SPACE) & ~np.isin(after, _MAY_BE_SPACE)]
+
+
+class Encoder:
+    """Ids of texts: the parts between cuts are looked up, new ones are encoded by
+    the tokenizers library.  The table is emptied when it is full."""
+
+    def __init__(self, spec: str):
+        self.library = tokenizer(spec)
+        self.known: dict[bytes, bytes] = {}
+
+    def parts(self, parts: list[bytes]) -> list[bytes]:
+        """Ids of distinct parts, as little-endian uint32 values."""
+        new = [p for p in parts if p not in self.known]
+        if len(self.known) > KNOWN:
+            self.known, new = {}, parts
+        fresh: dict[bytes, bytes] = {}
+        for lo in range(0, len(new), 4_096):
+            some = new[lo:lo + 4_096]
+            made = self.library.encode_batch_fast([p.decode("utf-8", "replace") for p in some], add_special_tokens=False)
+            fresh.update((p, np.array(e.ids, dtype="<u4").tobytes()) for p, e in zip(some, made))
+        out = [self.known[p] if p in self.known else fresh[p] for p in parts]
+        self.known.update((p, ids) for p, ids in fresh.items() if len(p) <= SHORT)
+        return out
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of each text."""
+        raw = b"\n".join(texts) + b"\n"
+        at = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
+        start = np.sort(np.concatenate([at[:-1], cuts(raw)]))
+        text = np.searchsorted(at, start, "right") - 1
+        end = np.minimum(np.append(start[1:], len(raw)), at[text + 1] - 1)
+        names = hash_ranges(raw, start, end)
+        _, first, same = np.unique(names, return_index=True, return_inverse=True)
+        one = first[same]
+        # Parts of one name are one part: length, first and last bytes must agree.
+        eights = np.ndarray((len(raw) + 1,), dtype="<u8", buffer=bytes(8) + raw + bytes(8), strides=(1,))
+        if ((end - start) != (end - start)[one]).any() or (eights[end] != eights[end[one]]).any():
+            first, same = np.arange(len(start)), np.arange(len(start))
+        found = [raw[a:b] for a, b in zip(start[first].tolist(), end[first].tolist())]
+        listed = self.parts(list(dict.fromkeys(found))) if len(first) == len(start) else self.parts(found)
+        if len(listed) < len(found):
+            listed = [dict(zip(dict.fromkeys(found), listed))[p] for p in found]
+        size = np.array([len(x) // 4 for x in listed], dtype=np.int64)
+        flat = np.frombuffer(b"".join(listed), dtype="<u4")
+        low, count = (np.cumsum(size) - size)[same], size[same]
+        ends = np.cumsum(count)
+        ids = flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(low - (ends - count), count)]
+        per_text = np.bincount(text, weights=count, minlength=len(texts)).astype(np.int64)
+        return np.split(ids, np.cumsum(per_text)[:-1])
 
 
 def raw_blocks(docs: DataFrame, vocabulary: str, key: str, text: str, end: int, block: int) -> DataFrame:
@@ -88,6 +127,7 @@ def raw_blocks(docs: DataFrame, vocabulary: str, key: str, text: str, end: int,
 
     def run(batches):
         keys, ids, held, number, start, file = [], [], 0, 0, 0, 0
+        encoder = Encoder(spec)
 
         def closed():
             return pa.RecordBatch.from_arrays(
@@ -100,7 +140,7 @@ def raw_blocks(docs: DataFrame, vocabulary: str, key: str, text: str, end: int,
         for batch in batches:
             texts = text_bytes(batch.column(1))
             for lo, hi in chunks(texts):
-                for at, made in enumerate(encoded(spec, texts[lo:hi]), lo):
+                for at, made in enumerate(encoder.encode(texts[lo:hi]), lo):
                     file = batch.column(2)[0].as_py()
                     keys.append(batch.column(0).slice(at, 1))
                     ids.append(np.concatenate([made, tail]))
