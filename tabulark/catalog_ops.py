@@ -24,7 +24,7 @@ from .operators.dedupe import latest_per_key
 from .operators.quarantine import split_parsed
 from .plans import dims, facts, marts
 from .plans.dds import materialized_stg
-from .plans.incremental import Warehouse, run_dds, run_stg
+from .plans.incremental import FEEDS, Staging, Warehouse, run_dds, run_stg
 from .session import configure, scratch_path
 from .sources import adapters, bookmarks, scans
 from .sources.driver import Tables
@@ -722,6 +722,81 @@ def q_dds_incremental_rejects(spark, sf_dir):
     return rows.select(F.get_json_object("body", "$.id").cast("bigint").alias("event_id"), "reason")
 
 
+# --- loads in order of arrival --------------------------------------------------------------
+
+@register("dds_incremental_arrival", O.with_(O.DELIV, O.REST) + f"""
+SELECT d.delivery_id, d.order_key, d.order_ts, r.rid AS courier_id,
+       CAST(CASE WHEN d.l_orderkey % 3 = 0 AND l.l_shipdate >= DATE '{FIRST_LOAD_END}'
+            THEN 6 - d.rate ELSE d.rate END AS DECIMAL(2,1)) AS rate, d.dsum AS sum
+FROM deliv d JOIN rest r ON r.s_suppkey = d.l_suppkey
+JOIN lineitem l ON l.l_orderkey = d.l_orderkey AND l.l_linenumber = d.l_linenumber
+ AND l.l_suppkey = d.l_suppkey AND l.l_partkey = d.l_partkey""")
+def q_dds_incremental_arrival(spark, sf_dir):
+    """Deliveries by order of arrival (S9, S20, B8).  The first load brings those
+    shipped from the cut-off on; the second brings the earlier ones, late, half of
+    them without a delivery time, and a third of the first once more with a
+    corrected rating.  Each run takes what arrived since the last."""
+    configure(spark)
+    feeds = materialized_stg(spark, sf_dir)
+    stg = Staging(spark, scratch_path(spark, "stg-arrival"))
+    wh = Warehouse(spark, scratch_path(spark, "dds-arrival"))
+    for name in ("couriers", "users", "restaurants", "orders"):
+        stg.land(name, feeds[name])
+    only = ["dm_couriers", *_ORDER_TABLES, "fct_deliveries"]
+    key = F.split_part("order_id", F.lit("-"), F.lit(1)).cast("long")
+    first = F.col("delivery_ts") >= D.ts_lit(FIRST_LOAD_END)
+    stg.land("deliveries", feeds["deliveries"].filter(first))
+    run_dds(stg, wh, only=only)
+    corrected = feeds["deliveries"].filter(first & (F.pmod(key, F.lit(3)) == 0)).withColumn(
+        "rate", F.lit(6) - F.col("rate"))
+    late = feeds["deliveries"].filter(~first).withColumn(
+        "delivery_ts", F.when(F.pmod(key, F.lit(2)) == 0, F.col("delivery_ts")))
+    stg.land("deliveries", late.unionByName(corrected))
+    run_dds(stg, wh, only=only)
+    orders = wh.read("dm_orders").select(F.col("id").alias("order_id"), "order_key")
+    return wh.read("fct_deliveries").join(orders, "order_id").select(
+        "delivery_id", "order_key", "order_ts", "courier_id", "rate", "sum")
+
+
+@register("dds_incremental_arrival_users", """
+SELECT 'loaded' AS place, CAST(c_custkey AS VARCHAR) AS user_id,
+       CASE WHEN c_custkey % 10 = 0 THEN c_name || ' (new)' ELSE c_name END AS user_name
+FROM customer WHERE c_custkey % 5 <> 1 OR c_custkey % 2 = 0
+UNION ALL
+SELECT 'null update_ts', CAST(c_custkey AS VARCHAR), CAST(NULL AS VARCHAR)
+FROM customer WHERE c_custkey % 5 = 1 AND c_custkey % 2 = 1""")
+def q_dds_incremental_arrival_users(spark, sf_dir):
+    """Users by order of arrival (B1): even keys first, then the odd ones stamped a
+    year before the first, a fifth of those without a time (rejected, NOT NULL), and a
+    newer and an older document of every tenth user, of which the newer stays."""
+    configure(spark)
+    users = materialized_stg(spark, sf_dir)["users"]
+    stg = Staging(spark, scratch_path(spark, "stg-arrival-users"))
+    wh = Warehouse(spark, scratch_path(spark, "dds-arrival-users"))
+    key = F.col("object_id").cast("long")
+    stamp = F.col("update_ts")
+    even, tenth = F.pmod(key, F.lit(2)) == 0, users.filter(F.pmod(key, F.lit(10)) == 0)
+
+    def named(df, suffix):
+        name = F.get_json_object("object_value", "$.name")
+        login = F.get_json_object("object_value", "$.login")
+        return df.withColumn("object_value", F.to_json(F.struct(
+            F.col("object_id").alias("_id"), login.alias("login"), F.concat(name, F.lit(suffix)).alias("name"))))
+
+    late = users.filter(~even).withColumn("update_ts", F.when(
+        F.pmod(key, F.lit(5)) != 1, stamp - F.expr("INTERVAL 1 YEAR")))
+    loads = [users.filter(even), late.unionByName(named(tenth, " (new)").withColumn(
+        "update_ts", stamp + F.expr("INTERVAL 1 DAY"))),
+        named(tenth, " (old)").withColumn("update_ts", stamp - F.expr("INTERVAL 1 DAY"))]
+    for batch in loads:
+        stg.land("users", batch)
+        run_dds(stg, wh, only=["dm_users"])
+    bad = stg.rejected["users"].read().select(
+        F.col("reason").alias("place"), F.get_json_object("body", "$.object_id").alias("user_id"),
+        F.lit(None).cast("string").alias("user_name"))
+    return wh.read("dm_users").select(F.lit("loaded").alias("place"), "user_id", "user_name").unionByName(bad)
+
+
 # --- incremental stg loads ---------------------------------------------------------------
 
 @register("stg_ranks", """
@@ -732,12 +807,29 @@ FROM nation""")
 def q_stg_ranks(spark, sf_dir):
     """Bonus ranks loaded by id cursor in two batches (S4), upserted by source id;
     rows that break the source's CHECKs (percent and threshold not negative)
-    would not pass."""
-    table = _table(spark, "stg-ranks")
+    are rejected by the load."""
+    table, bad = _table(spark, "stg-ranks"), _table(spark, "stg-ranks-rejected")
     feed = adapters.bonus_ranks(_t(spark, sf_dir))
-    run_stg(feed, table, "id", "id", limit=10)
-    run_stg(feed, table, "id", "id")
-    return table.read().filter((F.col("bonus_percent") >= 0) & (F.col("min_payment_threshold") >= 0))
+    for limit in (10, None):
+        run_stg(feed, table, "id", "id", limit, bad, FEEDS["ranks"].not_negative)
+    return table.read()
+
+
+@register("stg_bonus_users_gate", """
+SELECT c_custkey AS key, CASE WHEN c_acctbal < 0 THEN 'negative balance' END AS reason FROM customer
+UNION ALL SELECT c_custkey, 'null id' FROM customer WHERE c_custkey % 7 = 0""")
+def q_stg_bonus_users_gate(spark, sf_dir):
+    """Constraints as a gate of the load: customers with their balance, and some sent
+    once more without an id, loaded by id cursor in two batches under NOT NULL id
+    and CHECK (balance >= 0); the table's rows and the rejected ones with reasons."""
+    table, bad = _table(spark, "stg-gate"), _table(spark, "stg-gate-rejected")
+    rows = _t(spark, sf_dir).customer.select(F.col("c_custkey").alias("id"), F.col("c_custkey").alias("key"),
+                                             F.col("c_acctbal").alias("balance"))
+    feed = rows.unionByName(rows.filter(F.pmod("key", F.lit(7)) == 0).withColumn("id", F.lit(None).cast("bigint")))
+    for limit in (EVENT_BATCH, None):
+        run_stg(feed, table, "id", "id", limit, bad, ("balance",))
+    rejected = bad.read().select(F.get_json_object("body", "$.key").cast("bigint").alias("key"), "reason")
+    return table.read().select("key", F.lit(None).cast("string").alias("reason")).unionByName(rejected)
 
 
 @register("stg_bonus_users", """

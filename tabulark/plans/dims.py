@@ -19,6 +19,7 @@ from ..operators.ids import assign_dense_ids
 from ..operators.pending import resolve
 from ..operators.quarantine import split_parsed
 from ..operators.versions import close_versions
+from ..sources.sinks import ARRIVED
 from .. import schemas as S
 
 # Order statuses that get a calendar entry.
@@ -127,18 +128,20 @@ def dim_orders(stg_orders: DataFrame, restaurants: DataFrame, timestamps: DataFr
     A missing restaurant or user makes the order pending, and so does a
     missing calendar row of a closed or cancelled order (Q8); an order still in
     delivery has none, and its ``timestamp_id`` is null.  Waiting rows keep
-    ``update_ts`` and compete with newer documents of their order.  Without ids
-    the table keeps ``update_ts`` too, for the merge; ``order_month`` is the
-    month of the order's time.
+    ``update_ts`` and compete with newer documents of their order; of two with one
+    ``update_ts`` the later to arrive wins, where the feed tells.  Without ids the
+    table keeps ``update_ts`` too, for the merge; ``order_month`` is the month of
+    the order's time.
     """
+    order = ["update_ts", *([ARRIVED] if ARRIVED in stg_orders.columns else [])]
     good, bad = split_parsed(stg_orders, "object_value", S.ORDER_BODY, ["_id", "final_status"])
     rows = good.select(F.col("body._id").alias("order_key"),
                        F.col("body.final_status").alias("order_status"),
                        F.col("body.restaurant.id").alias("restaurant_key"),
                        F.col("body.user.id").alias("user_key"),
-                       parse_ts(f"body.{ts_field}").alias("order_ts"), "update_ts")
+                       parse_ts(f"body.{ts_field}").alias("order_ts"), *order)
     rows = rows if pending is None else rows.unionByName(pending)
-    latest = latest_per_key(rows, ["order_key"], ["update_ts"])
+    latest = latest_per_key(rows, ["order_key"], order)
     if "active_to" in restaurants.columns:  # versioned: look up the open version (P6)
         restaurants = restaurants.filter(F.col("active_to") == _open_end())
     r = restaurants.select(F.col("restaurant_id").alias("r_key"), F.col("id").alias("restaurant_id"))
@@ -153,7 +156,7 @@ def dim_orders(stg_orders: DataFrame, restaurants: DataFrame, timestamps: DataFr
     waiting = met.filter(waits).select(*rows.columns)
     table = met.filter(~waits).select(
         "order_key", "order_status", "restaurant_id", "timestamp_id", "user_id",
-        F.trunc("order_ts", "month").alias("order_month"), *([] if with_ids else ["update_ts"]))
+        F.trunc("order_ts", "month").alias("order_month"), *([] if with_ids else order))
     return Built(_numbered(table, ["order_key"], start, with_ids), rejected=bad, pending=waiting)
 
 

@@ -17,6 +17,7 @@ from ..operators.dedupe import latest_per_key
 from ..operators.pending import resolve
 from ..operators.quarantine import split_parsed
 from ..sources.scans import scan_cursor_typed
+from ..sources.sinks import ARRIVED
 from .. import schemas as S
 from .dims import Built
 
@@ -58,10 +59,12 @@ def fct_product_sales(events: DataFrame, orders: DataFrame, products: DataFrame,
 
 def fct_deliveries(stg_deliveries: DataFrame, orders: DataFrame, couriers: DataFrame,
                    pending: DataFrame | None = None) -> Built:
-    """Deliveries with surrogate order and courier; replays collapse on delivery_id."""
+    """Deliveries with surrogate order and courier; replays collapse on delivery_id:
+    the last to arrive wins where the feed tells its loads, else the newest order time."""
+    told = [ARRIVED] if ARRIVED in stg_deliveries.columns else []
     rows = stg_deliveries.select("delivery_id", F.col("order_id").alias("order_key"), "order_ts",
                                  F.col("courier_id").alias("courier_key"), F.col("rate").alias("given"),
-                                 F.col("rate").try_cast("decimal(2,1)").alias("rate"), "sum", "tip_sum")
+                                 F.col("rate").try_cast("decimal(2,1)").alias("rate"), "sum", "tip_sum", *told)
     reason = (F.when(F.col("delivery_id").isNull(), F.lit("missing delivery_id"))
               .when(F.col("order_ts").isNull(), F.lit("missing order_ts"))
               .when(F.col("given").isNotNull() & F.col("rate").isNull(), F.lit("rating out of range")))
@@ -69,11 +72,11 @@ def fct_deliveries(stg_deliveries: DataFrame, orders: DataFrame, couriers: DataF
     bad = tagged.filter(F.col("reason").isNotNull()).drop("rate").withColumnRenamed("given", "rate")
     rows = tagged.filter(F.col("reason").isNull()).drop("reason", "given")
     rows = rows if pending is None else rows.unionByName(pending)
-    latest = latest_per_key(rows, ["delivery_id"], ["order_ts"])
+    latest = latest_per_key(rows, ["delivery_id"], told or ["order_ts"])
     o = orders.select("order_key", F.col("id").alias("o_id"))
     c = couriers.select("courier_id", F.col("id").alias("c_id"))
     step, wait_o = resolve(latest, o, "order_key", "order_key", "o_id", "order_id")
     step, wait_c = resolve(step, c, "courier_key", "courier_id", "c_id", "courier_id")
-    table = step.select("delivery_id", "order_id", "order_ts", "courier_id", "rate", "sum", "tip_sum")
+    table = step.select("delivery_id", "order_id", "order_ts", "courier_id", "rate", "sum", "tip_sum", *told)
     waiting = wait_o.unionByName(wait_c.drop("order_id"))
     return Built(table, rejected=bad, pending=waiting)

@@ -31,6 +31,7 @@ from ..operators.dedupe import latest_per_key
 from ..operators.ids import assign_dense_ids
 
 LOAD = "_load"  # number of the load that wrote a row
+ARRIVED = "arrived"  # the same, as ``arrivals`` hands it to a reader
 
 
 def _fs(spark: SparkSession, path: str):
@@ -39,6 +40,11 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def _newest(folder: str) -> int | None:
+    """Largest load number in a folder, as its name tells; None where it does not."""
+    return int(folder.split("-")[1]) if folder.startswith("load-") else None
+
+
 @dataclass(frozen=True)
 class State:
     """What a pointer says; version 0 is the empty table."""
@@ -104,17 +110,36 @@ class Table:
 
     def read(self, state: State | None = None) -> DataFrame | None:
         """The current rows; None while nothing was written."""
-        state = state or self.state()
+        rows = self._current(state or self.state())
+        return rows if rows is None else rows.drop(LOAD)
+
+    def _current(self, state: State) -> DataFrame | None:
         rows = self._rows(state)
-        if rows is None or LOAD not in rows.columns:
-            return rows
-        if len(state.folders) > 1 and state.keys:
+        if rows is not None and LOAD in rows.columns and len(state.folders) > 1 and state.keys:
+            rows = latest_per_key(rows, state.keys, [*(state.order_by or []), LOAD])
+        return rows
+
+    def arrivals(self, after: int, state: State | None = None) -> DataFrame | None:
+        """Rows of an upserted table that loads after number ``after`` brought, with
+        the load's number as ``arrived``: the newest per key where several loads
+        brought it.  Whatever time a row carries, it is found by the load that
+        landed it.  Folders of earlier loads are not opened; None while nothing
+        was written."""
+        state = state or self.state()
+        if not state.folders:
+            return None
+        late = [f for f in state.folders if (n := _newest(f)) is None or n > after]
+        # Nothing new: the last folder, which the filter empties.
+        rows = self.spark.read.parquet(*[f"{self.root}/{f}" for f in late or state.folders[-1:]])
+        rows = rows.filter(F.col(LOAD) > F.lit(after))
+        if len(late) > 1:
             rows = latest_per_key(rows, state.keys, [*(state.order_by or []), LOAD])
-        return rows.drop(LOAD)
+        return rows.withColumnRenamed(LOAD, ARRIVED)
 
     # -- writes ----------------------------------------------------------------
-    def _land(self, df: DataFrame) -> str:
-        folder = f"data-{uuid.uuid4().hex[:16]}"
+    def _land(self, df: DataFrame, load: int | None = None) -> str:
+        """A fresh folder of ``df``, whose rows are of loads up to number ``load``."""
+        folder = f"{'data' if load is None else f'load-{load:012d}'}-{uuid.uuid4().hex[:16]}"
         df.write.parquet(f"{self.root}/{folder}")
         return folder
 
@@ -129,6 +154,14 @@ class Table:
         return self.publish(begun, folders=[self._land(df)], keys=None, order_by=None,
                             bookmark=bookmark or begun.bookmark)
 
+    def add_first(self, df: DataFrame):
+        """Append ``df``, and return a function that leaves it as the only content:
+        one write for a set that is replaced in two steps."""
+        begun = self.state()
+        folder = self._land(df)
+        added = self.publish(begun, folders=[*begun.folders, folder])
+        return lambda: self.publish(added, folders=[folder], keys=None, order_by=None)
+
     def append(self, df: DataFrame, bookmark: dict | None = None) -> State:
         begun = self.state()
         return self.publish(begun, folders=[*begun.folders, self._land(df)],
@@ -142,7 +175,8 @@ class Table:
         rows = latest_per_key(batch, keys, order_by) if order_by else batch.dropDuplicates(keys)
         if id_col:
             rows = with_ids(rows, self._rows(begun), keys, id_col, begun.max_id)
-        folder = self._land(rows.withColumn(LOAD, F.lit(begun.version + 1)))
+        load = begun.version + 1
+        folder = self._land(rows.withColumn(LOAD, F.lit(load)), load)
         return self.publish(begun, folders=[*begun.folders, folder], keys=keys, order_by=order_by,
                             max_id=self._largest(folder, id_col, begun.max_id),
                             bookmark=bookmark or begun.bookmark)
@@ -154,15 +188,13 @@ class Table:
                             bookmark=bookmark or begun.bookmark)
 
     def compact(self) -> State:
-        """One folder in place of several; rows, bookmark and largest id stay.
-        Old folders stay for readers of earlier pointers."""
+        """One folder in place of several; rows, their load numbers, bookmark and
+        largest id stay.  Old folders stay for readers of earlier pointers."""
         begun = self.state()
         if len(begun.folders) < 2:
             return begun
-        rows = self.read(begun)
-        if begun.keys:
-            rows = rows.withColumn(LOAD, F.lit(begun.version))
-        return self.publish(begun, folders=[self._land(rows)])
+        rows = self._current(begun)
+        return self.publish(begun, folders=[self._land(rows, begun.version if begun.keys else None)])
 
 
 # --- set-based merge operators (pure DataFrame -> DataFrame) ----------------------

@@ -7,7 +7,7 @@ import pytest
 
 from tabulark import schemas as S
 from tabulark.plans import dims, facts
-from tabulark.plans.incremental import Warehouse, run_dds, run_increment, run_stg
+from tabulark.plans.incremental import Staging, Warehouse, run_dds, run_increment, run_stg
 from tabulark.session import scratch_path
 from tabulark.sources.sinks import Table
 
@@ -171,3 +171,100 @@ def test_whole_runs_reach_the_full_load(spark):
         want = full[name].select(*rows.columns) if name != "fct_deliveries" else full[name].drop("order_month")
         assert rows.select(*want.columns).exceptAll(want).isEmpty() and rows.count() == want.count(), name
         assert wh.pending[name].read() is None or wh.pending[name].read().isEmpty()
+
+
+DELIVERY = ("delivery_id string, order_id string, order_ts timestamp_ntz, courier_id string, "
+            "delivery_ts timestamp_ntz, rate int, sum double, tip_sum double")
+
+
+def test_deliveries_are_taken_by_arrival(spark):
+    """Late, corrected, null-time and waiting deliveries: the last to arrive stands."""
+    root = scratch_path(spark, "t-arrival")
+    stg = Staging(spark, f"{root}/stg")
+    target, pending, rejected = _tables(spark)
+    parents = {"orders": [(1, "o1")]}
+
+    def build(batch, waiting):
+        orders = spark.createDataFrame(parents["orders"], "id long, order_key string")
+        couriers = spark.createDataFrame([(1, "c1")], "id long, courier_id string")
+        return facts.fct_deliveries(batch, orders, couriers, pending=waiting)
+
+    def load(*rows):
+        stg.land("deliveries", spark.createDataFrame(
+            [(d, o, T0, "c1", ts, rate, 1.0, 0.0) for d, o, ts, rate in rows], DELIVERY))
+        return run_increment(stg["deliveries"], target, build, "delivery_id", pending, rejected,
+                             order_by=["arrived"], id_col=None)
+
+    def rates(table):
+        return {r.delivery_id: None if r.rate is None else int(r.rate) for r in table.read().collect()}
+
+    assert load(("d1", "o1", _hours(5), 3), ("w", "o2", _hours(5), 5), (None, "o1", T0, 1)) == 2
+    assert rates(target) == {"d1": 3} and rates(pending) == {"w": 5}
+    assert [r.reason for r in stg.rejected["deliveries"].read().collect()] == ["null delivery_id"]
+    assert load(("d1", "o1", _hours(5), 5), ("late", "o1", _hours(-9), 4), ("none", "o1", None, 2),
+                ("w", "o2", _hours(5), 3)) == 4  # the waiting one is corrected downwards
+    assert rates(target) == {"d1": 5, "late": 4, "none": 2} and rates(pending) == {"w": 3}
+    parents["orders"].append((2, "o2"))
+    stg["deliveries"].compact()  # folds folders: nothing arrives by it
+    assert run_increment(stg["deliveries"], target, build, "delivery_id", pending, rejected,
+                         order_by=["arrived"], id_col=None) == 0
+    assert rates(target) == {"d1": 5, "late": 4, "none": 2, "w": 3} and rates(pending) == {}
+    assert load(("d1", "o1", T0, 1)) == 1 and rates(target)["d1"] == 1
+
+
+def test_arrivals_open_late_folders_alone(spark):
+    table = Table(spark, scratch_path(spark, "t-folders"))
+    for n in range(3):
+        table.upsert(spark.createDataFrame([(n, n)], "k int, v int"), ["k"])
+    late = table.arrivals(2)
+    assert [(r.k, r.arrived) for r in late.collect()] == [(2, 3)] and len(late.inputFiles()) == 1
+    table.compact()
+    assert {(r.k, r.arrived) for r in table.arrivals(1).collect()} == {(1, 2), (2, 3)}
+    assert table.arrivals(3).count() == 0
+
+
+def test_null_cursors_are_rejected(spark):
+    target, pending, rejected = _tables(spark)
+    parents = Parents(spark)
+    docs = spark.createDataFrame([_doc("o1", "u1", T0)], S.DOCUMENT)
+    from pyspark.sql import functions as F
+    untimed = spark.createDataFrame([_doc("o2", "u1", T0)], S.DOCUMENT).withColumn(
+        "update_ts", F.lit(None).cast("timestamp_ntz"))
+    assert _run(docs, target, parents, pending, rejected) == 1
+    for _ in range(2):
+        assert _run(docs.unionByName(untimed), target, parents, pending, rejected) == 0
+    assert [(r.reason, json.loads(r.body)["object_id"]) for r in rejected.read().collect()] == [("null update_ts", "o2")]
+
+
+def test_stg_constraints_gate_the_load(spark):
+    feed = spark.createDataFrame([(1, 5), (2, -1), (None, 3), (4, None)], "id long, percent int")
+    table, bad = Table(spark, scratch_path(spark, "t-gate")), Table(spark, scratch_path(spark, "t-gate-bad"))
+    assert [run_stg(feed, table, "id", "id", 2, bad, ("percent",)) for _ in range(3)] == [2, 1, 0]
+    assert sorted(r.id for r in table.read().collect()) == [1, 4]
+    assert {(r.reason, r.body) for r in bad.read().collect()} == {
+        ("null id", '{"percent":3}'), ("negative percent", '{"id":2,"percent":-1}')}
+    with pytest.raises(ValueError):
+        run_stg(feed, Table(spark, scratch_path(spark, "t-gate2")), "id", "id", not_negative=("percent",))
+
+
+def test_a_stream_keeps_bad_lines_and_skips_published_epochs(spark, tmp_path):
+    from pyspark.sql import types as T
+    from tabulark.streaming import ingest
+    table, bad = Table(spark, scratch_path(spark, "t-str")), Table(spark, scratch_path(spark, "t-str-bad"))
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.LongType())])
+    drop, point = tmp_path / "drop", str(tmp_path / "point")
+    drop.mkdir()
+
+    def run(checkpoint=point):
+        return ingest.ingest_landed(spark, str(drop), schema, table, ["k"], ["v"], checkpoint, rejected=bad)
+
+    (drop / "a.json").write_text('{"k": 1, "v": 1}\n{"k": 2, "v"\n{"v": 7}\n')
+    assert [(r.k, r.v) for r in run().collect()] == [(1, 1)]
+    assert {(r.reason, r.body) for r in bad.read().collect()} == {("not parsed", '{"k": 2, "v"'), ("null k", '{"v":7}')}
+    folders = table.state().folders
+    for f in sorted((tmp_path / "point" / "commits").iterdir()):  # crashed before the commit was written
+        f.rename(tmp_path / f.name)
+    run()
+    assert table.state().folders == folders and bad.read().count() == 2
+    run(str(tmp_path / "other"))  # another stream numbers its epochs anew
+    assert len(table.state().folders) == len(folders) + 1
