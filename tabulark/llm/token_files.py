@@ -96,14 +96,16 @@ class Encoder:
         names = hash_ranges(raw, start, end)
         _, first, same = np.unique(names, return_index=True, return_inverse=True)
         one = first[same]
-        # Parts of one name are one part: length, first and last bytes must agree.
+        # Parts of one name are one part: length and last bytes must agree.
         eights = np.ndarray((len(raw) + 1,), dtype="<u8", buffer=bytes(8) + raw + bytes(8), strides=(1,))
-        if ((end - start) != (end - start)[one]).any() or (eights[end] != eights[end[one]]).any():
+        size = end - start
+        last = eights[end] >> (8 * (8 - np.clip(size, 1, 8))).astype(np.uint64)  # the part's own bytes alone
+        if (size != size[one]).any() or ((last != last[one]) & (size > 0)).any():
             first, same = np.arange(len(start)), np.arange(len(start))
         found = [raw[a:b] for a, b in zip(start[first].tolist(), end[first].tolist())]
-        listed = self.parts(list(dict.fromkeys(found))) if len(first) == len(start) else self.parts(found)
-        if len(listed) < len(found):
-            listed = [dict(zip(dict.fromkeys(found), listed))[p] for p in found]
+        distinct = list(dict.fromkeys(found))
+        whole = dict(zip(distinct, self.parts(distinct)))
+        listed = [whole[p] for p in found]
         size = np.array([len(x) // 4 for x in listed], dtype=np.int64)
         flat = np.frombuffer(b"".join(listed), dtype="<u4")
         low, count = (np.cumsum(size) - size)[same], size[same]

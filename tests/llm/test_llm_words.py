@@ -210,3 +210,26 @@ def test_hat_trie_bursts_and_spills(width):
     for run, counts in trie.spill(0):
         spilt.update({tuple(k): c for k, c in zip(run.tolist(), counts.tolist())})
     assert spilt == want and trie.size == 0
+
+
+def test_repeated_parts_are_encoded_once():
+    """Short parts that stand in other surroundings are one part: what stands before them is no part of them."""
+    import public_tokenizers
+    from tabulark.llm import token_files
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        made = token_files.Encoder(f.read())
+    asked, parts = [], made.parts
+    made.parts = lambda some: asked.append(len(some)) or parts(some)
+    texts = [" ".join(w + t for w in ("ab", "", "cd", "elephants") for t in ("x", "y", "zz")).encode() for _ in range(50)]
+    texts += [b"", b" ", "  é   x\t\n y".encode(), b"x" * 30]
+    got = made.encode(texts)
+    want = [e.ids for e in made.library.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+    assert [x.tolist() for x in got] == want
+    assert asked == [len(set(asked_parts(texts)))]
+
+
+def asked_parts(texts):
+    from tabulark.llm import token_files
+    for t in texts:
+        at = [0, *token_files.cuts(t).tolist(), len(t)]
+        yield from (t[a:b] for a, b in zip(at, at[1:]))
