@@ -45,6 +45,7 @@ RUN = re.compile("[a-zÀ-ÿ]+")
 DROP = 97
 LETTERS, COUNT = 5, 3
 CELL = 4_096  # words of a cell
+LOTS = 32  # parts in which the words of a crowded prefix are dealt
 HELD = 200_000  # words counted in a task before they are passed on
 _LONG = 1 << 22  # texts beyond are not cut into a list of runs
 _SIGNS = 0x110000
@@ -205,7 +206,11 @@ def with_cells(words: DataFrame, longest: int, cell: int = CELL) -> DataFrame:
     prefixes = sized.select("word", F.explode(F.filter(steps, lambda k: k <= F.col("size"))).alias("k")).select(
         "word", "k", F.expr("xxhash64(k, substring(word, 1, k))").alias("prefix"))
     crowded = prefixes.groupBy("prefix").agg(F.count(F.lit(1)).alias("words")).filter(F.col("words") > cell)
-    deep = prefixes.join(crowded, "prefix", "left_semi").groupBy("word").agg(F.max("k").alias("k"))
+    # A first letter may hold a third of all words: they are dealt over lots, and a
+    # crowded prefix (one in ``cell`` words a step at most) stands in every lot.
+    lots = crowded.select("prefix", F.explode(F.sequence(F.lit(0), F.lit(LOTS - 1))).alias("lot"))
+    dealt = prefixes.withColumn("lot", F.pmod(F.xxhash64("word"), F.lit(LOTS)).cast("int"))
+    deep = dealt.join(lots, ["prefix", "lot"], "left_semi").groupBy("word").agg(F.max("k").alias("k"))
     after = F.array_min(F.filter(steps, lambda k: k > F.coalesce("k", F.lit(0))))
     return sized.join(deep, "word", "left").select("word", "n", "size", F.least(after, F.col("size") + 1).alias("depth"))
 
