@@ -9,12 +9,14 @@ place and all probabilities sum to one.
 Word counts are summed in the tasks and then shuffled.  The ``KNOWN`` most
 frequent words with their counts go to the tasks (4 MB at most); occurrences of
 rarer words are joined with the counts.  Texts are coded once, two bytes a
-token, and stored.  Every Baum-Welch round is one pass over the coded training
-texts: a task adds up expected transitions and emissions of its texts, Spark
-sums them per symbol, and only the model itself (states x symbols) reaches the
-driver.  Texts are trained in stretches of ``STRETCH`` tokens that start from
-their own distribution.  Starting values come from a few rounds over a sample of
-``START_TEXTS`` training texts; all training texts then shape the model.
+token, and stored.  In a Baum-Welch round a task adds up expected transitions and
+emissions of its texts, Spark sums them per symbol, and only the model itself
+(states x symbols) reaches the driver.  The first ``SWEEPS`` passes are cut into
+``FOLDS`` folds of the training texts: after each fold the model is fitted again to
+its counts and the fading counts of the folds before.  ``ROUNDS`` rounds over all
+training texts follow.  Every pass reads every training text, at every size.
+Texts are trained in stretches of ``STRETCH`` tokens; a stretch begins with the last
+token of the one before, so each transition is counted once.
 
 A text's score is the exact likelihood of its whole token sequence: the forward
 recursion, scaled at every token, over all texts of a batch side by side.
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import bounded_batches, fold, hashed_sample, stored, tidied
+from .tables import bounded_batches, fold, stored, tidied
 from .words import Words, chunks, hash_ranges, text_bytes
 
 STATES = 8
@@ -42,9 +44,9 @@ OWN = 16_384
 CLASSES = 256
 KNOWN = 1 << 18
 STRETCH = 64
-START_TEXTS = 2_000
-START_ROUNDS = 15
-ROUNDS = 3
+SWEEPS, FOLDS = 2, 8
+FADING = 0.5  # what the counts of the folds before weigh, a fold
+ROUNDS = 2
 PRIOR = 10.0  # tokens of the overall distribution added to each state's emissions
 
 SYMBOLS = OWN + CLASSES + 2  # own words, classes, the end, and padding
@@ -212,17 +214,17 @@ COUNTS = SYMBOLS + 2 + STATES  # emissions, first, later, moves
 
 
 def stretches(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The sequences cut into rows of STRETCH symbols, padded; which rows are first."""
-    many = np.array([-(-len(s) // STRETCH) for s in sequences])
-    rows = np.full((int(many.sum()), STRETCH), PAD, dtype=np.int64)
-    at = np.cumsum(many) - many
+    """The sequences cut into rows of STRETCH symbols, padded, each beginning with the
+    last symbol of the row before; which rows are first."""
     size = np.array([len(s) for s in sequences])
-    flat = np.concatenate(sequences)
-    start = np.repeat(at * STRETCH - (np.cumsum(size) - size), size)
-    rows.reshape(-1)[np.arange(len(flat)) + start] = flat
-    first = np.zeros(len(rows), dtype=bool)
-    first[at] = True
-    return rows, first
+    many = 1 + np.maximum(0, -(-(size - STRETCH) // (STRETCH - 1)))
+    at = np.cumsum(many) - many
+    offset = (np.arange(int(many.sum())) - np.repeat(at, many)) * (STRETCH - 1)
+    place = offset[:, None] + np.arange(STRETCH)
+    flat = np.concatenate(sequences).astype(np.int64)
+    inside = np.minimum(np.repeat(np.cumsum(size) - size, many)[:, None] + place, len(flat) - 1)
+    rows = np.where(place < np.repeat(size, many)[:, None], flat[inside], PAD)
+    return rows, offset == 0
 
 
 def expected(rows: np.ndarray, first: np.ndarray, model: Model) -> np.ndarray:
@@ -249,7 +251,9 @@ def expected(rows: np.ndarray, first: np.ndarray, model: Model) -> np.ndarray:
         beta = ahead @ back
         gamma[t - 1] = alpha[t - 1] * beta
     out = np.zeros((COUNTS, STATES))
-    symbols = rows.T.reshape(-1)
+    own = rows.copy()
+    own[~first, 0] = PAD  # emitted, and counted, in the stretch before
+    symbols = own.T.reshape(-1)
     for k in range(STATES):
         out[:SYMBOLS, k] = np.bincount(symbols, weights=gamma[:, :, k].reshape(-1), minlength=SYMBOLS)
     out[SYMBOLS] = gamma[0][first].sum(axis=0)
@@ -274,26 +278,8 @@ def _pass(sequences: list[np.ndarray], model: Model) -> np.ndarray:
     return total
 
 
-def start_model(train: DataFrame, share: np.ndarray) -> Model:
-    """A model after some rounds over a bounded sample of training texts."""
-    some = hashed_sample(train, START_TEXTS, "doc_id", "n_tokens").select("symbols")
-
-    def run(batches):
-        sequences = [s for batch in batches for s in _sequences(batch.column(0))]
-        model, counts = Model.start(share), np.zeros((COUNTS, STATES))
-        for _ in range(START_ROUNDS if sequences else 0):
-            counts = _pass(sequences, model)
-            model = Model.from_counts(counts, share)
-        yield pa.RecordBatch.from_arrays([pa.array([counts.tobytes()], pa.binary())], ["counts"])
-
-    # One task: the sample is 2 * START_TEXTS texts at most.
-    got = some.coalesce(1).mapInArrow(tidied(run), "counts binary").collect()
-    counts = np.frombuffer(got[0]["counts"]).reshape(COUNTS, STATES) if got else np.zeros((COUNTS, STATES))
-    return Model.from_counts(counts, share) if counts.any() else Model.start(share)
-
-
-def baum_welch(train: DataFrame, model: Model, share: np.ndarray) -> Model:
-    """One round over all training texts."""
+def summed(train: DataFrame, model: Model) -> np.ndarray:
+    """Expected counts of all texts of ``train``."""
     def run(batches):
         total = np.zeros((COUNTS, STATES))
         for batch in batches:
@@ -307,7 +293,24 @@ def baum_welch(train: DataFrame, model: Model, share: np.ndarray) -> Model:
     got = rows.groupBy("row").agg(*[F.sum(f"s{k}").alias(f"s{k}") for k in range(STATES)]).toArrow()
     counts = np.zeros((COUNTS, STATES))
     counts[got["row"].to_numpy()] = np.column_stack([got[f"s{k}"].to_numpy() for k in range(STATES)])
-    return Model.from_counts(counts, share) if counts.any() else model
+    return counts
+
+
+def baum_welch(train: DataFrame, share: np.ndarray, sweeps: int = SWEEPS, rounds: int = ROUNDS) -> Model:
+    """A model of the coded training texts: ``sweeps`` passes fold by fold, then
+    ``rounds`` passes over all of them at once.  A fold without texts changes nothing."""
+    model, held = Model.start(share), np.zeros((COUNTS, STATES))
+    dealt = train.withColumn("fold", F.pmod(F.xxhash64("doc_id", "n_tokens"), F.lit(FOLDS)))
+    for step in range(sweeps * FOLDS):
+        counts = summed(dealt.filter(F.col("fold") == step % FOLDS), model)
+        if counts.any():
+            held = FADING * held + counts
+            model = Model.from_counts(held, share)
+    for _ in range(rounds):
+        counts = summed(train, model)
+        if counts.any():
+            model = Model.from_counts(counts, share)
+    return model
 
 
 def log_likelihood(sequences: list[np.ndarray], model: Model) -> np.ndarray:
@@ -330,7 +333,7 @@ def log_likelihood(sequences: list[np.ndarray], model: Model) -> np.ndarray:
     return out
 
 
-def scores(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def scores(docs: DataFrame, text: str = "text", sweeps: int = SWEEPS, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score."""
     slim = bounded_batches(docs).select("doc_id", (fold(5) == 1).alias("held_out"), F.col(text).cast("string").alias("t"))
     train = slim.filter(~F.col("held_out"))
@@ -338,9 +341,7 @@ def scores(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> DataFra
     lexicon = Lexicon(counts, train.count())
     rows = coded(slim, lexicon)
     training = rows.filter(~F.col("held_out")).select("key", "doc_id", "n_tokens", "symbols")
-    model = start_model(training, lexicon.share)
-    for _ in range(rounds):
-        model = baum_welch(training, model, lexicon.share)
+    model = baum_welch(training, lexicon.share, sweeps, rounds)
 
     def run(batches):
         for batch in batches:
