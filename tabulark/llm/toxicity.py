@@ -13,9 +13,9 @@ other hits within ``WINDOW`` words more.  The sums over a text enter a logistic
 regression fitted on the same sample by sums over partitions.
 
 Scoring is one pass over the texts without a shuffle, and the model sent to the
-tasks is bounded: every term that passes the two tests is an entry (the sample
-bounds them; ``LEXICON_BYTES`` is far above what they take).  Labels, language, source and id never
-enter a score.
+tasks is bounded by the sample: every term that passes the two tests is an entry,
+and every form that clean texts use is left out.  Labels, language, source and id
+never enter a score.
 
 Defined results: null or empty text has no hits and scores like any text without
 hits; without labels of both kinds every text scores the smoothed rate; labels
@@ -42,9 +42,6 @@ from .tables import bounded_batches, stored, tidied
 from .words import chunks, text_bytes
 
 FIT_TEXTS = 20_000
-CANDIDATES = 200_000  # terms of toxic texts that are looked up in clean ones
-LEXICON_BYTES = 16 << 10
-INNOCENT = 200_000
 LEAST_Z = 6.0
 LEAST_RATIO = 3.0
 STEM_SIZES = range(4, 9)
@@ -96,8 +93,8 @@ def learn_lexicon(fit: DataFrame) -> tuple[list[Entry], list[float]]:
     # Fewer texts than these cannot reach LEAST_Z, even if no clean text has the term.
     reach = LEAST_Z ** 2 * toxic
     least = max(3, math.floor(reach / (clean + reach / (toxic + clean))))
-    rows = _counted(fit.filter("label = 1"), None).filter((F.col("docs") >= least) & (F.length("term") >= 4)).orderBy(
-        F.desc("docs"), "stem", "term").limit(CANDIDATES).collect()
+    # All of them: their number is bounded by the labelled texts, which FIT_TEXTS bounds.
+    rows = _counted(fit.filter("label = 1"), None).filter((F.col("docs") >= least) & (F.length("term") >= 4)).collect()
     found = {(r["stem"], r["term"]): r["docs"] for r in rows}
     other = {(r["stem"], r["term"]): r["docs"] for r in
              _counted(fit.filter("label = 0"), set(found)).collect()}
@@ -117,13 +114,9 @@ def selected(found: dict, other: dict, toxic: int, clean: int) -> tuple[list[Ent
             scored.append((-z, stem, -len(term), term, math.log(pa_ / pb)))
     entries: list[Entry] = []
     weights: list[float] = []
-    size = 0
     for _, stem, _, term, weight in sorted(scored):
         if any(e.stem and term.startswith(e.text) for e in entries):
             continue  # that stem's hits hold all of this term's
-        size += len(term.encode())
-        if size > LEXICON_BYTES:
-            break
         edits = int(len(term) >= EDIT_FROM)
         entries.append(Entry(term, stem, edits))
         weights.append(min(weight, 6.0))
@@ -263,7 +256,7 @@ def learn_innocent(fit: DataFrame, detector: Detector) -> frozenset[str]:
         F.coalesce(F.sum(F.when(F.col("label") == 1, F.col("docs"))), F.lit(0)).alias("toxic"),
         F.coalesce(F.sum(F.when(F.col("label") == 0, F.col("docs"))), F.lit(0)).alias("clean"))
     own = counts.filter((F.col("clean") > 0) & (F.col("toxic") * share < LEAST_RATIO * F.col("clean")))
-    return frozenset(r["form"] for r in own.orderBy(F.desc("clean"), "form").limit(INNOCENT).collect())
+    return frozenset(r["form"] for r in own.select("form").collect())
 
 
 def measured(docs: DataFrame, detector: Detector, text: str = "text") -> DataFrame:
