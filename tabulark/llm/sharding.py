@@ -115,9 +115,13 @@ def propagate(linked: DataFrame, room: list[int]) -> DataFrame:
         F.when(F.col("admitted").isNull(), F.col("goal")).alias("refused"))
 
 
-def shard(docs: DataFrame, shards: int = 24, text: str = "text", seed: int = 7,
-          rounds: int = 12) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard for every row."""
+def shard(docs: DataFrame, shards: int = 24, text: str = "text", seed: int = 7) -> DataFrame:
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard for every row.
+
+    Rounds follow until none moves a document or fills a shard.  That comes: each
+    admitted document joins a shard that holds no fewer of its group than the one
+    it leaves, so the sum of squares of the groups' counts rises, and a shard that
+    refused stays closed."""
     all_rows = stored(grouped(docs, text, seed), "shard-groups")
     n = all_rows.count()
     target = sizes(n, shards)
@@ -125,7 +129,7 @@ def shard(docs: DataFrame, shards: int = 24, text: str = "text", seed: int = 7,
         "shard", F.pmod(F.xxhash64("mark"), F.lit(shards)).cast("int")), "shard-round")
     held = per_shard(linked, shards)
     full: set[int] = set()  # shards that had to refuse: their quota is used up
-    for _ in range(rounds):
+    while True:
         room = [0 if s in full else max(0, t - h) for s, (t, h) in enumerate(zip(target, held))]
         linked = stored(propagate(linked, room), "shard-round")
         held = per_shard(linked, shards)

@@ -109,6 +109,55 @@ def test_hmm_forward_is_exact():
     assert counts[5, 3] == pytest.approx(sum(p * ((path[0] == 3) + (path[2] == 3)) for path, p in weight.items()) / total)
 
 
+def test_hmm_stretches_count_every_token_and_transition_once():
+    from tabulark.llm import hmm
+    rng = np.random.default_rng(1)
+    model = hmm.Model.start(rng.dirichlet(np.ones(hmm.SYMBOLS)))
+    for size in (1, 2, hmm.STRETCH - 1, hmm.STRETCH, hmm.STRETCH + 1, 2 * hmm.STRETCH - 1, 2 * hmm.STRETCH, 1000):
+        seqs = [rng.integers(0, hmm.OWN, size), rng.integers(0, hmm.OWN, 3), rng.integers(0, hmm.OWN, size)]
+        rows, first = hmm.stretches(seqs)
+        assert first.sum() == 3
+        back, k = [], -1
+        for row, is_first in zip(rows, first):
+            row = row[row != hmm.PAD]
+            if is_first:
+                back.append(list(row))
+            else:
+                assert back[-1][-1] == row[0]
+                back[-1] += list(row[1:])
+        assert all(list(a) == b for a, b in zip(seqs, back))
+        counts = hmm.expected(rows, first, model)
+        plain = np.bincount(np.concatenate(seqs), minlength=hmm.SYMBOLS)
+        assert counts[:hmm.PAD].sum(axis=1) == pytest.approx(plain[:hmm.PAD])
+        assert counts[hmm.SYMBOLS].sum() == pytest.approx(3)
+        assert counts[hmm.SYMBOLS + 2:].sum() == pytest.approx(2 * (size - 1) + 2)
+
+
+def test_hmm_training_raises_the_likelihood(spark):
+    """Against plain Baum-Welch rounds in this process, fold by fold."""
+    from pyspark.sql import functions as F
+
+    from tabulark.llm import hmm
+    rng = np.random.default_rng(2)
+    seqs = [(100 * (np.arange(n) // 7 % 2) + rng.integers(0, 20, n)).astype("<u2") for n in rng.integers(1, 200, 60)]
+    train = spark.createDataFrame([(i, i, len(s), s.tobytes()) for i, s in enumerate(seqs)],
+                                  "key long, doc_id long, n_tokens long, symbols binary")
+    share = np.full(hmm.SYMBOLS, 1 / hmm.SYMBOLS)
+    made = hmm.baum_welch(train, share, sweeps=1, rounds=1)
+    fold = {r.key: r.f for r in train.select("key", F.pmod(F.xxhash64("doc_id", "n_tokens"), F.lit(hmm.FOLDS))
+                                             .alias("f")).collect()}
+    model, held = hmm.Model.start(share), np.zeros((hmm.COUNTS, hmm.STATES))
+    start = hmm.log_likelihood(seqs, model).sum()
+    for k in range(hmm.FOLDS):
+        some = [s for i, s in enumerate(seqs) if fold[i] == k]
+        if some:
+            held = hmm.FADING * held + hmm.expected(*hmm.stretches(some), model)
+            model = hmm.Model.from_counts(held, share)
+    model = hmm.Model.from_counts(hmm.expected(*hmm.stretches(seqs), model), share)
+    assert made.move == pytest.approx(model.move) and made.emit == pytest.approx(model.emit)
+    assert hmm.log_likelihood(seqs, made).sum() > start
+
+
 def test_quality_rules(spark, texts):
     for r in QUERIES["op4_quality_rules"](spark, SMALL).collect():
         want = brute.quality(texts[r.doc_id])
@@ -183,6 +232,16 @@ def test_sharding_fills_shards_with_a_large_group(spark):
     assert hot.most_common(2)[1][1] >= 80  # not scattered evenly (50 each)
 
 
+def test_sharding_goes_on_until_nothing_moves(spark):
+    """A group that needs more than a dozen shards fills them one a round."""
+    from tabulark.llm.sharding import shard
+    docs = spark.createDataFrame([(i, "same" if i < 1200 else f"t{i}") for i in range(1500)], "doc_id long, text string")
+    rows = shard(docs, shards=30).collect()
+    assert set(collections.Counter(r["shard"] for r in rows).values()) == {50}
+    hot = collections.Counter(r["shard"] for r in rows if r.doc_id < 1200)
+    assert len(hot) < 30 and sum(sorted(hot.values())[-24:]) >= 0.9 * 1200  # 24 shards would hold them
+
+
 def test_pii(spark, texts):
     told = brute.disclosing(list(texts.values()))
     for r in QUERIES["op7_pii"](spark, SMALL).collect():
