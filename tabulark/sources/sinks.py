@@ -63,13 +63,16 @@ class Table:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def state(self) -> State:
+    def state(self, version: int | None = None) -> State:
+        """What the last pointer says, or that of a version."""
+        if version == 0:
+            return State()
         fs, p = _fs(self.spark, f"{self.root}/_pointers")
         names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
         versions = [int(n[1:]) for n in names if n.startswith("v")]
         if not versions:
             return State()
-        fs, p = _fs(self.spark, f"{self.root}/_pointers/v{max(versions):012d}")
+        fs, p = _fs(self.spark, f"{self.root}/_pointers/v{version or max(versions):012d}")
         stream = fs.open(p)
         try:
             jvm = self.spark.sparkContext._jvm
@@ -136,6 +139,19 @@ class Table:
             rows = latest_per_key(rows, state.keys, [*(state.order_by or []), LOAD])
         return rows.withColumnRenamed(LOAD, ARRIVED)
 
+    def changes(self, after: int, state: State | None = None) -> DataFrame | None:
+        """Rows that versions after ``after`` brought: of an upserted table by load,
+        of any other table those of folders that ``after`` did not have (all of them,
+        once they were folded).  None while nothing was written."""
+        state = state or self.state()
+        if not state.folders:
+            return None
+        if state.keys:
+            return self.arrivals(after, state).drop(ARRIVED)
+        held = set(self.state(after).folders)
+        new = [f"{self.root}/{f}" for f in state.folders if f not in held]
+        return self.spark.read.parquet(*new) if new else self._rows(state).limit(0)
+
     # -- writes ----------------------------------------------------------------
     def _land(self, df: DataFrame, load: int | None = None) -> str:
         """A fresh folder of ``df``, whose rows are of loads up to number ``load``."""
