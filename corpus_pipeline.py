@@ -5,6 +5,12 @@ effect: rejected documents go, one document of each near-duplicate group stays,
 personal data is masked in the texts, sources are repeated or cut to their
 targets, and the texts that remain become token ids.  Each result is written as
 Parquet under the shared checkpoint folder and read back.
+
+Defined results: a null or empty text has no words, so the quality rules reject it;
+of a near-duplicate group the row with the least id stays (an id before none, ties
+by the text's hash), and rows equal in id and text count as one; a null source is a
+source; very long texts are read whole; further columns pass through all stages
+but the last; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -21,7 +21,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import as_date, month_start
+from ..functions.dates import add_months, as_date, month_start
 from ..sources.bookmarks import read_setting
 from ..sources.sinks import Table
 from . import marts
@@ -95,6 +95,22 @@ def resume_days(dds: dict[str, DataFrame], first_day, last_day, path: str, saved
     return jobs
 
 
+def resume_months(dds: dict[str, DataFrame], first_month, last_month, path: str, saved: Table,
+                  step: int = 12) -> int:
+    """Publish the ledger's months after the last one saved, ``step`` months a job, as
+    ``resume_days`` does for days.  Returns the number of jobs run."""
+    done, jobs = last_published(saved, LEDGER), 0
+    month, end = month_start(first_month), month_start(last_month)
+    if done is not None:
+        month = max(month, add_months(month_start(done), 1))
+    while month <= end:
+        upto = min(end, add_months(month, step - 1))
+        backfill_months(dds, month, upto, path)
+        _save(saved, LEDGER, upto)
+        month, jobs = add_months(upto, 1), jobs + 1
+    return jobs
+
+
 def backfill_days(dds: dict[str, DataFrame], first_day, last_day, path: str,
                   clear_if_empty: bool = False) -> DataFrame:
     report = marts.settlement_report(*_settlement_args(dds), first_day=first_day,

@@ -95,3 +95,30 @@ def test_an_interrupted_backfill_goes_on(spark, monkeypatch):
     whole = scratch_path(spark, "job-resume-whole")
     jobs.backfill_days(dds, first, last, whole)
     assert sorted(map(tuple, spark.read.parquet(path).collect())) == sorted(map(tuple, spark.read.parquet(whole).collect()))
+
+
+def test_an_interrupted_ledger_backfill_goes_on(spark, monkeypatch):
+    from tabulark.sources.sinks import Table
+    dds = catalog.dds(spark, SF0001)
+    saved, path = Table(spark, scratch_path(spark, "job-months-saved")), scratch_path(spark, "job-months-resume")
+    first, last = dt.date(1999, 11, 20), dt.date(2000, 2, 3)  # any day: truncated to the month
+    publish, calls = jobs.backfill_months, []
+
+    def failing(d, a, b, p):
+        if calls:
+            raise RuntimeError("lost")
+        calls.append(a)
+        return publish(d, a, b, p)
+
+    monkeypatch.setattr(jobs, "backfill_months", failing)
+    try:
+        jobs.resume_months(dds, first, last, path, saved, step=2)
+    except RuntimeError:
+        pass
+    monkeypatch.setattr(jobs, "backfill_months", publish)
+    assert jobs.last_published(saved, jobs.LEDGER) == dt.date(1999, 12, 1)
+    assert jobs.resume_months(dds, first, last, path, saved, step=2) == 1
+    assert jobs.resume_months(dds, first, last, path, saved, step=2) == 0
+    whole = scratch_path(spark, "job-months-resume-whole")
+    publish(dds, first, last, whole)
+    assert sorted(map(str, spark.read.parquet(path).collect())) == sorted(map(str, spark.read.parquet(whole).collect()))
