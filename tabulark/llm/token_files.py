@@ -64,6 +64,17 @@ def cuts(buffer: bytes) -> np.ndarray:
     return at[(before > 32) & (after > 32) & ~np.isin(before, _MAY_BE_SPACE) & ~np.isin(after, _MAY_BE_SPACE)]
 
 
+def pieces(text: str, size: int) -> list[str]:
+    """The text cut, at ``cuts`` alone, into parts of at least ``size`` bytes (the last
+    may be shorter): their ids, joined, are those of the text."""
+    raw, out, low = text.encode("utf-8", "replace"), [], 0
+    for at in cuts(raw).tolist() if raw else []:
+        if at - low >= size:
+            out.append(raw[low:at].decode("utf-8"))
+            low = at
+    return [*out, raw[low:].decode("utf-8")]
+
+
 class Encoder:
     """Ids of texts: the parts between cuts are looked up, new ones are encoded by
     the tokenizers library.  The table is emptied when it is full."""
