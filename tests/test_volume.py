@@ -1,6 +1,7 @@
 """What a load writes and shuffles: nothing twice, nothing that nobody reads."""
 
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
@@ -8,7 +9,8 @@ from tabulark import schemas as S
 from tabulark.operators.dedupe import latest_per_key, newest_rows
 from tabulark.plans import facts
 from tabulark.plans.dds import Lazy
-from tabulark.session import scratch_path, stored
+from tabulark.plans.incremental import Staging, Warehouse, run_dds
+from tabulark.session import checkpoint_root, scratch_path, stored
 from tabulark.sources import adapters
 from tabulark.sources.landing import land_pages, read_pages
 from tabulark.sources.sinks import Table
@@ -102,3 +104,30 @@ def test_outbox_lines_are_dealt_once(spark):
     assert [r.event_value for r in out.collect()] == [
         '{"order_id":"1-5","product_payments":[{"product_id":"1","price":3.00000,"quantity":2,"product_cost":10.00000,'
         '"bonus_payment":1.00000,"bonus_grant":2.00000}]}'] * 2
+
+
+def _kinds_of_scratch(spark):
+    return {n.rsplit("-", 1)[0] for n in os.listdir(f"{checkpoint_root(spark)}/tables")}
+
+
+def test_loads_leave_no_scratch_and_clean_batches_are_written_once(spark):
+    root, before = scratch_path(spark, "t-once"), _kinds_of_scratch(spark)
+    stg, wh = Staging(spark, f"{root}/stg"), Warehouse(spark, f"{root}/dds")
+
+    def docs(*rows):
+        return spark.createDataFrame([(k, f'{{"_id":"{k}","login":"l","name":"{n}"}}' if k else "{}", t)
+                                      for k, n, t in rows], "object_id string, object_value string, update_ts timestamp_ntz")
+
+    later = T0 + dt.timedelta(hours=1)
+    stg.land("users", docs(("a", "one", T0), ("b", "two", T0)))
+    run_dds(stg, wh, only=["dm_users"])
+    # A repeated key, an older row and two rejected ones: written again without them.
+    stg.land("users", docs(("a", "new", later), ("a", "old", T0), (None, "x", T0), ("c", "y", None), ("d", "z", T0)))
+    run_dds(stg, wh, only=["dm_users"])
+    assert {(r.id, r.user_id, r.user_name) for r in wh.read("dm_users").collect()} == {
+        (1, "a", "new"), (2, "b", "two"), (3, "d", "z")}
+    assert sorted(r.reason for r in stg.rejected["users"].read().collect()) == ["null object_id", "null update_ts"]
+    assert stg["users"].read().columns == ["object_id", "object_value", "update_ts"]
+    folders = [n for n in os.listdir(f"{root}/stg/users") if n != "_pointers"]
+    assert sorted(folders) == sorted(stg["users"].state().folders) and len(folders) == 2
+    assert _kinds_of_scratch(spark) <= before | {"t-once"}
