@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tabulark import schemas as S
 from tabulark.operators.dedupe import latest_per_key, newest_rows
 from tabulark.plans import facts
-from tabulark.plans.dds import Lazy
+from tabulark.plans.dds import Lazy, _written
 from tabulark.plans.incremental import Staging, Warehouse, run_dds
 from tabulark.session import checkpoint_root, scratch_path, stored
 from tabulark.sources import adapters
@@ -131,3 +131,30 @@ def test_loads_leave_no_scratch_and_clean_batches_are_written_once(spark):
     folders = [n for n in os.listdir(f"{root}/stg/users") if n != "_pointers"]
     assert sorted(folders) == sorted(stg["users"].state().folders) and len(folders) == 2
     assert _kinds_of_scratch(spark) <= before | {"t-once"}
+
+
+def _shuffles(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning")
+
+
+def test_order_keys_are_dealt_once(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = adapters.order_documents(adapters.Tables(spark, "/root/testdata/sf0.001"))
+        assert _shuffles(docs) == 2  # keys and orders
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_month_folders_are_written_without_a_shuffle(spark):
+    rows = spark.range(0, 3000, numPartitions=3).select(
+        "id", F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, cast(id % 2 as int))").alias("order_ts"),
+        F.spark_partition_id().alias("p"))
+    out = _written(spark, rows, "t-months", ("order_month", lambda: F.trunc("order_ts", "month")))
+    # Each task's rows stay its own: a file per task and month.
+    files = [f.split("order_month=")[1][:10] for f in out.inputFiles()]
+    assert sorted(files) == ["2024-01-01"] * 3 + ["2024-02-01"] * 3
+    counts = out.groupBy("order_month").agg(F.count("*").alias("n")).collect()
+    assert sorted((str(r.order_month), r.n) for r in counts) == [("2024-01-01", 1500), ("2024-02-01", 1500)]
