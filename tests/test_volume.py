@@ -1,13 +1,14 @@
 """What a load writes and shuffles: nothing twice, nothing that nobody reads."""
 
 import datetime as dt
+import json
 import os
 
 from pyspark.sql import functions as F
 
 from tabulark import schemas as S
 from tabulark.operators.dedupe import latest_per_key, newest_rows
-from tabulark.plans import facts
+from tabulark.plans import dims, facts
 from tabulark.plans.dds import Lazy, _written
 from tabulark.plans.incremental import Staging, Warehouse, run_dds
 from tabulark.session import checkpoint_root, scratch_path, stored
@@ -158,3 +159,33 @@ def test_month_folders_are_written_without_a_shuffle(spark):
     assert sorted(files) == ["2024-01-01"] * 3 + ["2024-02-01"] * 3
     counts = out.groupBy("order_month").agg(F.count("*").alias("n")).collect()
     assert sorted((str(r.order_month), r.n) for r in counts) == [("2024-01-01", 1500), ("2024-02-01", 1500)]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_order_documents_are_parsed_once_for_calendar_and_orders(spark):
+    def doc(key, **body):
+        return (key, json.dumps({"_id": key, "restaurant": {"id": "r"}, "user": {"id": "u"},
+                                 "update_ts": "2023-01-01 10:00:00", "ts_date": "2023-01-02 10:00:00", **body}), T0)
+    docs = spark.createDataFrame([doc("a", final_status="CLOSED"), doc("b", final_status="DELIVERING"),
+                                  doc("c"), ("d", "{cut", T0), ("d", "{cut", T0), ("e", None, T0)], S.DOCUMENT)
+    parsed = stored(dims.parsed_orders(docs), "t-parsed")
+    rest = spark.createDataFrame([(1, "r")], "id long, restaurant_id string")
+    users = spark.createDataFrame([(1, "u")], "id long, user_id string")
+    cal = dims.dim_timestamps(docs, parsed=parsed, with_ids=False)
+    days = spark.createDataFrame([(1, T0)], "id long, ts timestamp_ntz")
+    orders = dims.dim_orders(docs, rest, days, users, parsed=parsed, with_ids=False)
+    for df in (cal.table, cal.rejected, orders.table, orders.rejected):
+        assert "from_json" not in _plan(df)
+    assert [r.ts for r in cal.table.collect()] == [dt.datetime(2023, 1, 2, 10)]
+    assert sorted(r.reason for r in cal.rejected.collect()) == ["not json", "not json", "null body"]
+    assert sorted((r.object_id, r.reason) for r in orders.rejected.collect()) == [
+        ("c", "missing final_status"), ("d", "not json"), ("d", "not json"), ("e", "null body")]
+    assert orders.rejected.columns == [*docs.columns, "reason"]
+    assert sorted((r.order_key, r.timestamp_id) for r in orders.table.collect()) == [("a", 1), ("b", 1)]
+    once = dims.dim_timestamps(docs, with_ids=False, kept=stored)  # a load: times and rejects from one parse
+    assert "from_json" not in _plan(once.table) and "from_json" not in _plan(once.rejected)
+    assert [r.ts for r in once.table.collect()] == [dt.datetime(2023, 1, 2, 10)]
+    assert sorted(r.reason for r in once.rejected.collect()) == ["not json", "null body"]
