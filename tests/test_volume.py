@@ -14,7 +14,7 @@ from tabulark.plans.incremental import Staging, Warehouse, run_dds
 from tabulark.session import checkpoint_root, scratch_path, stored
 from tabulark.sources import adapters
 from tabulark.sources.landing import land_pages, read_pages
-from tabulark.sources.sinks import Table
+from tabulark.sources.sinks import Table, may_share, merge_insert_ignore, with_ids
 
 T0 = dt.datetime(2023, 1, 1, 10)
 
@@ -189,3 +189,19 @@ def test_order_documents_are_parsed_once_for_calendar_and_orders(spark):
     assert "from_json" not in _plan(once.table) and "from_json" not in _plan(once.rejected)
     assert [r.ts for r in once.table.collect()] == [dt.datetime(2023, 1, 2, 10)]
     assert sorted(r.reason for r in once.rejected.collect()) == ["not json", "null body"]
+
+
+def test_batches_without_held_keys_are_not_joined(spark):
+    held = spark.createDataFrame([(1, "a"), (2, None)], "id long, k string")
+    new = spark.createDataFrame([("b", 1), ("c", 2)], "k string, v int")
+    some = spark.createDataFrame([("a", 1), ("c", 2), ("c", 2), (None, 3)], "k string, v int")
+    assert not may_share(new, held, ["k"]) and may_share(some, held, ["k"])
+    # Equal values of two types have two hashes.
+    assert may_share(spark.sql("select 1 as id"), held, ["id"]) and not may_share(new, held.limit(0), ["k"])
+    assert "Join" not in _plan(merge_insert_ignore(held, new, ["k"]))
+    assert "Join" not in _plan(merge_insert_ignore(held, new, ["k"], unique=True))
+    assert sorted(map(str, merge_insert_ignore(held, some, ["k"]).select("k").toPandas()["k"])) == ["None", "c"]
+    out = with_ids(new, held, ["k"], "id", 2)
+    assert sorted((r.id, r.k, r.v) for r in out.collect()) == [(3, "b", 1), (4, "c", 2)]
+    out = with_ids(some.distinct(), held, ["k"], "id", 2)
+    assert sorted((r.id, str(r.k)) for r in out.collect()) == [(1, "a"), (3, "None"), (4, "c")]
