@@ -11,7 +11,7 @@ from tabulark.operators.dedupe import latest_per_key, newest_rows
 from tabulark.plans import dims, facts
 from tabulark.plans.dds import Lazy, _written
 from tabulark.plans.incremental import Staging, Warehouse, run_dds
-from tabulark.session import checkpoint_root, scratch_path, stored
+from tabulark.session import checkpoint_root, scratch_path, shuffle_partitions, size_shuffles, stored
 from tabulark.sources import adapters
 from tabulark.sources.landing import land_pages, read_pages
 from tabulark.sources.sinks import Table, may_share, merge_insert_ignore, with_ids
@@ -205,3 +205,29 @@ def test_batches_without_held_keys_are_not_joined(spark):
     assert sorted((r.id, r.k, r.v) for r in out.collect()) == [(3, "b", 1), (4, "c", 2)]
     out = with_ids(some.distinct(), held, ["k"], "id", 2)
     assert sorted((r.id, str(r.k)) for r in out.collect()) == [(1, "a"), (3, "None"), (4, "c")]
+
+
+def test_shuffles_begin_with_a_partition_per_rows_of_the_input(spark):
+    names = ["spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    before = [spark.conf.get(n, None) for n in names]
+    try:
+        size_shuffles(spark, 10)
+        assert shuffle_partitions(spark) == 4  # never fewer than the session's
+        size_shuffles(spark, 1_000_001)
+        size_shuffles(spark, 10)  # nor than an earlier input asked for
+        plan = spark.range(10).select(F.expr("id % 3 AS k")).groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+        assert shuffle_partitions(spark) == 11 and "hashpartitioning(k#" in plan and ", 11)" in plan
+    finally:
+        for n, value in zip(names, before):
+            spark.conf.unset(n) if value is None else spark.conf.set(n, value)
+
+
+def test_narrow_partitions_make_no_small_files_and_no_sort_by_month(spark):
+    rows = spark.range(0, 6400, numPartitions=64).select("id", F.expr(
+        "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, cast(id % 2 as int))").alias("order_ts"))
+    out = _written(spark, rows, "t-narrow", ("order_month", lambda: F.trunc("order_ts", "month")))
+    assert len(out.inputFiles()) <= 2 * spark.sparkContext.defaultParallelism
+    counts = out.groupBy("order_month").agg(F.count("*").alias("n"), F.count_distinct("id").alias("d")).collect()
+    assert sorted((str(r.order_month), r.n, r.d) for r in counts) == [
+        ("2024-01-01", 3200, 3200), ("2024-02-01", 3200, 3200)]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
