@@ -37,7 +37,9 @@ from .words import chunks, hash_ranges, text_bytes
 
 BLOCK = 65_536  # ids
 END = 2
-KNOWN, SHORT = 200_000, 48  # parts of texts that a task remembers, and their bytes
+RUN, LISTED = 4_096, 64  # bytes of parts encoded as one text; texts handed to the library at once
+KNOWN, SHORT = 1 << 20, 48  # parts of texts that a worker remembers, and their bytes
+CHUNK = 1 << 20  # bytes of texts whose parts are looked up together
 _MAY_BE_SPACE = np.array([0xC2, 0xE1, 0xE2, 0xE3], dtype=np.uint8)  # lead bytes of other white space
 
 
@@ -75,28 +77,76 @@ def pieces(text: str, size: int) -> list[str]:
     return [*out, raw[low:].decode("utf-8")]
 
 
+def joinable(parts: list[bytes]) -> np.ndarray:
+    """Whether a part begins and ends as ``cuts`` asks, so that one after another they are cut apart."""
+    raw = b"".join(parts) + b"\0\0"
+    size = np.array([len(p) for p in parts], dtype=np.int64)
+    buf, end = np.frombuffer(raw, dtype=np.uint8), np.cumsum(size)
+    lead = np.maximum.accumulate(np.where((buf & 0xC0) != 0x80, np.arange(len(buf)), 0))
+    first, after, last = buf[end - size], buf[end - size + 1], buf[lead[end - 1]]
+    return ((size > 1) & (first == 32) & (after > 32) & (last > 32)
+            & ~np.isin(after, _MAY_BE_SPACE) & ~np.isin(last, _MAY_BE_SPACE))
+
+
+def token_bytes(library) -> np.ndarray:
+    """Bytes of text that each id of a byte-level vocabulary stands for (one a character of its name)."""
+    size = {i: len(token) for token, i in library.get_vocab(with_added_tokens=False).items()}
+    size.update((i, len(t.content.encode("utf-8"))) for i, t in library.get_added_tokens_decoder().items())
+    out = np.zeros(max(size, default=0) + 1, dtype=np.int64)
+    out[list(size)] = list(size.values())
+    return out
+
+
+def taken(flat: np.ndarray, low: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The ranges ``flat[low:low + count]``, one after another."""
+    ends = np.cumsum(count)
+    return flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(low - (ends - count), count)]
+
+
 class Encoder:
-    """Ids of texts: the parts between cuts are looked up, new ones are encoded by
-    the tokenizers library.  The table is emptied when it is full."""
+    """Ids of texts: the distinct parts between cuts are looked up by their hashes, new ones are
+    encoded by the tokenizers library, in runs of many parts.  The first ``KNOWN`` short parts
+    are remembered."""
 
     def __init__(self, spec: str):
         self.library = tokenizer(spec)
-        self.known: dict[bytes, bytes] = {}
-
-    def parts(self, parts: list[bytes]) -> list[bytes]:
-        """Ids of distinct parts, as little-endian uint32 values."""
-        new = [p for p in parts if p not in self.known]
-        if len(self.known) > KNOWN:
-            self.known, new = {}, parts
-        fresh: dict[bytes, bytes] = {}
-        for lo in range(0, len(new), 4_096):
-            some = new[lo:lo + 4_096]
-            made = self.library.encode_batch_fast([p.decode("utf-8", "replace") for p in some], add_special_tokens=False)
-            fresh.update((p, np.array(e.ids, dtype="<u4").tobytes()) for p, e in zip(some, made))
-        out = [self.known[p] if p in self.known else fresh[p] for p in parts]
-        self.known.update((p, ids) for p, ids in fresh.items() if len(p) <= SHORT)
+        self.bytes_of = token_bytes(self.library)
+        # Of each known part, by hash: hash, length, last bytes, and where its ids stand in ``flat``:
+        # no more than one a byte, so ``SHORT`` bounds them.
+        self.known = [np.empty(0, kind) for kind in (np.uint64, np.uint8, np.uint64, np.int32, np.uint8)]
+        self.flat = np.empty(0, "<u4")
+
+    def ids(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of texts, or of runs of parts, as the library gives them."""
+        out = []
+        for lo in range(0, len(texts), LISTED):
+            some = [t.decode("utf-8", "replace") for t in texts[lo:lo + LISTED]]
+            out += [np.array(e.ids, dtype="<u4") for e in self.library.encode_batch_fast(some, add_special_tokens=False)]
         return out
 
+    def parts(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct parts, one after another, with the place and number of each part's.
+
+        Parts that begin and end as at a cut stand together in runs of about ``RUN`` bytes, in
+        which each is cut from the next; the bytes of the ids tell which are whose.  Others
+        are encoded alone, as are all where the bytes do not meet the ends of the parts."""
+        lone = ~joinable(parts)
+        order = np.argsort(lone, kind="stable")
+        listed = [parts[i] for i in order.tolist()]
+        raw, end = b"".join(listed), np.cumsum([len(p) for p in listed])
+        run = np.where(lone[order], len(raw) + np.arange(len(listed)), end // RUN)
+        upto = end[np.append(np.flatnonzero(np.diff(run)), len(run) - 1)].tolist() if parts else []
+        made = self.ids([raw[a:b] for a, b in zip([0, *upto], upto)])
+        flat = np.concatenate([np.empty(0, "<u4"), *made])
+        told = np.append(0, np.cumsum(self.bytes_of[flat]))
+        high = np.searchsorted(told, end, "right") - 1
+        if (told[high] != end).any() or told[-1] != len(raw):
+            made = self.ids(listed)
+            flat, high = np.concatenate([np.empty(0, "<u4"), *made]), np.cumsum([len(x) for x in made])
+        low, count = np.empty(len(parts), np.int64), np.empty(len(parts), np.int64)
+        low[order], count[order] = np.append(0, high)[:-1], np.diff(high, prepend=0)
+        return flat, low, count
+
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of each text."""
         raw = b"\n".join(texts) + b"\n"
@@ -105,27 +155,54 @@ class Encoder:
         text = np.searchsorted(at, start, "right") - 1
         end = np.minimum(np.append(start[1:], len(raw)), at[text + 1] - 1)
         names = hash_ranges(raw, start, end)
-        _, first, same = np.unique(names, return_index=True, return_inverse=True)
+        name, first, same = np.unique(names, return_index=True, return_inverse=True)
         one = first[same]
         # Parts of one name are one part: length and last bytes must agree.
         eights = np.ndarray((len(raw) + 1,), dtype="<u8", buffer=bytes(8) + raw + bytes(8), strides=(1,))
         size = end - start
         last = eights[end] >> (8 * (8 - np.clip(size, 1, 8))).astype(np.uint64)  # the part's own bytes alone
-        if (size != size[one]).any() or ((last != last[one]) & (size > 0)).any():
-            first, same = np.arange(len(start)), np.arange(len(start))
-        found = [raw[a:b] for a, b in zip(start[first].tolist(), end[first].tolist())]
-        distinct = list(dict.fromkeys(found))
-        whole = dict(zip(distinct, self.parts(distinct)))
-        listed = [whole[p] for p in found]
-        size = np.array([len(x) // 4 for x in listed], dtype=np.int64)
-        flat = np.frombuffer(b"".join(listed), dtype="<u4")
-        low, count = (np.cumsum(size) - size)[same], size[same]
-        ends = np.cumsum(count)
-        ids = flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(low - (ends - count), count)]
+        last[size == 0] = 0
+        if (size != size[one]).any() or (last != last[one]).any():
+            ids, low, count = self.parts([raw[a:b] for a, b in zip(start.tolist(), end.tolist())])
+        else:
+            ids, low, count = self.looked_up(raw, name, start[first], size[first], last[first])
+            low, count = low[same], count[same]
+        ids = taken(ids, low, count)
         per_text = np.bincount(text, weights=count, minlength=len(texts)).astype(np.int64)
         return np.split(ids, np.cumsum(per_text)[:-1])
 
 
+    def looked_up(self, raw, name, start, size, last) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct parts as ``parts`` gives them; the new ones are remembered."""
+        names, sizes, lasts, lows, counts = self.known
+        at = np.searchsorted(names, name)
+        met = np.flatnonzero(at < len(names))
+        met = met[names[at[met]] == name[met]]
+        held = met[(sizes[at[met]] == size[met]) & (lasts[at[met]] == last[met])]
+        new = np.ones(len(name), bool)
+        new[held] = False
+        new = np.flatnonzero(new)
+        flat, some, many = self.parts([raw[a:a + n] for a, n in zip(start[new].tolist(), size[new].tolist())])
+        low, count = np.empty(len(name), np.int64), np.empty(len(name), np.int64)
+        low[held], count[held] = lows[at[held]], counts[at[held]]
+        low[new], count[new] = len(self.flat) + some, many
+        out = np.concatenate([self.flat, flat]), low, count
+        add = new[(size[new] <= SHORT) & ~np.isin(new, met)][:KNOWN - len(names)]
+        if len(add):
+            more = taken(out[0], low[add], count[add])
+            place = len(self.flat) + np.cumsum(count[add]) - count[add]
+            self.known = [np.insert(x, at[add], y) for x, y in
+                          zip(self.known, (name[add], size[add], last[add], place, count[add]))]
+            self.flat = np.concatenate([self.flat, more])
+        return out
+
+
+@lru_cache(maxsize=2)
+def encoder(spec: str) -> Encoder:
+    """One in each worker: its tasks share what it remembers."""
+    return Encoder(spec)
+
+
 def raw_blocks(docs: DataFrame, vocabulary: str, key: str, text: str, end: int, block: int) -> DataFrame:
     """file, block, start (ids before it in the file), keys, sizes and raw ids of
     blocks of whole documents, in ascending order of the key."""
@@ -140,7 +217,7 @@ def raw_blocks(docs: DataFrame, vocabulary: str, key: str, text: str, end: int,
 
     def run(batches):
         keys, ids, held, number, start, file = [], [], 0, 0, 0, 0
-        encoder = Encoder(spec)
+        known = encoder(spec)
 
         def closed():
             return pa.RecordBatch.from_arrays(
@@ -152,8 +229,8 @@ def raw_blocks(docs: DataFrame, vocabulary: str, key: str, text: str, end: int,
 
         for batch in batches:
             texts = text_bytes(batch.column(1))
-            for lo, hi in chunks(texts):
-                for at, made in enumerate(encoder.encode(texts[lo:hi]), lo):
+            for lo, hi in chunks(texts, CHUNK):
+                for at, made in enumerate(known.encode(texts[lo:hi]), lo):
                     file = batch.column(2)[0].as_py()
                     keys.append(batch.column(0).slice(at, 1))
                     ids.append(np.concatenate([made, tail]))
@@ -235,7 +312,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str, key: str = "doc_id", te
     coded(raw, (ids, share, bits)).write.partitionBy("file").option("compression", "none").parquet(f"{folder}/blocks")
     # One row a file.
     sizes = raw.groupBy("file").agg(F.sum(F.size("sizes")).alias("docs"),
-                                    F.sum(F.expr("octet_length(ids) div 4")).alias("tokens"))
+                                    F.sum(F.expr("aggregate(sizes, 0L, (a, x) -> a + x)")).alias("tokens"))
     before, out = 0, []
     for r in sorted(sizes.collect()):
         out.append((r["file"], r["docs"], r["tokens"], before))

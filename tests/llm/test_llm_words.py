@@ -228,6 +228,37 @@ def test_repeated_parts_are_encoded_once():
     assert asked == [len(set(asked_parts(texts)))]
 
 
+def test_parts_are_encoded_in_runs_and_fall_apart_by_their_bytes(monkeypatch):
+    import public_tokenizers
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        spec = f.read()
+    made = token_files.Encoder(spec)
+    draw, bits = random.Random(5), ["a", "bc", " ", "  ", "\n", "'s", "12", " \u00e9", "\u00e9", "!", " don't", "\u00a0", "\u3000",
+                                    "\u6f22", " \U0001f600", "<|endoftext|>", " <|endoftext|>", "\t", "\0", " '", " \u2009x", "\u0301"]
+    texts = ["".join(draw.choice(bits) for _ in range(draw.randrange(60))) for _ in range(3000)] + ["", " "]
+    want = [made.library.encode(t, add_special_tokens=False).ids for t in texts]
+    raw, asked, ids = [t.encode() for t in texts], [], made.ids
+    made.ids = lambda some: asked.append(len(some)) or ids(some)
+    assert [x.tolist() for x in made.encode(raw)] == want
+    words = [f" w{k}".encode() for k in range(10_000)]
+    del asked[:]
+    flat, low, count = made.parts(words)
+    assert asked[0] < 30 and flat[low[7]:low[7] + count[7]].tolist() == made.library.encode(" w7").ids
+    other = token_files.Encoder(spec)
+    other.bytes_of = np.ones_like(made.bytes_of)  # bytes that do not meet the parts: each is encoded alone
+    assert [x.tolist() for x in other.encode(raw)] == want
+    made.parts = lambda some: pytest.fail("asked again") if some else (np.empty(0, "<u4"), *np.empty((2, 0), np.int64))
+    short = [t for t in raw if len(t) <= token_files.SHORT]
+    assert [x.tolist() for x in made.encode(short)] == [made.library.encode(t.decode()).ids for t in short]
+    for run, known in ((1, 0), (40, 10), (40, 5_000)):
+        monkeypatch.setattr(token_files, "RUN", run)
+        monkeypatch.setattr(token_files, "KNOWN", known)
+        made = token_files.Encoder(spec)
+        for lo in range(0, len(raw), 500):
+            assert [x.tolist() for x in made.encode(raw[lo:lo + 500])] == want[lo:lo + 500]
+        assert len(made.known[0]) <= known and (np.diff(made.known[0].astype(object)) > 0).all()
+
+
 def asked_parts(texts):
     from tabulark.llm import token_files
     for t in texts:
