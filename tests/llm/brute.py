@@ -28,6 +28,13 @@ def grams(text, n):
     return {tuple(w[i:i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else ({tuple(w)} if w else set())
 
 
+def links(rows, n, percent):
+    """rows: (key, text); sorted pairs of keys whose texts are similar."""
+    sets = [(k, grams(t, n)) for k, t in rows]
+    return sorted((min(a, b), max(a, b)) for i, (a, x) in enumerate(sets) for b, y in sets[:i]
+                  if x and y and 100 * len(x & y) >= percent * len(x | y))
+
+
 def components(rows, n, percent):
     """rows: (key, text); least key of each key's component."""
     sets = [(k, grams(t, n)) for k, t in rows]

@@ -44,6 +44,36 @@ def test_ngram_join_of_small_sets(spark, percent):
     assert got == brute.components(rows, 4, percent)
 
 
+@pytest.mark.parametrize("percent", [50, 85, 90])
+def test_ngram_join_links_are_whole(spark, percent, monkeypatch):
+    """Every pair of similar documents, inside a component as between groups, and their number."""
+    from tabulark.llm import ngram_join
+    monkeypatch.setattr(ngram_join, "GROUP", 8)
+    monkeypatch.setattr(ngram_join, "QUERIES", 4)
+    prose = [[f"{kind}{i}" for i in range(200)] for kind in "ab"]
+    rows = []
+    for k in range(40):  # near copies of two texts: one to three words changed, some the same twice
+        words = list(prose[k % 2])
+        for at in range(k % 3 + 1):
+            words[(7 * k + 67 * at) % 200] = f"new{k // 3}"
+        rows.append((k, " ".join(words)))
+    rows += [(100 + k, rows[k][1]) for k in (0, 3, 8)] + [(200, "alone in this"), (201, ""), (202, None)]
+    want = brute.links(rows, 4, percent)
+    assert len(want) > 40
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found, _, links = ngram_join.joined(docs, "text", 4, percent)
+    nodes = collections.defaultdict(list)
+    for r in found.filter("node IS NOT NULL").collect():
+        nodes[r.node].append(r.doc_id)
+    pairs = [(x, y) for r in links.collect() for x in nodes[r.a] for y in nodes[r.b]]
+    pairs += [(x, y) for ids in nodes.values() for x in ids for y in ids if x < y]
+    assert sorted((min(p), max(p)) for p in pairs) == want  # each once
+    got = {r.doc_id: r for r in ngram_join.join_components(docs, percent=percent, counted=True).collect()}
+    number = collections.Counter(k for pair in want for k in pair)
+    assert {k: r.n_links for k, r in got.items()} == {k: number[k] for k, _ in rows}
+    assert {k: (r.n_shingles, r.component_id) for k, r in got.items()} == brute.components(rows, 4, percent)
+
+
 def test_neighbours_recall(spark):
     t = pq.read_table(f"{LARGE}/embeddings.parquet")
     ids, v = t["vec_id"].to_numpy(), np.array(t["embedding"].to_pylist(), dtype=float)
