@@ -231,3 +231,11 @@ def test_narrow_partitions_make_no_small_files_and_no_sort_by_month(spark):
     assert sorted((str(r.order_month), r.n, r.d) for r in counts) == [
         ("2024-01-01", 3200, 3200), ("2024-02-01", 3200, 3200)]
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_pages_are_gzipped_at_a_fast_level(spark):
+    import gzip
+    at = scratch_path(spark, "t-level")
+    land_pages(spark.range(20_000).selectExpr("cast(id * 7919 AS string) AS _id", "uuid() AS name").coalesce(1), at)
+    packed = open(spark.read.text(at).inputFiles()[0].removeprefix("file://"), "rb").read()
+    assert len(packed) > len(gzip.compress(gzip.decompress(packed)))
