@@ -233,6 +233,24 @@ def test_narrow_partitions_make_no_small_files_and_no_sort_by_month(spark):
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
 
 
+def test_rejected_rows_are_told_apart_by_hash(spark, monkeypatch):
+    from tabulark.plans import incremental
+    plans = []
+
+    def keep(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return stored(df, name)
+
+    monkeypatch.setattr(incremental, "stored", keep)
+    table = Table(spark, scratch_path(spark, "t-rejected"))
+    bad = spark.createDataFrame([(1, "x"), (1, "x"), (1, "y"), (None, "x"), (None, "x")], "id long, reason string")
+    for rows in (bad, bad.unionByName(spark.createDataFrame([(2, "x")], bad.schema))):
+        incremental._store_rejected(table, rows)
+    assert sorted(map(tuple, table.read().collect())) == [
+        ('{"id":1}', "x"), ('{"id":1}', "y"), ('{"id":2}', "x"), ("{}", "x")]
+    assert plans and not any("ggregate" in p for p in plans)  # bodies are not shuffled to find repeated ones
+
+
 def test_pages_are_gzipped_at_a_fast_level(spark):
     import gzip
     at = scratch_path(spark, "t-level")
