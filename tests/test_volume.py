@@ -233,6 +233,34 @@ def test_narrow_partitions_make_no_small_files_and_no_sort_by_month(spark):
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
 
 
+def test_a_run_parses_its_order_documents_once(spark, monkeypatch):
+    calls, parse = [], dims.parsed_orders
+    monkeypatch.setattr(dims, "parsed_orders", lambda docs: calls.append(1) or parse(docs))
+    root, before = scratch_path(spark, "t-parsed"), _kinds_of_scratch(spark)
+    wh = Warehouse(spark, root)
+
+    def docs(*rows):
+        return spark.createDataFrame(
+            [(k, json.dumps({"_id": k, "final_status": "CLOSED", "restaurant": {"id": "r"}, "user": {"id": "u"},
+                             "ts_date": str(t), "update_ts": str(t)}), t) for k, t in rows],
+            "object_id string, object_value string, update_ts timestamp_ntz")
+
+    users = spark.createDataFrame([("u", '{"_id":"u","name":"n","login":"l"}', T0)], docs().schema)
+    rest = spark.createDataFrame([("r", json.dumps({"_id": "r", "name": "n", "update_ts": str(T0), "menu": []}), T0)],
+                                 docs().schema)
+    only = ["dm_users", "dm_restaurants", "dm_timestamps", "dm_orders"]
+    feeds = {"users": users, "restaurants": rest, "orders": docs(("a", T0), ("b", T0 + dt.timedelta(days=1)))}
+    run_dds(feeds, wh, only=only)
+    assert len(calls) == 1
+    # The calendar of another batch than the orders' is parsed by itself.
+    more = docs(("c", T0 + dt.timedelta(days=2)), ("d", T0 + dt.timedelta(days=3)))
+    run_dds(feeds | {"orders": more}, wh, only=["dm_timestamps"])
+    run_dds(feeds | {"orders": more}, wh, only=only)
+    assert len(calls) > 2 and sorted(r.order_key for r in wh.read("dm_orders").collect()) == ["a", "b", "c", "d"]
+    assert wh.read("dm_orders").filter("timestamp_id IS NULL").isEmpty()
+    assert "parsed-orders" not in _kinds_of_scratch(spark) - before
+
+
 def test_rejected_rows_are_told_apart_by_hash(spark, monkeypatch):
     from tabulark.plans import incremental
     plans = []
